@@ -11,14 +11,15 @@ import warnings
 from collections.abc import Callable, Iterable
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
+
+from cyclerlake.functions.predicates import quoted
 
 
 class Rule(NamedTuple):
     output: str
     inputs: tuple[str, ...]
-    build: Callable[..., Column]
+    text: Callable[..., str]  # SQL over the inputs
 
 
 # Step type codes of the tester.
@@ -41,102 +42,85 @@ POSITIVE_RANGES = [(10, 1e4), (100, 1e3), (1000, 1e2), (None, 1e1)]
 SIGNED_RANGES = [(0.01, 1e8), (0.1, 1e7), (1, 1e6), (10, 1e5), (100, 1e4), (1000, 1e3), (None, 1e2)]
 
 
-def epoch_seconds(ts: Column) -> Column:
+def epoch_seconds(ts: str) -> str:
     """Whole seconds since 1970, floored, reading the clock time as UTC in any session zone."""
-    clock = ts.cast("timestamp_ntz")
-    days = F.datediff(clock.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
-    return days * 86400 + F.hour(clock) * 3600 + F.minute(clock) * 60 + F.second(clock)
+    clock = f"CAST({ts} AS timestamp_ntz)"
+    day = f"CAST(datediff(CAST({clock} AS date), DATE'1970-01-01') AS bigint)"
+    return f"{day} * 86400 + hour({clock}) * 3600 + minute({clock}) * 60 + second({clock})"
 
 
-def step_name(code: Column) -> Column:
-    pairs = [part for number, name in STEP_TYPES.items() for part in (F.lit(number).cast("bigint"), F.lit(name))]
-    known = F.try_element_at(F.create_map(*pairs), code.cast("bigint"))
-    return F.coalesce(known, F.lit(OTHER_STEP))
+def step_name(code: str) -> str:
+    known = " ".join(f"WHEN {number} THEN '{name}'" for number, name in STEP_TYPES.items())
+    return f"CASE {code} {known} ELSE '{OTHER_STEP}' END"
 
 
-def _ladder(value: Column, steps: list[tuple[float | None, float]]) -> Column:
-    rungs = F
-    for below, scale in steps[:-1]:
-        rungs = rungs.when(value < F.lit(below), F.lit(scale))
-    return rungs.otherwise(F.lit(steps[-1][1]))
+def _ladder(value: str, steps: list[tuple[float | None, float]]) -> str:
+    rungs = " ".join(f"WHEN {value} < {below}D THEN {scale}D" for below, scale in steps[:-1])
+    return f"CASE {rungs} ELSE {steps[-1][1]}D END"
 
 
-def _range_magnitude(raw: Column) -> Column:
-    signed = raw.cast("double")
-    size = F.abs(signed)
+def _range_magnitude(raw: str) -> str:
+    signed = f"CAST({raw} AS double)"
     return (
-        F.when((size > 0) & (size <= 999999), size)
-        .when(size.between(1000000, 999999999), F.floor(signed / F.lit(1e9)).cast("double"))
-        .otherwise(F.lit(0.0))
+        f"CASE WHEN abs({signed}) > 0 AND abs({signed}) <= 999999 THEN abs({signed})"
+        f" WHEN abs({signed}) BETWEEN 1000000 AND 999999999 THEN CAST(floor({signed} / 1e9D) AS double)"
+        " ELSE 0D END"
     )
 
 
-def _counts_per_milliampere(raw: Column, magnitude: Column) -> Column:
-    return F.when(raw > 0, _ladder(raw, POSITIVE_RANGES)).otherwise(_ladder(magnitude, SIGNED_RANGES))
-
-
-def _integral_scale(factor: Column, scale: Column) -> Column:
-    return (
-        F.when(factor == 0, scale * F.lit(1e3) * F.lit(3600))
-        .when(factor == 1, scale)
-        .when(factor == 2, scale * F.lit(1e3))
-    )
-
+def _counts_per_milliampere(raw: str, magnitude: str) -> str:
+    return f"CASE WHEN {raw} > 0 THEN {_ladder(raw, POSITIVE_RANGES)} ELSE {_ladder(magnitude, SIGNED_RANGES)} END"
 
-def _over(*divisors: float) -> Callable[[Column], Column]:
-    def build(column: Column) -> Column:
-        for divisor in divisors:
-            column = column / F.lit(divisor)
-        return column
 
-    return build
+def _integral_scale(factor: str, scale: str) -> str:
+    return f"CASE {factor} WHEN 0 THEN {scale} * 1e3D * 3600 WHEN 1 THEN {scale} WHEN 2 THEN {scale} * 1e3D END"
 
 
-def _scaled(name: str, *divisors: float) -> Rule:
-    return Rule(name, (name,), _over(*divisors))
+def _scaled(name: str, *divisors: str) -> Rule:
+    return Rule(name, (name,), lambda column: " / ".join([column, *divisors]))
 
 
 INTEGRALS = ("capchg", "capdchg", "engchg", "engdchg")
 
 _BALANCES = [
-    Rule("test_cap", ("test_capchg", "test_capdchg"), lambda gain, loss: gain - loss),
-    Rule("test_eng", ("test_engchg", "test_engdchg"), lambda gain, loss: gain - loss),
+    Rule("test_cap", ("test_capchg", "test_capdchg"), lambda gain, loss: f"{gain} - {loss}"),
+    Rule("test_eng", ("test_engchg", "test_engdchg"), lambda gain, loss: f"{gain} - {loss}"),
 ]
 _CLOCK_AND_STEP = [
     Rule("unix_time", ("test_atime",), epoch_seconds),
     Rule("step_type", ("step_type",), step_name),
 ]
-_POWER = Rule("test_pow", ("test_cur", "test_vol"), lambda current, voltage: current * voltage)
+_POWER = Rule("test_pow", ("test_cur", "test_vol"), lambda current, voltage: f"{current} * {voltage}")
 
 TYPE_24: list[Rule] = [
     Rule("d_cur_step_range", ("cur_step_range",), _range_magnitude),
     Rule("scale_cur", ("cur_step_range", "d_cur_step_range"), _counts_per_milliampere),
     *(Rule(f"scale_{name}", (f"factor_{name}", "scale_cur"), _integral_scale) for name in INTEGRALS),
-    _scaled("test_time", 1e3),
-    _scaled("test_vol", 1e4),
-    Rule("test_cur", ("test_cur", "scale_cur"), lambda counts, scale: counts / (scale * F.lit(1e3))),
-    _scaled("test_tmp", 1e1),
-    *(Rule(f"test_{n}", (f"test_{n}", f"scale_{n}"), lambda counts, scale: counts / scale) for n in INTEGRALS),
+    _scaled("test_time", "1e3D"),
+    _scaled("test_vol", "1e4D"),
+    Rule("test_cur", ("test_cur", "scale_cur"), lambda counts, scale: f"{counts} / ({scale} * 1e3D)"),
+    _scaled("test_tmp", "1e1D"),
+    *(Rule(f"test_{n}", (f"test_{n}", f"scale_{n}"), lambda counts, scale: f"{counts} / {scale}") for n in INTEGRALS),
     _POWER,
     *_BALANCES,
     *_CLOCK_AND_STEP,
 ]
 
 TYPE_26: list[Rule] = [
-    _scaled("test_time", 1e3),
-    _scaled("test_vol", 1e4),
-    _scaled("test_cur", 1e3),
-    _scaled("test_tmp", 1e1),
+    _scaled("test_time", "1e3D"),
+    _scaled("test_vol", "1e4D"),
+    _scaled("test_cur", "1e3D"),
+    _scaled("test_tmp", "1e1D"),
     _POWER,
     # two divisions, not one: the rounding of each is part of the result
-    *(_scaled(f"test_{name}", 3600, 1e3) for name in INTEGRALS),
-    _scaled("total_cap", 3600, 1e3),
-    _scaled("total_eng", 3600, 1e3),
+    *(_scaled(f"test_{name}", "3600D", "1e3D") for name in INTEGRALS),
+    _scaled("total_cap", "3600D", "1e3D"),
+    _scaled("total_eng", "3600D", "1e3D"),
     *_BALANCES,
     *_CLOCK_AND_STEP,
 ]
 
-AUX: list[Rule] = [_scaled("test_tmp", 10)]
+AUX: list[Rule] = [_scaled("test_tmp", "10D")]
 
 # what the step features read
 FEATURE_INPUTS = {
@@ -160,10 +144,15 @@ def combination(version: str, dev_uid: int | str) -> str:
     return key
 
 
+def _project(df: DataFrame, computed: dict[str, str]) -> DataFrame:
+    names = [*df.columns, *(name for name in computed if name not in df.columns)]
+    return df.selectExpr(*(f"{computed[n]} AS {quoted(n)}" if n in computed else quoted(n) for n in names))
+
+
 def apply_rules(df: DataFrame, rules: Iterable[Rule], strict: bool = False) -> DataFrame:
     """Apply rules in order; skip those whose inputs are missing (or raise with ``strict``)."""
     existing = set(df.columns)
-    together: dict[str, Column] = {}
+    together: dict[str, str] = {}
     for rule in rules:
         missing = [name for name in rule.inputs if name not in existing]
         if missing:
@@ -174,10 +163,10 @@ def apply_rules(df: DataFrame, rules: Iterable[Rule], strict: bool = False) -> D
                 warnings.warn(message, stacklevel=3)
             continue
         if any(name in together for name in rule.inputs):
-            df, together = df.withColumns(together), {}
-        together[rule.output] = rule.build(*map(F.col, rule.inputs))
+            df, together = _project(df, together), {}
+        together[rule.output] = rule.text(*rule.inputs)
         existing.add(rule.output)
-    return df.withColumns(together) if together else df
+    return _project(df, together) if together else df
 
 
 def transform_main(df: DataFrame, version: str, dev_uid: int | str, strict: bool = False) -> DataFrame:

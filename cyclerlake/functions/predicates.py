@@ -22,13 +22,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def named(name: str) -> Column:
-    """Reference a column whatever characters its name holds."""
-    return F.col("`" + name.replace("`", "``") + "`")
+def quoted(name: str) -> str:
+    """Reference to a column in SQL text, whatever characters its name holds."""
+    return "`" + name.replace("`", "``") + "`"
 
 
 def _single(name: str, want: Any) -> Column:
-    column = named(name)
+    column = F.col(quoted(name))
     if want is None:
         return column.isNull()
     if isinstance(want, list):
@@ -68,4 +68,4 @@ def pick(
     if keep is not None:
         df = df.where(keep)
     names = column_list(columns)
-    return df if names is None else df.select(*map(named, names))
+    return df if names is None else df.select(*map(quoted, names))

@@ -12,15 +12,16 @@ chunks are found by counting and take a separate path that splits them further.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cyclerlake.functions.predicates import quoted
+
 CHUNK = "_chunk"
 COPIES = "_copies"
+BLOCK = 100_000
 
 
 class Layout(NamedTuple):
@@ -31,13 +32,12 @@ class Layout(NamedTuple):
 
 
 def with_chunk(df: DataFrame, layout: Layout) -> DataFrame:
-    seq = F.col("seq_id")
-    return df.withColumn(CHUNK, seq - F.pmod(seq, F.lit(layout.chunk_records).cast("bigint")))
+    return df.selectExpr("*", f"seq_id - pmod(seq_id, {layout.chunk_records}L) AS {CHUNK}")
 
 
 def chunk_counts(df: DataFrame, by: Sequence[str]) -> DataFrame:
     """Rows per chunk; combined on the map side, so only summaries are shuffled."""
-    return df.groupBy(*by, CHUNK).agg(F.count(F.lit(1)).alias("_rows"))
+    return df.groupBy(*by, CHUNK).agg(F.expr("count(*) AS _rows"))
 
 
 def hot_chunks(counts: DataFrame, by: Sequence[str], layout: Layout) -> DataFrame | None:
@@ -55,13 +55,26 @@ def split_hot(df: DataFrame, hot: DataFrame | None, by: Sequence[str]) -> tuple[
     if hot is None:
         return df, None
     keys = [*by, CHUNK]
-    listed = F.broadcast(hot.select(*(F.col(k).alias(f"_hot_{k}") for k in keys)))
-    match: Column = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys))
+    listed = F.broadcast(hot.selectExpr(*(f"{k} AS _hot_{k}" for k in keys)))
+    match = F.expr(" AND ".join(f"{k} <=> _hot_{k}" for k in keys))
     return df.join(listed, match, "left_anti"), df.join(listed, match, "left_semi")
 
 
 def collapse_copies(df: DataFrame) -> DataFrame:
     """Equal rows become one row with a count, so that no number of copies is ever one task's load."""
-    columns = [c for c in df.columns if c != COPIES]
-    copies = F.sum(COPIES) if COPIES in df.columns else F.count(F.lit(1))
-    return df.groupBy(*columns).agg(copies.cast("bigint").alias(COPIES))
+    columns = [quoted(c) for c in df.columns if c != COPIES]
+    copies = f"sum({COPIES})" if COPIES in df.columns else "count(*)"
+    return df.groupBy(*columns).agg(F.expr(f"CAST({copies} AS bigint) AS {COPIES}"))
+
+
+def expand_copies(df: DataFrame, keep_number: str | None = None) -> DataFrame:
+    """Undo ``collapse_copies``, in blocks that spread over tasks.
+
+    ``keep_number`` names a column for the running number (from 1) of each copy.
+    """
+    rows = [quoted(c) for c in df.columns]
+    blocks = df.selectExpr(*rows, f"explode(sequence(0L, ({COPIES} - 1) div {BLOCK})) AS _block")
+    low = f"_block * {BLOCK}"
+    spread = blocks.repartition("seq_id", "_block")
+    copies = spread.selectExpr(*rows, f"explode(sequence({low} + 1, least({low} + {BLOCK}, {COPIES}))) AS _copy")
+    return copies.withColumnRenamed("_copy", keep_number) if keep_number else copies.drop("_copy", COPIES)

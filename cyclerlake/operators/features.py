@@ -14,16 +14,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cyclerlake.functions.predicates import quoted
 from cyclerlake.operators.chunks import (
     CHUNK,
     COPIES,
     Layout,
     collapse_copies,
+    expand_copies,
     hot_chunks,
     split_hot,
     with_chunk,
@@ -32,114 +33,102 @@ from cyclerlake.session import landed
 
 PART = ["_part_seq", "_part_channel", "_part_tie"]
 TIE_PARTS = 1024
-COPIES_PER_TASK = 100_000
 CARRY = ["_zeros", "_start", "_first", "_t0"]
+IS_START = "coalesce(test_time = 0, false)"
 
 
-def is_start() -> Column:
-    return F.coalesce(F.col("test_time") == 0, F.lit(False))
-
-
-def _weight(df: DataFrame) -> Column:
-    return F.col(COPIES) if COPIES in df.columns else F.lit(1).cast("bigint")
-
-
-def _seconds(df: DataFrame) -> Column:
-    return F.col("unix_time") if "unix_time" in df.columns else F.lit(None).cast("bigint")
+def _weight(df: DataFrame) -> str:
+    return COPIES if COPIES in df.columns else "1L"
 
 
 def summarise(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """What a set of records contributes to the records after it."""
     weight = _weight(df)
+    seconds = "unix_time" if "unix_time" in df.columns else "CAST(NULL AS bigint)"
     return df.groupBy(*keys).agg(
-        F.sum(weight).alias("_rows"),
-        F.sum(F.when(is_start(), weight).otherwise(F.lit(0).cast("bigint"))).alias("_zeros"),
-        F.max(F.when(is_start(), F.col("seq_id"))).alias("_start"),
-        F.min("seq_id").alias("_first"),
-        F.max("seq_id").alias("_last"),
-        F.min(_seconds(df)).alias("_t0"),
+        F.expr(f"sum({weight}) AS _rows"),
+        F.expr(f"sum(CASE WHEN {IS_START} THEN {weight} ELSE 0L END) AS _zeros"),
+        F.expr(f"max(CASE WHEN {IS_START} THEN seq_id END) AS _start"),
+        F.expr("min(seq_id) AS _first"),
+        F.expr("max(seq_id) AS _last"),
+        F.expr(f"min({seconds}) AS _t0"),
     )
 
 
+def _over(by: Sequence[str], order: Sequence[str] = (), frame: str = "") -> str:
+    partition = f"PARTITION BY {', '.join(by)}" if by else ""
+    return f"OVER ({partition} {'ORDER BY ' + ', '.join(order) if order else ''} {frame})"
+
+
 def _chunk_starts(summary: DataFrame, by: Sequence[str], carry: DataFrame | None) -> DataFrame:
     """Per chunk: zeros before it, last step start before it, first id and second of the test.
 
     ``carry`` holds one row per test with the same columns from records seen earlier.
     """
-    rank = F.lit(1)
+    summary = summary.selectExpr("*", "1 AS _rank")
     if carry is not None:
-        summary = summary.withColumn("_rank", rank).unionByName(
-            carry.select(*by, *CARRY).withColumn("_rank", F.lit(0)), allowMissingColumns=True
-        )
-        rank = F.col("_rank")
-    test = W.partitionBy(*by)
-    before = test.orderBy(rank, CHUNK, *PART).rowsBetween(W.unboundedPreceding, -1)
-    starts = summary.select(
+        earlier = carry.selectExpr(*by, *CARRY, "0 AS _rank")
+        summary = summary.unionByName(earlier, allowMissingColumns=True)
+    test = _over(by)
+    before = _over(by, ["_rank", CHUNK, *PART], "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING")
+    starts = summary.selectExpr(
         *by,
         CHUNK,
         *PART,
-        F.coalesce(F.sum("_zeros").over(before), F.lit(0).cast("bigint")).alias("_zeros"),
-        F.max("_start").over(before).alias("_start"),
-        F.min("_first").over(test).alias("_first"),
-        F.min("_t0").over(test).alias("_t0"),
-        rank.alias("_rank"),
+        f"coalesce(sum(_zeros) {before}, 0L) AS _zeros",
+        f"max(_start) {before} AS _start",
+        f"min(_first) {test} AS _first",
+        f"min(_t0) {test} AS _t0",
+        "_rank",
     )
-    return starts.where(F.col("_rank") == 1).drop("_rank").withColumn("_is_chunk_start", F.lit(True))
+    return starts.where("_rank = 1").selectExpr(*by, CHUNK, *PART, *CARRY, "true AS _is_chunk_start")
 
 
 def _orderable(data_type: T.DataType) -> bool:
     return not isinstance(data_type, (T.MapType, T.VariantType))
 
 
-def _record_order(df: DataFrame) -> list[str]:
+def _record_order(df: DataFrame, by: Sequence[str]) -> list[str]:
     """``seq_id``, then channel; further ties are broken by content to give the same result each run."""
     first = [c for c in ("seq_id", "auxchl_id") if c in df.columns]
-    skip = {*first, CHUNK, COPIES, *PART}
-    return first + [f.name for f in df.schema if f.name not in skip and _orderable(f.dataType)]
+    skip = {*first, *by, CHUNK, COPIES, *PART}
+    return first + [quoted(f.name) for f in df.schema if f.name not in skip and _orderable(f.dataType)]
 
 
 def _numbered(rows: DataFrame, starts: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Running values of every row, in ``_zeros``, ``_start``, ``_first`` and ``_t0``."""
-    mark = F.col("_is_chunk_start")
-    weight = _weight(rows)
-    window = (
-        W.partitionBy(*keys)
-        .orderBy(mark.desc_nulls_last(), *(F.col(f"`{c}`") for c in order))
-        .rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
-    own_zeros = F.when(is_start(), weight).otherwise(F.lit(0).cast("bigint"))
-    running = {
-        "_zeros": F.sum(F.when(mark, F.col("_zeros")).otherwise(own_zeros)),
-        "_start": F.max(F.when(mark, F.col("_start")).when(is_start(), F.col("seq_id"))),
-        "_first": F.max("_first"),
-        "_t0": F.max("_t0"),
-    }
+    """Running values of every row, in the columns of ``CARRY``."""
+    columns = [quoted(c) for c in rows.columns]
     marked = rows.unionByName(starts, allowMissingColumns=True)
-    return marked.withColumns({k: v.over(window) for k, v in running.items()}).where(mark.isNull())
+    window = _over(
+        keys,
+        ["_is_chunk_start DESC NULLS LAST", *order],
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW",
+    )
+    zeros = f"CASE WHEN _is_chunk_start THEN _zeros WHEN {IS_START} THEN {_weight(rows)} ELSE 0L END"
+    start = f"CASE WHEN _is_chunk_start THEN _start WHEN {IS_START} THEN seq_id END"
+    return marked.selectExpr(
+        *columns,
+        f"sum({zeros}) {window} AS _zeros",
+        f"max({start}) {window} AS _start",
+        f"max(_first) {window} AS _first",
+        f"max(_t0) {window} AS _t0",
+        "_is_chunk_start",
+    ).where("_is_chunk_start IS NULL")
 
 
 def _spread_copies(numbered: DataFrame) -> DataFrame:
     """Give back the copies, each step start among them with its own number."""
-    blocks = numbered.withColumn(
-        "_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"({COPIES} - 1) div {COPIES_PER_TASK}")))
-    )
-    low = F.col("_block") * COPIES_PER_TASK
-    copies = blocks.repartition(CHUNK, *PART, "_block").withColumn(
-        "_copy", F.explode(F.sequence(low + 1, F.least(low + COPIES_PER_TASK, F.col(COPIES))))
-    )
-    own = F.when(is_start(), F.col("_zeros") - F.col(COPIES) + F.col("_copy")).otherwise(F.col("_zeros"))
-    return copies.withColumn("_zeros", own).drop("_block", "_copy", COPIES)
+    copies = expand_copies(numbered, "_copy")
+    own = f"CASE WHEN {IS_START} THEN _zeros - {COPIES} + _copy ELSE _zeros END"
+    return copies.selectExpr(*(f"{own} AS _zeros" if c == "_zeros" else quoted(c) for c in numbered.columns))
 
 
 def _finish(numbered: DataFrame, columns: Sequence[str]) -> DataFrame:
-    out = {
-        "step_count": F.col("_zeros"),
-        "step_index": F.col("seq_id") - F.coalesce("_start", "_first") + 1,
-    }
+    out = {"step_count": "_zeros", "step_index": "seq_id - coalesce(_start, _first) + 1"}
     if "unix_time" in columns:
-        out["test_totaltime"] = F.col("unix_time") - F.col("_t0")
-    kept = [F.col(f"`{c}`") for c in columns if c not in out]
-    return numbered.select(*kept, *(value.alias(name) for name, value in out.items()))
+        out["test_totaltime"] = "unix_time - _t0"
+    kept = [quoted(c) for c in columns if c not in out]
+    return numbered.selectExpr(*kept, *(f"{text} AS {name}" for name, text in out.items()))
 
 
 class Parts(NamedTuple):
@@ -156,15 +145,10 @@ class Parts(NamedTuple):
 def _with_parts(hot: DataFrame) -> DataFrame:
     """Copies collapsed, and keys that split a hot chunk in record order."""
     hot = collapse_copies(hot)
-    channel = F.col("auxchl_id") if "auxchl_id" in hot.columns else F.lit(None)
-    content = [F.col(f"`{c}`") for c in hot.columns if c != COPIES]
-    return hot.withColumns(
-        {
-            "_part_seq": F.col("seq_id"),
-            "_part_channel": channel.cast("bigint"),
-            "_part_tie": F.pmod(F.xxhash64(*content), F.lit(TIE_PARTS).cast("bigint")),
-        }
-    )
+    channel = "CAST(auxchl_id AS bigint)" if "auxchl_id" in hot.columns else "CAST(NULL AS bigint)"
+    content = ", ".join(quoted(c) for c in hot.columns if c != COPIES)
+    parts = ["seq_id", channel, f"pmod(xxhash64({content}), {TIE_PARTS}L)"]
+    return hot.selectExpr("*", *(f"{text} AS {name}" for text, name in zip(parts, PART)))
 
 
 def number_steps(
@@ -183,15 +167,13 @@ def number_steps(
     columns = cold.columns
     cold_keys = [*by, CHUNK]
     hot_keys = [*cold_keys, *PART]
-    order = _record_order(cold)
-    no_part = {p: F.lit(None).cast("bigint") for p in PART}
-    summary = cold_summary.select(*cold_keys, *CARRY).withColumns(no_part)
+    order = _record_order(cold, by)
+    summary = cold_summary.selectExpr(*cold_keys, *CARRY, *(f"CAST(NULL AS bigint) AS {p}" for p in PART))
     if hot is not None:
         hot = _with_parts(hot)
         summary = summary.unionByName(summarise(hot, hot_keys).select(*hot_keys, *CARRY))
         starts = landed(_chunk_starts(summary, by, carry), "chunk-starts")
-        is_cold = F.col("_part_tie").isNull()
-        cold_starts, hot_starts = starts.where(is_cold), starts.where(~is_cold)
+        cold_starts, hot_starts = starts.where("_part_tie IS NULL"), starts.where("_part_tie IS NOT NULL")
         hot_done = _finish(_spread_copies(_numbered(hot, hot_starts, hot_keys, order)), columns)
     else:
         cold_starts, hot_done = _chunk_starts(summary, by, carry), None
@@ -230,7 +212,7 @@ def add_step_features(
         rows = with_chunk(df, layout)
         summary = landed(summarise(rows, [*by, CHUNK]), "chunk-summary")
         cold, hot = split_hot(rows, hot_chunks(summary, by, layout), by)
-        kept = summary.where(F.col("_rows") <= layout.hot_rows)
+        kept = summary.where(f"_rows <= {layout.hot_rows}")
         return number_steps(cold, kept, hot, by, carry).whole()
 
     # without test_time there is no running count; the other two need a minimum per group only

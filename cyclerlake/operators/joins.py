@@ -7,18 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cyclerlake.functions.predicates import quoted
 from cyclerlake.operators.chunks import (
     CHUNK,
     COPIES,
     Layout,
     chunk_counts,
     collapse_copies,
+    expand_copies,
     hot_chunks,
     split_hot,
     with_chunk,
 )
+from cyclerlake.operators.features import IS_START, Parts, number_steps, summarise
 from cyclerlake.session import landed
-from cyclerlake.operators.features import Parts, is_start, number_steps, summarise
 
 
 def _right_names(main: DataFrame, aux: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -34,20 +36,11 @@ def _hot_join(main: DataFrame, aux: DataFrame, keys: Sequence[str]) -> DataFrame
     """
     few_main, few_aux = collapse_copies(main), collapse_copies(aux)
     pairs = few_main.join(few_aux.withColumnRenamed(COPIES, "_aux_copies"), keys, "inner")
-    pairs = pairs.withColumn(COPIES, F.col(COPIES) * F.col("_aux_copies")).drop("_aux_copies")
+    pairs = pairs.withColumn(COPIES, F.expr(f"{COPIES} * _aux_copies")).drop("_aux_copies")
     misses = few_main.join(few_aux.select(*keys).distinct(), keys, "left_anti")
     return pairs.unionByName(misses, allowMissingColumns=True)
 
 
-def _expand(df: DataFrame, parts: int = 1024) -> DataFrame:
-    block = 100_000
-    blocks = df.withColumn("_block", F.explode(F.expr(f"sequence(0L, ({COPIES} - 1) div {block})")))
-    low = F.col("_block") * block
-    spread = blocks.repartition(parts, "seq_id", "_block")
-    copy = F.explode(F.sequence(low + 1, F.least(low + block, F.col(COPIES))))
-    return spread.withColumn("_copy", copy).drop("_copy", "_block", COPIES)
-
-
 def join_aux(main: DataFrame, aux: DataFrame, by: Sequence[str] = (), layout: Layout = Layout()) -> DataFrame:
     """Left join on test and ``seq_id``; a record with several channels yields several rows."""
     keys = [*by, CHUNK, "seq_id"]
@@ -56,10 +49,10 @@ def join_aux(main: DataFrame, aux: DataFrame, by: Sequence[str] = (), layout: La
     counts = landed(chunk_counts(main, by).unionByName(chunk_counts(aux, by)), "chunk-counts")
     hot = hot_chunks(counts, by, layout)
     (cold_main, hot_main), (cold_aux, hot_aux) = split_hot(main, hot, by), split_hot(aux, hot, by)
-    hot_joined = None if hot is None else _expand(_hot_join(hot_main, hot_aux, keys))
+    hot_joined = None if hot is None else expand_copies(_hot_join(hot_main, hot_aux, keys))
     joined = Parts(cold_main.join(cold_aux, keys, "left"), hot_joined).whole()
     extra = [c for c in joined.columns if c not in columns]
-    return joined.select(*(F.col(f"`{c}`") for c in [*columns, *extra]))
+    return joined.select(*map(quoted, [*columns, *extra]))
 
 
 def join_aux_with_steps(
@@ -76,30 +69,30 @@ def join_aux_with_steps(
     main, aux = with_chunk(main, layout), with_chunk(_right_names(main, aux, keys), layout)
 
     # one narrow pass over each side: what chunks contribute, and which are too large
-    sides = summarise(main, place).withColumn("_side", F.lit("main"))
-    sides = sides.unionByName(chunk_counts(aux, by).withColumn("_side", F.lit("aux")), allowMissingColumns=True)
+    sides = summarise(main, place).selectExpr("*", "'main' AS _side")
+    sides = sides.unionByName(chunk_counts(aux, by).selectExpr("*", "'aux' AS _side"), allowMissingColumns=True)
     sides = landed(sides, "chunk-summary")
     hot = hot_chunks(sides, by, layout)
     (cold_main, hot_main), (cold_aux, hot_aux) = split_hot(main, hot, by), split_hot(aux, hot, by)
-    summary, _ = split_hot(sides.where(F.col("_side") == "main"), hot, by)
+    summary, _ = split_hot(sides.where("_side = 'main'"), hot, by)
     laid_main, laid_aux = cold_main.repartition(*place), cold_aux.repartition(*place)
 
     if scope == "record":
         steps = number_steps(laid_main, summary, hot_main, by, partitioned=True)
         joined = steps.cold.join(laid_aux, keys, "left")
-        return Parts(joined, None if hot is None else _expand(_hot_join(steps.hot, hot_aux, keys))).whole()
+        return Parts(joined, None if hot is None else expand_copies(_hot_join(steps.hot, hot_aux, keys))).whole()
 
     # Joining repeats a record per channel and counts its step start as often. Only step starts
     # need joining to know how often, so this pass over narrow columns does not join everything.
-    started = cold_main.where(is_start()).join(cold_aux.select(*keys), keys, "left")
-    zeros = started.groupBy(*place).agg(F.count(F.lit(1)).alias("_zeros"))
+    started = cold_main.where(IS_START).join(cold_aux.select(*keys), keys, "left")
+    zeros = started.groupBy(*place).agg(F.expr("count(*) AS _zeros"))
     summary = (
         summary.drop("_zeros")
         .unionByName(zeros, allowMissingColumns=True)
         .groupBy(*place)
         .agg(
-            F.coalesce(F.sum("_zeros"), F.lit(0).cast("bigint")).alias("_zeros"),
-            *(F.max(c).alias(c) for c in ("_start", "_first", "_t0")),
+            F.expr("coalesce(sum(_zeros), 0L) AS _zeros"),
+            *(F.expr(f"max({c}) AS {c}") for c in ("_start", "_first", "_t0")),
         )
     )
     joined = laid_main.join(laid_aux, keys, "left")

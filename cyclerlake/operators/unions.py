@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cyclerlake.functions.predicates import column_list, named, pick
+from cyclerlake.functions.predicates import column_list, pick, quoted
 
 
 def select_union(
@@ -48,7 +48,7 @@ def union_all_columns(frames: Sequence[DataFrame]) -> DataFrame:
         mixed = {f.name for f in frame.schema if f.name in text and not isinstance(f.dataType, T.StringType)}
         if not mixed:
             return frame
-        return frame.withColumns({name: named(name).cast("string") for name in mixed})
+        return frame.withColumns({name: F.col(quoted(name)).cast("string") for name in mixed})
 
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), map(as_text, frames))
 

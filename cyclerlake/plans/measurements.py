@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cyclerlake.functions.conversions import required_columns, transform_aux, transform_main
-from cyclerlake.functions.predicates import named
+from cyclerlake.functions.predicates import quoted
 from cyclerlake.functions.vocabulary import LABELS, TERMS, convert
 from cyclerlake.operators.chunks import Layout
 from cyclerlake.operators.features import add_step_features
@@ -153,7 +153,7 @@ class Cycler:
             if "test_tmp" in columns:
                 # as for a single test: without an auxiliary table there is no temperature
                 main = main.withColumn("test_tmp", F.when(F.col("has_aux"), F.col("test_tmp")))
-            mains.append(main.select(*(named(c) for c in main.columns if c in _KEPT)))
+            mains.append(main.select(*(c for c in main.columns if c in _KEPT)))
             aux = fleet_records(self.tables, self.version, routes, device, "aux", asked_aux, where)
             if aux is not None:
                 auxes.append(transform_aux(aux, self.version, device).drop("has_aux"))
@@ -179,7 +179,7 @@ def _with_steps(
 
 def _published(df: DataFrame, leading: Sequence[str]) -> DataFrame:
     renamed = convert(df, "bts", "label")
-    return renamed.select(*map(named, [*leading, *LABELS]))
+    return renamed.select(*map(quoted, [*leading, *LABELS]))
 
 
 def connect(tables: Tables) -> Cycler:

@@ -12,9 +12,11 @@ from typing import Any, NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cyclerlake.functions.predicates import column_list, named, pick
+from cyclerlake.functions.predicates import column_list, pick, quoted
 from cyclerlake.operators.unions import select_union
+from cyclerlake.session import landed
 from cyclerlake.sources.catalogue import IDENTITY
 from cyclerlake.sources.schemas import impose, record_schema
 from cyclerlake.sources.tables import Tables
@@ -105,11 +107,12 @@ def plan_routes(tests: DataFrame) -> FleetRoutes:
     """
     absent = {name: F.lit(None).cast("string") for name in TABLE_NAMES if name not in tests.columns}
     tests = tests.withColumns(absent) if absent else tests
+    # landed: all parts of the plan see one state of the catalogue, and it is read once
     tests = tests.select(*IDENTITY, *TABLE_NAMES).distinct()
+    tests = landed(tests.withColumns(_route_columns()).drop(*TABLE_NAMES), "tests")
     repeated = tests.groupBy(*IDENTITY).count().where("count > 1").limit(1).collect()
     if repeated:
         raise ValueError(f"tests must be unique by {IDENTITY}; repeated: {repeated[0].asDict()}")
-    tests = tests.withColumns(_route_columns()).drop(*TABLE_NAMES)
 
     shared: dict[tuple[str, str, str], int] = {}
     owned: dict[tuple[str, str, str], list[Test]] = {}
@@ -132,27 +135,23 @@ def tag_shared(records: DataFrame, tests: DataFrame, count: int) -> DataFrame:
     A short list of tests is broadcast. A longer one is joined by shuffle with salted keys, as
     one test may hold a large share of all records.
     """
-    keys = {key: f"_test_{key}" for key in RECORD_KEYS}
-    side = tests.withColumnsRenamed(keys)
-    match = [F.col(record) == F.col(test) for record, test in keys.items()]
     if count <= BROADCAST_TESTS:
-        joined = records.join(F.broadcast(side), match, "inner")
-    else:
-        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-        content = F.pmod(F.xxhash64(*(named(c) for c in records.columns)), F.lit(SALTS)).cast("int")
-        salted = side.withColumn("_test_salt", salts)
-        joined = records.withColumn("_salt", content).join(salted, [*match, F.col("_salt") == F.col("_test_salt")])
-        joined = joined.drop("_salt", "_test_salt")
-    return joined.drop(*RECORD_KEYS).withColumnsRenamed({test: record for record, test in keys.items()})
+        return records.join(F.broadcast(tests), RECORD_KEYS, "inner")
+    content = ", ".join(map(quoted, records.columns))
+    salted = records.withColumn("_salt", F.expr(f"CAST(pmod(xxhash64({content}), {SALTS}) AS int)"))
+    every = tests.withColumn("_salt", F.expr(f"explode(sequence(0, {SALTS - 1}))"))
+    return salted.join(every, [*RECORD_KEYS, "_salt"], "inner").drop("_salt")
 
 
-def tag_owned(records: DataFrame, owners: Sequence[Test], extra: Sequence[str] = ()) -> DataFrame:
-    """Put the identity of the owning test on all records of a table."""
-    names = [*IDENTITY, *extra]
-    structs = [F.struct(*(F.lit(test[name]).alias(name) for name in names)) for test in owners]
-    owner = structs[0] if len(structs) == 1 else F.explode(F.array(*structs))
-    plain = records.drop(*names).withColumn("_owner", owner)
-    return plain.select("*", *(F.col(f"_owner.{name}").alias(name) for name in names)).drop("_owner")
+def tag_owned(records: DataFrame, owners: Sequence[Test], types: T.StructType) -> DataFrame:
+    """Put the identity of the owning test (the columns of ``types``) on all records of a table."""
+    names = types.fieldNames()
+    plain = [quoted(c) for c in records.columns if c not in names]
+    literals = [[F.lit(test[f.name]).cast(f.dataType).alias(f.name) for f in types] for test in owners]
+    if len(owners) == 1:
+        return records.select(*plain, *literals[0])
+    owned = records.select(*plain, F.explode(F.array(*(F.struct(*values) for values in literals))).alias("_owner"))
+    return owned.select(*plain, "_owner.*")
 
 
 def fleet_records(
@@ -169,24 +168,21 @@ def fleet_records(
     # shared tables are filtered by the tests' identity, which replaces the caller's
     where_shared = {k: v for k, v in (where or {}).items() if k not in RECORD_KEYS}
     wanted = [c for c in columns if c not in IDENTITY]
-    extra = ["has_aux"]
-    tests = (
-        routes.tests.where(F.col("device") == device)
-        .withColumn("has_aux", F.col("aux_shared").isNotNull())
-        .select(*IDENTITY, "has_aux", f"{kind}_shared")
-    )
+    tests = routes.tests.selectExpr("*", "aux_shared IS NOT NULL AS has_aux")
+    carried = [*IDENTITY, "has_aux"]
+    types = tests.select(*carried).schema
     parts = []
     for (dev, which, table), count in sorted(routes.shared.items()):
         if (dev, which) == (device, kind):
             records = pick(tables.frame(table), [*RECORD_KEYS, *wanted], where_shared)
-            named_here = tests.where(F.col(f"{kind}_shared") == table).select(*IDENTITY, *extra)
+            here = (F.col("device") == device) & (F.col(f"{kind}_shared") == table)
+            named_here = tests.where(here).select(*carried)
             parts.append(tag_shared(impose(records, schema), named_here, count))
     for (dev, which, table), owners in sorted(routes.owned.items()):
         if (dev, which) == (device, kind):
             records = pick(tables.frame(table), wanted, where)
             flagged = [{**owner, "has_aux": owner["aux_shared"] is not None} for owner in owners]
-            parts.append(tag_owned(impose(records, schema), flagged, extra))
+            parts.append(tag_owned(impose(records, schema), flagged, types))
     if not parts:
         return None
-    order = [*IDENTITY, *extra, *wanted]
-    return select_union(*parts, columns=order)
+    return select_union(*parts, columns=[*carried, *wanted])

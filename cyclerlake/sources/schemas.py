@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from cyclerlake.functions.conversions import combination
-from cyclerlake.functions.predicates import named
+from cyclerlake.functions.predicates import quoted
 
 # Column lists of the tester's record tables (L bigint, D double, T timestamp_ntz).
 MAIN_24 = """
@@ -66,14 +66,14 @@ def impose(df: DataFrame, schema: T.StructType, columns: Iterable[str] | None =
     """Cast the declared columns that are present; leave the others as they are."""
     only = None if columns is None else set(columns)
     declared = {f.name: f.dataType for f in schema if only is None or f.name in only}
-    return df.select(
-        *(
-            named(f.name).cast(declared[f.name]).alias(f.name)
-            if f.name in declared and declared[f.name] != f.dataType
-            else named(f.name)
-            for f in df.schema
-        )
-    )
+
+    def typed(field: T.StructField) -> str:
+        name = quoted(field.name)
+        if declared.get(field.name, field.dataType) == field.dataType:
+            return name
+        return f"CAST({name} AS {declared[field.name].simpleString()}) AS {name}"
+
+    return df.selectExpr(*map(typed, df.schema))
 
 
 def python_type(data_type: T.DataType) -> type:
