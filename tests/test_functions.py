@@ -1,0 +1,190 @@
+import math
+import warnings
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from cyclerlake.functions import conversions, predicates, vocabulary
+
+
+@pytest.fixture(scope="module")
+def numbers(spark):
+    return spark.createDataFrame([(1,), (2,), (None,)], "v int")
+
+
+@pytest.mark.parametrize(
+    ("want", "kept"),
+    [
+        ((1, 2), [1, 2]),
+        ((2, None), [2]),
+        ((None, 1), [1]),
+        ([1], [1]),
+        ([1, None], [1]),
+        ([], []),
+        (2, [2]),
+        (None, [None]),
+        ((5, 9), []),
+    ],
+)
+def test_predicate(numbers, want, kept):
+    assert [r.v for r in predicates.pick(numbers, where={"v": want}).collect()] == kept
+
+
+@pytest.mark.parametrize("want", [(None, None), (1,), (1, 2, 3)])
+def test_bad_range(want):
+    with pytest.raises(ValueError, match="range"):
+        predicates.condition({"v": want})
+
+
+def test_no_filter(numbers):
+    assert predicates.pick(numbers, where={}).count() == 3
+    assert predicates.pick(numbers, where=None).count() == 3
+
+
+def test_projection_order_and_hidden_filter_column(spark):
+    df = spark.createDataFrame([(1, 2, 3), (4, 5, 6)], "a int, b int, c int")
+    got = predicates.pick(df, ["c", "a"], {"b": 5})
+    assert got.columns == ["c", "a"]
+    assert [tuple(r) for r in got.collect()] == [(6, 4)]
+    assert predicates.pick(df, "b").columns == ["b"]
+
+
+def test_unknown_column(numbers):
+    with pytest.raises(Exception, match="nope"):
+        predicates.pick(numbers, where={"nope": 1})
+
+
+def test_odd_column_names(spark):
+    df = spark.createDataFrame([(1, 2)], "`Step ID / 1` int, `a.b` int")
+    got = predicates.pick(df, ["a.b", "Step ID / 1"], {"a.b": 2, "Step ID / 1": (0, None)})
+    assert got.columns == ["a.b", "Step ID / 1"]
+    assert got.count() == 1
+
+
+# raw range, its magnitude, counts per milliampere
+RANGES = [
+    (None, 0, 1e8),
+    (math.nan, 0, 10),
+    (0.0, 0, 1e8),
+    (5.0, 5, 1e4),
+    (50.0, 50, 1e3),
+    (500.0, 500, 100),
+    (5000.0, 5000, 10),
+    (-0.005, 0.005, 1e8),
+    (-0.05, 0.05, 1e7),
+    (-0.5, 0.5, 1e6),
+    (-5.0, 5, 1e5),
+    (-50.0, 50, 1e4),
+    (-500.0, 500, 1e3),
+    (-5e4, 5e4, 100),
+    (-2e6, -1, 1e8),
+    (2e6, 0, 10),
+    (-2e9, 0, 1e8),
+    (999999.5, 0, 10),
+    (-999999.5, 0, 1e8),
+]
+
+
+def test_current_ranges(spark):
+    df = spark.createDataFrame([(i, r) for i, (r, _, _) in enumerate(RANGES)], "i int, cur_step_range double")
+    got = conversions.transform_main(df, "0800", 240001).orderBy("i").collect()
+    assert [(r.d_cur_step_range, r.scale_cur) for r in got] == [(d, s) for _, d, s in RANGES]
+
+
+def test_integral_factors(spark):
+    rows = [(i, f, 3600) for i, f in enumerate([0, 1, 2, 3, None])]
+    df = spark.createDataFrame(rows, "i int, factor_capchg long, test_capchg long").withColumn(
+        "cur_step_range", F.lit(5.0)
+    )
+    got = conversions.transform_main(df, "0760", 240001).orderBy("i").collect()
+    assert [r.scale_capchg for r in got] == [1e4 * 1e3 * 3600, 1e4, 1e4 * 1e3, None, None]
+    assert [r.test_capchg for r in got] == [3600 / 3.6e10, 0.36, 3600 / 1e7, None, None]
+
+
+def test_step_names(spark):
+    df = spark.createDataFrame([(c,) for c in [1, 2, 4, 5, 6, 7, 8, 9, 10, 20, 3, None]], "step_type long")
+    got = [r[0] for r in conversions.transform_main(df, "0800", 260001).collect()]
+    assert got[:10] == list(conversions.STEP_TYPES.values())
+    assert got[10:] == ["Unknown", "Unknown"]
+
+
+@pytest.mark.parametrize("name", ["UTC", "Europe/Oslo", "America/New_York"])
+def test_epoch_is_zone_free(spark, zone, name):
+    zone(name)
+    texts = ["1969-12-31 23:59:59.5", "2024-01-01 00:00:00.9", "2024-03-31 02:30:00", "1970-01-01 00:00:00"]
+    values = ", ".join(f"(TIMESTAMP_NTZ'{t}')" for t in texts)
+    df = spark.sql(f"SELECT * FROM VALUES {values} AS t(test_atime)")
+    got = [r.unix_time for r in conversions.transform_main(df, "0800", 260001).collect()]
+    assert got == [-1, 1704067200, 1711852200, 0]
+
+
+def test_missing_range_leaves_raw_current(spark):
+    df = spark.createDataFrame([(500, 30000)], "test_cur long, test_vol long")
+    with pytest.warns(UserWarning, match="test_cur stays in raw counts"):
+        got = conversions.transform_main(df, "0800", 240001).first()
+    assert (got.test_cur, got.test_vol, got.test_pow) == (500, 3.0, 1500.0)
+    with pytest.raises(ValueError, match="raw counts"):
+        conversions.transform_main(df, "0800", 240001, strict=True)
+
+
+def test_absent_columns_are_no_warning(spark):
+    df = spark.createDataFrame([(1000,)], "test_time long")
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        assert conversions.transform_main(df, "0800", 240001).first().test_time == 1.0
+
+
+def test_unknown_combination(spark):
+    df = spark.createDataFrame([(1000,)], "test_time long")
+    for version, device in [("0760", 260001), ("0900", 240001)]:
+        with pytest.raises(ValueError, match="unsupported"):
+            conversions.transform_main(df, version, device)
+        with pytest.raises(ValueError, match="unsupported"):
+            conversions.transform_aux(df.withColumnRenamed("test_time", "test_tmp"), version, device)
+
+
+def test_aux_needs_temperature(spark):
+    with pytest.raises(ValueError, match="test_tmp"):
+        conversions.transform_aux(spark.createDataFrame([(1,)], "seq_id long"), "0800", 240001)
+
+
+def test_required_columns():
+    needed = conversions.required_columns
+    assert needed(["test_vol"], "0800", 240001) == ["test_vol"]
+    assert needed(["test_cur"], "0800", 240001) == ["cur_step_range", "test_cur"]
+    assert needed(["test_cur"], "0800", 260001) == ["test_cur"]
+    assert needed(["step_count", "unix_time"], "0800", 260001) == ["seq_id", "test_atime", "test_time"]
+    assert needed(["test_totaltime"], "0800", 260001) == ["seq_id", "test_atime"]
+
+
+def test_sequential_rules(spark):
+    row = (2000, 35000.0, 500.0, 123, 3600.0, 1800.0, datetime(2024, 1, 1), 1)
+    names = "test_time long, test_vol double, test_cur double, test_tmp long, test_capchg double, test_capdchg double"
+    df = spark.createDataFrame([row], names + ", test_atime timestamp_ntz, step_type long")
+    got = conversions.transform_main(df, "0800", 260001).first()
+    assert (got.test_time, got.test_vol, got.test_cur, got.test_tmp) == (2.0, 3.5, 0.5, 12.3)
+    assert got.test_pow == 3.5 * 0.5
+    assert got.test_cap == 3600 / 3600 / 1e3 - 1800 / 3600 / 1e3
+    assert got.unix_time == 1704067200
+
+
+def test_vocabulary_round_trip(spark):
+    names = [t.bts for t in vocabulary.TERMS]
+    df = spark.createDataFrame([tuple(range(len(names)))], names).withColumn("other", F.lit(1))
+    for a in vocabulary.NAMINGS:
+        for b in vocabulary.NAMINGS:
+            start = vocabulary.convert(df, "bts", a)
+            there = vocabulary.convert(start, a, b)
+            assert there.columns == [*(getattr(t, b) for t in vocabulary.TERMS), "other"]
+            assert vocabulary.convert(there, b, a).columns == start.columns
+
+
+def test_vocabulary_errors(spark):
+    df = spark.createDataFrame([(1, 2)], "cycle int, cycle_count int")
+    with pytest.raises(ValueError, match="unknown naming"):
+        vocabulary.convert(df, "bts", "nope")
+    with pytest.raises(ValueError, match="unknown naming"):
+        vocabulary.convert(df, "nope", "nope")
+    with pytest.raises(ValueError, match="duplicate"):
+        vocabulary.convert(df, "bts", "code")
