@@ -42,11 +42,17 @@ POSITIVE_RANGES = [(10, 1e4), (100, 1e3), (1000, 1e2), (None, 1e1)]
 SIGNED_RANGES = [(0.01, 1e8), (0.1, 1e7), (1, 1e6), (10, 1e5), (100, 1e4), (1000, 1e3), (None, 1e2)]
 
 
+# seconds from 0001-01-01 to 1970-01-01
+FAR_TO_EPOCH = 62135596800
+
+
 def epoch_seconds(ts: str) -> str:
-    """Whole seconds since 1970, floored, reading the clock time as UTC in any session zone."""
-    clock = f"CAST({ts} AS timestamp_ntz)"
-    day = f"CAST(datediff(CAST({clock} AS date), DATE'1970-01-01') AS bigint)"
-    return f"{day} * 86400 + hour({clock}) * 3600 + minute({clock}) * 60 + second({clock})"
+    """Whole seconds since 1970, floored, reading the clock time as UTC in any session zone.
+
+    Counting from a far past date keeps the interval positive, where truncation is floor.
+    """
+    since = f"CAST({ts} AS timestamp_ntz) - TIMESTAMP_NTZ'0001-01-01 00:00:00'"
+    return f"CAST(CAST({since} AS INTERVAL SECOND) AS bigint) - {FAR_TO_EPOCH}L"
 
 
 def step_name(code: str) -> str:

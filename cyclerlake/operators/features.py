@@ -33,7 +33,9 @@ from cyclerlake.session import landed
 
 PART = ["_part_seq", "_part_channel", "_part_tie"]
 TIE_PARTS = 1024
+# what records contribute to later ones, and what a chunk starts from
 CARRY = ["_zeros", "_start", "_first", "_t0"]
+RUNNING = ["_zeros", "_start", "_t0"]
 IS_START = "coalesce(test_time = 0, false)"
 
 
@@ -41,10 +43,11 @@ def _weight(df: DataFrame) -> str:
     return COPIES if COPIES in df.columns else "1L"
 
 
-def summarise(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def summarise(df: DataFrame, keys: Sequence[str], total_time: bool = True) -> DataFrame:
     """What a set of records contributes to the records after it."""
     weight = _weight(df)
-    seconds = "unix_time" if "unix_time" in df.columns else "CAST(NULL AS bigint)"
+    # the clock is a wide column to read, so only when elapsed time is asked for
+    seconds = "unix_time" if total_time and "unix_time" in df.columns else "CAST(NULL AS bigint)"
     return df.groupBy(*keys).agg(
         F.expr(f"sum({weight}) AS _rows"),
         F.expr(f"sum(CASE WHEN {IS_START} THEN {weight} ELSE 0L END) AS _zeros"),
@@ -61,7 +64,7 @@ def _over(by: Sequence[str], order: Sequence[str] = (), frame: str = "") -> str:
 
 
 def _chunk_starts(summary: DataFrame, by: Sequence[str], carry: DataFrame | None) -> DataFrame:
-    """Per chunk: zeros before it, last step start before it, first id and second of the test.
+    """Per chunk: step starts before it, where its first step began, first second of the test.
 
     ``carry`` holds one row per test with the same columns from records seen earlier.
     """
@@ -76,12 +79,12 @@ def _chunk_starts(summary: DataFrame, by: Sequence[str], carry: DataFrame | None
         CHUNK,
         *PART,
         f"coalesce(sum(_zeros) {before}, 0L) AS _zeros",
-        f"max(_start) {before} AS _start",
-        f"min(_first) {test} AS _first",
+        # before the first start, the step begins with the test
+        f"coalesce(max(_start) {before}, min(_first) {test}) AS _start",
         f"min(_t0) {test} AS _t0",
         "_rank",
     )
-    return starts.where("_rank = 1").selectExpr(*by, CHUNK, *PART, *CARRY, "true AS _is_chunk_start")
+    return starts.where("_rank = 1").selectExpr(*by, CHUNK, *PART, *RUNNING, "true AS _is_chunk_start")
 
 
 def _orderable(data_type: T.DataType) -> bool:
@@ -96,7 +99,7 @@ def _record_order(df: DataFrame, by: Sequence[str]) -> list[str]:
 
 
 def _numbered(rows: DataFrame, starts: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Running values of every row, in the columns of ``CARRY``."""
+    """Running values of every row, in the columns of ``RUNNING``."""
     columns = [quoted(c) for c in rows.columns]
     marked = rows.unionByName(starts, allowMissingColumns=True)
     window = _over(
@@ -110,7 +113,6 @@ def _numbered(rows: DataFrame, starts: DataFrame, keys: list[str], order: list[s
         *columns,
         f"sum({zeros}) {window} AS _zeros",
         f"max({start}) {window} AS _start",
-        f"max(_first) {window} AS _first",
         f"max(_t0) {window} AS _t0",
         "_is_chunk_start",
     ).where("_is_chunk_start IS NULL")
@@ -123,9 +125,9 @@ def _spread_copies(numbered: DataFrame) -> DataFrame:
     return copies.selectExpr(*(f"{own} AS _zeros" if c == "_zeros" else quoted(c) for c in numbered.columns))
 
 
-def _finish(numbered: DataFrame, columns: Sequence[str]) -> DataFrame:
-    out = {"step_count": "_zeros", "step_index": "seq_id - coalesce(_start, _first) + 1"}
-    if "unix_time" in columns:
+def _finish(numbered: DataFrame, columns: Sequence[str], total_time: bool) -> DataFrame:
+    out = {"step_count": "_zeros", "step_index": "seq_id - _start + 1"}
+    if total_time and "unix_time" in columns:
         out["test_totaltime"] = "unix_time - _t0"
     kept = [quoted(c) for c in columns if c not in out]
     return numbered.selectExpr(*kept, *(f"{text} AS {name}" for name, text in out.items()))
@@ -158,6 +160,7 @@ def number_steps(
     by: Sequence[str],
     carry: DataFrame | None = None,
     partitioned: bool = False,
+    total_time: bool = True,
 ) -> Parts:
     """Step features of rows that carry a chunk key.
 
@@ -165,23 +168,24 @@ def number_steps(
     cold rows already lie by ``by`` and chunk and are not moved again.
     """
     columns = cold.columns
-    cold_keys = [*by, CHUNK]
+    cold_keys = [CHUNK, *reversed(by)]
     hot_keys = [*cold_keys, *PART]
     order = _record_order(cold, by)
     summary = cold_summary.selectExpr(*cold_keys, *CARRY, *(f"CAST(NULL AS bigint) AS {p}" for p in PART))
     if hot is not None:
         hot = _with_parts(hot)
-        summary = summary.unionByName(summarise(hot, hot_keys).select(*hot_keys, *CARRY))
+        summary = summary.unionByName(summarise(hot, hot_keys, total_time).select(*hot_keys, *CARRY))
         starts = landed(_chunk_starts(summary, by, carry), "chunk-starts")
         cold_starts, hot_starts = starts.where("_part_tie IS NULL"), starts.where("_part_tie IS NOT NULL")
-        hot_done = _finish(_spread_copies(_numbered(hot, hot_starts, hot_keys, order)), columns)
+        hot_numbered = _spread_copies(_numbered(hot, hot_starts, hot_keys, order))
+        hot_done = _finish(hot_numbered, columns, total_time)
     else:
         cold_starts, hot_done = _chunk_starts(summary, by, carry), None
 
     cold_starts = cold_starts.drop(*PART)
     if partitioned:
         cold_starts = cold_starts.repartition(*cold_keys)
-    return Parts(_finish(_numbered(cold, cold_starts, cold_keys, order), columns), hot_done)
+    return Parts(_finish(_numbered(cold, cold_starts, cold_keys, order), columns, total_time), hot_done)
 
 
 def _first_of_group(df: DataFrame, by: Sequence[str], column: str, name: str) -> DataFrame:
@@ -199,6 +203,7 @@ def add_step_features(
     by: Sequence[str] = (),
     layout: Layout = Layout(),
     carry: DataFrame | None = None,
+    total_time: bool = True,
 ) -> DataFrame:
     """Add the step features to converted records; ``by`` names the columns that identify a test.
 
@@ -210,16 +215,16 @@ def add_step_features(
         if "seq_id" not in present:
             raise ValueError("step_count follows the order of seq_id, which is missing")
         rows = with_chunk(df, layout)
-        summary = landed(summarise(rows, [*by, CHUNK]), "chunk-summary")
+        summary = landed(summarise(rows, [*by, CHUNK], total_time), "chunk-summary")
         cold, hot = split_hot(rows, hot_chunks(summary, by, layout), by)
         kept = summary.where(f"_rows <= {layout.hot_rows}")
-        return number_steps(cold, kept, hot, by, carry).whole()
+        return number_steps(cold, kept, hot, by, carry, total_time=total_time).whole()
 
     # without test_time there is no running count; the other two need a minimum per group only
     if "seq_id" in present and "step_count" in present:
         df = _first_of_group(df, [*by, "step_count"], "seq_id", "_first")
         df = df.withColumn("step_index", F.col("seq_id") - F.col("_first") + 1).drop("_first")
-    if "unix_time" in present:
+    if total_time and "unix_time" in present:
         df = _first_of_group(df, by, "unix_time", "_t0")
         df = df.withColumn("test_totaltime", F.col("unix_time") - F.col("_t0")).drop("_t0")
     return df

@@ -43,7 +43,7 @@ def _hot_join(main: DataFrame, aux: DataFrame, keys: Sequence[str]) -> DataFrame
 
 def join_aux(main: DataFrame, aux: DataFrame, by: Sequence[str] = (), layout: Layout = Layout()) -> DataFrame:
     """Left join on test and ``seq_id``; a record with several channels yields several rows."""
-    keys = [*by, CHUNK, "seq_id"]
+    keys = ["seq_id", CHUNK, *reversed(by)]
     columns = main.columns
     main, aux = with_chunk(main, layout), with_chunk(_right_names(main, aux, keys), layout)
     counts = landed(chunk_counts(main, by).unionByName(chunk_counts(aux, by)), "chunk-counts")
@@ -56,7 +56,12 @@ def join_aux(main: DataFrame, aux: DataFrame, by: Sequence[str] = (), layout: La
 
 
 def join_aux_with_steps(
-    main: DataFrame, aux: DataFrame, by: Sequence[str], layout: Layout = Layout(), scope: str = "row"
+    main: DataFrame,
+    aux: DataFrame,
+    by: Sequence[str],
+    layout: Layout = Layout(),
+    scope: str = "row",
+    total_time: bool = True,
 ) -> DataFrame:
     """Join the channels and number the steps.
 
@@ -64,12 +69,12 @@ def join_aux_with_steps(
     Both sides are laid out by test and chunk once; join and step window share that layout, so
     the full rows of either side are shuffled a single time (see ``session.tune``).
     """
-    keys = [*by, CHUNK, "seq_id"]
-    place = [*by, CHUNK]
+    keys = ["seq_id", CHUNK, *reversed(by)]
+    place = [CHUNK, *reversed(by)]
     main, aux = with_chunk(main, layout), with_chunk(_right_names(main, aux, keys), layout)
 
     # one narrow pass over each side: what chunks contribute, and which are too large
-    sides = summarise(main, place).selectExpr("*", "'main' AS _side")
+    sides = summarise(main, place, total_time).selectExpr("*", "'main' AS _side")
     sides = sides.unionByName(chunk_counts(aux, by).selectExpr("*", "'aux' AS _side"), allowMissingColumns=True)
     sides = landed(sides, "chunk-summary")
     hot = hot_chunks(sides, by, layout)
@@ -78,7 +83,7 @@ def join_aux_with_steps(
     laid_main, laid_aux = cold_main.repartition(*place), cold_aux.repartition(*place)
 
     if scope == "record":
-        steps = number_steps(laid_main, summary, hot_main, by, partitioned=True)
+        steps = number_steps(laid_main, summary, hot_main, by, partitioned=True, total_time=total_time)
         joined = steps.cold.join(laid_aux, keys, "left")
         return Parts(joined, None if hot is None else expand_copies(_hot_join(steps.hot, hot_aux, keys))).whole()
 
@@ -97,4 +102,5 @@ def join_aux_with_steps(
     )
     joined = laid_main.join(laid_aux, keys, "left")
     hot_joined = None if hot is None else _hot_join(hot_main, hot_aux, keys)
-    return number_steps(joined, summary, hot_joined, by, partitioned=True).whole()
+    steps = number_steps(joined, summary, hot_joined, by, partitioned=True, total_time=total_time)
+    return steps.whole()

@@ -171,10 +171,10 @@ def _with_steps(
     if step_scope not in STEP_SCOPES:
         raise ValueError(f"step_scope must be one of {STEP_SCOPES}, got {step_scope!r}")
     if aux is None:
-        return add_step_features(with_typed_nulls(main, NO_AUX), by, layout)
+        return add_step_features(with_typed_nulls(main, NO_AUX), by, layout, total_time=False)
     if "test_time" not in main.columns:
-        return join_aux(add_step_features(main, by, layout), aux, by, layout)
-    return join_aux_with_steps(main, aux, by, layout, step_scope)
+        return join_aux(add_step_features(main, by, layout, total_time=False), aux, by, layout)
+    return join_aux_with_steps(main, aux, by, layout, step_scope, total_time=False)
 
 
 def _published(df: DataFrame, leading: Sequence[str]) -> DataFrame:

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # a join may use a layout by a subset of its keys: join and step window share one shuffle
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # sort-merge joins become hash joins where measured partitions are small enough to be held
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # a union of equally laid out inputs keeps that layout
     "spark.sql.unionOutputPartitioning": "true",
 }
