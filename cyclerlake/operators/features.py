@@ -31,8 +31,9 @@ from cyclerlake.operators.chunks import (
 )
 from cyclerlake.session import landed
 
-PART = ["_part_seq", "_part_channel", "_part_tie"]
-TIE_PARTS = 1024
+PART = ["_part_seq", "_part_range", "_part_tie"]
+RANGES = 64
+TIES = 1024
 # what records contribute to later ones, and what a chunk starts from
 CARRY = ["_zeros", "_start", "_first", "_t0"]
 RUNNING = ["_zeros", "_start", "_t0"]
@@ -144,13 +145,36 @@ class Parts(NamedTuple):
         return both.drop(CHUNK)
 
 
-def _with_parts(hot: DataFrame) -> DataFrame:
-    """Copies collapsed, and keys that split a hot chunk in record order."""
-    hot = collapse_copies(hot)
+def _with_parts(hot: DataFrame, by: Sequence[str], layout: Layout) -> DataFrame:
+    """Keys that split hot chunks further, in record order.
+
+    A part is one ``seq_id``. An id that alone exceeds the limit is split by ranges of its
+    channels, and a channel that heads a range by a hash of the row: rows of one channel of one
+    id may be counted in any order.
+    """
     channel = "CAST(auxchl_id AS bigint)" if "auxchl_id" in hot.columns else "CAST(NULL AS bigint)"
     content = ", ".join(quoted(c) for c in hot.columns if c != COPIES)
-    parts = ["seq_id", channel, f"pmod(xxhash64({content}), {TIE_PARTS}L)"]
-    return hot.selectExpr("*", *(f"{text} AS {name}" for text, name in zip(parts, PART)))
+    keys = [CHUNK, *by, "seq_id"]
+    shares = ", ".join(str(i / RANGES) for i in range(1, RANGES))
+    heavy = hot.groupBy(*keys).agg(
+        F.expr(f"sum({COPIES}) AS _id_rows"),
+        F.expr(f"approx_percentile({channel}, array({shares})) AS _bounds"),
+    )
+    heavy = landed(heavy.where(f"_id_rows > {layout.hot_rows}"), "heavy-ids")
+    # every entry stands for more than hot_rows rows, like the list of hot chunks
+    listed = F.broadcast(heavy.selectExpr(*(f"{k} AS _heavy_{k}" for k in keys), "_bounds", "true AS _is_heavy"))
+    match = F.expr(" AND ".join(f"{k} <=> _heavy_{k}" for k in keys))
+    lone = f"({channel} IS NULL OR array_contains(_bounds, {channel}))"
+    below = f"2L * size(filter(_bounds, b -> b < {channel}))"
+    parts = [
+        "seq_id",
+        f"CASE WHEN _is_heavy AND {channel} IS NULL THEN -1L WHEN _is_heavy THEN {below}"
+        f" + CASE WHEN {lone} THEN 1L ELSE 0L END ELSE 0L END",
+        f"CASE WHEN _is_heavy AND {lone} THEN pmod(xxhash64({content}), {TIES}L) ELSE 0L END",
+    ]
+    rows = [quoted(c) for c in hot.columns]
+    split = hot.join(listed, match, "left")
+    return split.selectExpr(*rows, *(f"{text} AS {name}" for text, name in zip(parts, PART)))
 
 
 def number_steps(
@@ -158,6 +182,7 @@ def number_steps(
     cold_summary: DataFrame,
     hot: DataFrame | None,
     by: Sequence[str],
+    layout: Layout,
     carry: DataFrame | None = None,
     partitioned: bool = False,
     total_time: bool = True,
@@ -173,7 +198,8 @@ def number_steps(
     order = _record_order(cold, by)
     summary = cold_summary.selectExpr(*cold_keys, *CARRY, *(f"CAST(NULL AS bigint) AS {p}" for p in PART))
     if hot is not None:
-        hot = _with_parts(hot)
+        # landed: it is read three times below and may come out of a join
+        hot = _with_parts(landed(collapse_copies(hot), "hot-rows"), by, layout)
         summary = summary.unionByName(summarise(hot, hot_keys, total_time).select(*hot_keys, *CARRY))
         starts = landed(_chunk_starts(summary, by, carry), "chunk-starts")
         cold_starts, hot_starts = starts.where("_part_tie IS NULL"), starts.where("_part_tie IS NOT NULL")
@@ -218,7 +244,7 @@ def add_step_features(
         summary = landed(summarise(rows, [*by, CHUNK], total_time), "chunk-summary")
         cold, hot = split_hot(rows, hot_chunks(summary, by, layout), by)
         kept = summary.where(f"_rows <= {layout.hot_rows}")
-        return number_steps(cold, kept, hot, by, carry, total_time=total_time).whole()
+        return number_steps(cold, kept, hot, by, layout, carry, total_time=total_time).whole()
 
     # without test_time there is no running count; the other two need a minimum per group only
     if "seq_id" in present and "step_count" in present:

@@ -83,7 +83,7 @@ def join_aux_with_steps(
     laid_main, laid_aux = cold_main.repartition(*place), cold_aux.repartition(*place)
 
     if scope == "record":
-        steps = number_steps(laid_main, summary, hot_main, by, partitioned=True, total_time=total_time)
+        steps = number_steps(laid_main, summary, hot_main, by, layout, partitioned=True, total_time=total_time)
         joined = steps.cold.join(laid_aux, keys, "left")
         return Parts(joined, None if hot is None else expand_copies(_hot_join(steps.hot, hot_aux, keys))).whole()
 
@@ -102,5 +102,5 @@ def join_aux_with_steps(
     )
     joined = laid_main.join(laid_aux, keys, "left")
     hot_joined = None if hot is None else _hot_join(hot_main, hot_aux, keys)
-    steps = number_steps(joined, summary, hot_joined, by, partitioned=True, total_time=total_time)
+    steps = number_steps(joined, summary, hot_joined, by, layout, partitioned=True, total_time=total_time)
     return steps.whole()

@@ -65,6 +65,14 @@ def test_many_copies_of_a_step_start(spark):
     assert got == numbered(rows)
 
 
+def test_heavy_id_is_split_by_channel_and_content(spark):
+    rng = random.Random(5)
+    rows = [(0, 1, rng.randint(1, 400), 0, 5) for _ in range(900)]
+    rows += [(0, 1, 7, 0, 5)] * 300 + [(0, 1, None, 0, 5)] * 40 + [(0, 2, 1, 3, 6), (0, 9, 1, 0, 8)]
+    got = result(add_step_features(spark.createDataFrame(rows, SCHEMA), ["test"], Layout(4, 20)))
+    assert got == numbered(rows)
+
+
 def test_ties_count_by_row_not_by_peer(spark):
     df = spark.createDataFrame([(1, 0), (1, 0), (2, 1)], "seq_id long, test_time long")
     assert sorted(r.step_count for r in add_step_features(df).collect()) == [1, 2, 2]
