@@ -1,0 +1,78 @@
+import pandas as pd
+import pytest
+from pyspark.errors import StreamingQueryException
+
+import cyclerlake as cl
+from cyclerlake.operators.chunks import Layout
+from cyclerlake.operators.features import add_step_features
+from cyclerlake.streaming.chunked import map_chunks
+from cyclerlake.streaming.sinks import write_stream
+from cyclerlake.streaming.steps import read_steps, step_batch, stream_steps
+
+SCHEMA = "test long, seq_id long, test_time long, unix_time long"
+ROWS = [(t, s, s % 7 if t else 3, 100 + s) for t in (0, 1, 2) for s in range(1, 60)]
+
+
+def landed_parts(spark, tmp_path, parts):
+    folder = str(tmp_path / "in")
+    for part in parts:
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+    return cl.FileTables(spark, {"in": folder}, files_per_batch=1).stream("in")
+
+
+def rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+@pytest.mark.parametrize("layout", [Layout(), Layout(chunk_records=5), Layout(chunk_records=5, hot_rows=3)])
+def test_stream_equals_batch(spark, tmp_path, layout):
+    parts = [[r for r in ROWS if low < r[1] <= low + 20] for low in (0, 20, 40)]
+    # a test that starts late and one that pauses
+    parts = [[r for r in part if not (i == 0 and r[0] == 2) and not (i == 1 and r[0] == 1)] for i, part in enumerate(parts)]
+    stream = landed_parts(spark, tmp_path, parts)
+    stream_steps(stream, ["test"], str(tmp_path / "out"), layout).awaitTermination()
+    kept = [r for part in parts for r in part]
+    expected = add_step_features(spark.createDataFrame(kept, SCHEMA), ["test"])
+    got = read_steps(spark, str(tmp_path / "out"))
+    assert rows(got.select(*expected.columns)) == rows(expected)
+
+
+def test_late_records_are_an_error(spark, tmp_path):
+    stream = landed_parts(spark, tmp_path, [[(1, 10, 0, 5)], [(1, 9, 0, 4)]])
+    with pytest.raises(StreamingQueryException, match="out of order"):
+        stream_steps(stream, ["test"], str(tmp_path / "out")).awaitTermination()
+
+
+def test_repeated_batch_changes_nothing(spark, tmp_path):
+    run = step_batch(["test"], str(tmp_path / "out"))
+    first, second = ([r for r in ROWS if (r[1] <= 30) == early] for early in (True, False))
+    run(spark.createDataFrame(first, SCHEMA), 0)
+    run(spark.createDataFrame(second, SCHEMA), 1)
+    once = rows(read_steps(spark, str(tmp_path / "out")))
+    run(spark.createDataFrame(second, SCHEMA), 1)
+    assert rows(read_steps(spark, str(tmp_path / "out"))) == once
+
+
+def test_stream_into_files(spark, tmp_path):
+    stream = landed_parts(spark, tmp_path, [ROWS[:50], ROWS[50:]])
+    write_stream(stream.where("test_time > 2"), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert rows(got) == sorted(r for r in ROWS if r[2] > 2)
+
+
+@pytest.mark.parametrize("chunksize", [1, 7, 1000])
+def test_chunks_are_bounded_and_complete(spark, chunksize):
+    def sizes(frame):
+        return pd.DataFrame({"n": [len(frame)], "total": [int(frame["id"].sum())]})
+
+    got = map_chunks(spark.range(0, 100, 1, 3), sizes, "n long, total long", chunksize).collect()
+    assert sum(r.n for r in got) == 100
+    assert sum(r.total for r in got) == sum(range(100))
+    assert max(r.n for r in got) <= chunksize
+    if chunksize == 7:
+        assert sum(r.n < 7 for r in got) <= 3
+
+
+def test_chunksize_must_be_positive(spark):
+    with pytest.raises(ValueError):
+        map_chunks(spark.range(1), lambda f: f, "id long", 0)
