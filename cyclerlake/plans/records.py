@@ -87,16 +87,14 @@ BROADCAST_TESTS = 100_000
 SALTS = 256
 
 
-def _route_columns() -> dict[str, Any]:
-    """Per test: the table filtered by identity and the table owned, for main and aux."""
-    aux1, aux2 = F.col("aux_first_table"), F.col("aux_second_table")
-    return {
-        "device": F.substring(F.col("dev_uid").cast("string"), 1, 2),
-        "main_shared": F.col("main_first_table"),
-        "main_owned": F.col("main_second_table"),
-        "aux_shared": F.coalesce(aux1, aux2),
-        "aux_owned": F.when(aux1.isNotNull(), aux2),
-    }
+# per test: the table filtered by identity and the table owned, for main and for aux records
+ROUTE_COLUMNS = [
+    "substring(CAST(dev_uid AS string), 1, 2) AS device",
+    "main_first_table AS main_shared",
+    "main_second_table AS main_owned",
+    "coalesce(aux_first_table, aux_second_table) AS aux_shared",
+    "CASE WHEN aux_first_table IS NOT NULL THEN aux_second_table END AS aux_owned",
+]
 
 
 def plan_routes(tests: DataFrame) -> FleetRoutes:
@@ -107,20 +105,29 @@ def plan_routes(tests: DataFrame) -> FleetRoutes:
     """
     absent = {name: F.lit(None).cast("string") for name in TABLE_NAMES if name not in tests.columns}
     tests = tests.withColumns(absent) if absent else tests
+    # equal rows are one test; _ways counts different ones of the same identity
+    routes = F.expr(f"collect_set(struct({', '.join(TABLE_NAMES)})) AS _routes")
+    tests = tests.groupBy(*IDENTITY).agg(routes).selectExpr(*IDENTITY, "_routes[0] AS _r", "size(_routes) AS _ways")
     # landed: all parts of the plan see one state of the catalogue, and it is read once
-    tests = tests.select(*IDENTITY, *TABLE_NAMES).distinct()
-    tests = landed(tests.withColumns(_route_columns()).drop(*TABLE_NAMES), "tests")
-    repeated = tests.groupBy(*IDENTITY).count().where("count > 1").limit(1).collect()
-    if repeated:
-        raise ValueError(f"tests must be unique by {IDENTITY}; repeated: {repeated[0].asDict()}")
+    tests = tests.select(*IDENTITY, "_r.*", "_ways").selectExpr(*IDENTITY, *ROUTE_COLUMNS, "_ways")
+    tests = landed(tests, "tests")
 
     shared: dict[tuple[str, str, str], int] = {}
     owned: dict[tuple[str, str, str], list[Test]] = {}
-    for row in tests.groupBy("device", "main_shared", "aux_shared").count().collect():
+    groups = tests.groupBy("device", "main_shared", "aux_shared").agg(
+        F.expr("count(*) AS tests"), F.expr("max(_ways) AS ways"), F.expr("count(main_owned) + count(aux_owned) AS own")
+    )
+    listed = groups.collect()
+    if any(row["ways"] > 1 for row in listed):
+        example = tests.where("_ways > 1").select(*IDENTITY).first()
+        raise ValueError(f"tests must be unique by {IDENTITY}; repeated: {example.asDict()}")
+    for row in listed:
         for kind in ("main", "aux"):
             if row[f"{kind}_shared"] is not None:
                 key = (row["device"], kind, row[f"{kind}_shared"])
-                shared[key] = shared.get(key, 0) + row["count"]
+                shared[key] = shared.get(key, 0) + row["tests"]
+    if not any(row["own"] for row in listed):
+        return FleetRoutes(tests, shared, owned)
     owners = tests.where("main_owned IS NOT NULL OR aux_owned IS NOT NULL")
     for row in owners.toLocalIterator():
         for kind in ("main", "aux"):
@@ -132,13 +139,12 @@ def plan_routes(tests: DataFrame) -> FleetRoutes:
 def tag_shared(records: DataFrame, tests: DataFrame, count: int) -> DataFrame:
     """Keep the records of the given tests and put the tests' identity on them.
 
-    A short list of tests is broadcast. A longer one is joined by shuffle with salted keys, as
-    one test may hold a large share of all records.
+    A short list of tests is broadcast. A longer one is joined by shuffle with the records of a
+    test spread over salts, as one test may hold a large share of all records.
     """
     if count <= BROADCAST_TESTS:
         return records.join(F.broadcast(tests), RECORD_KEYS, "inner")
-    content = ", ".join(map(quoted, records.columns))
-    salted = records.withColumn("_salt", F.expr(f"CAST(pmod(xxhash64({content}), {SALTS}) AS int)"))
+    salted = records.withColumn("_salt", F.expr(f"CAST(pmod(xxhash64(seq_id), {SALTS}) AS int)"))
     every = tests.withColumn("_salt", F.expr(f"explode(sequence(0, {SALTS - 1}))"))
     return salted.join(every, [*RECORD_KEYS, "_salt"], "inner").drop("_salt")
 
