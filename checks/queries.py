@@ -613,6 +613,26 @@ def get_data_fleet_hot(spark, sf_dir):
     return cl.connect(tables(spark, sf_dir)).get_fleet(layout=HOT)
 
 
+FLEET_RECORD_SQL = f"""
+SELECT m.*, x.auxchl_id, x.test_tmp FROM ({steps_sql(FLEET_MAIN_SQL, IDS, total=False)}) m
+LEFT JOIN ({FLEET_AUX_SQL}) x ON m.seq_id = x.seq_id AND m.unit_id = x.unit_id AND m.chl_id = x.chl_id AND m.test_id = x.test_id"""
+
+
+@check("get_data_fleet_record_scope", fleet_sql(FLEET_RECORD_SQL))
+def get_data_fleet_record_scope(spark, sf_dir):
+    return cl.connect(tables(spark, sf_dir)).get_fleet(step_scope="record", layout=FINE)
+
+
+WHOLE_RANGE_SQL = "(SELECT * REPLACE (CAST(trunc(cur_step_range) AS BIGINT) AS cur_step_range) FROM rec_all WHERE test_id = 0)"
+
+
+@check("get_data_0760", data_sql(select_24(f"{WHOLE_RANGE_SQL} w24", KEYED), aux_sql()))
+def get_data_0760(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    old = t.frame("db_ver").withColumn("version", F.lit("0760"))
+    return cl.connect(cl.FrameTables(spark, {**t.frames, "db_ver": old})).get_data(TEST_24, layout=FINE)
+
+
 FLEET_WHERE_SQL = steps_sql(
     joined_sql(FLEET_MAIN_SQL.replace("FROM rec_all r", "FROM (SELECT * FROM rec_all WHERE seq_id >= 500) r"),
                FLEET_AUX_SQL + " AND seq_id >= 500"),

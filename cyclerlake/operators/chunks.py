@@ -62,9 +62,9 @@ def split_hot(df: DataFrame, hot: DataFrame | None, by: Sequence[str]) -> tuple[
 
 def collapse_copies(df: DataFrame) -> DataFrame:
     """Equal rows become one row with a count, so that no number of copies is ever one task's load."""
-    columns = [quoted(c) for c in df.columns if c != COPIES]
-    copies = f"sum({COPIES})" if COPIES in df.columns else "count(*)"
-    return df.groupBy(*columns).agg(F.expr(f"CAST({copies} AS bigint) AS {COPIES}"))
+    if COPIES in df.columns:
+        return df
+    return df.groupBy(*map(quoted, df.columns)).agg(F.expr(f"count(*) AS {COPIES}"))
 
 
 def expand_copies(df: DataFrame, keep_number: str | None = None) -> DataFrame:

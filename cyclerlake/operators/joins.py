@@ -69,6 +69,7 @@ def join_aux_with_steps(
     Both sides are laid out by test and chunk once; join and step window share that layout, so
     the full rows of either side are shuffled a single time (see ``session.tune``).
     """
+    # the most selective key first: sorts then rarely compare further ones
     keys = ["seq_id", CHUNK, *reversed(by)]
     place = [CHUNK, *reversed(by)]
     main, aux = with_chunk(main, layout), with_chunk(_right_names(main, aux, keys), layout)

@@ -111,8 +111,9 @@ class Cycler:
         main = self.get_main_data(test, where, self._main_columns(dev_uid, main_columns, complete))
         aux = self.get_aux_data(test, where, AUX_COLUMNS if aux_columns is None else list(aux_columns))
         main = transform_main(main, self.version, dev_uid)
+        main = _slim(main, [])
         if aux is not None:
-            aux = transform_aux(aux, self.version, dev_uid)
+            aux = _slim(transform_aux(aux, self.version, dev_uid), [])
         return _published(_with_steps(main, aux, [], step_scope, layout), [])
 
     def get_fleet(
@@ -153,16 +154,18 @@ class Cycler:
             if "test_tmp" in columns:
                 # as for a single test: without an auxiliary table there is no temperature
                 main = main.withColumn("test_tmp", F.when(F.col("has_aux"), F.col("test_tmp")))
-            mains.append(main.select(*(c for c in main.columns if c in _KEPT)))
+            mains.append(_slim(main, IDENTITY))
             aux = fleet_records(self.tables, self.version, routes, device, "aux", asked_aux, where)
             if aux is not None:
-                auxes.append(transform_aux(aux, self.version, device).drop("has_aux"))
+                auxes.append(_slim(transform_aux(aux, self.version, device), IDENTITY))
         main = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), mains)
         aux = reduce(DataFrame.unionByName, auxes) if auxes else None
         return main, aux
 
 
-_KEPT = {*IDENTITY, *PUBLISHED}
+def _slim(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Nothing but published columns and keys is shuffled."""
+    return df.select(*(c for c in df.columns if c in PUBLISHED or c in by or c == "auxchl_id"))
 
 
 def _with_steps(
@@ -172,7 +175,9 @@ def _with_steps(
         raise ValueError(f"step_scope must be one of {STEP_SCOPES}, got {step_scope!r}")
     if aux is None:
         return add_step_features(with_typed_nulls(main, NO_AUX), by, layout, total_time=False)
-    if "test_time" not in main.columns:
+    if "test_time" in main.columns:
+        main = main.drop("step_count", "step_index")  # computed anew below
+    else:
         return join_aux(add_step_features(main, by, layout, total_time=False), aux, by, layout)
     return join_aux_with_steps(main, aux, by, layout, step_scope, total_time=False)
 
