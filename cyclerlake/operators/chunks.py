@@ -29,6 +29,7 @@ class Layout(NamedTuple):
 
     chunk_records: int = 200_000
     hot_rows: int = 10_000_000
+    task_rows: int = 2_000_000
 
 
 def with_chunk(df: DataFrame, layout: Layout) -> DataFrame:
@@ -40,10 +41,25 @@ def chunk_counts(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.groupBy(*by, CHUNK).agg(F.expr("count(*) AS _rows"))
 
 
-def hot_chunks(counts: DataFrame, by: Sequence[str], layout: Layout) -> DataFrame | None:
-    """The chunks above the limit, ``None`` if there are none. ``counts`` should be landed."""
-    hot = counts.where(F.col("_rows") > layout.hot_rows).select(*by, CHUNK).distinct()
-    return None if hot.isEmpty() else hot
+class Measured(NamedTuple):
+    """The hot chunks, if any, and the number of partitions, if the configured one is too small."""
+
+    hot: DataFrame | None
+    partitions: int | None
+
+    def lay_out(self, df: DataFrame, place: Sequence[str]) -> DataFrame:
+        return df.repartition(*place) if self.partitions is None else df.repartition(self.partitions, *place)
+
+
+def measure(counts: DataFrame, by: Sequence[str], layout: Layout) -> Measured:
+    """Look at landed row counts per chunk."""
+    rows, largest = counts.agg(F.expr("coalesce(sum(_rows), 0)"), F.expr("coalesce(max(_rows), 0)")).first()
+    hot = None
+    if largest > layout.hot_rows:
+        hot = counts.where(f"_rows > {layout.hot_rows}").select(*by, CHUNK).distinct()
+    needed = -(-rows // layout.task_rows)
+    configured = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return Measured(hot, needed if needed > configured else None)
 
 
 def split_hot(df: DataFrame, hot: DataFrame | None, by: Sequence[str]) -> tuple[DataFrame, DataFrame | None]:
@@ -67,7 +83,7 @@ def collapse_copies(df: DataFrame) -> DataFrame:
     return df.groupBy(*map(quoted, df.columns)).agg(F.expr(f"count(*) AS {COPIES}"))
 
 
-def expand_copies(df: DataFrame, keep_number: str | None = None) -> DataFrame:
+def expand_copies(df: DataFrame, keep_number: str | None = None, partitions: int | None = None) -> DataFrame:
     """Undo ``collapse_copies``, in blocks that spread over tasks.
 
     ``keep_number`` names a column for the running number (from 1) of each copy.
@@ -75,6 +91,6 @@ def expand_copies(df: DataFrame, keep_number: str | None = None) -> DataFrame:
     rows = [quoted(c) for c in df.columns]
     blocks = df.selectExpr(*rows, f"explode(sequence(0L, ({COPIES} - 1) div {BLOCK})) AS _block")
     low = f"_block * {BLOCK}"
-    spread = blocks.repartition("seq_id", "_block")
+    spread = Measured(None, partitions).lay_out(blocks, ["seq_id", "_block"])
     copies = spread.selectExpr(*rows, f"explode(sequence({low} + 1, least({low} + {BLOCK}, {COPIES}))) AS _copy")
     return copies.withColumnRenamed("_copy", keep_number) if keep_number else copies.drop("_copy", COPIES)

@@ -25,7 +25,8 @@ from cyclerlake.operators.chunks import (
     Layout,
     collapse_copies,
     expand_copies,
-    hot_chunks,
+    Measured,
+    measure,
     split_hot,
     with_chunk,
 )
@@ -119,9 +120,9 @@ def _numbered(rows: DataFrame, starts: DataFrame, keys: list[str], order: list[s
     ).where("_is_chunk_start IS NULL")
 
 
-def _spread_copies(numbered: DataFrame) -> DataFrame:
+def _spread_copies(numbered: DataFrame, partitions: int | None) -> DataFrame:
     """Give back the copies, each step start among them with its own number."""
-    copies = expand_copies(numbered, "_copy")
+    copies = expand_copies(numbered, "_copy", partitions)
     own = f"CASE WHEN {IS_START} THEN _zeros - {COPIES} + _copy ELSE _zeros END"
     return copies.selectExpr(*(f"{own} AS _zeros" if c == "_zeros" else quoted(c) for c in numbered.columns))
 
@@ -183,14 +184,15 @@ def number_steps(
     hot: DataFrame | None,
     by: Sequence[str],
     layout: Layout,
+    measured: Measured,
     carry: DataFrame | None = None,
-    partitioned: bool = False,
+    laid_out: bool = False,
     total_time: bool = True,
 ) -> Parts:
     """Step features of rows that carry a chunk key.
 
-    ``cold_summary`` holds ``summarise`` of the cold rows per chunk. With ``partitioned`` the
-    cold rows already lie by ``by`` and chunk and are not moved again.
+    ``cold_summary`` holds ``summarise`` of the cold rows per chunk. With ``laid_out`` the cold
+    rows already lie as ``measured`` says and are not moved again.
     """
     columns = cold.columns
     cold_keys = [CHUNK, *reversed(by)]
@@ -203,14 +205,16 @@ def number_steps(
         summary = summary.unionByName(summarise(hot, hot_keys, total_time).select(*hot_keys, *CARRY))
         starts = landed(_chunk_starts(summary, by, carry), "chunk-starts")
         cold_starts, hot_starts = starts.where("_part_tie IS NULL"), starts.where("_part_tie IS NOT NULL")
-        hot_numbered = _spread_copies(_numbered(hot, hot_starts, hot_keys, order))
+        hot_numbered = _spread_copies(_numbered(hot, hot_starts, hot_keys, order), measured.partitions)
         hot_done = _finish(hot_numbered, columns, total_time)
     else:
         cold_starts, hot_done = _chunk_starts(summary, by, carry), None
 
     cold_starts = cold_starts.drop(*PART)
-    if partitioned:
-        cold_starts = cold_starts.repartition(*cold_keys)
+    if not laid_out and measured.partitions is not None:
+        cold, laid_out = measured.lay_out(cold, cold_keys), True
+    if laid_out:
+        cold_starts = measured.lay_out(cold_starts, cold_keys)
     return Parts(_finish(_numbered(cold, cold_starts, cold_keys, order), columns, total_time), hot_done)
 
 
@@ -242,9 +246,10 @@ def add_step_features(
             raise ValueError("step_count follows the order of seq_id, which is missing")
         rows = with_chunk(df, layout)
         summary = landed(summarise(rows, [*by, CHUNK], total_time), "chunk-summary")
-        cold, hot = split_hot(rows, hot_chunks(summary, by, layout), by)
+        measured = measure(summary, by, layout)
+        cold, hot = split_hot(rows, measured.hot, by)
         kept = summary.where(f"_rows <= {layout.hot_rows}")
-        return number_steps(cold, kept, hot, by, layout, carry, total_time=total_time).whole()
+        return number_steps(cold, kept, hot, by, layout, measured, carry, total_time=total_time).whole()
 
     # without test_time there is no running count; the other two need a minimum per group only
     if "seq_id" in present and "step_count" in present:

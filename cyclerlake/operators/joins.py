@@ -15,7 +15,7 @@ from cyclerlake.operators.chunks import (
     chunk_counts,
     collapse_copies,
     expand_copies,
-    hot_chunks,
+    measure,
     split_hot,
     with_chunk,
 )
@@ -47,9 +47,15 @@ def join_aux(main: DataFrame, aux: DataFrame, by: Sequence[str] = (), layout: La
     columns = main.columns
     main, aux = with_chunk(main, layout), with_chunk(_right_names(main, aux, keys), layout)
     counts = landed(chunk_counts(main, by).unionByName(chunk_counts(aux, by)), "chunk-counts")
-    hot = hot_chunks(counts, by, layout)
+    measured = measure(counts, by, layout)
+    hot = measured.hot
     (cold_main, hot_main), (cold_aux, hot_aux) = split_hot(main, hot, by), split_hot(aux, hot, by)
-    hot_joined = None if hot is None else expand_copies(_hot_join(hot_main, hot_aux, keys))
+    place = [CHUNK, *reversed(by)]
+    if measured.partitions is not None:
+        cold_main, cold_aux = measured.lay_out(cold_main, place), measured.lay_out(cold_aux, place)
+    hot_joined = None
+    if hot is not None:
+        hot_joined = expand_copies(_hot_join(hot_main, hot_aux, keys), partitions=measured.partitions)
     joined = Parts(cold_main.join(cold_aux, keys, "left"), hot_joined).whole()
     extra = [c for c in joined.columns if c not in columns]
     return joined.select(*map(quoted, [*columns, *extra]))
@@ -78,19 +84,24 @@ def join_aux_with_steps(
     sides = summarise(main, place, total_time).selectExpr("*", "'main' AS _side")
     sides = sides.unionByName(chunk_counts(aux, by).selectExpr("*", "'aux' AS _side"), allowMissingColumns=True)
     sides = landed(sides, "chunk-summary")
-    hot = hot_chunks(sides, by, layout)
+    measured = measure(sides, by, layout)
+    hot = measured.hot
     (cold_main, hot_main), (cold_aux, hot_aux) = split_hot(main, hot, by), split_hot(aux, hot, by)
     summary, _ = split_hot(sides.where("_side = 'main'"), hot, by)
-    laid_main, laid_aux = cold_main.repartition(*place), cold_aux.repartition(*place)
+    laid_main, laid_aux = measured.lay_out(cold_main, place), measured.lay_out(cold_aux, place)
+    options = {"layout": layout, "measured": measured, "laid_out": True, "total_time": total_time}
 
     if scope == "record":
-        steps = number_steps(laid_main, summary, hot_main, by, layout, partitioned=True, total_time=total_time)
-        joined = steps.cold.join(laid_aux, keys, "left")
-        return Parts(joined, None if hot is None else expand_copies(_hot_join(steps.hot, hot_aux, keys))).whole()
+        steps = number_steps(laid_main, summary, hot_main, by, **options)
+        joined, hot_joined = steps.cold.join(laid_aux, keys, "left"), None
+        if hot is not None:
+            hot_joined = expand_copies(_hot_join(steps.hot, hot_aux, keys), partitions=measured.partitions)
+        return Parts(joined, hot_joined).whole()
 
     # Joining repeats a record per channel and counts its step start as often. Only step starts
     # need joining to know how often, so this pass over narrow columns does not join everything.
-    started = cold_main.where(IS_START).join(cold_aux.select(*keys), keys, "left")
+    starts = measured.lay_out(cold_main.where(IS_START).select(*keys), place)
+    started = starts.join(measured.lay_out(cold_aux.select(*keys), place), keys, "left")
     zeros = started.groupBy(*place).agg(F.expr("count(*) AS _zeros"))
     summary = (
         summary.drop("_zeros")
@@ -103,5 +114,4 @@ def join_aux_with_steps(
     )
     joined = laid_main.join(laid_aux, keys, "left")
     hot_joined = None if hot is None else _hot_join(hot_main, hot_aux, keys)
-    steps = number_steps(joined, summary, hot_joined, by, layout, partitioned=True, total_time=total_time)
-    return steps.whole()
+    return number_steps(joined, summary, hot_joined, by, **options).whole()

@@ -1,7 +1,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from cyclerlake.operators.chunks import Layout, collapse_copies, expand_copies
 from cyclerlake.operators.features import add_step_features
@@ -73,6 +72,14 @@ def test_heavy_id_is_split_by_channel_and_content(spark):
     assert got == numbered(rows)
 
 
+def test_partitions_grow_with_the_data(spark):
+    rows = series(8, (1, 2))
+    many = Layout(chunk_records=4, task_rows=10)
+    df = add_step_features(spark.createDataFrame(rows, SCHEMA), ["test"], many)
+    assert result(df) == numbered(rows)
+    assert f"_chunk" in plan_of(df) and f", {-(-len(rows) // 10)})" in plan_of(df)
+
+
 def test_ties_count_by_row_not_by_peer(spark):
     df = spark.createDataFrame([(1, 0), (1, 0), (2, 1)], "seq_id long, test_time long")
     assert sorted(r.step_count for r in add_step_features(df).collect()) == [1, 2, 2]
@@ -133,7 +140,7 @@ def test_fanout(spark, layout):
     assert [r.step_index for r in records] == [1, 1, 2, 2, 1, 1, 2, 2]
 
 
-@pytest.mark.parametrize("layout", [Layout(), HOT, Layout(chunk_records=4, hot_rows=0)])
+@pytest.mark.parametrize("layout", [Layout(), HOT, Layout(chunk_records=4, hot_rows=0), Layout(4, 3, 5)])
 def test_join_and_steps_against_plain_python(spark, layout):
     rng = random.Random(11)
     main = [r for r in series(4) for _ in range(rng.choice([1, 1, 3]))]
@@ -143,7 +150,9 @@ def test_join_and_steps_against_plain_python(spark, layout):
     for test, seq, _, time, second in main:
         matches = [a[2] for a in aux if a[:2] == (test, seq)] or [None]
         joined += [(test, seq, channel, time, second) for channel in matches]
-    left = spark.createDataFrame([(t, s, x, u) for t, s, _, x, u in main], "test int, seq_id long, test_time long, unix_time long")
+    left = spark.createDataFrame(
+        [(t, s, x, u) for t, s, _, x, u in main], "test int, seq_id long, test_time long, unix_time long"
+    )
     right = spark.createDataFrame(aux, "test int, seq_id long, auxchl_id long, test_tmp double")
     got = join_aux_with_steps(left, right, ["test"], layout)
     assert result(got) == numbered(joined)
