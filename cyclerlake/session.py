@@ -28,7 +28,8 @@ def tune(spark: SparkSession) -> SparkSession:
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder under the cluster's shared checkpoint folder."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
