@@ -25,7 +25,7 @@ from cyclerlake.llm.common import landed, word_count
 
 WEIGHTS = (1, 2, 3)
 LIMIT = 3
-BLOCK_WORDS = 16
+BLOCK_WORDS = 8
 SHARD_WORDS = 250_000
 SHARD_ROWS = 50_000
 DISTRICT = 1024
@@ -133,14 +133,14 @@ def mix(
 
 def select_blocks(placed: DataFrame, block_words: int, limit: int, seed: int) -> DataFrame:
     """Words taken of each document that ends at word ``to`` of its shard."""
-    n = F.greatest(F.lit(1).cast("long"), F.ceil(F.col("words") / block_words))
-    step = placed.withColumn("n_blocks", n).withColumn("blocks", F.least("blocks", F.col("n_blocks") * limit))
-    step = step.withColumn("passes", F.floor(F.col("blocks") / F.col("n_blocks"))).withColumn("run", F.col("blocks") % F.col("n_blocks"))
-    step = step.withColumn("first", seeded(seed, F.lit("first"), F.col("source"), F.col("shard")) % F.col("n_blocks"))
-    begin, zero = F.col("to") - F.col("size"), F.lit(0).cast("long")
-    end = F.least((F.col("first") + F.col("run")) * block_words, F.col("words"))
-    ahead = F.least("to", end) - F.greatest(begin, F.col("first") * block_words)
-    around = F.least(F.col("to"), (F.col("first") + F.col("run") - F.col("n_blocks")) * block_words) - begin
+    words = F.greatest(F.lit(1).cast("long"), F.col("words"))
+    step = placed.withColumn("won", F.least(F.col("blocks") * block_words, F.col("words") * limit))
+    step = step.withColumn("passes", F.floor(F.col("won") / words)).withColumn("run", F.col("won") % words)
+    step = step.withColumn("first", seeded(seed, F.lit("first"), F.col("source"), F.col("shard")) % F.ceil(words / block_words) * block_words)
+    begin, zero, end = F.col("to") - F.col("size"), F.lit(0).cast("long"), F.col("first") + F.col("run")
+    # blocks run on from the end of a shard to its beginning, so all are of equal size
+    ahead = F.least("to", end) - F.greatest(begin, F.col("first"))
+    around = F.least(F.col("to"), end - F.col("words")) - begin
     taken = F.col("passes") * F.col("size") + F.greatest(zero, ahead) + F.greatest(zero, around)
     return step.select("doc", "size", "source_size", "target", taken.cast("long").alias("taken"))
 

@@ -72,14 +72,14 @@ quotas AS ({quotas}),
 ended AS (
   SELECT p.*, CAST(sum(p.size) OVER (PARTITION BY p.source, p.shard ORDER BY p.spin, CAST(p.doc_id AS VARCHAR) NULLS LAST, p.size
       ROWS UNBOUNDED PRECEDING) AS BIGINT) AS ends,
-    CAST(q.words AS BIGINT) AS words, q.quota AS blocks0, greatest(1, CAST(ceil(q.words / {m.BLOCK_WORDS}) AS BIGINT)) AS n_blocks
+    CAST(q.words AS BIGINT) AS words, least(q.quota * {m.BLOCK_WORDS}, CAST(q.words AS BIGINT) * {m.LIMIT}) AS won
   FROM placed p JOIN quotas q ON p.source IS NOT DISTINCT FROM q.source AND p.shard = q.shard),
 chosen AS (
-  SELECT *, least(blocks0, n_blocks * {m.LIMIT}) // n_blocks AS passes, least(blocks0, n_blocks * {m.LIMIT}) % n_blocks AS run,
-    {seeded_sql("'first'", 'source', 'shard')} % n_blocks AS first_block FROM ended)
+  SELECT *, won // greatest(1, words) AS passes, won % greatest(1, words) AS run,
+    {seeded_sql("'first'", 'source', 'shard')} % CAST(ceil(greatest(1, words) / {m.BLOCK_WORDS}) AS BIGINT) * {m.BLOCK_WORDS} AS first_word FROM ended)
 SELECT doc_id, size, source_size, target, CAST(passes * size
-  + greatest(0, least(ends, least((first_block + run) * {m.BLOCK_WORDS}, words)) - greatest(ends - size, first_block * {m.BLOCK_WORDS}))
-  + greatest(0, least(ends, (first_block + run - n_blocks) * {m.BLOCK_WORDS}) - (ends - size)) AS BIGINT) AS taken
+  + greatest(0, least(ends, first_word + run) - greatest(ends - size, first_word))
+  + greatest(0, least(ends, first_word + run - words) - (ends - size)) AS BIGINT) AS taken
 FROM chosen"""
 
 

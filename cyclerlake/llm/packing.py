@@ -212,44 +212,53 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS,
     """Runs ``(length, from_number, sequence, offset, how_many)``.
 
     The pieces of a length numbered from ``from_number`` on go to so many sequences one after the
-    other, from ``sequence`` on, all at the same offset.
+    other, from ``sequence`` on, all at the same offset. Sequences that rounding leaves too empty are
+    opened again and their pieces join the rest; of several limits the one is taken that needs
+    fewest sequences.
     """
     counts = {int(k): int(v) for k, v in counts.items() if v}
-    large = linear_groups({k: v for k, v in counts.items() if k > capacity // small}, groups)
-    used: dict[int, int] = defaultdict(int)
-    # runs of equal sequences: lengths in place, how many sequences
+    runs = configured(linear_groups({k: v for k, v in counts.items() if k > capacity // small}, groups), capacity)
+    plans = []
+    for empty in (0, capacity // 256, capacity // 64, capacity // 16, capacity):
+        kept = [run for run in runs if capacity - sum(run[0]) <= empty]
+        used: dict[int, int] = defaultdict(int)
+        for filled, n in kept:
+            for length in filled:
+                used[length] += n
+        plans.append(best_fit(kept, {k: v - used[k] for k, v in sorted(counts.items(), reverse=True) if v > used[k]}, capacity))
+    return numbered(min(plans, key=lambda plan: sum(n for _, n in plan)))
+
+
+def configured(large: list[tuple[int, list[tuple[int, int]]]], capacity: int) -> list[tuple[list[int], int]]:
+    """Runs of equal sequences, as lengths and how many, from the whole parts of the optimum over rounded sizes."""
+    if not large:
+        return []
     runs: list[tuple[list[int], int]] = []
-    if large:
-        sizes, stock = [size for size, _ in large], [list(reversed(r)) for _, r in large]
-        for config, amount in configurations(sizes, [sum(n for _, n in r) for _, r in large], capacity):
-            slots = [i for i, n in enumerate(config) for _ in range(n)]
-            while amount and slots:
-                here = [stock[i][-1] if stock[i] else (0, amount) for i in slots]
-                # the same run may fill several places of a sequence
-                times = min(min(n // sum(j == i for j in slots) if stock[i] else amount for i, (_, n) in zip(slots, here)), amount)
-                filled = []
-                if not times:
-                    times = 1
-                for i in slots if times == 1 else ():
-                    if stock[i]:
-                        length, n = stock[i].pop()
-                        filled.append(length)
-                        if n > 1:
-                            stock[i].append((length, n - 1))
-                if times > 1:
-                    filled = [length for length, _ in here if length]
-                    for i in slots:
-                        if stock[i]:
-                            length, n = stock[i].pop()
-                            if n > times:
-                                stock[i].append((length, n - times))
-                if filled:
-                    runs.append((filled, times))
-                    for length in filled:
-                        used[length] += times
-                amount -= times
-    rest = {k: v - used[k] for k, v in sorted(counts.items(), reverse=True) if v > used[k]}
-    return numbered(best_fit(runs, rest, capacity))
+    stock = [list(reversed(lengths)) for _, lengths in large]
+    demand = [sum(n for _, n in lengths) for _, lengths in large]
+    for config, amount in configurations([size for size, _ in large], demand, capacity):
+        while amount:
+            # so many sequences have the same lengths in the same places
+            need = {i: int(n) for i, n in enumerate(config) if n}
+            times = min(amount, *(stock[i][-1][1] // n if stock[i] else amount for i, n in need.items()))
+            filled = [x for i, n in need.items() for x in take(stock[i], n, max(1, times))]
+            if not filled:
+                break
+            runs.append((filled, max(1, times)))
+            amount -= max(1, times)
+    return runs
+
+
+def take(stock: list[tuple[int, int]], places: int, times: int) -> list[int]:
+    """Lengths for places of a size in ``times`` equal sequences, the longest first. Empty places are left out."""
+    out = []
+    for _ in range(places):
+        if stock and stock[-1][1] >= times:
+            length, n = stock.pop()
+            out.append(length)
+            if n > times:
+                stock.append((length, n - times))
+    return out
 
 
 def best_fit(runs: list[tuple[list[int], int]], rest: dict[int, int], capacity: int) -> list[tuple[list[int], int]]:

@@ -1,0 +1,203 @@
+"""Exact and near dedup against brute force."""
+
+import hashlib
+import itertools
+import random
+import re
+import string
+
+import numpy as np
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from cyclerlake.llm import exact_dedup, simhash
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, digest string, print string, best string"
+
+
+def docs_of(spark, rows):
+    """Documents with extra columns whose names clash with helper columns."""
+    return spark.createDataFrame([(i, t, "en", "s", 0, "d", "p", "b") for i, t in rows], DOCS)
+
+
+def normal(text):
+    return re.sub(r"[\x20\x09-\x0D]+", " ", text or "")
+
+
+def key(i):
+    return (i is None, i or 0)
+
+
+HARD = [
+    (5, "a b"), (3, "a \t\n b"), (9, "a b"), (None, "a b"), (1, None), (2, ""), (4, " "), (6, "  "), (7, "A b"), (8, "a b"),
+    (10, "a b "), (11, "same"), (11, "same"), (None, "none"), (None, "none"), (12, "x" * 300_000), (13, "x" * 300_000),
+]
+
+
+@pytest.mark.parametrize("support", [1 / 1024, 0.2, 0.05])
+def test_exact_duplicates(spark, support):
+    rows = HARD + [(100 + i, "hot") for i in range(40)]
+    random.Random(1).shuffle(rows)
+    got = exact_dedup.duplicates(docs_of(spark, rows).repartition(5), support=support).collect()
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(normal(t), []).append(i)
+    want = {hashlib.sha256(t.encode()).hexdigest(): (min(ids, key=key), len(ids), sorted(ids, key=key)) for t, ids in groups.items()}
+    assert len(got) == len(rows)
+    for digest, (keep, size, ids) in want.items():
+        mine = [r for r in got if r.text_sha256 == digest]
+        assert sorted((r.doc_id for r in mine), key=key) == ids
+        assert {(r.keep_id, r.group_size) for r in mine} == {(keep, size)}
+        assert [r.doc_id for r in mine if r.kept] == [keep]
+
+
+@pytest.mark.parametrize("support", [1 / 1024, 0.1])
+def test_deduplicate_keeps_whole_rows(spark, support):
+    rows = HARD + [(100 + i, "hot") for i in range(40)] + [(100, "hot")] * 3
+    docs = docs_of(spark, rows).repartition(4)
+    got = exact_dedup.deduplicate(docs, support=support)
+    assert got.columns == docs.columns
+    best = {}
+    for i, t in rows:
+        best[normal(t)] = min(best.get(normal(t), i), i, key=key)
+    assert sorted(((normal(r.text), r.doc_id) for r in got.collect()), key=str) == sorted(best.items(), key=str)
+
+
+def test_exact_empty_table(spark):
+    empty = docs_of(spark, [])
+    assert exact_dedup.duplicates(empty).count() == 0
+    assert exact_dedup.deduplicate(empty).count() == 0
+
+
+# -- SimHash ------------------------------------------------------------------------------------
+
+
+def plain_fingerprint(text, words=3):
+    low = (text or "").translate(str.maketrans(string.ascii_uppercase, string.ascii_lowercase))
+    found = re.findall(r"[^\x20\x09-\x0D]+", low)
+    if not found:
+        return 0
+    shingles = [" ".join(found[i : i + words]) for i in range(max(1, len(found) - words + 1))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="aAbé  \t\n\x0b\x1cÀ", max_size=60), st.integers(1, 20))
+def test_fingerprint(text, piece):
+    want = signed(plain_fingerprint(text))
+    assert simhash.simhash(text.encode()) == want
+    assert simhash.simhash(text.encode(), piece=piece) == want
+
+
+def test_anchors_cover(spark):
+    """Every pair within two bits shares an anchor; an anchor is a word of the code."""
+    rng = random.Random(3)
+    pairs = []
+    for _ in range(150):
+        x = rng.getrandbits(64) if rng.random() < 0.9 else 0
+        for bits in (0, 1, 2):
+            y = x
+            for b in rng.sample(range(64), bits):
+                y ^= 1 << b
+            pairs.append((signed(x), signed(y)))
+    from pyspark.sql import functions as F
+
+    frame = spark.createDataFrame(pairs, "x long, y long")
+    got = frame.select(simhash.anchors_near(F.col("x")), simhash.anchors_near(F.col("y"))).collect()
+    for (x, _), (a, b) in zip(pairs, got):
+        assert set(a) & set(b)
+        assert len(set(a)) == len(a) and len(a) in (1, 32)
+        for anchor in a:
+            assert int(np.bitwise_xor.reduce([p for p in range(1, 64) if anchor >> (p - 1) & 1] or [0])) == 0
+            assert ((anchor ^ x) & (2**63 - 1)).bit_count() <= 2
+
+
+def test_links_and_components_against_all_pairs(spark):
+    rng = random.Random(5)
+    prints = {0, 1, 3, 7, 15, 31, 63}  # a chain
+    for _ in range(12):
+        center = rng.getrandbits(64)
+        for _ in range(25):
+            near = center
+            for b in rng.sample(range(64), rng.randint(0, 3)):
+                near ^= 1 << b
+            prints.add(near)
+    prints = [signed(p) for p in prints]
+    frame = spark.createDataFrame([(p,) for p in prints], "print long")
+    want = {(a, b) for a, b in itertools.combinations(sorted(prints), 2) if ((a ^ b) & (2**64 - 1)).bit_count() <= 2}
+    links = simhash.links(frame)
+    assert {(r.a, r.b) for r in links.collect()} == want
+    root = {p: p for p in prints}
+
+    def find(p):
+        while root[p] != p:
+            p = root[p]
+        return p
+
+    for a, b in want:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    linked = {p for pair in want for p in pair}
+    assert {(r.print, r.root) for r in simhash.components(links).collect()} == {(p, find(p)) for p in linked}
+
+
+def near_groups(rows):
+    prints = [plain_fingerprint(t) for _, t in rows]
+    group = list(range(len(rows)))
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        if (prints[i] ^ prints[j]).bit_count() <= 2 and group[i] != group[j]:
+            old = group[j]
+            group = [group[i] if g == old else g for g in group]
+    return prints, group
+
+
+def near_rows():
+    rng = random.Random(9)
+    rows = list(HARD)
+    for base in range(12):
+        words = ["".join(rng.choices("abcdef", k=5)) for _ in range(300)]
+        rows.append((1000 * base + 20, " ".join(words)))
+        for copy in range(4):
+            changed = list(words)
+            changed[rng.randrange(300)] = "changed"
+            rows.append((1000 * base + 21 + copy, " ".join(changed)))
+    rows.append((rows[-1][0], "another text under an id that is there already"))
+    return rows
+
+
+def test_near_duplicates(spark):
+    rows = near_rows()
+    prints, group = near_groups(rows)
+    got = simhash.near_duplicates(docs_of(spark, rows).repartition(3)).collect()
+    least = {}
+    for (i, _), g in zip(rows, group):
+        least[g] = min(least.get(g, i), i, key=key)
+    want = sorted(((i, f"{p:016x}", least[g]) for (i, _), p, g in zip(rows, prints, group)), key=str)
+    assert sorted(((r.doc_id, r.fingerprint, r.component_id) for r in got), key=str) == want
+
+
+def test_near_deduplicate_keeps_one_of_each_group(spark):
+    rows = near_rows()
+    _, group = near_groups(rows)
+    docs = docs_of(spark, rows)
+    got = simhash.near_deduplicate(docs)
+    assert got.columns == docs.columns
+    kept = got.collect()
+    assert len(kept) == len(set(group))
+    least = {}
+    for (i, _), g in zip(rows, group):
+        least[g] = min(least.get(g, i), i, key=key)
+    assert sorted((r.doc_id for r in kept), key=key) == sorted(least.values(), key=key)
+
+
+def test_simhash_empty_table(spark):
+    empty = docs_of(spark, [])
+    assert simhash.near_duplicates(empty).count() == 0
+    assert simhash.near_deduplicate(empty).count() == 0

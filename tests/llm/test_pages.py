@@ -1,0 +1,219 @@
+"""URL filter, WARC round trip and HTML extraction."""
+
+import base64
+import hashlib
+import io
+import random
+import re
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from cyclerlake.llm import html_text, queries, url_filter, warc
+from cyclerlake.session import work_folder
+
+PAGES = "page_id long, url string, html string, host string, path string, rule string, payload string, mark string, sha1 string"
+
+
+def pages_of(spark, rows):
+    return spark.createDataFrame([(i, u, h, *"abcdef") for i, u, h in rows], PAGES)
+
+
+# -- URLs ---------------------------------------------------------------------------------------
+
+RULES = [*queries.RULES, url_filter.Rule("a.b.example.com", "/x/y", "block"), url_filter.Rule("example.com", "/en/deep/er/", "allow"), url_filter.Rule("org", "/", "block"), url_filter.Rule("b.org", "/", "allow")]
+
+
+def plain_parts(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest)[0]
+    path = re.match(r"[^?#]*", rest[len(host) :])[0]
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in host), path
+
+
+def plain_rule(host, path, rules):
+    fits = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    return max(fits, key=lambda r: (r.host.count("."), len(r.path)), default=None)
+
+
+URLS = [
+    "https://www.example.com/en/x", "http://example.com/en/", "http://example.com/en", "http://EXAMPLE.com", "http://a.b.EXAMPLE.com/x/yz?q", "x://c.a.b.example.com/x/y",
+    "http://other.net/es/1#top", "http://other.net/fr/", "http://net/fr/a", "http://xnet/fr/a", "http://example.com/en/deep/er/1", "http://example.com/en/deep/e",
+    "http://x.b.org/", "http://xb.org/1", "http://b.org", "no scheme", "", None, "http://", "http:///path", "http://com/", "http://É.com/ü/", "://com/x://y", "http://h.com?x=://",
+    "line\nhttp://www.example.com/en/\nx", "http://example.com/" + "en/" * 2000,
+]
+
+
+def test_urls(spark):
+    rows = [(i % 20 or None, u, None) for i, u in enumerate(URLS * 2)]
+    want = sorted(((i, *plain_parts(u), (r := plain_rule(*plain_parts(u), RULES)) and r.name, r.verdict if r else "allow") for i, u, _ in rows), key=str)
+    got = url_filter.judge(pages_of(spark, rows), RULES)
+    assert sorted(map(tuple, got.collect()), key=str) == want
+    slashed = [r for r in RULES if r.path.endswith("/")]
+    joined = url_filter.judge_by_join(pages_of(spark, rows), spark.createDataFrame(slashed, "host string, path string, verdict string"))
+    same = url_filter.judge(pages_of(spark, rows), slashed)
+    assert sorted(map(tuple, joined.collect()), key=str) == sorted(map(tuple, same.collect()), key=str)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.lists(st.sampled_from("ab"), min_size=1, max_size=3).map(".".join), st.lists(st.sampled_from(["x", "xy", "/"]), max_size=4).map("".join)), max_size=8), st.lists(st.sampled_from("abc"), max_size=4).map(".".join), st.lists(st.sampled_from(["x", "xy", "/"]), max_size=5).map("".join))
+def test_trie(rules, host, path):
+    rules = [url_filter.Rule(h, "/" + p, "block") for h, p in rules]
+    path = "/" + path
+    assert url_filter.longest_match(url_filter.build_trie(rules), host, path) == plain_rule(host, path, rules)
+
+
+def test_url_rules_are_checked(spark):
+    with pytest.raises(ValueError, match="both"):
+        url_filter.build_trie([("a", "/", "allow"), ("a", "/", "block")])
+    assert url_filter.judge(pages_of(spark, []), RULES).count() == 0
+    assert url_filter.judge(pages_of(spark, [(1, "http://a.com/", None)]), []).first().verdict == "allow"
+
+
+# -- WARC ---------------------------------------------------------------------------------------
+
+
+def warc_rows():
+    rng = random.Random(8)
+    big = "".join(rng.choice("abc\r\né") for _ in range(50_000))
+    rows = [(1, "u1", "same"), (5, "u5", "same"), (3, "u3\r\nx", "same"), (2, None, None), (4, "u4", ""), (6, "u6", big), (7, "u7", big), (8, "u8", "WARC/1.1\r\n\r\n")]
+    rows += [(9, "u9", "alone"), (None, "n", "nameless"), (10, "t", "twice"), (10, "t", "twice"), (12, "x", "x"), (12, "x", "y"), (13, "z", "y")]
+    return rows + [(100 + i, "hot", "hot") for i in range(60)]
+
+
+def plain_warc(rows, least):
+    out = []
+    for i, _, text in rows:
+        payload = (text or "").encode()
+        same = [j for j, _, t in rows if (t or "").encode() == payload and j is not None]
+        best = max(same, default=None)
+        revisit = len(payload) >= least and best is not None and best != i
+        out.append((i, len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode(), "revisit" if revisit else "response", best if revisit else None))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize(("least", "chunk", "size"), [(0, 1 << 20, 64 << 20), (5, 1000, 2000), (0, 7, 1)])
+def test_warc_round_trip(spark, least, chunk, size):
+    rows = warc_rows()
+    got = warc.round_trip(pages_of(spark, rows).repartition(3), min_bytes=least, chunk=chunk, file_bytes=size)
+    assert sorted(map(tuple, got.collect()), key=str) == plain_warc(rows, least)
+
+
+def test_warc_chunks_restore_payloads(spark):
+    rows = warc_rows()
+    folder = work_folder(spark, "warc-test")
+    manifest = warc.archive(pages_of(spark, rows), folder, chunk=999, file_bytes=5000)
+    assert sum(r.records for r in manifest.collect()) == len(rows)
+    chunks = warc.read_archives(manifest, folder, chunk=777)
+    assert chunks.select(F.max(F.length("data"))).first()[0] == 777
+    whole = {}
+    for r in chunks.where("record_type = 'response'").orderBy("page_id", "chunk").collect():
+        whole.setdefault((r.page_id, r.payload_digest), []).append(r)
+    texts = {(i, base64.b32encode(hashlib.sha1((t or "").encode()).digest()).decode()): (t or "").encode() for i, _, t in rows}
+    for name, parts in whole.items():
+        numbers = [r.chunk for r in parts]
+        if numbers.count(0) == 1:
+            assert numbers == list(range(len(parts)))
+            assert b"".join(bytes(r.data) for r in parts) == texts[name]
+
+
+def test_warc_damage_is_noticed():
+    head = warc.head({"page_id": 1, "url": "u", "refers_to": None, "sha1": "WRONG", "bytes": 3})
+    with pytest.raises(ValueError, match="damaged"):
+        list(warc.records(io.BytesIO(__import__("gzip").compress(head + b"abc\r\n\r\n")), 10, True))
+    with pytest.raises(ValueError, match="ends"):
+        list(warc.records(io.BytesIO(__import__("gzip").compress(head + b"a")), 10, True))
+
+
+def test_warc_empty(spark):
+    assert warc.round_trip(pages_of(spark, [])).count() == 0
+
+
+# -- HTML ---------------------------------------------------------------------------------------
+
+ARTICLE = """<!DOCTYPE html><html><head><title>T</title><script>var x="</head><p>no</p>";</script><style>p{}</style></head>
+<body class="home page-7"><header><h1>Site</h1><p>Slogan of the site</p></header><nav><ul><li><a href="/">Home</a></ul></nav>
+<div class="cookie-notice"><p>We use cookies</p></div><div id="w"><div class="content post-12"><h1>Head &amp; line</h1>
+<p>First <b>bold</b>,
+   second&nbsp;line<br>third <a href="x">link</a> 3 &lt; 4 &#233;<p>Unclosed paragraph
+<blockquote><p>Quoted</p></blockquote><ul><li>one<li>two</ul><!-- <p>hidden</p> -->
+<div class="ad"><p>Buy <div>now</div></p></div><form><label>Name</label><input name=n><textarea>x</textarea></form>
+<table><tr><td>c1</td><td>c2</td></tr></table></div><aside><p>Side</p></aside><div class="sidebar"><p>Side too</p></div>
+<section id="comments"><p>Reader says</p></section></div><footer><p>&copy; site</p></footer></body></html>"""
+TEXT = "Head & line\nFirst bold, second line third link 3 < 4 é\nUnclosed paragraph\nQuoted\none\ntwo\nc1\nc2"
+
+
+def test_blocks():
+    assert html_text.text_at(html_text.blocks(ARTICLE), []) == TEXT
+    assert html_text.text_at(html_text.blocks(ARTICLE), ["html body.home.page-0 div div.content.post-0"]) == TEXT
+    assert html_text.text_at(html_text.blocks(ARTICLE), ["html elsewhere"]) == TEXT
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["<p>", "</p>", "<div class='ad'>", "</div>", "<b>", "</b>", "text ", "<", ">", "<!--", "-->", "<script>", "</script>", "&amp", "<li>", "<nav>", "</nav>", "<p", "\"", "<br/>", "</x>"]), max_size=25).map("".join))
+def test_any_markup_is_read(page):
+    found = html_text.blocks(page)
+    assert all(b.text == " ".join(b.text.split()) != "" for b in found)
+    assert isinstance(html_text.text_at(found, []), str)
+
+
+def test_consensus_of_host(spark):
+    """A page whose side story is longer than its article follows its host."""
+    page = "<html><body><div class=story-{n}><p>{story}</p></div><div class=more><p>{more}</p></div></body></html>"
+    rows = [(i, "http://h.org/", page.format(n=i, story="long story " * 9, more="short")) for i in range(6)]
+    rows += [(7, "http://h.org/7", page.format(n=7, story="brief", more="a long box of other things " * 5))]
+    rows += [(8, "http://other.org/7", page.format(n=7, story="brief", more="a long box " * 5))]
+    rows += [(9, "http://h.org/9", "<html><body><main><p>own way</p></main></body></html>"), (10, None, None), (None, "", ""), (11, "x", "no markup &amp; more")]
+    got = {r.page_id: r for r in html_text.extract(pages_of(spark, rows).repartition(3)).collect()}
+    assert got[7].text == "brief"
+    assert got[8].text == " ".join(("a long box " * 5).split())
+    assert got[9].text == "own way"
+    assert (got[10].text, got[10].n_chars, got[10].url) == ("", 0, None)
+    assert got[None].text == ""
+    assert got[11].text == "no markup & more"
+    assert got[0].n_chars == len(got[0].text)
+
+
+def test_pages_of_the_tables(spark):
+    """The article element of the given pages, read by another parser."""
+    from html.parser import HTMLParser
+
+    class Plain(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.inside, self.parts = False, [""]
+
+        def handle_starttag(self, tag, attrs):
+            self.inside |= tag == "article"
+            if tag in ("p", "h1"):
+                self.parts.append("")
+            if tag == "br":
+                self.handle_data(" ")
+
+        def handle_endtag(self, tag):
+            self.inside &= tag != "article"
+            if tag in ("p", "h1"):
+                self.parts.append("")
+
+        def handle_data(self, data):
+            if self.inside:
+                self.parts[-1] += data
+
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    got = {r.page_id: r.text for r in html_text.extract(pages).collect()}
+    for r in pages.collect():
+        plain = Plain()
+        plain.feed(r.html)
+        plain.close()
+        want = [" ".join(p.split()) for p in plain.parts]
+        assert got[r.page_id] == "\n".join(p for p in want if p)
+
+
+def test_html_empty_table_and_long_page(spark):
+    assert html_text.extract(pages_of(spark, [])).count() == 0
+    long = "<body><article>" + "<p>word</p>" * 50_000 + "</article>"
+    assert html_text.extract(pages_of(spark, [(1, "http://a/", long)])).first().n_chars == 50_000 * 5 - 1
