@@ -272,7 +272,8 @@ def read_archives(manifest: DataFrame, scheme: str, chunk: int = CHUNK, with_dat
                             rows, size = [], 0
                     yield pa.RecordBatch.from_pylist(rows, schema)
 
-    spread = manifest.select("path").repartition(F.col("path"))
+    # the manifest is small, the archives are not: adaptive execution must not merge these partitions
+    spread = manifest.select("path").repartition(max(1, manifest.count()), "path")
     return spread.mapInArrow(read, CHUNK_FIELDS)
 
 
