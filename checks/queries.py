@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 import cyclerlake as cl
 from checks.views import load_views, with_views
-from cyclerlake.functions.conversions import STEP_TYPES, required_columns, transform_aux, transform_main
-from cyclerlake.functions.vocabulary import TERMS, convert
+from cyclerlake.functions.conversions import required_columns, transform_aux, transform_main
+from cyclerlake.functions.vocabulary import convert
 from cyclerlake.operators.chunks import Layout
 from cyclerlake.operators.features import add_step_features
 from cyclerlake.operators.joins import join_aux, join_aux_with_steps
@@ -57,7 +57,33 @@ def files(spark: SparkSession, sf_dir: str, *names: str) -> cl.FileTables:
 
 # -- SQL pieces ---------------------------------------------------------------------------------
 
-STEP_SQL = "CASE step_type " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in STEP_TYPES.items()) + " ELSE 'Unknown' END"
+# values of their own: what the package has under test is not asked
+STEP_SQL = """CASE step_type WHEN 1 THEN 'CC Charge' WHEN 2 THEN 'CC Discharge' WHEN 4 THEN 'Rest' WHEN 5 THEN 'Cycle'
+  WHEN 6 THEN 'End' WHEN 7 THEN 'CC-CV Charge' WHEN 8 THEN 'CP Discharge' WHEN 9 THEN 'CP Charge'
+  WHEN 10 THEN 'CR Discharge' WHEN 20 THEN 'CC-CV Discharge' ELSE 'Unknown' END"""
+# database name, label, code
+NAMES = [
+    ("step_id", "Step ID / 1", "step_id"),
+    ("step_type", "Step Type / 1", "step_type"),
+    ("step_index", "Step Index / 1", "step_index"),
+    ("seq_id", "Record Count / 1", "record_count"),
+    ("step_count", "Step Count / 1", "step_count"),
+    ("cycle", "Cycle Count / 1", "cycle_count"),
+    ("unix_time", "Unix Time / s", "unix_time"),
+    ("test_atime", "Time / datetime", "time_datetime"),
+    ("test_time", "Step Time / s", "step_time"),
+    ("test_vol", "Voltage / V", "voltage_volt"),
+    ("test_cur", "Current / A", "current_ampere"),
+    ("test_tmp", "Temperature / degC", "temperature_celsius"),
+    ("test_pow", "Power / W", "power_watt"),
+    ("test_capchg", "Step Charging Capacity / Ah", "step_charging_capacity_ah"),
+    ("test_capdchg", "Step Discharging Capacity / Ah", "step_discharging_capacity_ah"),
+    ("test_engchg", "Step Charging Energy / Wh", "step_charging_energy_wh"),
+    ("test_engdchg", "Step Discharging Energy / Wh", "step_discharging_energy_wh"),
+    ("test_cap", "Step Capacity / Ah", "step_capacity_ah"),
+    ("test_eng", "Step Energy / Wh", "step_energy_wh"),
+]
+NAMINGS = ("bts", "label", "code")
 EPOCH_SQL = "CAST(floor(epoch_us(test_atime) / 1000000) AS BIGINT)"
 MAGNITUDE_SQL = """CASE WHEN abs(cur_step_range) > 0 AND abs(cur_step_range) <= 999999 THEN abs(cur_step_range)
   WHEN abs(cur_step_range) BETWEEN 1000000 AND 999999999 THEN floor(cur_step_range / 1e9::DOUBLE)
@@ -117,7 +143,7 @@ FROM (SELECT *, CAST(sum(CASE WHEN test_time = 0 THEN 1 ELSE 0 END) OVER (PARTIT
 
 
 def published_sql(source: str, leading: str = "", naming: str = "label") -> str:
-    names = ", ".join(f'{t.bts} AS "{getattr(t, naming)}"' for t in TERMS)
+    names = ", ".join(f'{name[0]} AS "{name[NAMINGS.index(naming)]}"' for name in NAMES)
     return f"SELECT {leading}{names} FROM ({source}) s"
 
 
@@ -278,6 +304,16 @@ def union_diagonal(spark, sf_dir):
     return union_all_columns([t.frame("test"), t.frame("h_test")])
 
 
+@check(
+    "union_number_and_text",
+    "SELECT CAST(test_vol AS VARCHAR) AS v, seq_id FROM rec_all UNION ALL SELECT event_type AS v, NULL FROM events",
+)
+def union_number_and_text(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    words = files(spark, sf_dir, "events").get_table("events", "event_type")
+    return union_all_columns([t.get_table("rec_all", ["test_vol", "seq_id"]).withColumnRenamed("test_vol", "v"), words.withColumnRenamed("event_type", "v")])
+
+
 # the two long tests, one per device type, and others for the remaining routes
 TEST_24 = {
     "dev_uid": 240001,
@@ -366,7 +402,7 @@ def catalogue_0760(spark, sf_dir):
 
 # -- conversions ----------------------------------------------------------------------------------
 
-CONVERTED = [t.bts for t in TERMS if t.bts not in ("step_index", "step_count", "test_tmp")]
+CONVERTED = [name for name, *_ in NAMES if name not in ("step_index", "step_count", "test_tmp")]
 
 
 def main_frame(spark: SparkSession, sf_dir: str, dev_uid: int, name: str = "rec_all") -> DataFrame:
@@ -379,6 +415,11 @@ def convert_24(spark, sf_dir):
     return transform_main(main_frame(spark, sf_dir, 240001), "0800", 240001).select(*CONVERTED, "test_id")
 
 
+@check("convert_24_temperature", "SELECT seq_id, test_id, test_tmp / 1e1::DOUBLE AS test_tmp FROM rec_all")
+def convert_24_temperature(spark, sf_dir):
+    return transform_main(main_frame(spark, sf_dir, 240001), "0800", 240001).select("seq_id", "test_id", "test_tmp")
+
+
 @check(
     "convert_24_scales",
     f"""SELECT seq_id, d_cur_step_range, scale_cur, {", ".join(factor_sql(n) for n in ("capchg", "capdchg", "engchg", "engdchg"))}
@@ -507,11 +548,36 @@ def step_features_fanout_hot(spark, sf_dir):
     return join_aux_with_steps(*fanout_sides(spark, sf_dir), ["test_id"], HOT)
 
 
+# forty different rows to an id, with and without channels, starts among them
+TIED_SQL = """SELECT user_id % 3 AS test_id, CAST(floor(event_id / 40) AS BIGINT) AS seq_id,
+  CASE WHEN event_id % 5 > 0 THEN event_id % 3 END AS auxchl_id, event_id % 4 AS test_time, event_id AS test_vol FROM events"""
+TIED_ORDER = "seq_id, auxchl_id NULLS FIRST, test_time, test_vol"
+
+
+def tied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files(spark, sf_dir, "events").query(TIED_SQL)
+
+
+@check("step_features_ties", steps_sql(TIED_SQL, "test_id", TIED_ORDER, total=False))
+def step_features_ties(spark, sf_dir):
+    return add_step_features(tied(spark, sf_dir), ["test_id"])
+
+
+@check("step_features_ties_chunked", steps_sql(TIED_SQL, "test_id", TIED_ORDER, total=False))
+def step_features_ties_chunked(spark, sf_dir):
+    return add_step_features(tied(spark, sf_dir), ["test_id"], Layout(chunk_records=20, block_chunks=3))
+
+
+@check("step_features_ties_hot", steps_sql(TIED_SQL, "test_id", TIED_ORDER, total=False))
+def step_features_ties_hot(spark, sf_dir):
+    return add_step_features(tied(spark, sf_dir), ["test_id"], Layout(chunk_records=20, hot_rows=5))
+
+
 # -- names ----------------------------------------------------------------------------------------
 
 def renamed_sql(naming: str) -> str:
-    known = [t for t in TERMS if t.bts in RAW_TERMS]
-    return f"""SELECT test_id, {", ".join(f'{t.bts} AS "{getattr(t, naming)}"' for t in known)} FROM rec_all"""
+    known = [name for name in NAMES if name[0] in RAW_TERMS]
+    return f"""SELECT test_id, {", ".join(f'{name[0]} AS "{name[NAMINGS.index(naming)]}"' for name in known)} FROM rec_all"""
 
 
 RAW_TERMS = ["step_id", "step_type", "seq_id", "cycle", "test_atime", "test_time", "test_vol", "test_cur", "test_capchg"]
@@ -557,12 +623,12 @@ MAIN_24_SQL = select_24("(SELECT * FROM rec_all WHERE test_id = 0) t24", KEYED)
 
 @check("get_data_26", data_sql(MAIN_26_SQL, aux_sql()))
 def get_data_26(spark, sf_dir):
-    return cl.connect(tables(spark, sf_dir)).get_data(TEST_26, layout=FINE)
+    return cl.connect(tables(spark, sf_dir)).get_data(TEST_26)
 
 
 @check("get_data_24", data_sql(MAIN_24_SQL, aux_sql()))
 def get_data_24(spark, sf_dir):
-    return cl.connect(tables(spark, sf_dir)).get_data(TEST_24, layout=FINE)
+    return cl.connect(tables(spark, sf_dir)).get_data(TEST_24)
 
 
 @check("get_data_no_aux", data_sql(MAIN_26_SQL, aux_sql("FALSE")))
@@ -605,7 +671,7 @@ FLEET_SQL = steps_sql(FLEET_JOINED_SQL, IDS, "seq_id, auxchl_id", total=False)
 
 @check("get_data_fleet", fleet_sql(FLEET_SQL))
 def get_data_fleet(spark, sf_dir):
-    return cl.connect(tables(spark, sf_dir)).get_fleet(layout=FINE)
+    return cl.connect(tables(spark, sf_dir)).get_fleet()
 
 
 @check("get_data_fleet_hot", fleet_sql(FLEET_SQL))
@@ -706,6 +772,20 @@ def stream_step_features(spark, sf_dir):
     return read_steps(spark, f"{folder}/out")
 
 
+@check("stream_steps_fanout", steps_sql(FANOUT_SQL, "test_id", "seq_id, auxchl_id"))
+def stream_step_features_fanout(spark, sf_dir):
+    # batches end between the channels of a record
+    records = join_aux(*fanout_sides(spark, sf_dir), ["test_id"])
+    records = records.withColumn("_n", F.expr("row_number() OVER (PARTITION BY test_id ORDER BY seq_id, auxchl_id)"))
+    records = records.withColumn("_part", F.expr("_n * 4 div (count(*) OVER (PARTITION BY test_id) + 1)")).drop("_n")
+    folder = work_folder(spark, "steps")
+    for part in range(4):
+        records.where(F.col("_part") == part).drop("_part").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    source = cl.FileTables(spark, {"in": f"{folder}/in"}, files_per_batch=1)
+    stream_steps(source.stream("in"), ["test_id"], f"{folder}/out", FINE).awaitTermination()
+    return read_steps(spark, f"{folder}/out")
+
+
 @check("chunked_work", "SELECT test_id, seq_id, test_vol / 1e4::DOUBLE AS volt FROM rec_all")
 def chunked_work(spark, sf_dir):
     def volts(frame):
@@ -742,6 +822,27 @@ def step_summary(spark, sf_dir):
     return summarise_steps(add_step_features(timed(spark, sf_dir), ["test_id"], FINE), ["test_id"])
 
 
+AT = "{{'s': seq_id, 'c': auxchl_id, 'v': {0}}}"
+
+
+@check(
+    "step_summary_fanout",
+    f"""SELECT test_id, step_count, CAST(count(*) AS BIGINT) AS records, min(seq_id) AS first_seq_id, max(seq_id) AS last_seq_id,
+  arg_min(step_type, {AT.format("step_type")}) AS step_type, arg_min(test_time, {AT.format("test_time")}) AS test_time_first,
+  arg_max(test_time, {AT.format("test_time")}) AS test_time_last, arg_max(test_capchg, {AT.format("test_capchg")}) AS test_capchg,
+  arg_max(test_engdchg, {AT.format("test_engdchg")}) AS test_engdchg, min(test_tmp) AS test_tmp_min, max(test_tmp) AS test_tmp_max
+FROM ({steps_sql("SELECT m.*, x.auxchl_id, x.test_tmp FROM (" + select_24("rec_all", ", test_id") + ") m LEFT JOIN "
+                 "(SELECT * FROM aux_live UNION ALL SELECT * FROM aux_hist_0) x ON x.test_id = m.test_id AND x.seq_id = m.seq_id",
+                 "test_id", "seq_id, auxchl_id", total=False)}) s GROUP BY test_id, step_count""",
+)
+def step_summary_fanout(spark, sf_dir):
+    _, aux = fanout_sides(spark, sf_dir)
+    main = transform_main(main_frame(spark, sf_dir, 240001), "0800", 240001)
+    main = main.select("test_id", "seq_id", "step_type", "test_time", "test_capchg", "test_engdchg")
+    steps = join_aux_with_steps(main, aux, ["test_id"], FINE, total_time=False)
+    return summarise_steps(steps, ["test_id"]).drop("test_tmp_avg")
+
+
 @check(
     "step_summary_signals",
     """SELECT test_id, cycle AS step_count, CAST(count(*) AS BIGINT) AS records, min(seq_id) AS first_seq_id,

@@ -18,7 +18,8 @@ VIEWS = {
 SELECT test_id % 4 + 1 AS unit_id, test_id % 8 + 1 AS chl_id, test_id, event_id + 1 AS seq_id,
   CAST(floor(event_id / 500) AS BIGINT) + 1 AS cycle, event_id % 10 + 1 AS step_id,
   CAST(CASE event_type WHEN 'signup' THEN 1 WHEN 'purchase' THEN 2 WHEN 'view' THEN 4 WHEN 'click' THEN 7
-    ELSE 99 END AS BIGINT) AS step_type,
+    ELSE CASE event_id % 9 WHEN 0 THEN 5 WHEN 1 THEN 6 WHEN 2 THEN 8 WHEN 3 THEN 9 WHEN 4 THEN 10 WHEN 5 THEN 20
+    WHEN 6 THEN NULL ELSE 99 END END AS BIGINT) AS step_type,
   CAST(0 AS BIGINT) AS step_changecount, CAST(1 AS BIGINT) AS work_type,
   CASE WHEN event_type = 'signup' THEN CAST(0 AS BIGINT) ELSE event_id % 1000 + 1 END AS test_time,
   30000 + event_id % 12000 AS test_vol, (event_id % 2001 - 1000) * 10 AS test_cur, event_id % 77 AS test_ir,

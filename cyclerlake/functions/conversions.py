@@ -47,12 +47,14 @@ FAR_TO_EPOCH = 62135596800
 
 
 def epoch_seconds(ts: str) -> str:
-    """Whole seconds since 1970, floored, reading the clock time as UTC in any session zone.
+    """Whole seconds since 1970, floored, the same in any session zone.
 
-    Counting from a far past date keeps the interval positive, where truncation is floor.
+    An instant (zoned timestamp) has its own; a clock time is read as UTC. The type is known when
+    the plan is made, so only one branch remains in it. Counting from a far past date keeps the interval positive, where truncation is floor.
     """
     since = f"CAST({ts} AS timestamp_ntz) - TIMESTAMP_NTZ'0001-01-01 00:00:00'"
-    return f"CAST(CAST({since} AS INTERVAL SECOND) AS bigint) - {FAR_TO_EPOCH}L"
+    clock = f"CAST(CAST({since} AS INTERVAL SECOND) AS bigint) - {FAR_TO_EPOCH}L"
+    return f"CASE WHEN typeof({ts}) = 'timestamp' THEN unix_seconds(CAST({ts} AS timestamp)) ELSE {clock} END"
 
 
 def step_name(code: str) -> str:

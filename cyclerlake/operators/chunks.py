@@ -25,11 +25,15 @@ BLOCK = 100_000
 
 
 class Layout(NamedTuple):
-    """``hot_rows`` also bounds the list of hot chunks: at most total rows / hot_rows entries."""
+    """``hot_rows`` also bounds the list of hot chunks: at most total rows / hot_rows entries.
+
+    Beyond ``block_chunks`` chunks, running totals are taken over blocks of so many chunks first.
+    """
 
     chunk_records: int = 200_000
     hot_rows: int = 10_000_000
     task_rows: int = 2_000_000
+    block_chunks: int = 4096
 
 
 def with_chunk(df: DataFrame, layout: Layout) -> DataFrame:
@@ -46,6 +50,8 @@ class Measured(NamedTuple):
 
     hot: DataFrame | None
     partitions: int | None
+    chunks: int = 0
+    hot_parts: int = 1
 
     def lay_out(self, df: DataFrame, place: Sequence[str]) -> DataFrame:
         return df.repartition(*place) if self.partitions is None else df.repartition(self.partitions, *place)
@@ -53,13 +59,16 @@ class Measured(NamedTuple):
 
 def measure(counts: DataFrame, by: Sequence[str], layout: Layout) -> Measured:
     """Look at landed row counts per chunk."""
-    rows, largest = counts.agg(F.expr("coalesce(sum(_rows), 0)"), F.expr("coalesce(max(_rows), 0)")).first()
+    too_many = f"sum(CASE WHEN _rows > {layout.hot_rows} THEN _rows END)"
+    found = ["sum(_rows)", "max(_rows)", "count(*)", too_many]
+    rows, largest, chunks, hot_rows = counts.agg(*(F.expr(f"coalesce({text}, 0)") for text in found)).first()
     hot = None
     if largest > layout.hot_rows:
         hot = counts.where(f"_rows > {layout.hot_rows}").select(*by, CHUNK).distinct()
     needed = -(-rows // layout.task_rows)
     configured = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return Measured(hot, needed if needed > configured else None)
+    hot_parts = max(configured, -(-hot_rows // layout.task_rows))
+    return Measured(hot, needed if needed > configured else None, chunks, hot_parts)
 
 
 def split_hot(df: DataFrame, hot: DataFrame | None, by: Sequence[str]) -> tuple[DataFrame, DataFrame | None]:

@@ -32,9 +32,8 @@ from cyclerlake.operators.chunks import (
 )
 from cyclerlake.session import landed
 
-PART = ["_part_seq", "_part_range", "_part_tie"]
-RANGES = 64
-TIES = 1024
+PART = "_part"
+BLOCK = "_block"
 # what records contribute to later ones, and what a chunk starts from
 CARRY = ["_zeros", "_start", "_first", "_t0"]
 RUNNING = ["_zeros", "_start", "_t0"]
@@ -65,28 +64,55 @@ def _over(by: Sequence[str], order: Sequence[str] = (), frame: str = "") -> str:
     return f"OVER ({partition} {'ORDER BY ' + ', '.join(order) if order else ''} {frame})"
 
 
-def _chunk_starts(summary: DataFrame, by: Sequence[str], carry: DataFrame | None) -> DataFrame:
-    """Per chunk: step starts before it, where its first step began, first second of the test.
+def _running(summary: DataFrame, by: Sequence[str], place: Sequence[str], carry: DataFrame | None) -> DataFrame:
+    """For each place in a test what lies before it: step starts, the last one's id, first second of the test.
 
     ``carry`` holds one row per test with the same columns from records seen earlier.
     """
-    summary = summary.selectExpr("*", "1 AS _rank")
+    summary = summary.selectExpr(*by, *place, *CARRY, "1 AS _rank")
     if carry is not None:
         earlier = carry.selectExpr(*by, *CARRY, "0 AS _rank")
         summary = summary.unionByName(earlier, allowMissingColumns=True)
     test = _over(by)
-    before = _over(by, ["_rank", CHUNK, *PART], "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING")
+    before = _over(by, ["_rank", *place], "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING")
     starts = summary.selectExpr(
         *by,
-        CHUNK,
-        *PART,
+        *place,
         f"coalesce(sum(_zeros) {before}, 0L) AS _zeros",
         # before the first start, the step begins with the test
         f"coalesce(max(_start) {before}, min(_first) {test}) AS _start",
         f"min(_t0) {test} AS _t0",
         "_rank",
     )
-    return starts.where("_rank = 1").selectExpr(*by, CHUNK, *PART, *RUNNING, "true AS _is_chunk_start")
+    return starts.where("_rank = 1").drop("_rank")
+
+
+def _chunk_starts(
+    summary: DataFrame, by: Sequence[str], carry: DataFrame | None, layout: Layout, chunks: int
+) -> DataFrame:
+    """What each chunk (and part of a hot chunk) starts from.
+
+    Many chunks are summed in two steps, blocks of chunks before chunks of a block, so that no
+    window holds more than some thousand rows of a test, however long it is.
+    """
+    place = [CHUNK, PART]
+    if chunks <= layout.block_chunks:
+        return _running(summary, by, place, carry).selectExpr(*by, *place, *RUNNING, "true AS _is_chunk_start")
+    width = layout.chunk_records * layout.block_chunks
+    summary = summary.withColumn(BLOCK, F.expr(f"{CHUNK} - pmod({CHUNK}, {width}L)"))
+    totals = summary.groupBy(*by, BLOCK).agg(F.sum("_zeros").alias("_zeros"), F.max("_start").alias("_start"), *(F.min(c).alias(c) for c in ("_first", "_t0")))
+    blocks = _running(totals, by, [BLOCK], carry)
+    blocks = blocks.selectExpr(*(f"{c} AS _of_{c}" for c in [*by, BLOCK, *RUNNING]))
+    match = F.expr(" AND ".join(f"{c} <=> _of_{c}" for c in [*by, BLOCK]))
+    before = _over([*by, BLOCK], place, "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING")
+    return summary.join(blocks, match).selectExpr(
+        *by,
+        *place,
+        f"_of__zeros + coalesce(sum(_zeros) {before}, 0L) AS _zeros",
+        f"coalesce(max(_start) {before}, _of__start) AS _start",
+        "_of__t0 AS _t0",
+        "true AS _is_chunk_start",
+    )
 
 
 def _orderable(data_type: T.DataType) -> bool:
@@ -96,7 +122,7 @@ def _orderable(data_type: T.DataType) -> bool:
 def _record_order(df: DataFrame, by: Sequence[str]) -> list[str]:
     """``seq_id``, then channel; further ties are broken by content to give the same result each run."""
     first = [c for c in ("seq_id", "auxchl_id") if c in df.columns]
-    skip = {*first, *by, CHUNK, COPIES, *PART}
+    skip = {*first, *by, CHUNK, COPIES, PART}
     return first + [quoted(f.name) for f in df.schema if f.name not in skip and _orderable(f.dataType)]
 
 
@@ -146,36 +172,16 @@ class Parts(NamedTuple):
         return both.drop(CHUNK)
 
 
-def _with_parts(hot: DataFrame, by: Sequence[str], layout: Layout) -> DataFrame:
-    """Keys that split hot chunks further, in record order.
+def _with_parts(hot: DataFrame, by: Sequence[str], order: Sequence[str], parts: int) -> DataFrame:
+    """Splits hot chunks by ranges of the record order; the parts of a chunk are numbered in that order.
 
-    A part is one ``seq_id``. An id that alone exceeds the limit is split by ranges of its
-    channels, and a channel that heads a range by a hash of the row: rows of one channel of one
-    id may be counted in any order.
+    Where Spark draws the ranges decides how work is spread, never a number: a part continues where
+    the one before it ends. The rows are distinct, so any range can be split. They are landed,
+    because three reads below must see the same parts.
     """
-    channel = "CAST(auxchl_id AS bigint)" if "auxchl_id" in hot.columns else "CAST(NULL AS bigint)"
-    content = ", ".join(quoted(c) for c in hot.columns if c != COPIES)
-    keys = [CHUNK, *by, "seq_id"]
-    shares = ", ".join(str(i / RANGES) for i in range(1, RANGES))
-    heavy = hot.groupBy(*keys).agg(
-        F.expr(f"sum({COPIES}) AS _id_rows"),
-        F.expr(f"approx_percentile({channel}, array({shares})) AS _bounds"),
-    )
-    heavy = landed(heavy.where(f"_id_rows > {layout.hot_rows}"), "heavy-ids")
-    # every entry stands for more than hot_rows rows, like the list of hot chunks
-    listed = F.broadcast(heavy.selectExpr(*(f"{k} AS _heavy_{k}" for k in keys), "_bounds", "true AS _is_heavy"))
-    match = F.expr(" AND ".join(f"{k} <=> _heavy_{k}" for k in keys))
-    lone = f"({channel} IS NULL OR array_contains(_bounds, {channel}))"
-    below = f"2L * size(filter(_bounds, b -> b < {channel}))"
-    parts = [
-        "seq_id",
-        f"CASE WHEN _is_heavy AND {channel} IS NULL THEN -1L WHEN _is_heavy THEN {below}"
-        f" + CASE WHEN {lone} THEN 1L ELSE 0L END ELSE 0L END",
-        f"CASE WHEN _is_heavy AND {lone} THEN pmod(xxhash64({content}), {TIES}L) ELSE 0L END",
-    ]
-    rows = [quoted(c) for c in hot.columns]
-    split = hot.join(listed, match, "left")
-    return split.selectExpr(*rows, *(f"{text} AS {name}" for text, name in zip(parts, PART)))
+    place = [F.expr(c) for c in [*by, CHUNK, *order]]
+    spread = hot.repartitionByRange(parts, *place).withColumn(PART, F.spark_partition_id().cast("bigint"))
+    return landed(spread, "hot-rows")
 
 
 def number_steps(
@@ -196,21 +202,20 @@ def number_steps(
     """
     columns = cold.columns
     cold_keys = [CHUNK, *reversed(by)]
-    hot_keys = [*cold_keys, *PART]
+    hot_keys = [*cold_keys, PART]
     order = _record_order(cold, by)
-    summary = cold_summary.selectExpr(*cold_keys, *CARRY, *(f"CAST(NULL AS bigint) AS {p}" for p in PART))
+    summary = cold_summary.selectExpr(*cold_keys, *CARRY, f"CAST(NULL AS bigint) AS {PART}")
     if hot is not None:
-        # landed: it is read three times below and may come out of a join
-        hot = _with_parts(landed(collapse_copies(hot), "hot-rows"), by, layout)
+        hot = _with_parts(collapse_copies(hot), by, order, measured.hot_parts)
         summary = summary.unionByName(summarise(hot, hot_keys, total_time).select(*hot_keys, *CARRY))
-        starts = landed(_chunk_starts(summary, by, carry), "chunk-starts")
-        cold_starts, hot_starts = starts.where("_part_tie IS NULL"), starts.where("_part_tie IS NOT NULL")
+        starts = landed(_chunk_starts(summary, by, carry, layout, measured.chunks), "chunk-starts")
+        cold_starts, hot_starts = starts.where(f"{PART} IS NULL"), starts.where(f"{PART} IS NOT NULL")
         hot_numbered = _spread_copies(_numbered(hot, hot_starts, hot_keys, order), measured.partitions)
         hot_done = _finish(hot_numbered, columns, total_time)
     else:
-        cold_starts, hot_done = _chunk_starts(summary, by, carry), None
+        cold_starts, hot_done = _chunk_starts(summary, by, carry, layout, measured.chunks), None
 
-    cold_starts = cold_starts.drop(*PART)
+    cold_starts = cold_starts.drop(PART)
     if not laid_out and measured.partitions is not None:
         cold, laid_out = measured.lay_out(cold, cold_keys), True
     if laid_out:

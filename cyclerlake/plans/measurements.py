@@ -97,6 +97,7 @@ class Cycler:
         aux_columns: Sequence[str] | None = None,
         step_scope: str = "row",
         complete: bool = False,
+        strict: bool = False,
         layout: Layout = Layout(),
     ) -> DataFrame:
         """All published columns of one test, under their labels.
@@ -104,13 +105,14 @@ class Cycler:
         ``where`` filters raw counts of main and auxiliary records before anything is computed,
         so steps are numbered within what it keeps. ``step_scope="row"`` numbers the joined rows,
         where a step start counts once per channel; ``"record"`` numbers records before the join.
-        ``complete`` adds to ``main_columns`` whatever the conversions need.
+        ``complete`` adds to ``main_columns`` whatever the conversions need; with ``strict``, a
+        conversion whose inputs are missing is an error.
         """
         tune(self.tables.spark)
         dev_uid = test["dev_uid"]
         main = self.get_main_data(test, where, self._main_columns(dev_uid, main_columns, complete))
         aux = self.get_aux_data(test, where, AUX_COLUMNS if aux_columns is None else list(aux_columns))
-        main = transform_main(main, self.version, dev_uid)
+        main = transform_main(main, self.version, dev_uid, strict=strict)
         main = _slim(main, [])
         if aux is not None:
             aux = _slim(transform_aux(aux, self.version, dev_uid), [])
@@ -123,6 +125,8 @@ class Cycler:
         main_columns: Mapping[str, Sequence[str]] | None = None,
         aux_columns: Sequence[str] | None = None,
         step_scope: str = "row",
+        complete: bool = False,
+        strict: bool = False,
         layout: Layout = Layout(),
     ) -> DataFrame:
         """``get_data`` of many tests (rows of the catalogue; all by default) in one plan.
@@ -130,7 +134,7 @@ class Cycler:
         The result starts with the identity of the test. ``main_columns`` is by device type.
         """
         tune(self.tables.spark)
-        main, aux = self.fleet_parts(chosen, where, main_columns, aux_columns)
+        main, aux = self.fleet_parts(chosen, where, main_columns, aux_columns, complete, strict)
         return _published(_with_steps(main, aux, IDENTITY, step_scope, layout), IDENTITY)
 
     def fleet_parts(
@@ -139,6 +143,8 @@ class Cycler:
         where: Where = None,
         main_columns: Mapping[str, Sequence[str]] | None = None,
         aux_columns: Sequence[str] | None = None,
+        complete: bool = False,
+        strict: bool = False,
     ) -> tuple[DataFrame, DataFrame | None]:
         """Converted main and auxiliary records of many tests, with the tests' identity."""
         routes = plan_routes(unordered_tests(self.tables, self.version) if chosen is None else chosen)
@@ -148,9 +154,9 @@ class Cycler:
         asked_aux = AUX_COLUMNS if aux_columns is None else list(aux_columns)
         mains, auxes = [], []
         for device in devices:
-            columns = self._main_columns(device, (main_columns or {}).get(device), False)
+            columns = self._main_columns(device, (main_columns or {}).get(device), complete)
             main = fleet_records(self.tables, self.version, routes, device, "main", columns, where)
-            main = transform_main(main, self.version, device)
+            main = transform_main(main, self.version, device, strict=strict)
             if "test_tmp" in columns:
                 # as for a single test: without an auxiliary table there is no temperature
                 main = main.withColumn("test_tmp", F.when(F.col("has_aux"), F.col("test_tmp")))

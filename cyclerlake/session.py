@@ -31,14 +31,14 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     context = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         shared = tempfile.mkdtemp(prefix="cyclerlake-")
     return f"{shared.rstrip('/')}/cyclerlake/{purpose}-{uuid.uuid4().hex}"
 
 
 def landed(df: DataFrame, purpose: str) -> DataFrame:
-    """Write a small intermediate table to the shared folder and read it back.
+    """Write an intermediate table to the shared folder and read it back.
 
     Several steps of a plan can then use it without computing it again, its size is known to
     the optimizer, and lost executors cost nothing. Runs a job.

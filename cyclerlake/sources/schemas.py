@@ -11,49 +11,61 @@ from pyspark.sql import types as T
 from cyclerlake.functions.conversions import combination
 from cyclerlake.functions.predicates import quoted
 
-# Column lists of the tester's record tables (L bigint, D double, T timestamp_ntz).
-MAIN_24 = """
-unit_id L, chl_id L, test_id L, seq_id L, cycle L, step_id L, step_type L, step_changecount L,
-work_type L, test_time L, test_vol L, test_cur L, test_ir L, test_tmp L,
-factor_capchg L, test_capchg L, factor_engchg L, test_engchg L,
-factor_capdchg L, test_capdchg L, factor_engdchg L, test_engdchg L,
-cur_step_range {range}, test_atime T, dataupdate T
+# Columns of the tester's record tables, in their order.
+MAIN_0760_24 = """
+unit_id BIGINT, chl_id BIGINT, test_id BIGINT, seq_id BIGINT, cycle BIGINT, step_id BIGINT, step_type BIGINT,
+step_changecount BIGINT, work_type BIGINT, test_time BIGINT, test_vol BIGINT, test_cur BIGINT,
+test_ir BIGINT, test_tmp BIGINT, factor_capchg BIGINT, test_capchg BIGINT, factor_engchg BIGINT,
+test_engchg BIGINT, factor_capdchg BIGINT, test_capdchg BIGINT, factor_engdchg BIGINT, test_engdchg BIGINT,
+cur_step_range BIGINT, test_atime TIMESTAMP_NTZ, dataupdate TIMESTAMP_NTZ
 """
-MAIN_26 = """
-seq_id L, cycle L, step_id L, step_type L, step_changecount L, work_type L,
-test_time L, test_vol D, test_cur D, test_ir L, test_tmp L,
-test_capchg D, test_engchg D, test_capdchg D, test_engdchg D, total_cap D, total_eng D,
-cur_step_range D, test_atime T, dataupdate T,
-step_index L, run_index L, time_interval L, total_time L, atime_ms L
+AUX_0760_24 = """
+unit_id BIGINT, chl_id BIGINT, auxchl_id BIGINT, data_flag BIGINT, test_id BIGINT, seq_id BIGINT,
+cycle BIGINT, step_id BIGINT, step_type BIGINT, step_changecount BIGINT, work_type BIGINT, test_time BIGINT,
+test_vol BIGINT, test_cur BIGINT, test_ir BIGINT, test_tmp BIGINT, factor_capchg BIGINT, test_capchg BIGINT,
+factor_engchg BIGINT, test_engchg BIGINT, factor_capdchg BIGINT, test_capdchg BIGINT, factor_engdchg BIGINT,
+test_engdchg BIGINT, cur_step_range BIGINT, test_atime TIMESTAMP_NTZ, dataupdate TIMESTAMP_NTZ
 """
-AUX_26 = """
-auxchl_id L, data_flag L, seq_id L, cycle L, step_id L, step_type L, step_changecount L, work_type L,
-test_time L, test_vol D, test_cur D, test_ir L, test_tmp L,
-test_capchg L, test_engchg L, test_capdchg L, test_engdchg L, total_cap L, total_eng L,
-cur_step_range D, test_atime T, dataupdate T
+MAIN_0800_24 = """
+unit_id BIGINT, chl_id BIGINT, test_id BIGINT, seq_id BIGINT, cycle BIGINT, step_id BIGINT, step_type BIGINT,
+step_changecount BIGINT, work_type BIGINT, test_time BIGINT, test_vol BIGINT, test_cur BIGINT,
+test_ir BIGINT, test_tmp BIGINT, factor_capchg BIGINT, test_capchg BIGINT, factor_engchg BIGINT,
+test_engchg BIGINT, factor_capdchg BIGINT, test_capdchg BIGINT, factor_engdchg BIGINT, test_engdchg BIGINT,
+cur_step_range DOUBLE, test_atime TIMESTAMP_NTZ, dataupdate TIMESTAMP_NTZ
+"""
+AUX_0800_24 = """
+unit_id BIGINT, chl_id BIGINT, auxchl_id BIGINT, data_flag BIGINT, test_id BIGINT, seq_id BIGINT,
+cycle BIGINT, step_id BIGINT, step_type BIGINT, step_changecount BIGINT, work_type BIGINT, test_time BIGINT,
+test_vol BIGINT, test_cur BIGINT, test_ir BIGINT, test_tmp BIGINT, test_capchg BIGINT, test_engchg BIGINT,
+test_capdchg BIGINT, test_engdchg BIGINT, cur_step_range DOUBLE, test_atime TIMESTAMP_NTZ,
+dataupdate TIMESTAMP_NTZ
+"""
+MAIN_0800_26 = """
+seq_id BIGINT, cycle BIGINT, step_id BIGINT, step_type BIGINT, step_changecount BIGINT, work_type BIGINT,
+test_time BIGINT, test_vol DOUBLE, test_cur DOUBLE, test_ir BIGINT, test_tmp BIGINT, test_capchg DOUBLE,
+test_engchg DOUBLE, test_capdchg DOUBLE, test_engdchg DOUBLE, total_cap DOUBLE, total_eng DOUBLE,
+cur_step_range DOUBLE, test_atime TIMESTAMP_NTZ, dataupdate TIMESTAMP_NTZ, step_index BIGINT,
+run_index BIGINT, time_interval BIGINT, total_time BIGINT, atime_ms BIGINT
+"""
+AUX_0800_26 = """
+auxchl_id BIGINT, data_flag BIGINT, seq_id BIGINT, cycle BIGINT, step_id BIGINT, step_type BIGINT,
+step_changecount BIGINT, work_type BIGINT, test_time BIGINT, test_vol DOUBLE, test_cur DOUBLE,
+test_ir BIGINT, test_tmp BIGINT, test_capchg BIGINT, test_engchg BIGINT, test_capdchg BIGINT,
+test_engdchg BIGINT, total_cap BIGINT, total_eng BIGINT, cur_step_range DOUBLE, test_atime TIMESTAMP_NTZ,
+dataupdate TIMESTAMP_NTZ
 """
-AUX_EXTRA = "auxchl_id L, data_flag L,"
 
-LETTERS = {"L": T.LongType(), "D": T.DoubleType(), "T": T.TimestampNTZType()}
+TYPES = {"BIGINT": T.LongType(), "DOUBLE": T.DoubleType(), "TIMESTAMP_NTZ": T.TimestampNTZType()}
 
 
-def _struct(text: str, without: str | None = None) -> T.StructType:
-    fields = [entry.split() for entry in text.replace("\n", " ").split(",")]
-    return T.StructType(
-        [T.StructField(name, LETTERS[letter]) for name, letter in fields if not (without and name.startswith(without))]
-    )
+def _struct(text: str) -> T.StructType:
+    return T.StructType([T.StructField(name, TYPES[kind]) for name, kind in map(str.split, text.split(","))])
 
 
 SCHEMAS = {
-    "0760-24": {
-        "main": _struct(MAIN_24.format(range="L")),
-        "aux": _struct(AUX_EXTRA + MAIN_24.format(range="L")),
-    },
-    "0800-24": {
-        "main": _struct(MAIN_24.format(range="D")),
-        "aux": _struct(AUX_EXTRA + MAIN_24.format(range="D"), without="factor_"),
-    },
-    "0800-26": {"main": _struct(MAIN_26), "aux": _struct(AUX_26)},
+    "0760-24": {"main": _struct(MAIN_0760_24), "aux": _struct(AUX_0760_24)},
+    "0800-24": {"main": _struct(MAIN_0800_24), "aux": _struct(AUX_0800_24)},
+    "0800-26": {"main": _struct(MAIN_0800_26), "aux": _struct(AUX_0800_26)},
 }
 
 
@@ -63,7 +75,10 @@ def record_schema(version: str, dev_uid: int | str, kind: str) -> T.StructType:
 
 
 def impose(df: DataFrame, schema: T.StructType, columns: Iterable[str] | None = None) -> DataFrame:
-    """Cast the declared columns that are present; leave the others as they are."""
+    """Cast the declared columns that are present; leave the others as they are.
+
+    An instant becomes its clock time in UTC, whatever the session zone.
+    """
     only = None if columns is None else set(columns)
     declared = {f.name: f.dataType for f in schema if only is None or f.name in only}
 
@@ -71,6 +86,9 @@ def impose(df: DataFrame, schema: T.StructType, columns: Iterable[str] | None =
         name = quoted(field.name)
         if declared.get(field.name, field.dataType) == field.dataType:
             return name
+        if isinstance(field.dataType, T.TimestampType) and isinstance(declared[field.name], T.TimestampNTZType):
+            seconds = f"CAST(CAST(unix_micros({name}) AS decimal(20, 0)) / 1000000 AS decimal(18, 6))"
+            return f"TIMESTAMP_NTZ'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {seconds}) AS {name}"
         return f"CAST({name} AS {declared[field.name].simpleString()}) AS {name}"
 
     return df.selectExpr(*map(typed, df.schema))

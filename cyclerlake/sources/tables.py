@@ -7,6 +7,7 @@ part of the plan and reach the scan.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from typing import Any
 
@@ -56,11 +57,26 @@ class Tables:
         return pick(self.stream(name), columns, where)
 
     def query(self, text: str, schema: T.StructType | None = None) -> DataFrame:
-        """Run SQL over the tables, each visible under its own name."""
-        for name in self.names():
-            if name in text:
+        """Run SQL over the tables, each visible under its own name while the text is analysed.
+
+        Temporary views that the session has under such names are back afterwards.
+        """
+        used = [name for name in self.names() if re.search(rf"(?<!\w){re.escape(name)}(?!\w)", text)]
+        before = {name: self.spark.table(name) for name in used if self._is_view(name)}
+        try:
+            for name in used:
                 self.frame(name).createOrReplaceTempView(name)
-        return self._typed(self.spark.sql(text), schema)
+            found = self.spark.sql(text)
+        finally:
+            for name in used:
+                if name in before:
+                    before[name].createOrReplaceTempView(name)
+                else:
+                    self.spark.catalog.dropTempView(name)
+        return self._typed(found, schema)
+
+    def _is_view(self, name: str) -> bool:
+        return self.spark.catalog.tableExists(name) and self.spark.catalog.getTable(name).isTemporary
 
     @staticmethod
     def _typed(df: DataFrame, schema: T.StructType | None) -> DataFrame:

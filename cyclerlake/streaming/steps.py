@@ -1,15 +1,16 @@
 """Step features over a stream of records.
 
-Per test the stream remembers five numbers: step starts so far, where the last step began, the
-first and last ``seq_id``, the first second. A micro-batch is numbered with the batch operator
+Per test the stream remembers: step starts so far, where the last step began, the first
+``seq_id``, the first second, and ``seq_id`` and channel of the last record. A micro-batch is numbered with the batch operator
 starting from those numbers, so a long test is spread over tasks here too.
 
 The numbers live in a table beside the output, in two slots used in turn: batch N reads slot
 N-1 and writes slot N. Output and slot are overwritten per batch, which makes a repeated batch
 harmless.
 
-Records of a test must arrive in ``seq_id`` order from batch to batch. A late record would
-change numbers already written, so it is an error.
+Records of a test must arrive in the order of ``seq_id`` and channel from batch to batch; a batch
+may end between channels of a record. Null ids come first, as in a batch. A late record, and one
+equal in both to the last, would change numbers already written, so it is an error.
 """
 
 from __future__ import annotations
@@ -22,14 +23,14 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from cyclerlake.operators.chunks import Layout
-from cyclerlake.operators.features import add_step_features, summarise
+from cyclerlake.operators.features import CARRY, add_step_features, summarise
 from cyclerlake.session import landed
 
-STATE = ["_zeros", "_start", "_first", "_t0", "_last"]
+SEEN = T.StructType([T.StructField("seq_id", T.LongType()), T.StructField("channel", T.LongType())])
 
 
 class LateRecordsError(ValueError):
-    """A record arrived after one of its test with a higher ``seq_id``."""
+    """A record arrived after one that it does not follow in order."""
 
 
 def _slot(folder: str, batch_id: int) -> str:
@@ -37,7 +38,8 @@ def _slot(folder: str, batch_id: int) -> str:
 
 
 def _state_before(spark: SparkSession, folder: str, batch_id: int, keys: T.StructType) -> DataFrame:
-    schema = T.StructType([*keys, *(T.StructField(name, T.LongType()) for name in [*STATE, "_batch"])])
+    numbers = [T.StructField(name, T.LongType()) for name in [*CARRY, "_batch"]]
+    schema = T.StructType([*keys, *numbers, T.StructField("_last", SEEN)])
     if batch_id == 0:
         return spark.createDataFrame([], schema)
     kept = spark.read.schema(schema).parquet(_slot(folder, batch_id - 1))
@@ -46,8 +48,8 @@ def _state_before(spark: SparkSession, folder: str, batch_id: int, keys: T.Struc
 
 def _merge(state: DataFrame, batch: DataFrame, by: Sequence[str]) -> DataFrame:
     return (
-        state.select(*by, *STATE)
-        .unionByName(batch.select(*by, *STATE))
+        state.select(*by, *CARRY, "_last")
+        .unionByName(batch.select(*by, *CARRY, "_last"))
         .groupBy(*by)
         .agg(
             F.sum("_zeros").alias("_zeros"),
@@ -65,12 +67,18 @@ def step_batch(by: Sequence[str], folder: str, layout: Layout = Layout()) -> Cal
         keys = T.StructType([batch.schema[key] for key in by])
         state = _state_before(spark, f"{folder}/state", batch_id, keys)
 
-        summary = landed(summarise(batch, by), "batch-summary")
+        channel = "CAST(auxchl_id AS bigint)" if "auxchl_id" in batch.columns else "CAST(NULL AS bigint)"
+        order = F.expr(f"struct(CAST(seq_id AS bigint) AS seq_id, {channel} AS channel)")
+        ends = batch.select(*by, order.alias("_at")).groupBy(*by).agg(F.min("_at").alias("_from"), F.max("_at").alias("_last"))
+        ends = ends.withColumnsRenamed({k: f"_e_{k}" for k in by})
+        numbers = summarise(batch, by).drop("_last")
+        same = [F.col(k).eqNullSafe(F.col(f"_e_{k}")) for k in by] or [F.lit(True)]
+        summary = landed(numbers.join(ends, same).select(*by, *CARRY, "_from", "_last"), "batch-summary")
         known = state.select(*(F.col(k).alias(f"_k_{k}") for k in by), F.col("_last").alias("_seen"))
         late = (
-            summary.select(*by, "_first")
-            .join(known, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in by])
-            .where(F.col("_first") <= F.col("_seen"))
+            summary.select(*by, "_from")
+            .join(known, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in by] or [F.lit(True)])
+            .where(F.col("_from") <= F.col("_seen"))
             .select(*by)
             .limit(1)
             .collect()

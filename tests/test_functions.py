@@ -188,3 +188,18 @@ def test_vocabulary_errors(spark):
         vocabulary.convert(df, "nope", "nope")
     with pytest.raises(ValueError, match="duplicate"):
         vocabulary.convert(df, "bts", "code")
+
+
+@pytest.mark.parametrize("name", ["UTC", "Europe/Oslo", "America/New_York"])
+def test_epoch_is_the_same_in_any_zone(spark, zone, name):
+    from cyclerlake.functions.conversions import transform_main
+    from cyclerlake.sources.schemas import impose, record_schema
+
+    zone(name)
+    instants = spark.sql("SELECT explode(array(1704067200.25D, -0.5D, 1711848600.9D, 1729990800D)) AS at").selectExpr("timestamp_micros(CAST(at * 1000000 AS bigint)) AS test_atime")
+    for frame in (instants, impose(instants, record_schema("0800", 240001, "main"))):
+        got = transform_main(frame, "0800", 260001).select("unix_time").collect()
+        assert [r.unix_time for r in got] == [1704067200, -1, 1711848600, 1729990800]
+    clock = impose(instants, record_schema("0800", 240001, "main"))
+    assert dict(clock.dtypes)["test_atime"] == "timestamp_ntz"
+    assert str(clock.first().test_atime) == "2024-01-01 00:00:00.250000"

@@ -261,3 +261,55 @@ def test_rows_are_shuffled_once(spark):
         assert carrying
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def tied(seed):
+    """Different rows of one id: channels, starts and values in any order."""
+    rng = random.Random(seed)
+    return [(rng.randint(0, 1), rng.choice([None, 1, 1, 2]), rng.choice([None, 1, 2, 3]), rng.choice([None, 0, 0, 4]), rng.randint(0, 40)) for _ in range(120)]
+
+
+def low(value):
+    return (value is not None, value or 0)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_ties_are_counted_in_one_order_at_every_size(spark, seed):
+    rng = random.Random(seed)
+    rows = tied(seed)
+    want = []
+    for test in (0, 1):
+        count = 0
+        for row in sorted((r for r in rows if r[0] == test), key=lambda r: tuple(map(low, r))):
+            count += row[3] == 0
+            want.append((*row, count))
+    frame = spark.createDataFrame(rows, "test int, seq_id long, auxchl_id long, test_time long, test_vol long")
+    layouts = [Layout(), Layout(rng.randint(1, 5), rng.randint(0, 30)), Layout(1, rng.randint(0, 5), rng.randint(3, 50), rng.randint(1, 2))]
+    for layout in layouts:
+        got = add_step_features(frame, ["test"], layout).select("test", "seq_id", "auxchl_id", "test_time", "test_vol", "step_count")
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+
+
+def test_starts_grow_with_chunks_not_records(spark, monkeypatch):
+    from cyclerlake.operators import features
+
+    rows = spark.range(4000).selectExpr("id div 64 AS seq_id", "id % 64 AS auxchl_id", "id % 7 AS test_time")
+    counted, landed = {}, features.landed
+
+    def counting(df, purpose):
+        out = landed(df, purpose)
+        counted[purpose] = out.count()
+        return out
+
+    monkeypatch.setattr(features, "landed", counting)
+    add_step_features(rows, [], Layout(chunk_records=10, hot_rows=100)).collect()
+    chunks, parts = -(-63 // 10), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert counted["chunk-starts"] <= chunks + parts
+
+
+def test_first_and_last_of_tied_records(spark):
+    rows = [(0, 1, 1, None, 0.7, 1), (0, 1, 1, 2, 0.5, 2), (0, 1, 1, 2, 0.9, None), (0, None, 1, 9, 0.1, None)]
+    schema = "test int, seq_id long, step_count long, auxchl_id long, test_time double, test_capchg long"
+    for order in (rows, rows[::-1]):
+        got = summarise_steps(spark.createDataFrame(order, schema), ["test"]).first()
+        assert (got.test_time_first, got.test_time_last, got.test_capchg) == (0.1, 0.9, 2)

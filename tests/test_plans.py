@@ -147,3 +147,43 @@ def test_export_splits_long_tests(cycler, tmp_path):
     assert len(list(folder.glob("*.parquet"))) >= 4
     with pytest.raises(ValueError, match="export"):
         export_tests(cycler.get_fleet(), str(tmp_path / "other"), "feather")
+
+
+def test_a_chosen_test_prunes_the_scan(spark, tmp_path):
+    rows = spark.range(3000).selectExpr(
+        "id % 3 AS unit_id", "id % 3 AS chl_id", "id % 30 AS test_id", "id AS seq_id", "id % 9 AS test_time", "CAST(id AS double) AS test_vol"
+    )
+    rows.write.parquet(f"{tmp_path}/rec")
+    spark.sql("SELECT '0800' AS version").write.parquet(f"{tmp_path}/db_ver")
+    test = "SELECT 260001L AS dev_uid, 1L AS unit_id, 1L AS chl_id, 4L AS test_id, 'rec' AS main_first_table"
+    spark.sql(test).write.parquet(f"{tmp_path}/test")
+    db = cl.connect(cl.FileTables(spark, {n: f"{tmp_path}/{n}" for n in ("rec", "db_ver", "test")}))
+    main, _ = db.fleet_parts(db.tests(), main_columns={"26": ["seq_id", "test_time", "test_vol"]})
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    plan = main._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = next(line for line in plan.split("\n") if "FileScan" in line and "seq_id" in line)
+    assert "GreaterThanOrEqual(test_id,4)" in pushed and "LessThanOrEqual(test_id,4)" in pushed
+    assert main.count() == 100
+
+
+def test_fleet_completes_columns_and_can_be_strict(spark, tmp_path):
+    rows = spark.range(100).selectExpr(
+        "1L AS unit_id", "1L AS chl_id", "1L AS test_id", "id AS seq_id", "id % 9 AS test_time", "id AS test_vol", "id AS test_cur",
+        "100D AS cur_step_range",
+    )
+    test = spark.sql("SELECT 240001L AS dev_uid, 1L AS unit_id, 1L AS chl_id, 1L AS test_id, 'rec' AS main_first_table")
+    db = cl.Cycler(cl.FrameTables(spark, {"rec": rows, "test": test}), "0800")
+    asked = {"24": ["seq_id", "test_time", "test_cur"]}
+    with pytest.raises(ValueError, match="raw counts"):
+        db.fleet_parts(test, main_columns=asked, strict=True)
+    assert db._main_columns("240001", ["test_cur"], True).count("cur_step_range") == 1
+
+
+def test_sql_text_leaves_views_alone(spark):
+    spark.range(3).createOrReplaceTempView("rec")
+    t = cl.FrameTables(spark, {"rec": spark.range(5), "re": spark.range(7)})
+    assert t.query("SELECT count(*) AS n FROM rec").first().n == 5
+    assert spark.table("rec").count() == 3
+    assert not spark.catalog.tableExists("re")
+    spark.catalog.dropTempView("rec")

@@ -76,3 +76,28 @@ def test_chunks_are_bounded_and_complete(spark, chunksize):
 def test_chunksize_must_be_positive(spark):
     with pytest.raises(ValueError):
         map_chunks(spark.range(1), lambda f: f, "id long", 0)
+
+
+CUT = "seq_id long, auxchl_id long, test_time long"
+
+
+def test_batches_may_end_between_channels(spark, tmp_path):
+    from cyclerlake.operators.features import add_step_features
+    from cyclerlake.streaming.steps import read_steps, step_batch
+
+    rows = [(None, 1, 0), (1, None, 0), (1, 1, 0), (1, 2, 0), (2, 1, 1), (2, 2, 0), (3, 1, 1)]
+    run = step_batch([], str(tmp_path))
+    for number, batch in enumerate([rows[:2], rows[2:3], rows[3:6], rows[6:]]):
+        run(spark.createDataFrame(batch, CUT), number)
+    want = add_step_features(spark.createDataFrame(rows, CUT)).collect()
+    assert sorted(map(str, read_steps(spark, str(tmp_path)).collect())) == sorted(map(str, want))
+
+
+@pytest.mark.parametrize("late", [(None, 1, 0), (1, 1, 5), (1, None, 5), (1, 2, 5)])
+def test_late_and_null_ids_are_errors(spark, tmp_path, late):
+    from cyclerlake.streaming.steps import LateRecordsError, step_batch
+
+    run = step_batch([], str(tmp_path))
+    run(spark.createDataFrame([(1, 1, 0), (1, 2, 0)], CUT), 0)
+    with pytest.raises(LateRecordsError):
+        run(spark.createDataFrame([late], CUT), 1)
