@@ -11,7 +11,7 @@ whose hash is smallest, so that about ``SAMPLE_ROWS`` are taken; fewer labels ar
 reads every document whole.
 
 Defined results: null and empty texts score what the bias says. A label that is neither 0 nor 1 is
-not used; repeated labels of a document are one example each. Without any toxic example every
+not used; equal labels of a document are one example, different ones are one each. Without any toxic example every
 score is 0. Labels of ids that no document has, and documents with null id, are not learned from;
 a null id is not in the held-out fold. Equal texts have equal scores. An empty table gives no rows.
 Other columns are not read, or passed through by ``accepted``.
@@ -144,12 +144,13 @@ def fit(examples: list[tuple[np.ndarray, int]], bits: int = BITS, passes: int =
 def sample(docs: DataFrame, labels: DataFrame, rows: int, key: str, text: str, label: str) -> DataFrame:
     """``place, text, label`` of about ``rows`` labelled documents at most, none of them held out."""
     told = labels.where((fold_of(key) != HELD_OUT) & F.col(label).isin(0, 1)).select(F.col(key).alias("id"), F.col(label).alias("label"))
-    told = told.withColumn("place", F.xxhash64(F.col("id").cast("string")))
+    told = told.distinct().withColumn("place", F.xxhash64(F.col("id").cast("string")))
     share = min(1.0, rows / max(1, told.count()))
     # hashes are spread evenly: the smallest ones are this share of all
     told = told.where(F.col("place") <= int(share * 2**64) - 2**63 - (share == 1.0))
     texts = docs.select(F.col(key).alias("id"), whole_text(text).alias("text"))
-    return texts.join(told, "id").select("place", "id", "text", "label")
+    # at most two labels per id, so the sample has about as many rows as asked for
+    return texts.join(F.broadcast(told), "id").select("place", "id", "text", "label")
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, key: str = "doc_id", text: str = "text", label: str = "toxic") -> tuple[np.ndarray, np.ndarray]:
