@@ -795,6 +795,20 @@ def chunked_work(spark, sf_dir):
     return map_chunks(raw, volts, "test_id bigint, seq_id bigint, volt double", chunksize=3000)
 
 
+@check(
+    "chunk_sizes",
+    """SELECT CAST(least(1700, n - 1700 * i) AS BIGINT) AS n_rows
+FROM (SELECT n, unnest(range(0, CAST(ceil(n / 1700.0) AS BIGINT))) AS i FROM (SELECT count(*) AS n FROM events) c) d""",
+)
+def chunk_sizes(spark, sf_dir):
+    def size(frame):
+        return frame.head(1).assign(n_rows=len(frame))[["n_rows"]]
+
+    # one partition, so that the sizes are known
+    one = files(spark, sf_dir, "events").get_table("events", "event_id").coalesce(1)
+    return map_chunks(one, size, "n_rows bigint", chunksize=1700)
+
+
 # -- reports and exports --------------------------------------------------------------------------
 
 
