@@ -538,6 +538,20 @@ def aux_join(spark, sf_dir):
     return join_aux(*fanout_sides(spark, sf_dir), ["test_id"], FINE)
 
 
+# an id with ten main rows and up to ten channels
+COPIES_MAIN_SQL = "SELECT user_id % 3 AS test_id, CAST(floor(event_id / 40) AS BIGINT) AS seq_id, event_id AS test_vol FROM events WHERE event_id % 4 = 0"
+COPIES_AUX_SQL = """SELECT user_id % 3 AS test_id, CAST(floor(event_id / 40) AS BIGINT) AS seq_id, event_id % 40 AS auxchl_id
+FROM events WHERE event_id % 4 = 1"""
+
+
+@check("aux_join_copies", f"SELECT test_id, seq_id, test_vol, auxchl_id FROM ({COPIES_MAIN_SQL}) m LEFT JOIN ({COPIES_AUX_SQL}) a USING (test_id, seq_id)")
+def aux_join_copies(spark, sf_dir):
+    """Chunks whose sides are below the limit, but not their join."""
+    source = files(spark, sf_dir, "events")
+    layout = Layout(chunk_records=10, hot_rows=60, task_rows=50)
+    return join_aux(source.query(COPIES_MAIN_SQL), source.query(COPIES_AUX_SQL), ["test_id"], layout)
+
+
 @check("step_features_fanout", steps_sql(FANOUT_SQL, "test_id", "seq_id, auxchl_id"))
 def step_features_fanout(spark, sf_dir):
     return join_aux_with_steps(*fanout_sides(spark, sf_dir), ["test_id"], FINE)

@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,7 +44,7 @@ def _weight(df: DataFrame) -> str:
     return COPIES if COPIES in df.columns else "1L"
 
 
-def summarise(df: DataFrame, keys: Sequence[str], total_time: bool = True) -> DataFrame:
+def summarise(df: DataFrame, keys: Sequence[str], total_time: bool = True, more: Sequence[Column] = ()) -> DataFrame:
     """What a set of records contributes to the records after it."""
     weight = _weight(df)
     # the clock is a wide column to read, so only when elapsed time is asked for
@@ -56,6 +56,7 @@ def summarise(df: DataFrame, keys: Sequence[str], total_time: bool = True) -> Da
         F.expr("min(seq_id) AS _first"),
         F.expr("max(seq_id) AS _last"),
         F.expr(f"min({seconds}) AS _t0"),
+        *more,
     )
 
 

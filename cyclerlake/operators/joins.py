@@ -12,10 +12,14 @@ from cyclerlake.operators.chunks import (
     CHUNK,
     COPIES,
     Layout,
+    both_sides,
     chunk_counts,
     collapse_copies,
+    cut_side,
     expand_copies,
+    joined_counts,
     measure,
+    sign_sums,
     split_hot,
     with_chunk,
 )
@@ -28,15 +32,18 @@ def _right_names(main: DataFrame, aux: DataFrame, keys: Sequence[str]) -> DataFr
     return aux.withColumnsRenamed({c: f"{c}_right" for c in aux.columns if c in main.columns and c not in keys})
 
 
-def _hot_join(main: DataFrame, aux: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _hot_join(main: DataFrame, aux: DataFrame, keys: Sequence[str], hot: DataFrame, by: Sequence[str]) -> DataFrame:
     """Left join of hot chunks on collapsed copies.
 
-    An inner join can be split by adaptive execution on whichever side is skewed, a left join
-    only on its left side; so matches and misses are computed apart.
+    Both sides of a chunk are cut by content into as many parts as its join needs tasks for, so
+    that also the pairs of one id are spread. Matches and misses are computed apart: adaptive
+    execution can split an inner join on whichever side is skewed, a left join only on its left.
     """
     few_main, few_aux = collapse_copies(main), collapse_copies(aux)
-    pairs = few_main.join(few_aux.withColumnRenamed(COPIES, "_aux_copies"), keys, "inner")
-    pairs = pairs.withColumn(COPIES, F.expr(f"{COPIES} * _aux_copies")).drop("_aux_copies")
+    left = cut_side(few_main, hot, by, "_main_part", "_aux_part")
+    right = cut_side(few_aux.withColumnRenamed(COPIES, "_aux_copies"), hot, by, "_aux_part", "_main_part")
+    pairs = left.join(right, [*keys, "_main_part", "_aux_part"], "inner")
+    pairs = pairs.withColumn(COPIES, F.expr(f"{COPIES} * _aux_copies")).drop("_aux_copies", "_main_part", "_aux_part")
     misses = few_main.join(few_aux.select(*keys).distinct(), keys, "left_anti")
     return pairs.unionByName(misses, allowMissingColumns=True)
 
@@ -46,8 +53,8 @@ def join_aux(main: DataFrame, aux: DataFrame, by: Sequence[str] = (), layout: La
     keys = ["seq_id", CHUNK, *reversed(by)]
     columns = main.columns
     main, aux = with_chunk(main, layout), with_chunk(_right_names(main, aux, keys), layout)
-    counts = landed(chunk_counts(main, by).unionByName(chunk_counts(aux, by)), "chunk-counts")
-    measured = measure(counts, by, layout)
+    counts = joined_counts(both_sides(chunk_counts(main, by), chunk_counts(aux, by)), by)
+    measured = measure(landed(counts, "chunk-counts"), by, layout)
     hot = measured.hot
     (cold_main, hot_main), (cold_aux, hot_aux) = split_hot(main, hot, by), split_hot(aux, hot, by)
     place = [CHUNK, *reversed(by)]
@@ -55,7 +62,7 @@ def join_aux(main: DataFrame, aux: DataFrame, by: Sequence[str] = (), layout: La
         cold_main, cold_aux = measured.lay_out(cold_main, place), measured.lay_out(cold_aux, place)
     hot_joined = None
     if hot is not None:
-        hot_joined = expand_copies(_hot_join(hot_main, hot_aux, keys), partitions=measured.partitions)
+        hot_joined = expand_copies(_hot_join(hot_main, hot_aux, keys, hot, by), partitions=measured.partitions)
     joined = Parts(cold_main.join(cold_aux, keys, "left"), hot_joined).whole()
     extra = [c for c in joined.columns if c not in columns]
     return joined.select(*map(quoted, [*columns, *extra]))
@@ -81,10 +88,9 @@ def join_aux_with_steps(
     main, aux = with_chunk(main, layout), with_chunk(_right_names(main, aux, keys), layout)
 
     # one narrow pass over each side: what chunks contribute, and which are too large
-    sides = summarise(main, place, total_time).selectExpr("*", "'main' AS _side")
-    sides = sides.unionByName(chunk_counts(aux, by).selectExpr("*", "'aux' AS _side"), allowMissingColumns=True)
+    sides = both_sides(summarise(main, place, total_time, sign_sums()), chunk_counts(aux, by))
     sides = landed(sides, "chunk-summary")
-    measured = measure(sides, by, layout)
+    measured = measure(landed(joined_counts(sides, by), "chunk-counts"), by, layout)
     hot = measured.hot
     (cold_main, hot_main), (cold_aux, hot_aux) = split_hot(main, hot, by), split_hot(aux, hot, by)
     summary, _ = split_hot(sides.where("_side = 'main'"), hot, by)
@@ -95,7 +101,7 @@ def join_aux_with_steps(
         steps = number_steps(laid_main, summary, hot_main, by, **options)
         joined, hot_joined = steps.cold.join(laid_aux, keys, "left"), None
         if hot is not None:
-            hot_joined = expand_copies(_hot_join(steps.hot, hot_aux, keys), partitions=measured.partitions)
+            hot_joined = expand_copies(_hot_join(steps.hot, hot_aux, keys, hot, by), partitions=measured.partitions)
         return Parts(joined, hot_joined).whole()
 
     # Joining repeats a record per channel and counts its step start as often. Only step starts
@@ -113,5 +119,5 @@ def join_aux_with_steps(
         )
     )
     joined = laid_main.join(laid_aux, keys, "left")
-    hot_joined = None if hot is None else _hot_join(hot_main, hot_aux, keys)
+    hot_joined = None if hot is None else _hot_join(hot_main, hot_aux, keys, hot, by)
     return number_steps(joined, summary, hot_joined, by, **options).whole()

@@ -313,3 +313,30 @@ def test_first_and_last_of_tied_records(spark):
     for order in (rows, rows[::-1]):
         got = summarise_steps(spark.createDataFrame(order, schema), ["test"]).first()
         assert (got.test_time_first, got.test_time_last, got.test_capchg) == (0.1, 0.9, 2)
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_product_of_copies_and_channels_is_spread(spark, same):
+    layout = Layout(hot_rows=5000, task_rows=2000)
+    text = "SELECT 1 AS test, 7L AS seq_id, CAST(id % 2 AS bigint) AS test_time, id AS vol FROM range(300)"
+    main = spark.sql(text.replace("id AS vol", "0L AS vol") if same else text)
+    aux = spark.sql("SELECT 1 AS test, 7L AS seq_id, id AS auxchl_id FROM range(200)")
+    joined = join_aux(main, aux, ["test"], layout).selectExpr("*", "spark_partition_id() AS task")
+    assert joined.select("vol", "test_time", "auxchl_id").distinct().count() == (400 if same else 60_000)
+    per_task = [r["count"] for r in joined.groupBy("task").count().collect()]
+    assert sum(per_task) == 60_000 and max(per_task) < 30_000
+    for scope in ("row", "record"):
+        counted = join_aux_with_steps(main, aux, ["test"], layout, scope, False).agg({"step_count": "max", "*": "count"}).first()
+        assert sorted(counted) == sorted([60_000, 30_000 if scope == "row" else 150])
+
+
+def test_ordinary_joins_are_not_hot(spark, monkeypatch):
+    from cyclerlake.operators import joins
+
+    seen = []
+    keep = joins.measure
+    monkeypatch.setattr(joins, "measure", lambda *given: seen.append(keep(*given)) or seen[-1])
+    main = spark.range(200_000).selectExpr("1 AS test", "id AS seq_id")
+    aux = spark.range(400_000).selectExpr("1 AS test", "id div 2 AS seq_id", "id % 2 AS auxchl_id")
+    join_aux(main, aux, ["test"])
+    assert seen[0].hot is None
