@@ -22,7 +22,7 @@ from cyclerlake.plans.records import RECORD_KEYS, aux_records, main_records
 from cyclerlake.session import tune, work_folder
 from cyclerlake.sources.catalogue import IDENTITY
 from cyclerlake.sources.schemas import impose, record_schema
-from cyclerlake.streaming.chunked import map_chunks
+from cyclerlake.streaming.chunked import map_chunks, query_chunks, table_chunks
 from cyclerlake.streaming.sinks import write_stream
 from cyclerlake.streaming.steps import read_steps, stream_steps
 
@@ -823,6 +823,27 @@ def chunk_sizes(spark, sf_dir):
     return map_chunks(one, size, "n_rows bigint", chunksize=1700)
 
 
+@check("query_chunked", "SELECT user_id, round(sum(value), 4) AS total, count(*) AS n_events FROM events GROUP BY user_id")
+def query_chunked(spark, sf_dir):
+    """A text, a chunk size and work in one call; totals of the chunks are added up."""
+
+    def totals(frame):
+        return frame.groupby("user_id", as_index=False).agg(total=("value", "sum"), n_events=("value", "size"))
+
+    text = "SELECT user_id, value FROM events"
+    parts = query_chunks(files(spark, sf_dir, "events"), text, totals, "user_id bigint, total double, n_events bigint", 1700)
+    return parts.groupBy("user_id").agg(F.round(F.sum("total"), 4).alias("total"), F.sum("n_events").alias("n_events"))
+
+
+@check("table_chunked", "SELECT event_id, user_id + 1 AS next_user FROM events WHERE event_id BETWEEN 100 AND 9000")
+def table_chunked(spark, sf_dir):
+    def following(frame):
+        return frame.assign(next_user=frame["user_id"] + 1)[["event_id", "next_user"]]
+
+    source, where = files(spark, sf_dir, "events"), {"event_id": (100, 9000)}
+    return table_chunks(source, "events", following, "event_id bigint, next_user bigint", ["event_id", "user_id"], where, 1700)
+
+
 # -- reports and exports --------------------------------------------------------------------------
 
 

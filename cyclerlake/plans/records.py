@@ -19,7 +19,7 @@ from cyclerlake.operators.unions import select_union
 from cyclerlake.session import landed
 from cyclerlake.sources.catalogue import IDENTITY
 from cyclerlake.sources.schemas import impose, record_schema
-from cyclerlake.sources.tables import Tables
+from cyclerlake.sources.tables import TABLE, Tables
 
 Test = Mapping[str, Any]
 Where = Mapping[str, Any] | None
@@ -146,17 +146,17 @@ def plan_routes(tests: DataFrame) -> FleetRoutes:
     return FleetRoutes(tests, shared, owned, bounds)
 
 
-def tag_shared(records: DataFrame, tests: DataFrame, count: int) -> DataFrame:
+def tag_shared(records: DataFrame, tests: DataFrame, count: int, keys: Sequence[str] = RECORD_KEYS) -> DataFrame:
     """Keep the records of the given tests and put the tests' identity on them.
 
     A short list of tests is broadcast. A longer one is joined by shuffle with the records of a
     test spread over salts, as one test may hold a large share of all records.
     """
     if count <= BROADCAST_TESTS:
-        return records.join(F.broadcast(tests), RECORD_KEYS, "inner")
+        return records.join(F.broadcast(tests), list(keys), "inner")
     salted = records.withColumn("_salt", F.expr(f"CAST(pmod(xxhash64(seq_id), {SALTS}) AS int)"))
     every = tests.withColumn("_salt", F.expr(f"explode(sequence(0, {SALTS - 1}))"))
-    return salted.join(every, [*RECORD_KEYS, "_salt"], "inner").drop("_salt")
+    return salted.join(every, [*keys, "_salt"], "inner").drop("_salt")
 
 
 def tag_owned(records: DataFrame, owners: Sequence[Test], types: T.StructType) -> DataFrame:
@@ -179,7 +179,10 @@ def fleet_records(
     columns: Sequence[str],
     where: Where = None,
 ) -> DataFrame | None:
-    """Records of all tests of a device type: each table is read once for all its tests."""
+    """Records of all tests of a device type: each table is read once for all its tests.
+
+    Tables owned by single tests are one source where the collection can read them so, else a branch each.
+    """
     schema = record_schema(version, device, kind)
     # shared tables are filtered by the tests' identity, which replaces the caller's
     where_shared = {k: v for k, v in (where or {}).items() if k not in RECORD_KEYS}
@@ -196,11 +199,19 @@ def fleet_records(
             here = (F.col("device") == device) & (F.col(f"{kind}_shared") == table)
             named_here = tests.where(here).select(*carried)
             parts.append(tag_shared(impose(records, schema), named_here, count))
-    for (dev, which, table), owners in sorted(routes.owned.items()):
-        if (dev, which) == (device, kind):
-            records = pick(tables.frame(table), wanted, where)
-            flagged = [{**owner, "has_aux": owner["aux_shared"] is not None} for owner in owners]
-            parts.append(tag_owned(impose(records, schema), flagged, types))
+    owned = {table: owners for (dev, which, table), owners in sorted(routes.owned.items()) if (dev, which) == (device, kind)}
+    joint = tables.together(list(owned)) if owned else None
+    if joint is not None:
+        # one scan, whatever the number of tables
+        records = impose(pick(joint, [*wanted, TABLE], where), schema)
+        own = F.col(f"{kind}_owned")
+        owners = tests.where((F.col("device") == device) & own.isNotNull()).select(*carried, own.alias(TABLE))
+        parts.append(tag_shared(records, owners, sum(map(len, owned.values())), [TABLE]).drop(TABLE))
+        owned = {}
+    for table, owners in owned.items():
+        records = pick(tables.frame(table), wanted, where)
+        flagged = [{**owner, "has_aux": owner["aux_shared"] is not None} for owner in owners]
+        parts.append(tag_owned(impose(records, schema), flagged, types))
     if not parts:
         return None
     return select_union(*parts, columns=[*carried, *wanted])

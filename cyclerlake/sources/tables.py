@@ -12,12 +12,15 @@ from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cyclerlake.functions.predicates import pick
 from cyclerlake.sources.schemas import impose, python_schema
 
 STREAM_CHUNK = 100_000
+# column of ``together`` that names the table
+TABLE = "_table"
 
 
 class Tables:
@@ -32,6 +35,10 @@ class Tables:
     def frame(self, name: str) -> DataFrame:
         raise NotImplementedError
 
+    def together(self, names: Sequence[str]) -> DataFrame | None:
+        """Several tables as one source, their names in column ``TABLE``; ``None`` if they cannot be read so."""
+        return None
+
     def stream(self, name: str) -> DataFrame:
         raise NotImplementedError(f"{type(self).__name__} cannot be read as a stream")
 
@@ -98,7 +105,11 @@ class FrameTables(Tables):
 
 
 class FileTables(Tables):
-    """One path per table. ``schemas`` avoids inference, which csv and json need at scale."""
+    """One path per table. ``schemas`` avoids inference, which csv and json need at scale.
+
+    Tables of one given schema that lie side by side, each in a folder or file of its name, can be
+    read as one source.
+    """
 
     def __init__(
         self,
@@ -125,6 +136,25 @@ class FileTables(Tables):
             reader = reader.schema(self.schemas[name])
         return reader.load(self.paths[name])
 
+    def together(self, names: Sequence[str]) -> DataFrame | None:
+        schemas = [self.schemas.get(name) for name in names]
+        if schemas[0] is None or any(schema != schemas[0] for schema in schemas):
+            return None
+        parents = set()
+        for name in names:
+            parent, _, last = self.paths[name].rstrip("/").rpartition("/")
+            if last not in (name, f"{name}.{self.fmt}") or not re.fullmatch(r"[\w-]+", name):
+                return None
+            parents.add(f"{parent}/")
+        # paths that read the same in the names of files
+        root = parents.pop()
+        if parents or not re.fullmatch(r"([\w+-]+:/)?(/[\w.-]+)+/", root):
+            return None
+        reader = self.spark.read.format(self.fmt).options(**self.options).schema(schemas[0])
+        below = F.split_part(F.col("_metadata.file_path"), F.lit(root), F.lit(2))
+        table = F.regexp_extract(below, r"^[\w-]+", 0)
+        return reader.load([self.paths[name] for name in names]).select("*", table.alias(TABLE))
+
     def stream(self, name: str) -> DataFrame:
         schema = self.schemas[name] if name in self.schemas else self.frame(name).schema
         reader = self.spark.readStream.format(self.fmt).options(**self.options).schema(schema)
@@ -160,8 +190,9 @@ class JdbcTables(Tables):
     """Tables of a database server.
 
     ``split`` maps a table to ``(column, lower, upper, parts)``; such a table is read by
-    ``parts`` parallel range queries instead of one connection. Filters and projections are
-    pushed to the server; joins are not, they run in Spark.
+    ``parts`` parallel range queries instead of one connection. Another table with the column
+    ``split_by`` is read by up to ``parts`` ranges between its ends, for which the server is asked.
+    Filters and projections are pushed to the server; joins are not, they run in Spark.
     """
 
     def __init__(
@@ -171,8 +202,11 @@ class JdbcTables(Tables):
         names: Sequence[str] | None = None,
         split: Mapping[str, tuple[str, int, int, int]] | None = None,
         fetch_rows: int = STREAM_CHUNK,
+        split_by: str = "seq_id",
+        parts: int = 16,
     ) -> None:
         super().__init__(spark)
+        self.split_by, self.parts = split_by, parts
         self.base = {"preferTimestampNTZ": "true", "fetchsize": str(fetch_rows), **options}
         self.known = None if names is None else sorted(names)
         self.split = dict(split or {})
@@ -195,9 +229,26 @@ class JdbcTables(Tables):
             }
         return options
 
-    def frame(self, name: str) -> DataFrame:
+    def ends(self, name: str) -> tuple[int | None, int | None]:
+        return tuple(self.query(f"SELECT MIN({self.split_by}) AS lo, MAX({self.split_by}) AS hi FROM {name}").first())
+
+    def split_evenly(self, name: str) -> None:
+        """Split a table between its ends; one with few ids stays whole."""
+        lo, hi = self.ends(name)
+        parts = 1 if lo is None else min(self.parts, (hi - lo) // STREAM_CHUNK + 1)
+        if parts > 1:
+            self.split[name] = (self.split_by, lo, hi + 1, parts)
+
+    def _load(self, name: str) -> DataFrame:
         return self.spark.read.format("jdbc").options(**self.read_options(name)).load()
 
+    def frame(self, name: str) -> DataFrame:
+        whole = self._load(name)
+        if name in self.split or self.parts < 2 or self.split_by not in whole.columns:
+            return whole
+        self.split_evenly(name)
+        return self._load(name) if name in self.split else whole
+
     def query(self, text: str, schema: T.StructType | None = None) -> DataFrame:
         reader = self.spark.read.format("jdbc").options(**self.base)
         return self._typed(reader.option("query", text).load(), schema)

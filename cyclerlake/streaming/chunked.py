@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from typing import Any
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from cyclerlake.sources.tables import STREAM_CHUNK
+from cyclerlake.sources.tables import STREAM_CHUNK, Tables
 
 
 def map_chunks(
@@ -40,3 +41,27 @@ def map_chunks(
             yield work(pd.concat(held, ignore_index=True))
 
     return df.mapInPandas(run, schema)
+
+
+def query_chunks(
+    tables: Tables,
+    text: str,
+    work: Callable[[pd.DataFrame], pd.DataFrame],
+    schema: T.StructType | str,
+    chunksize: int = STREAM_CHUNK,
+) -> DataFrame:
+    """``map_chunks`` over the result of an SQL text."""
+    return map_chunks(tables.query(text), work, schema, chunksize)
+
+
+def table_chunks(
+    tables: Tables,
+    name: str,
+    work: Callable[[pd.DataFrame], pd.DataFrame],
+    schema: T.StructType | str,
+    columns: str | Sequence[str] | None = None,
+    where: Mapping[str, Any] | None = None,
+    chunksize: int = STREAM_CHUNK,
+) -> DataFrame:
+    """``map_chunks`` over a filtered and projected table."""
+    return map_chunks(tables.get_table(name, columns, where), work, schema, chunksize)

@@ -187,3 +187,38 @@ def test_sql_text_leaves_views_alone(spark):
     assert spark.table("rec").count() == 3
     assert not spark.catalog.tableExists("re")
     spark.catalog.dropTempView("rec")
+
+
+@pytest.mark.parametrize("limit", [100, 0])
+def test_owned_tables_are_one_source(spark, tmp_path, monkeypatch, limit):
+    """Many tables of single tests are one scan and give what a branch per table gives."""
+    monkeypatch.setattr(records, "BROADCAST_TESTS", limit)
+    monkeypatch.setattr(records, "SALTS", 3)
+    tests = spark.sql(
+        """SELECT 260001L AS dev_uid, 1L AS unit_id, 1L AS chl_id, id AS test_id, 'rec' AS main_first_table,
+        concat('old_', id % 12) AS main_second_table FROM range(15)"""
+    )
+    made = spark.sql("SELECT 1L AS unit_id, 1L AS chl_id, id % 15 AS test_id, id AS seq_id, id % 9 AS test_time FROM range(300)")
+    made.write.parquet(f"{tmp_path}/rec")
+    for i in range(12):
+        made.where(f"seq_id % 12 = {i}").write.parquet(f"{tmp_path}/old_{i}")
+    names = ["rec", *(f"old_{i}" for i in range(12))]
+    paths = {name: f"{tmp_path}/{name}" for name in names}
+    plain = cl.FileTables(spark, paths)
+    joint = cl.FileTables(spark, paths, schemas={name: made.schema for name in names})
+    found = {}
+    for kind, source in (("plain", plain), ("joint", joint)):
+        main, _ = cl.Cycler(source, "0800").fleet_parts(tests, {"seq_id": (20, None)}, {"26": ["seq_id", "test_time"]})
+        found[kind] = rows(main)
+        if kind == "joint":
+            assert main._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 4  # rec, old tables, tests twice
+    assert found["plain"] == found["joint"] and len(found["joint"]) > 300
+
+
+def test_tables_that_cannot_be_read_together(spark, tmp_path):
+    one, two = spark.range(1).schema, spark.sql("SELECT 'x' AS id").schema
+    paths = {"a": f"{tmp_path}/a", "b": f"{tmp_path}/b", "c": f"{tmp_path}/else/c", "d": f"{tmp_path}/other"}
+    source = cl.FileTables(spark, paths, schemas={"a": one, "b": two, "c": one, "d": one})
+    for names in (["a", "b"], ["a", "c"], ["a", "d"]):
+        assert source.together(names) is None
+    assert cl.FileTables(spark, paths).together(["a", "b"]) is None

@@ -140,3 +140,12 @@ def test_catalogue_0800_takes_every_history_table(spark):
     listed = list(cl.list_tests(tables))
     assert [t["test_id"] for t in listed] == [1, 2, 9]
     assert listed[0] == {"dev_uid": 240001, "unit_id": 1, "chl_id": 1, "test_id": 1, "v": 0.5}
+
+
+def test_jdbc_split_between_ends(spark):
+    tables = JdbcTables(spark, {"url": "jdbc:mysql://host/db"}, names=["big", "small", "empty"], parts=8)
+    tables.ends = {"big": (5, 10**9), "small": (1, 90), "empty": (None, None)}.get
+    for name in tables.names():
+        tables.split_evenly(name)
+    assert tables.split == {"big": ("seq_id", 5, 10**9 + 1, 8)}
+    assert tables.read_options("big")["numPartitions"] == "8"
