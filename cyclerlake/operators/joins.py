@@ -26,6 +26,9 @@ from cyclerlake.operators.chunks import (
 from cyclerlake.operators.features import IS_START, Parts, number_steps, summarise
 from cyclerlake.session import landed
 
+# so many step starts (their keys are below 10 MB) are broadcast to find the channels they meet
+BROADCAST_STARTS = 100_000
+
 
 def _right_names(main: DataFrame, aux: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Auxiliary columns that main has too get the suffix ``_right``."""
@@ -106,8 +109,13 @@ def join_aux_with_steps(
 
     # Joining repeats a record per channel and counts its step start as often. Only step starts
     # need joining to know how often, so this pass over narrow columns does not join everything.
-    starts = measured.lay_out(cold_main.where(IS_START).select(*keys), place)
-    started = starts.join(measured.lay_out(cold_aux.select(*keys), place), keys, "left")
+    starts = cold_main.where(IS_START).select(*keys)
+    met = cold_aux.select(*keys)
+    if summary.agg(F.expr("coalesce(sum(_zeros), 0L)")).first()[0] <= BROADCAST_STARTS:
+        # few starts: channels of other records are not shuffled
+        starts = landed(starts, "step-starts")
+        met = met.join(F.broadcast(starts.distinct()), keys, "left_semi")
+    started = measured.lay_out(starts, place).join(measured.lay_out(met, place), keys, "left")
     zeros = started.groupBy(*place).agg(F.expr("count(*) AS _zeros"))
     summary = (
         summary.drop("_zeros")

@@ -2,7 +2,8 @@ import random
 
 import pytest
 
-from cyclerlake.operators.chunks import Layout, collapse_copies, expand_copies
+from cyclerlake.operators import joins
+from cyclerlake.operators.chunks import Layout, Measured, collapse_copies, expand_copies
 from cyclerlake.operators.features import add_step_features
 from cyclerlake.operators.joins import join_aux, join_aux_with_steps
 from cyclerlake.operators.reports import summarise_steps, summarise_tests
@@ -160,6 +161,39 @@ def test_join_and_steps_against_plain_python(spark, layout):
     assert sorted(map(tuple, plain.collect()), key=str) == sorted(joined, key=str)
 
 
+@pytest.mark.parametrize("limit", [0, 5, 100])
+def test_few_and_many_step_starts_count_alike(spark, monkeypatch, limit):
+    monkeypatch.setattr(joins, "BROADCAST_STARTS", limit)
+    main, aux = fanout(spark)
+    # a start without a channel, one of a null id and one that is there twice
+    extra = spark.createDataFrame([(5, 0), (None, 0), (7, 0), (7, 0)], "seq_id long, test_time long")
+    channels = spark.createDataFrame([(7, 1, 21.0), (7, 2, 22.0), (None, 1, 5.0)], "seq_id long, auxchl_id long, test_tmp double")
+    got = join_aux_with_steps(main.unionByName(extra), aux.unionByName(channels), [], FINE)
+    rows = got.where("seq_id IS NOT NULL").orderBy("seq_id", "step_count").collect()
+    # the null id comes first
+    assert [r.step_count for r in rows] == [2, 3, 3, 3, 4, 5, 5, 5, 6, 7, 8, 9, 10]
+    assert [r.step_count for r in got.where("seq_id IS NULL").collect()] == [1]
+
+
+def test_channels_beside_step_starts_are_not_shuffled(spark, monkeypatch):
+    main = spark.range(1000).selectExpr("id AS seq_id", "id % 500 AS test_time")
+    aux = spark.range(1000).selectExpr("id AS seq_id", "explode(array(1L, 2L)) AS auxchl_id")
+    seen = []
+    lay_out = Measured.lay_out
+
+    def counted(measured, df, place):
+        if df.columns == ["seq_id", "_chunk"]:
+            seen.append(df.count())
+        return lay_out(measured, df, place)
+
+    monkeypatch.setattr(Measured, "lay_out", counted)
+    join_aux_with_steps(main, aux, [])
+    assert seen == [2, 4]
+    monkeypatch.setattr(joins, "BROADCAST_STARTS", 0)
+    join_aux_with_steps(main, aux, [])
+    assert seen == [2, 4, 2, 2000]
+
+
 def test_clashing_names_get_a_suffix(spark):
     main = spark.createDataFrame([(1, 5.0)], "seq_id long, test_tmp double")
     aux = spark.createDataFrame([(1, 2, 7.0)], "seq_id long, auxchl_id long, test_tmp double")
