@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cyclerlake.llm import exact_dedup, mixing, packing, simhash, toxicity
+from cyclerlake.llm import exact_dedup, minhash, mixing, packing, simhash, toxicity
 from cyclerlake.llm.common import landed, table
 from cyclerlake.llm.queries import shared_folder, tokenizer_path
 
@@ -28,11 +28,16 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(docs)
 
 
-def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_close_prints(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of linked fingerprints the document with the smallest id stays."""
     return simhash.near_deduplicate(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A document goes when an earlier one that stays has 0.8 or more of its five-word shingles (Jaccard)."""
+    return minhash.near_deduplicate(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
     return mixing.mixed(docs)
@@ -46,7 +51,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("toxicity", drop_toxic),
     ("exact_dedup", drop_copies),
-    ("simhash", drop_near_copies),
+    ("simhash", drop_close_prints),
+    ("near_copies", drop_near_copies),
     ("mixing", mix_sources),
     ("packing", pack),
 ]

@@ -1,0 +1,160 @@
+"""Near copies by word shingles: MinHash finds candidates, the exact Jaccard index decides.
+
+Two texts are near copies when their sets of five-word shingles (lower case, XXH64) have a Jaccard
+index of 0.8 or more. A text's sketch has ``BANDS`` keys, each made of ``ROWS`` minima of the set
+under hash functions of their own; texts with a key in common are candidates. A pair at 0.8 has none
+in common with probability (1 - 0.8 ** 4) ** 32 = 5e-8. Every candidate pair that matters is compared
+over the whole sets, so nothing below the threshold is taken for a copy.
+
+A document goes when it is a near copy of a document before it that stays, in the order of ids. A
+large group of copies is not compared pair by pair: in each round the documents that come first under
+all their keys stay, those found to be their copies go, and both leave the table of keys. When the
+pairs left are few for the rows, or rounds settle little, all pairs left are compared and the same
+rule is applied to the pairs that are near copies. The rounds only save work, never a comparison that
+counts.
+
+Defined results: a text of fewer words is one shingle; null, empty and wordless texts have no
+shingle and are copies of each other. Null ids come last; rows equal in id and text are one document,
+of which one row stays. Other columns are passed through. An empty table gives no rows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from cyclerlake.llm.common import landed
+from cyclerlake.llm.simhash import mark_of, shingle_hashes
+
+SHINGLE_WORDS = 5
+# the threshold as a fraction, so that comparing is exact
+SIMILAR = (4, 5)
+BANDS = 32
+ROWS = 4
+# rounds end when so many pairs per row are left, or when a round settles less than this share
+PAIRS_PER_ROW = 32
+SETTLED = 0.01
+# a document's copies are compared in so many parts
+PARTS = 64
+
+_random = np.random.Generator(np.random.PCG64(42))
+_FLIPS, _FACTORS = (_random.integers(0, 1 << 64, BANDS * ROWS, dtype=np.uint64)[:, None] for _ in range(2))
+_FACTORS = _FACTORS | np.uint64(1)
+
+
+def shingles(data: bytes, words: int = SHINGLE_WORDS) -> np.ndarray:
+    """The different shingle hashes of a text in UTF-8."""
+    return np.unique(np.concatenate([np.empty(0, np.uint64), *shingle_hashes(data.lower(), words)]))
+
+
+def sketch(found: np.ndarray) -> list[int]:
+    """The signed keys of a set of shingle hashes, one per band."""
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for some in np.array_split(found, len(found) // 4096 + 1) if len(found) else ():
+        least = np.minimum(least, ((some ^ _FLIPS) * _FACTORS).min(axis=1))
+    keys = [xxhash.xxh64_intdigest(row.tobytes(), band) for band, row in enumerate(least.reshape(BANDS, ROWS))]
+    return np.array(keys, np.uint64).view(np.int64).tolist()
+
+
+def _node(key: str, text: str) -> Column:
+    """A document, ordered by id with nulls last."""
+    return F.struct(F.col(key).isNull().alias("missing"), F.col(key).alias("id"), mark_of(text)).alias("node")
+
+
+def _of_texts(rows: DataFrame, name: str, words: int, keys: bool) -> DataFrame:
+    """``node`` and the keys of its sketch, or its shingle hashes."""
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                sets = [shingles(x.as_buffer().to_pybytes() if x.is_valid else b"", words) for x in part.column(1)]
+                told = [sketch(s) if keys else s.view(np.int64) for s in sets]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(told, pa.list_(pa.int64()))], ["node", name])
+
+    kind = rows.schema["node"].dataType.simpleString()
+    return rows.select("node", "text").mapInArrow(of_batches, f"node {kind}, {name} array<bigint>")
+
+
+def _shared(members: DataFrame, purpose: str) -> DataFrame:
+    """The rows whose key several documents have."""
+    several = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    return landed(members.join(several, "bucket", "left_semi"), purpose)
+
+
+def similar(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int] = SIMILAR) -> DataFrame:
+    """Those of the pairs ``first, node`` whose sets reach the threshold."""
+    up, down = threshold
+    parted = landed(pairs.distinct().withColumn("part", F.pmod(F.xxhash64("node"), F.lit(PARTS))), "minhash-pairs")
+    # a document with many copies meets them in several places
+    left = parted.select("first", "part").distinct().join(sets.select(F.col("node").alias("first"), F.col("shingles").alias("a")), "first")
+    right = parted.join(sets.select("node", F.col("shingles").alias("b")), "node")
+    sizes = F.size("a") + F.size("b")
+    in_reach = F.least(F.size("a"), F.size("b")) * down >= F.greatest(F.size("a"), F.size("b")) * up
+    common = F.size(F.array_intersect("a", "b"))
+    met = right.join(left, ["first", "part"]).where(in_reach)
+    return met.where(common * (down + up) >= sizes * up).select("first", "node")
+
+
+def _first_come(edges: DataFrame) -> list[DataFrame]:
+    """What goes when, in order, each document stays that is no copy of one that stays; edges are ``first < node``."""
+    gone = []
+    edges = landed(edges, "minhash-edges")
+    while not edges.isEmpty():
+        heads = edges.select("first").distinct().join(edges.select(F.col("node").alias("first")).distinct(), "first", "left_anti")
+        lost = landed(edges.join(heads, "first", "left_semi").select("node").distinct(), "minhash-gone")
+        gone.append(lost)
+        left = edges.join(lost, "node", "left_anti").join(lost.select(F.col("node").alias("first")), "first", "left_anti")
+        edges = landed(left, "minhash-edges")
+    return gone
+
+
+def copies(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS, threshold: tuple[int, int] = SIMILAR, pairs_per_row: int = PAIRS_PER_ROW) -> DataFrame:
+    """``node`` of each document that is a near copy of one before it that stays."""
+    rows = docs.select(_node(key, text), F.col(text).cast("string").alias("text"))
+    keys = landed(_of_texts(rows, "buckets", words, True).distinct(), "minhash-keys")
+    members = _shared(keys.select("node", F.explode("buckets").alias("bucket")), "minhash-members")
+    nodes = landed(members.select("node").distinct(), "minhash-nodes")
+    sets = _of_texts(rows.join(nodes, "node", "left_semi"), "shingles", words, False)
+    sets = landed(sets.dropDuplicates(["node"]), "minhash-sets")
+    gone = [nodes.limit(0)]
+    while True:
+        leaders = landed(members.groupBy("bucket").agg(F.min("node").alias("first"), F.count("*").alias("n")), "minhash-leaders")
+        size = leaders.agg(F.sum("n").alias("rows"), F.sum(F.col("n").cast("double") * (F.col("n") - 1) / 2).alias("pairs")).first()
+        if not size.rows or size.pairs <= pairs_per_row * size.rows:
+            break
+        led = members.join(leaders.select("bucket", "first"), "bucket")
+        heads = led.groupBy("node").agg(F.min(F.col("first") == F.col("node")).alias("leads")).where("leads").select("node")
+        heads = landed(heads, "minhash-heads")
+        pairs = led.where("first != node").join(heads.select(F.col("node").alias("first")), "first", "left_semi").select("first", "node")
+        lost = landed(similar(pairs, sets, threshold).select("node").distinct(), "minhash-gone")
+        gone.append(lost)
+        settled, open_ = heads.count() + lost.count(), members.select("node").distinct().count()
+        members = _shared(members.join(heads.unionByName(lost), "node", "left_anti"), "minhash-members")
+        if settled < SETTLED * open_:
+            break
+    pairs = members.select("bucket", F.col("node").alias("first")).join(members, "bucket").where("first < node").select("first", "node")
+    for lost in _first_come(similar(pairs, sets, threshold)):
+        gone.append(lost)
+    whole = gone[0]
+    for lost in gone[1:]:
+        whole = whole.unionByName(lost)
+    return whole
+
+
+def near_deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS, threshold: tuple[int, int] = SIMILAR) -> DataFrame:
+    """The rows that stay, with all their columns."""
+    gone = landed(copies(docs, key, text, words, threshold), "minhash-gone")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), _node(key, text))
+    stay = rows.join(gone, "node", "left_anti")
+    repeated = landed(rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node"), "minhash-repeated")
+    if repeated.isEmpty():
+        return stay.select("doc.*")
+    # rows equal in id and text: any one of them
+    once = stay.join(repeated, "node", "left_semi").groupBy("node").agg(F.first("doc").alias("doc"))
+    return stay.join(repeated, "node", "left_anti").select("doc.*").unionByName(once.select("doc.*"))

@@ -1,0 +1,68 @@
+"""Near copies by word shingles against plain Python."""
+
+import random
+from itertools import combinations
+
+import pytest
+
+import corpus_pipeline
+from cyclerlake.llm import minhash
+
+from .test_dedup import HARD, docs_of, key
+
+
+def plain_set(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(len(words) - 4, min(len(words), 1)))}
+
+
+def plain_gone(rows):
+    """Positions of the documents that are near copies of one before them that stays."""
+    sets = [plain_set(t) for _, t in rows]
+    order = sorted(range(len(rows)), key=lambda i: key(rows[i][0]))
+    stay = []
+    for i in order:
+        if not any(5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) for j in stay):
+            stay.append(i)
+    return set(range(len(rows))) - set(stay)
+
+
+def rows_with_copies():
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdef", k=6))
+    rows, at = [], 100
+    for _ in range(8):
+        words = [word() for _ in range(300)]
+        for edits in (0, 2, 4, 5, 5, 6, 7, 12):
+            changed = list(words)
+            for i in rng.sample(range(300), edits):
+                changed[i] = word()
+            rows.append((at, " ".join(changed)))
+            at += 1
+    rng.shuffle(rows)
+    return [*rows, (5000, "only four words here"), (5001, "Only  four\nwords here"), (5002, ""), (5003, None), (5004, "\n ")]
+
+
+@pytest.mark.parametrize("pairs_per_row", [0, 32])
+def test_copies(spark, pairs_per_row):
+    rows = rows_with_copies()
+    got = minhash.copies(docs_of(spark, rows).repartition(3), pairs_per_row=pairs_per_row).collect()
+    assert sorted(r.node.id for r in got) == sorted(rows[i][0] for i in plain_gone(rows))
+
+
+def test_pipeline_drops_near_copies_beyond_two_bits(spark):
+    rows = rows_with_copies()
+    docs = docs_of(spark, rows)
+    got = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert got.columns == docs.columns
+    gone = plain_gone(rows)
+    assert sorted(r.doc_id for r in got.collect()) == sorted(i for n, (i, _) in enumerate(rows) if n not in gone)
+
+
+def test_repeated_rows_and_null_ids(spark):
+    docs = docs_of(spark, [*HARD, *HARD])
+    kept = minhash.near_deduplicate(docs).collect()
+    sets = [plain_set(r.text) for r in kept]
+    assert all(5 * len(a & b) < 4 * len(a | b) for a, b in combinations(sets, 2))
+    assert len(kept) == len(HARD) - len(plain_gone(HARD))
+    assert minhash.near_deduplicate(docs_of(spark, [])).count() == 0
