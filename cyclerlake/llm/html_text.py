@@ -66,7 +66,8 @@ SCOPES = frozenset("ul ol dl table tr article section div body main td select".s
 _MARK = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s\"'>][^\s>]*)))?")
+_READ = frozenset("class id role hidden aria-hidden".split())
 _WORDS = re.compile(r"[a-z]+")
 _DIGITS = re.compile(r"\d+")
 _NESTED = re.compile(r"<!--|<script|<style", re.I)
@@ -79,18 +80,23 @@ class Block(NamedTuple):
 
 
 def _attributes(text: str) -> dict[str, str]:
-    return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(text)} if text.strip(" /") else {}
+    out: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(text) if text.strip(" /") else ():
+        if (name := m[1].lower()) in _READ:
+            out.setdefault(name, m[2] or m[3] or m[4] or "")
+    return out
 
 
 def _unwanted(tag: str, attributes: dict[str, str], path: list[str]) -> bool:
     if tag in DROPPED:
         # the heading of an article is its own
         return not (tag == "header" and any(p.split(".")[0] in ("article", "main") for p in path))
-    if not attributes:
+    # a page's root may be hidden until its scripts have run
+    if not attributes or tag in ("html", "body"):
         return False
-    if "hidden" in attributes or attributes.get("role", "").lower() in ROLES:
+    if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or attributes.get("role", "").lower() in ROLES:
         return True
-    if tag in ("html", "body", "article", "main"):
+    if tag in ("article", "main"):
         return False
     name = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()
     return not NAMES.isdisjoint(_WORDS.findall(name))
