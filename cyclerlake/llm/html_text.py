@@ -9,7 +9,9 @@
    none of them uses its own best container.
 
 Navigation, headers, footers, asides, forms, adverts, notices, comments of readers, scripts and
-styles are left out wherever they are, by tag, role or class name. Character references are decoded,
+styles are left out wherever they are, by tag or role. A class or id whose whole name is one of such
+parts leaves an element out inside a winning container, never one that is or holds the container, a
+heading or a paragraph; a word of such a name only lowers its score. Character references are decoded,
 white space inside a block becomes one space, blocks are joined by line ends in page order. A
 heading is a block, ``br`` is white space.
 
@@ -56,6 +58,10 @@ NAMES = frozenset(
     "disqus footer header masthead menu modal nav navbar navigation newsletter notice notices pagination pager popup promo promoted promotion "
     "related respond share sharing sidebar sidebars signup skip social sponsor sponsored subscribe teaser toolbar topbar widget widgets".split()
 )
+# words that leave such a name what it is
+PLAIN = frozenset("area bar block bottom box button buttons container count form inner item items left link links list outer right section top wrap wrapper".split())
+# elements whose names say nothing
+KEPT = frozenset("html body article main p h1 h2 h3 h4 h5 h6".split())
 # an end of p is understood before these
 ENDS_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
@@ -77,6 +83,9 @@ class Block(NamedTuple):
     path: tuple[str, ...]
     text: str
     linked: int
+    # depths of the elements around it that a whole name speaks against, and what names add up to
+    named: tuple[int, ...] = ()
+    doubts: int = 0
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -98,8 +107,23 @@ def _unwanted(tag: str, attributes: dict[str, str], path: list[str]) -> bool:
         return True
     if tag in ("article", "main"):
         return False
-    name = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()
-    return not NAMES.isdisjoint(_WORDS.findall(name))
+    return False
+
+
+def _named(tag: str, attributes: dict[str, str], path: list[str]) -> int:
+    """Whether class or id speak against an element: 2 by a whole name, 1 by a word in one, else 0."""
+    if not attributes or tag in INLINE or tag in KEPT:
+        return 0
+    told = 0
+    own_head = any(p.split(".")[0] in ("article", "main") for p in path)
+    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split():
+        words = _WORDS.findall(name)
+        if NAMES.isdisjoint(words) or (own_head and "header" in words):
+            continue
+        if len(words) == 1 or ("header" not in words and all(w in NAMES or w in PLAIN for w in words)):
+            return 2
+        told = 1
+    return told
 
 
 @cache
@@ -124,6 +148,7 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     tags: list[str] = []
     steps: list[str] = []
+    names: list[int] = []
     drop = 0  # so many open tags down to the one that is left out
     links = linked = 0
     text: list[str] = []
@@ -135,9 +160,10 @@ def blocks(page: str) -> list[Block]:
             words = " ".join(html.unescape("".join(text)).split())
             if words:
                 path = tuple(s for t, s in zip(tags, steps) if t not in INLINE)
+                told = [n for t, n in zip(tags, names) if t not in INLINE] if any(names) else []
                 while path and path[-1].split(".")[0] in TEXT_TAGS:
                     path = path[:-1]
-                out.append(Block(path, words, linked))
+                out.append(Block(path, words, linked, tuple(d for d, n in enumerate(told, 1) if n == 2), sum(told)))
             text.clear()
         linked = 0
 
@@ -147,7 +173,7 @@ def blocks(page: str) -> list[Block]:
         if any(t not in INLINE for t in tags[to:]):
             flush()
         links -= tags[to:].count("a")
-        del tags[to:], steps[to:]
+        del tags[to:], steps[to:], names[to:]
         if drop > to:
             drop = 0
 
@@ -211,6 +237,7 @@ def blocks(page: str) -> list[Block]:
                 at = end
                 continue
             drop = len(tags) + 1
+        names.append(0 if drop else _named(tag, attributes, steps))
         tags.append(tag)
         kind = attributes.get("class", "")
         steps.append(f"{tag}.{'.'.join(sorted(_DIGITS.sub('0', kind).lower().split()))}" if kind else tag)
@@ -224,11 +251,16 @@ TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre figu
 
 
 def scores(found: list[Block]) -> dict[str, int]:
-    """Score of each container that directly holds blocks."""
-    out: dict[str, int] = defaultdict(int)
+    """Score of each container that directly holds blocks; a word that speaks against one leaves a quarter, a whole name a sixteenth."""
+    out: dict[str, float] = defaultdict(float)
     for block in found:
-        out[" ".join(block.path)] += len(block.text) - 2 * min(block.linked, len(block.text))
-    return out
+        out[" ".join(block.path)] += (len(block.text) - 2 * min(block.linked, len(block.text))) / 4**block.doubts
+    return {path: int(score) for path, score in out.items()}
+
+
+def _holds(path: tuple[str, ...], block: Block) -> bool:
+    """Whether a block is in the container at the path, and in nothing further inside that a whole name speaks against."""
+    return block.path[: len(path)] == path and not any(d > len(path) for d in block.named)
 
 
 def best_path(found: list[Block]) -> tuple[str, int] | None:
@@ -240,10 +272,10 @@ def best_path(found: list[Block]) -> tuple[str, int] | None:
 def text_at(found: list[Block], paths: list[str]) -> str:
     """Text of the containers at the paths and below them; without any, of the page's best container."""
     whole = [tuple(p.split(" ")) if p else () for p in paths]
-    kept = [b.text for b in found if any(b.path[: len(p)] == p for p in whole)]
+    kept = [b.text for b in found if any(_holds(p, b) for p in whole)]
     if not kept and (best := best_path(found)):
         own = tuple(best[0].split(" ")) if best[0] else ()
-        kept = [b.text for b in found if b.path[: len(own)] == own]
+        kept = [b.text for b in found if _holds(own, b)]
     return "\n".join(kept)
 
 

@@ -23,3 +23,30 @@ def test_attributes_that_do_not_hide(tag, attribute):
 @pytest.mark.parametrize("attribute", ["hidden", "HIDDEN=''", 'hidden="hidden"', 'aria-hidden="true"', "class=x hidden", "role=navigation"])
 def test_attributes_that_hide(attribute):
     assert text_of(f"<html><body><article><p>Text</p><div {attribute}><p>gone</p></div></article></body></html>") == "Text"
+
+
+LONG = "A sentence of the article that goes on for a while, so that it counts as text. " * 3
+
+
+@pytest.mark.parametrize(("wrapper", "side"), [('class="content with-sidebar"', 2), ('class="has-nav"', 2), ('class="page no-comments"', 2), ('class="widget"', 0), ('id="share"', 0)])
+def test_wrappers_with_a_word_in_their_name(wrapper, side):
+    page = f'<html><body><div {wrapper}><p>{LONG}</p><div class="comments"><p>Reader</p></div></div><div class="sidebar"><p>Side {LONG * side}</p></div></body></html>'
+    assert text_of(page) == LONG.strip()
+
+
+@pytest.mark.parametrize("part", ['<h2 id="related-work">Part</h2>', '<h2 id="share">Part</h2>', '<h2 id="market-share">Part</h2>', '<p id="social-policy">Part</p>', '<p class="notice">Part</p>', '<div class="entry-header"><h1>Part</h1></div>', '<div class="social-policy"><p>Part</p></div>'])
+@pytest.mark.parametrize("container", ["article", "div"])
+def test_parts_of_articles_with_a_word_in_their_name(part, container):
+    assert text_of(f"<html><body><{container}><p>{LONG}</p>{part}<p>End</p></{container}></body></html>") == f"{LONG.strip()}\nPart\nEnd"
+
+
+@pytest.mark.parametrize("name", ["ad", "comments", "share-buttons", "cookie-notice", "sidebar left"])
+def test_whole_names_inside_an_article(name):
+    assert text_of(f'<html><body><div><p>{LONG}</p><div class="{name}"><div><p>Other</p></div></div><ul id="pagination"><li>2</ul></div></body></html>') == LONG.strip()
+
+
+def test_names_on_the_winning_path_of_a_host(spark):
+    """One page's comments are longer than its article."""
+    page = f'<html><body><div class="widget"><p>{LONG}</p></div><div class="comments"><p>{{}}</p></div></body></html>'
+    rows = [(i, "http://h.org/", page.format(LONG * 3 if i == 4 else "Reader")) for i in range(14)]
+    assert {r.text for r in html_text.extract(pages_of(spark, rows)).collect()} == {LONG.strip()}
