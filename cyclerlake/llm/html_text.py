@@ -3,6 +3,8 @@
 1. Every page's containers are scored: characters of running text directly in their blocks, less
    what is in links. A container's path is the tags and classes from the root down, generalised:
    digits become 0 and positions are left out, so pages of one template have equal paths.
+   The container with the highest score is lifted to the one around it that holds the whole article:
+   its article or main element, else what adds its headline or further running text.
 2. The pages of a host vote with their scores, in Spark: the path with most votes, and each that
    has at least ``SHARE`` of its votes and is not inside another winner, are the host's paths.
 3. Every page is read again. Its text is what its containers at its host's paths hold; a page with
@@ -40,6 +42,8 @@ from cyclerlake.llm.common import landed
 from cyclerlake.llm.url_filter import host_of
 
 SHARE = 0.25
+# a block of so many characters is running text
+RUNNING = 80
 
 # fixed values: names of HTML
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -60,6 +64,7 @@ NAMES = frozenset(
 )
 # words that leave such a name what it is
 PLAIN = frozenset("area bar block bottom box button buttons container count form inner item items left link links list outer right section top wrap wrapper".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # elements whose names say nothing
 KEPT = frozenset("html body article main p h1 h2 h3 h4 h5 h6".split())
 # an end of p is understood before these
@@ -86,6 +91,8 @@ class Block(NamedTuple):
     # depths of the elements around it that a whole name speaks against, and what names add up to
     named: tuple[int, ...] = ()
     doubts: int = 0
+    # of a heading, 1 to 6
+    level: int = 0
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -161,9 +168,10 @@ def blocks(page: str) -> list[Block]:
             if words:
                 path = tuple(s for t, s in zip(tags, steps) if t not in INLINE)
                 told = [n for t, n in zip(tags, names) if t not in INLINE] if any(names) else []
+                head = next((t for t in reversed(tags) if t in HEADINGS), "h0")
                 while path and path[-1].split(".")[0] in TEXT_TAGS:
                     path = path[:-1]
-                out.append(Block(path, words, linked, tuple(d for d, n in enumerate(told, 1) if n == 2), sum(told)))
+                out.append(Block(path, words, linked, tuple(d for d, n in enumerate(told, 1) if n == 2), sum(told), int(head[1])))
             text.clear()
         linked = 0
 
@@ -263,10 +271,43 @@ def _holds(path: tuple[str, ...], block: Block) -> bool:
     return block.path[: len(path)] == path and not any(d > len(path) for d in block.named)
 
 
+def _lifted(found: list[Block], path: tuple[str, ...]) -> tuple[str, ...]:
+    """The container around the best one that holds the whole article.
+
+    That is the closest article element, else the closest main. Without them it is the highest
+    ancestor below body that adds the article's headline, ahead of its text, or further running text;
+    body itself where the headline is directly in it.
+    """
+    tags = [p.split(".")[0] for p in path]
+    for whole in ("article", "main"):
+        if whole in tags:
+            return path[: len(tags) - tags[::-1].index(whole)]
+    top = sum(t in ("html", "body") for t in tags)
+    headline = min((b.level for b in found if 0 < b.level <= 2), default=0)
+    for depth in range(len(path) - 1, top - 1, -1):
+        up = path[:depth]
+        inside = [b for b in found if _holds(up, b)]
+        first = next((i for i, b in enumerate(inside) if _holds(path, b)), 0)
+        heads = [b for b in inside[:first] if b.level == headline > 0 and (depth > top or b.path == up)]
+        if heads and not any(b.level == headline for b in inside if _holds(path, b)):
+            path = up
+            continue
+        if depth == top:
+            break
+        running = [len(b.text) / 4**b.doubts for b in inside if not b.level and len(b.text) >= RUNNING and 4 * b.linked <= len(b.text) and not _holds(path, b)]
+        own = sum((len(b.text) - 2 * min(b.linked, len(b.text))) / 4**b.doubts for b in inside if _holds(path, b))
+        if sum(running) >= SHARE * own > 0:
+            path = up
+    return path
+
+
 def best_path(found: list[Block]) -> tuple[str, int] | None:
-    """The container with the highest score, the first of those that tie."""
+    """The container of the article around the highest score, the first of those that tie, and that score."""
     scored = scores(found)
-    return max(scored.items(), key=lambda x: x[1]) if scored else None
+    if not scored:
+        return None
+    path, score = max(scored.items(), key=lambda x: x[1])
+    return " ".join(_lifted(found, tuple(path.split(" ")) if path else ())), score
 
 
 def text_at(found: list[Block], paths: list[str]) -> str:

@@ -50,3 +50,28 @@ def test_names_on_the_winning_path_of_a_host(spark):
     page = f'<html><body><div class="widget"><p>{LONG}</p></div><div class="comments"><p>{{}}</p></div></body></html>'
     rows = [(i, "http://h.org/", page.format(LONG * 3 if i == 4 else "Reader")) for i in range(14)]
     assert {r.text for r in html_text.extract(pages_of(spark, rows)).collect()} == {LONG.strip()}
+
+
+NESTED = [
+    "<article><h1>T</h1><section class=lead><p>short</p></section><section class=text><p>{long}</p></section></article>",
+    "<article><h1>T</h1><p>short</p><div class=body><p>{long}</p></div></article>",
+    "<main><div class=top><h1>T</h1></div><div class=lead><p>short</p></div><div><p>{long}</p></div></main>",
+    "<div class=story><h1>T</h1><div class=lead><p>short</p></div><div class=text><p>{long}</p></div></div>",
+    "<div class=story><div class=head><h1>T</h1><p>short</p></div><div class=a><div class=b><p>{long}</p></div></div></div>",
+    "<h1>T</h1><div class=lead><p>short</p></div><div class=text><p>{long}</p></div>",
+]
+
+
+@pytest.mark.parametrize("template", NESTED)
+def test_articles_in_several_containers(spark, template):
+    body = template.format(long=LONG)
+    page = f'<html><body><nav><p>Menu</p></nav>{body}<div class="sidebar"><p>{LONG}</p></div><footer><p>Foot</p></footer></body></html>'
+    want = f"T\nshort\n{LONG.strip()}"
+    assert text_of(page) == want
+    got = html_text.extract(pages_of(spark, [(i, "http://h.org/", page) for i in range(3)])).collect()
+    assert [r.text for r in got] == [want] * 3
+
+
+def test_running_text_in_several_containers():
+    parts = "".join(f"<div class={c}><p>{LONG}{c}</p></div>" for c in "abc")
+    assert text_of(f"<html><body><div id=w><div class=story>{parts}</div><div class=x><p>A box</p></div></div></body></html>").split("\n") == [f"{LONG}{c}" for c in "abc"]
