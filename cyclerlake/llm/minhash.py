@@ -38,7 +38,7 @@ BANDS = 32
 ROWS = 4
 # rounds end when so many pairs per row are left, or when a round settles less than this share
 PAIRS_PER_ROW = 32
-SETTLED = 0.01
+SETTLED = 0.1
 # a document's copies are compared in so many parts
 PARTS = 64
 
