@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cyclerlake.llm import licences, mixing
+from cyclerlake.llm import collocations, licences, mixing
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
@@ -148,3 +148,31 @@ WITH told AS (
   SELECT doc_id, row_number() OVER () AS rid, sha256(regexp_replace(coalesce(text, ''), '{SPACE}', ' ', 'g')) AS text_sha256 FROM documents)
 SELECT doc_id, min(doc_id) OVER (PARTITION BY text_sha256) AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
   row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id NULLS LAST, rid) = 1 AS kept, text_sha256 FROM told"""
+
+
+COLLOCATIONS = rf"""
+WITH pieces AS (
+  SELECT lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM (SELECT coalesce(CAST(lang AS VARCHAR), 'und') AS lang, coalesce(text, '') AS text FROM documents) d),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+sized AS (SELECT lang, w, unnest(range(1, {collocations.MAX_WORDS} + 1)) AS size FROM worded),
+placed AS (SELECT lang, w, size, unnest(range(1, CAST(len(w) - size + 2 AS BIGINT))) AS i FROM sized),
+counted AS (
+  SELECT lang, array_to_string(w[i:i + size - 1], ' ') AS phrase, CAST(size AS BIGINT) AS size, count(*) AS f FROM placed GROUP BY ALL),
+total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counted WHERE size = 1 GROUP BY lang),
+often AS (SELECT *, string_split(phrase, ' ') AS w FROM counted WHERE f >= {collocations.MIN_COUNT}),
+cuts AS (
+  SELECT lang, phrase, f AS a, k, array_to_string(w[1:k], ' ') AS first, array_to_string(w[k + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM often WHERE size > 1) o),
+scored AS (
+  SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r, n, CAST((CAST(1000 AS HUGEINT) * a * n) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM cuts c JOIN often x ON x.lang = c.lang AND x.phrase = c.first JOIN often y ON y.lang = c.lang AND y.phrase = c.rest JOIN total t ON t.lang = c.lang),
+lowest AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM scored),
+held AS (
+  SELECT lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, max(f) AS longer FROM (
+    SELECT lang, w, f, s, unnest(range(1, CAST(size - s + 2 AS BIGINT))) AS i FROM (
+      SELECT lang, w, f, size, unnest(range(2, size)) AS s FROM often WHERE size > 2) o1) o2 GROUP BY ALL),
+ranked AS (
+  SELECT l.lang, l.phrase, a, l, r, n, score, row_number() OVER (PARTITION BY l.lang ORDER BY score DESC, a DESC, l.phrase) AS rank
+  FROM lowest l LEFT JOIN held h ON h.lang = l.lang AND h.phrase = l.phrase WHERE place = 1 AND (longer IS NULL OR 100 * longer < 100 * a))
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= {collocations.TOP}"""

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import tempfile
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cyclerlake.llm import exact_dedup, html_text, licences, mixing, neighbours, oracles, packing, simhash, toxicity, url_filter, warc
+from cyclerlake.llm import collocations, exact_dedup, html_text, licences, mixing, neighbours, oracles, packing, runs, simhash, token_counts, toxicity, url_filter, warc
 from cyclerlake.llm.common import landed, table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +19,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 TOKENIZER = "byte_bpe_50k.json"
+WORD_TOKENIZER = "word_bpe_49k.json"
 RULES = [
     url_filter.Rule("com", "/", "allow"),
     url_filter.Rule("example.com", "/en/", "block"),
@@ -26,10 +29,20 @@ RULES = [
 ]
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
+
+
+def planted(key: int | None, n: int) -> np.ndarray | None:
+    """Every tenth document, by the checksum of its id, repeats a stretch of its words to the end."""
+    if key is None or not n or (h := zlib.crc32(str(key).encode())) % 10:
+        return None
+    g = h // 10
+    a = g % n
+    at = np.arange(n)
+    return np.where(at >= a, a + (at - a) % (1 + (n - a) // (3 + g % 8)), at)
 
 
 def shared_folder(spark: SparkSession) -> None:
@@ -105,3 +118,18 @@ def dedup(spark: SparkSession, folder: str) -> DataFrame:
 def toxic(spark: SparkSession, folder: str) -> DataFrame:
     scored = toxicity.score(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels"))
     return scored.select("doc.doc_id", "held_out", "score", "predicted")
+
+
+@query("op11_collocations", oracles.COLLOCATIONS)
+def phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.mine(table(spark, folder, "documents"))
+
+
+@query("op12_runs")
+def periodic(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.scan(table(spark, folder, "documents"), rewrite=planted, texts=False)
+
+
+@query("op13_tokens")
+def tokens(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count(table(spark, folder, "documents"), tokenizer_path(WORD_TOKENIZER))

@@ -39,7 +39,7 @@ def test_query_against_sql(spark, duck, name):
 
 def test_every_operator_has_a_query():
     names = entry_point.queries()
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= set(names)
 
 
