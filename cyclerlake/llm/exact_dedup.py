@@ -4,8 +4,9 @@ Texts are equal when they are identical after each run of white space becomes on
 Misra-Gries summary of the digests (``freqItems``) finds every digest that more than a share
 ``support`` of the rows carry, among at most ``1 / support`` candidates. Counting the candidates
 exactly verifies them and finds their winners; that table has at most ``1 / support`` rows, so it
-is broadcast and copies of frequent texts are settled where they are read. Every other digest has
-few rows and goes through an ordinary shuffle.
+is broadcast and copies of frequent texts are settled where they are read. Every other digest goes
+through an ordinary shuffle: winners and sizes by partial aggregation, and a join that gives them
+to the rows, whose large keys adaptive execution can split.
 
 Defined results: a null text counts as empty. The row with the smallest id stays, null ids come
 last; of rows with equal id and text exactly one stays. An empty table gives no rows. Other
@@ -14,7 +15,7 @@ columns are passed through (``deduplicate``) or not read (``duplicates``).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cyclerlake.llm.common import SPACE, landed, whole_text
@@ -54,10 +55,8 @@ def duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", support
     rank = _rank("id", "row")
     winners = heavy_hitters(digests, rank, support)
     hot = digests.join(F.broadcast(winners), "digest")
-    group = Window.partitionBy("digest")
-    rest = digests.join(F.broadcast(winners.select("digest")), "digest", "left_anti").select(
-        "*", F.min(rank).over(group).alias("best"), F.count("*").over(group).alias("copies")
-    )
+    rest = digests.join(F.broadcast(winners.select("digest")), "digest", "left_anti")
+    rest = rest.join(rest.groupBy("digest").agg(F.min(rank).alias("best"), F.count("*").alias("copies")), "digest")
     return hot.unionByName(rest).select(
         F.col("id").alias("doc_id"),
         F.col("best.id").alias("keep_id"),
@@ -69,18 +68,18 @@ def duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", support
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", support: float = SUPPORT) -> DataFrame:
     """The rows that stay, with all their columns. Full rows are shuffled once."""
-    winners = heavy_hitters(docs.select(F.col(key).alias("id"), digest_of(text).alias("digest")), _rank("id"), support)
+    digests = landed(docs.select(F.col(key).alias("id"), digest_of(text).alias("digest")), "dedup-digests")
+    winners = heavy_hitters(digests, _rank("id"), support)
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), F.col(key).alias("id"), digest_of(text).alias("digest"))
-    hot = (
-        rows.join(F.broadcast(winners.select("digest", "best")), "digest")
-        .where(F.col("id").eqNullSafe(F.col("best.id")))
-        .groupBy("digest")
-        .agg(F.first("doc").alias("doc"))
-    )
-    first = Window.partitionBy("digest").orderBy(F.col("id").asc_nulls_last())
-    rest = (
-        rows.join(F.broadcast(winners.select("digest")), "digest", "left_anti")
-        .withColumn("place", F.row_number().over(first))
-        .where("place = 1")
-    )
-    return hot.select("doc.*").unionByName(rest.select("doc.*"))
+    frequent = F.broadcast(winners.select("digest", "best"))
+    hot = rows.join(frequent, "digest").where(F.col("id").eqNullSafe(F.col("best.id")))
+    rest = digests.join(frequent, "digest", "left_anti").groupBy("digest").agg(F.min(_rank("id")).alias("best"))
+    # one key for text and id: rows that still share it are equal in both, and lie together after the join
+    kept = rest.select(_place("digest", "best.id").alias("place"))
+    cold = rows.join(frequent, "digest", "left_anti").withColumn("place", _place("digest", "id")).join(kept, "place", "left_semi")
+    hot = hot.groupBy("digest").agg(F.first("doc").alias("doc"))
+    return hot.select("doc.*").unionByName(cold.groupBy("place").agg(F.first("doc").alias("doc")).select("doc.*"))
+
+
+def _place(digest: str, key: str) -> Column:
+    return F.concat_ws(":", F.col(digest), F.col(key).isNull().cast("string"), F.coalesce(F.col(key).cast("string"), F.lit("")))

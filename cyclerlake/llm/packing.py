@@ -29,7 +29,7 @@ from array import array
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +43,7 @@ END = 2
 GROUPS = 48
 SMALL = 8
 BUCKET_ROWS = 20_000
+ROW = "_row"
 
 
 # -- token ids ------------------------------------------------------------------------------
@@ -59,18 +60,24 @@ class Encoder:
 
     def __init__(self, path: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
+        self.path = path
         with open(path, encoding="utf-8") as file:
             told = json.load(file)
         split, model = told["pre_tokenizer"], told["model"]
         self.special = {t["content"]: t["id"] for t in told["added_tokens"]}
-        self.slow = Tokenizer.from_file(path)
         plain = split == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True} and told["normalizer"] is None
         plain = plain and model["type"] == "BPE" and not model["ignore_merges"]
         ranks = {bytes(map(BYTE_OF.__getitem__, t)): i for t, i in model["vocab"].items() if t not in self.special}
         self.fast = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=self.special) if plain else None
 
+    @cached_property
+    def slow(self):
+        """The file's own library, loaded when a text first needs it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def __call__(self, text: str) -> bytes:
         if self.fast is None or stretched(text):
             ids = self.slow.encode(text, add_special_tokens=False).ids
@@ -309,10 +316,13 @@ def numbered(runs: list[tuple[list[int], int]]) -> list[tuple[int, int, int, int
 
 
 def count_within(pieces: DataFrame, bucket_rows: int) -> DataFrame:
-    """Adds ``number``, from 0 among the pieces of equal length, by buckets of about ``bucket_rows`` pieces."""
+    """Adds ``number``, from 0 among the pieces of equal length, by buckets of about ``bucket_rows`` pieces.
+
+    ``_row`` numbers the pieces, equal ones too, so no row repeated without end fills a bucket.
+    """
     buckets = max(1, -(-pieces.count() // bucket_rows))
-    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)))
-    inside = Window.partitionBy("bucket", "length").orderBy("doc_id", "piece", "ids_crc32")
+    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64(ROW), F.lit(buckets)))
+    inside = Window.partitionBy("bucket", "length").orderBy(ROW)
     ahead = Window.partitionBy("l").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     counts = dealt.groupBy(F.col("bucket").alias("b"), F.col("length").alias("l")).agg(F.count("*").alias("n"))
     before = counts.select("b", "l", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"))
@@ -322,11 +332,12 @@ def count_within(pieces: DataFrame, bucket_rows: int) -> DataFrame:
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Adds ``sequence_id, offset`` to pieces. ``pieces`` is read several times: land it first."""
+    """Adds ``sequence_id, offset`` to pieces, which are landed with numbers."""
+    columns, schema = pieces.columns, pieces.schema
+    pieces = landed(pieces.withColumn(ROW, F.monotonically_increasing_id()), "pack-pieces")
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     runs = sorted(plan(counts, capacity, groups))
     plan_arrays = pieces.sparkSession.sparkContext.broadcast(np.array(runs, dtype=np.int64).reshape(-1, 5))
-    columns = [c for c in pieces.columns]
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         length, begin, sequence, offset, _ = plan_arrays.value.T
@@ -339,13 +350,13 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS, buck
             kept = [batch.column(c) for c in columns]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(sequence[at] + n - begin[at]), pa.array(offset[at])], [*columns, "sequence_id", "offset"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     return count_within(pieces, bucket_rows).mapInArrow(of_batches, f"{fields}, sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, key: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
     """Pieces of all documents with their places."""
-    return pack(landed(token_pieces(docs, tokenizer, capacity, key=key, text=text, with_ids=with_ids), "pack-pieces"), capacity)
+    return pack(token_pieces(docs, tokenizer, capacity, key=key, text=text, with_ids=with_ids), capacity)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -11,8 +11,8 @@ whose hash is smallest, so that about ``SAMPLE_ROWS`` are taken; fewer labels ar
 reads every document whole.
 
 Defined results: null and empty texts score what the bias says. A label that is neither 0 nor 1 is
-not used; equal labels of a document are one example, different ones are one each. Without any toxic example every
-score is 0. Labels of ids that no document has, and documents with null id, are not learned from;
+not used; equal labels of a document are one example, different ones are one each. Of rows with one id a single text
+is learned from, the one whose hash is smallest. Without any toxic example every score is 0. Labels of ids that no document has, and documents with null id, are not learned from;
 a null id is not in the held-out fold. Equal texts have equal scores. An empty table gives no rows.
 Other columns are not read, or passed through by ``accepted``.
 """
@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -129,12 +130,16 @@ def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
 
-def fit(examples: list[tuple[np.ndarray, int]], bits: int = BITS, passes: int = PASSES) -> tuple[np.ndarray, np.ndarray]:
-    """Places and weights that are not zero; place ``2 ** bits`` is the bias."""
+def fit(places: np.ndarray, begins: np.ndarray, sizes: np.ndarray, labels: np.ndarray, bits: int = BITS, passes: int = PASSES) -> tuple[np.ndarray, np.ndarray]:
+    """Places and weights that are not zero; place ``2 ** bits`` is the bias.
+
+    ``places`` holds those of all examples; an example has ``size`` of them from ``begin`` on.
+    """
     model = Ftrl(1 << bits)
+    examples = list(zip(begins.tolist(), (begins + sizes).tolist(), labels.tolist()))
     for _ in range(passes):
-        for places, toxic in examples:
-            model.learn(places, toxic)
+        for begin, end, toxic in examples:
+            model.learn(places[begin:end], toxic)
     every = np.arange(len(model.z))
     weights = model.weights(every)
     at = np.nonzero(weights)[0]
@@ -149,32 +154,39 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int, key: str, text: str, l
     # hashes are spread evenly: the smallest ones are this share of all
     told = told.where(F.col("place") <= int(share * 2**64) - 2**63 - (share == 1.0))
     texts = docs.select(F.col(key).alias("id"), whole_text(text).alias("text"))
-    # at most two labels per id, so the sample has about as many rows as asked for
-    return texts.join(F.broadcast(told), "id").select("place", "id", "text", "label")
+    found = texts.join(F.broadcast(told), "id")
+    # one text per id and at most two labels: as many rows as asked for, however often an id is repeated
+    one = found.groupBy("place", "id", "label").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("least"))
+    return one.select("place", "id", "label", F.col("least.text").alias("text"))
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, key: str = "doc_id", text: str = "text", label: str = "toxic") -> tuple[np.ndarray, np.ndarray]:
     """Weights that are not zero, and their places."""
 
-    def hash_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def hash_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
         for batch in batches:
-            found = [features.of_text(t).astype(np.int32) for t in batch["text"]]
-            yield pd.DataFrame({"place": batch["place"], "label": batch["label"], "found": found})
-
-    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        examples = []
-        for batch in batches:
-            examples += zip(batch["place"].tolist(), (np.asarray(x, np.int64) for x in batch["found"]), batch["label"].tolist())
-        # one order, whatever the partitions were; equal examples are interchangeable
-        examples.sort(key=lambda x: (x[0], x[2], len(x[1]), x[1].tobytes()))
-        if any(toxic for *_, toxic in examples):
-            at, weights = fit([x[1:] for x in examples])
-            yield pd.DataFrame({"at": at, "weight": weights})
-
-    hashed = sample(docs, labels, rows, key, text, label).mapInPandas(hash_texts, "place long, label int, found array<int>")
+            found = [features.of_text(t).astype(np.int32) for t in batch.column("text").to_pylist()]
+            ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*found, np.zeros(0, np.int32)])))
+            yield pa.RecordBatch.from_arrays([batch.column("place"), batch.column("label").cast(pa.int32()), lists], ["place", "label", "found"])
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # few large arrays, which go back to the system when the task ends
+        read = [(b.column("place").to_numpy(), b.column("label").to_numpy(), b.column("found").value_lengths().to_numpy(), b.column("found").flatten().to_numpy()) for b in batches]
+        place, label, size, found = (np.concatenate(x) for x in zip(*read)) if read else [np.zeros(0, np.int64)] * 4
+        del read
+        if label.any():
+            begin = np.cumsum(size) - size
+            digest = [xxhash.xxh64_intdigest(found[a : a + n]) for a, n in zip(begin.tolist(), size.tolist())]
+            # one order, whatever the partitions were; equal examples are interchangeable
+            order = np.lexsort((np.array(digest, np.uint64), size, label, place))
+            at, weights = fit(found, begin[order], size[order], label[order])
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(weights)], ["at", "weight"])
+
+    hashed = sample(docs, labels, rows, key, text, label).mapInArrow(hash_texts, "place long, label int, found array<int>")
     # a bounded sample of bounded rows: one task learns from it
-    weights = landed(hashed.repartition(1).mapInPandas(learn, "at long, weight double"), "toxicity-weights")
+    weights = landed(hashed.repartition(1).mapInArrow(learn, "at long, weight double"), "toxicity-weights")
     told = weights.orderBy("at").toPandas()
     return told["at"].to_numpy(np.int64), told["weight"].to_numpy(float)
 

@@ -200,3 +200,20 @@ def test_pack_round_trip(spark):
 def test_pack_empty(spark):
     assert packing.pack_documents(docs_of(spark, []), PATH).count() == 0
     assert [(r.length, r.offset) for r in packing.pack_documents(docs_of(spark, [(1, None, "s")]), PATH).collect()] == [(1, 0)]
+
+
+def test_equal_pieces_fill_no_bucket(spark):
+    # half of all pieces are one row
+    pieces = spark.range(20_000).selectExpr("CASE WHEN id % 2 = 0 THEN 7 ELSE id END AS doc_id", "0 AS piece", "CASE WHEN id % 2 = 0 THEN 100L ELSE id % 1024 + 1 END AS length", "id % 2 * id AS ids_crc32")
+    numbered = packing.count_within(pieces.withColumn(packing.ROW, F.monotonically_increasing_id()), 1000)
+    rows = numbered.where("length = 100").select("number", packing.ROW).collect()
+    assert sorted(r.number for r in rows) == list(range(len(rows)))
+    buckets = Counter(r.b for r in spark.range(20_000).selectExpr(f"pmod(xxhash64(id), 20) AS b").collect())
+    assert max(buckets.values()) < 1300
+    packed = packing.pack(pieces, bucket_rows=1000).collect()
+    filled = {}
+    for r in packed:
+        filled.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in filled.values():
+        ends = np.cumsum([n for _, n in sorted(parts)])
+        assert [a for a, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] <= 1024

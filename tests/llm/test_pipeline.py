@@ -43,16 +43,23 @@ def test_every_operator_has_a_query():
     assert set(queries.QUERIES) | {"pipeline"} <= set(names)
 
 
-def test_stages(spark):
+@pytest.fixture(scope="module")
+def kept(spark):
+    """Rows after each stage."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns = docs.columns
-    before = docs.collect()
-    kept = {}
+    rows = {}
     for name, stage in corpus_pipeline.STAGES:
         docs = corpus_pipeline.landed(stage(spark, docs, SF), f"test-{name}")
-        kept[name] = docs.collect()
+        rows[name] = docs.collect()
         if name != "packing":
             assert docs.columns == columns
+    return rows
+
+
+def test_stages(spark, kept):
+    before = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "simhash", "mixing", "packing"]
 
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     went = {r.doc_id for r in before} - {r.doc_id for r in kept["toxicity"]}
@@ -96,7 +103,16 @@ def test_stages(spark):
         assert [a for a, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] <= 1024
 
 
-def test_run_gives_what_the_stages_give(spark):
+def test_run_gives_what_the_stages_give(spark, kept):
     got = corpus_pipeline.run(spark, SF)
     assert got.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
-    assert got.count() > 0
+    rows = got.collect()
+    assert sorted(tuple(r)[:5] for r in rows) == sorted(tuple(r)[:5] for r in kept["packing"])
+    # as many sequences of as many tokens, gapless
+    filled = defaultdict(list)
+    for r in rows:
+        filled[r.sequence_id].append((r.offset, r.length))
+    for parts in filled.values():
+        ends = np.cumsum([n for _, n in sorted(parts)])
+        assert [a for a, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] <= 1024
+    assert len(filled) == len({r.sequence_id for r in kept["packing"]})

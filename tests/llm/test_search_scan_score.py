@@ -1,10 +1,13 @@
 """Neighbours, licence scans and toxicity."""
 
+import math
 import random
+import re
 import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -184,6 +187,72 @@ def test_sample_is_bounded(spark):
     rows, labels = toxic_rows(800)
     some = toxicity.sample(texts_of(spark, rows), labels_of(spark, labels), 100, "doc_id", "text", "toxic")
     assert 60 <= some.count() <= 140
+    # one id on most rows, with equal texts and with different ones, and both labels
+    rows = rows + [(1, f"text {i % 500}") for i in range(3000)] + [(3, "same") for _ in range(3000)]
+    labels = labels + [(1, 1, 0), (1, 1, 1)]
+    every = toxicity.sample(texts_of(spark, rows), labels_of(spark, labels), 10**6, "doc_id", "text", "toxic").collect()
+    assert len(every) == len({(i, t) for i, _, t in labels if zlib.crc32(str(i).encode()) % 4 != 2})
+
+
+def plain_features(text, size):
+    """Places of words, beginnings of words, pairs and skip-pairs, word by word."""
+    words, mask = re.findall(r"\w+", text.lower()), 2**64 - 1
+    hashed = [xxhash.xxh64_intdigest(w) for w in words]
+    found = set(hashed)
+    for w in words:
+        found |= {xxhash.xxh64_intdigest(w[:k] + "*") for k in toxicity.STEMS if len(w) > k}
+    one, two = map(int, toxicity.Features.mix)
+    found |= {(a * one + b) & mask for a, b in zip(hashed, hashed[1:])}
+    found |= {(a * two + b) & mask for a, b in zip(hashed, hashed[2:])}
+    return sorted({x >> (64 - size) for x in found})
+
+
+def plain_ftrl(examples, size, passes, alpha, beta, l1, l2):
+    """The update of McMahan et al., coordinate by coordinate; the bias has no L1."""
+    z, n = {}, {}
+    bias = 2**size
+
+    def weight(i):
+        s = z.get(i, 0.0)
+        pull = s if i == bias else math.copysign(max(abs(s) - l1, 0.0), s)
+        return -pull / ((beta + math.sqrt(n.get(i, 0.0))) / alpha + l2)
+
+    for _ in range(passes):
+        for places, toxic in examples:
+            at = [*places, bias]
+            w = {i: weight(i) for i in at}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - toxic
+            for i in at:
+                old = n.get(i, 0.0)
+                z[i] = z.get(i, 0.0) + g - (math.sqrt(old + g * g) - math.sqrt(old)) / alpha * w[i]
+                n[i] = old + g * g
+    return {i: w for i in z if (w := weight(i))}
+
+
+def test_ftrl_against_a_plain_one(spark):
+    rows, labels = toxic_rows(250)
+    told = {i: t for i, _, t in labels if zlib.crc32(str(i).encode()) % 4 != 2}
+    order = sorted(told, key=lambda i: (spark_hash(spark, told)[i], told[i]))
+    texts = dict(rows)
+    examples = [(plain_features(texts[i], toxicity.BITS), told[i]) for i in order]
+    want = plain_ftrl(examples, toxicity.BITS, toxicity.PASSES, toxicity.ALPHA, toxicity.BETA, toxicity.L1, toxicity.L2)
+    at, weights = toxicity.train(texts_of(spark, rows).repartition(3), labels_of(spark, labels))
+    got = dict(zip(at.tolist(), weights.tolist()))
+    assert set(got) == set(want) and all(abs(got[i] - want[i]) < 1e-9 for i in want)
+    scored = {r.doc.doc_id: r.score for r in toxicity.score(texts_of(spark, rows), labels_of(spark, labels)).collect()}
+    for i, text in rows:
+        total = sum(want.get(p, 0.0) for p in [*plain_features(text, toxicity.BITS), 2**toxicity.BITS])
+        assert abs(scored[i] - 1 / (1 + math.exp(-total))) < 1e-9
+
+
+_hashes: dict[int, int] = {}
+
+
+def spark_hash(spark, ids):
+    if not _hashes:
+        frame = spark.createDataFrame([(i,) for i in ids], "id long")
+        _hashes.update({r.id: r.place for r in frame.selectExpr("id", "xxhash64(CAST(id AS string)) AS place").collect()})
+    return _hashes
 
 
 @settings(max_examples=100, deadline=None)
