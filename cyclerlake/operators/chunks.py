@@ -54,9 +54,9 @@ def sign_sums() -> list[Column]:
     return [F.expr(f"sum(2L * getbit(xxhash64(seq_id), {i}) - 1L) AS {name}") for i, name in enumerate(SIGNS)]
 
 
-def chunk_counts(df: DataFrame, by: Sequence[str]) -> DataFrame:
+def chunk_counts(df: DataFrame, by: Sequence[str], more: Sequence[Column] = ()) -> DataFrame:
     """Rows per chunk; combined on the map side, so only summaries are shuffled."""
-    return df.groupBy(*by, CHUNK).agg(F.expr("count(*) AS _rows"), *sign_sums())
+    return df.groupBy(*by, CHUNK).agg(F.expr("count(*) AS _rows"), *sign_sums(), *more)
 
 
 def both_sides(main: DataFrame, aux: DataFrame) -> DataFrame:

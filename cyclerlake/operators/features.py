@@ -30,6 +30,7 @@ from cyclerlake.operators.chunks import (
     split_hot,
     with_chunk,
 )
+from cyclerlake.operators.snapshot import frozen, frozen_hot, last_place
 from cyclerlake.session import landed
 
 PART = "_part"
@@ -240,22 +241,26 @@ def add_step_features(
     layout: Layout = Layout(),
     carry: DataFrame | None = None,
     total_time: bool = True,
+    snapshot: bool = False,
 ) -> DataFrame:
     """Add the step features to converted records; ``by`` names the columns that identify a test.
 
     A feature whose inputs are missing is left out. The summary pass runs at once, the features
-    when the result is used.
+    when the result is used. With ``snapshot`` both see the records of the summary pass, or the result fails.
     """
     present = set(df.columns)
     if "test_time" in present:
         if "seq_id" not in present:
             raise ValueError("step_count follows the order of seq_id, which is missing")
         rows = with_chunk(df, layout)
-        summary = landed(summarise(rows, [*by, CHUNK], total_time), "chunk-summary")
+        more = [last_place(rows)] if snapshot else []
+        summary = landed(summarise(rows, [*by, CHUNK], total_time, more), "chunk-summary")
         measured = measure(summary, by, layout)
         cold, hot = split_hot(rows, measured.hot, by)
         kept = summary.where(f"_rows <= {layout.hot_rows}")
-        return number_steps(cold, kept, hot, by, layout, measured, carry, total_time=total_time).whole()
+        if snapshot:
+            cold, hot = frozen(cold, kept, by, measured), frozen_hot(hot, summary, measured.hot, by)
+        return number_steps(cold, kept, hot, by, layout, measured, carry, laid_out=snapshot, total_time=total_time).whole()
 
     # without test_time there is no running count; the other two need a minimum per group only
     if "seq_id" in present and "step_count" in present:

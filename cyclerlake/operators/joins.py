@@ -12,6 +12,8 @@ from cyclerlake.operators.chunks import (
     CHUNK,
     COPIES,
     Layout,
+    Measured,
+    SIDE,
     both_sides,
     chunk_counts,
     collapse_copies,
@@ -24,6 +26,7 @@ from cyclerlake.operators.chunks import (
     with_chunk,
 )
 from cyclerlake.operators.features import IS_START, Parts, number_steps, summarise
+from cyclerlake.operators.snapshot import frozen, frozen_hot, last_place
 from cyclerlake.session import landed
 
 # so many step starts (their keys are below 10 MB) are broadcast to find the channels they meet
@@ -51,17 +54,35 @@ def _hot_join(main: DataFrame, aux: DataFrame, keys: Sequence[str], hot: DataFra
     return pairs.unionByName(misses, allowMissingColumns=True)
 
 
-def join_aux(main: DataFrame, aux: DataFrame, by: Sequence[str] = (), layout: Layout = Layout()) -> DataFrame:
-    """Left join on test and ``seq_id``; a record with several channels yields several rows."""
+def _frozen_sides(sides: DataFrame, cold: Sequence[DataFrame], hot: Sequence[DataFrame | None], by: Sequence[str], measured: Measured):
+    """Both sides of a join as the narrow pass saw them: cold ones, laid out, and hot ones."""
+    done_cold, done_hot = [], []
+    for side, cold_rows, hot_rows in zip(("main", "aux"), cold, hot):
+        marks = sides.where(F.col(SIDE) == side)
+        few, _ = split_hot(marks, measured.hot, by)
+        done_cold.append(frozen(cold_rows, few, by, measured))
+        done_hot.append(frozen_hot(hot_rows, marks, measured.hot, by))
+    return done_cold, done_hot
+
+
+def join_aux(main: DataFrame, aux: DataFrame, by: Sequence[str] = (), layout: Layout = Layout(), snapshot: bool = False) -> DataFrame:
+    """Left join on test and ``seq_id``; a record with several channels yields several rows.
+
+    With ``snapshot`` both sides are as the pass that counts them saw them, or the result fails.
+    """
     keys = ["seq_id", CHUNK, *reversed(by)]
     columns = main.columns
     main, aux = with_chunk(main, layout), with_chunk(_right_names(main, aux, keys), layout)
-    counts = joined_counts(both_sides(chunk_counts(main, by), chunk_counts(aux, by)), by)
-    measured = measure(landed(counts, "chunk-counts"), by, layout)
+    more = [[last_place(side)] if snapshot else [] for side in (main, aux)]
+    sides = both_sides(chunk_counts(main, by, more[0]), chunk_counts(aux, by, more[1]))
+    sides = landed(sides, "chunk-sides") if snapshot else sides
+    measured = measure(landed(joined_counts(sides, by), "chunk-counts"), by, layout)
     hot = measured.hot
     (cold_main, hot_main), (cold_aux, hot_aux) = split_hot(main, hot, by), split_hot(aux, hot, by)
     place = [CHUNK, *reversed(by)]
-    if measured.partitions is not None:
+    if snapshot:
+        (cold_main, cold_aux), (hot_main, hot_aux) = _frozen_sides(sides, (cold_main, cold_aux), (hot_main, hot_aux), by, measured)
+    elif measured.partitions is not None:
         cold_main, cold_aux = measured.lay_out(cold_main, place), measured.lay_out(cold_aux, place)
     hot_joined = None
     if hot is not None:
@@ -78,12 +99,14 @@ def join_aux_with_steps(
     layout: Layout = Layout(),
     scope: str = "row",
     total_time: bool = True,
+    snapshot: bool = False,
 ) -> DataFrame:
     """Join the channels and number the steps.
 
     With scope ``row`` the joined rows are numbered, with ``record`` the records before the join.
     Both sides are laid out by test and chunk once; join and step window share that layout, so
-    the full rows of either side are shuffled a single time (see ``session.tune``).
+    the full rows of either side are shuffled a single time (see ``session.tune``). With ``snapshot``
+    every pass reads the records that the first one saw, or the result fails.
     """
     # the most selective key first: sorts then rarely compare further ones
     keys = ["seq_id", CHUNK, *reversed(by)]
@@ -91,13 +114,18 @@ def join_aux_with_steps(
     main, aux = with_chunk(main, layout), with_chunk(_right_names(main, aux, keys), layout)
 
     # one narrow pass over each side: what chunks contribute, and which are too large
-    sides = both_sides(summarise(main, place, total_time, sign_sums()), chunk_counts(aux, by))
+    more = [[last_place(side)] if snapshot else [] for side in (main, aux)]
+    sides = both_sides(summarise(main, place, total_time, [*sign_sums(), *more[0]]), chunk_counts(aux, by, more[1]))
     sides = landed(sides, "chunk-summary")
     measured = measure(landed(joined_counts(sides, by), "chunk-counts"), by, layout)
     hot = measured.hot
     (cold_main, hot_main), (cold_aux, hot_aux) = split_hot(main, hot, by), split_hot(aux, hot, by)
     summary, _ = split_hot(sides.where("_side = 'main'"), hot, by)
-    laid_main, laid_aux = measured.lay_out(cold_main, place), measured.lay_out(cold_aux, place)
+    if snapshot:
+        (laid_main, laid_aux), (hot_main, hot_aux) = _frozen_sides(sides, (cold_main, cold_aux), (hot_main, hot_aux), by, measured)
+        cold_main, cold_aux = laid_main, laid_aux
+    else:
+        laid_main, laid_aux = measured.lay_out(cold_main, place), measured.lay_out(cold_aux, place)
     options = {"layout": layout, "measured": measured, "laid_out": True, "total_time": total_time}
 
     if scope == "record":

@@ -99,6 +99,7 @@ class Cycler:
         complete: bool = False,
         strict: bool = False,
         layout: Layout = Layout(),
+        snapshot: bool = False,
     ) -> DataFrame:
         """All published columns of one test, under their labels.
 
@@ -106,7 +107,8 @@ class Cycler:
         so steps are numbered within what it keeps. ``step_scope="row"`` numbers the joined rows,
         where a step start counts once per channel; ``"record"`` numbers records before the join.
         ``complete`` adds to ``main_columns`` whatever the conversions need; with ``strict``, a
-        conversion whose inputs are missing is an error.
+        conversion whose inputs are missing is an error. ``snapshot`` is for tables that are still written to:
+        the result is their state at the call, or using it fails.
         """
         tune(self.tables.spark)
         dev_uid = test["dev_uid"]
@@ -116,7 +118,7 @@ class Cycler:
         main = _slim(main, [])
         if aux is not None:
             aux = _slim(transform_aux(aux, self.version, dev_uid), [])
-        return _published(_with_steps(main, aux, [], step_scope, layout), [])
+        return _published(_with_steps(main, aux, [], step_scope, layout, snapshot), [])
 
     def get_fleet(
         self,
@@ -128,6 +130,7 @@ class Cycler:
         complete: bool = False,
         strict: bool = False,
         layout: Layout = Layout(),
+        snapshot: bool = False,
     ) -> DataFrame:
         """``get_data`` of many tests (rows of the catalogue; all by default) in one plan.
 
@@ -135,7 +138,7 @@ class Cycler:
         """
         tune(self.tables.spark)
         main, aux = self.fleet_parts(chosen, where, main_columns, aux_columns, complete, strict)
-        return _published(_with_steps(main, aux, IDENTITY, step_scope, layout), IDENTITY)
+        return _published(_with_steps(main, aux, IDENTITY, step_scope, layout, snapshot), IDENTITY)
 
     def fleet_parts(
         self,
@@ -175,17 +178,18 @@ def _slim(df: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def _with_steps(
-    main: DataFrame, aux: DataFrame | None, by: Sequence[str], step_scope: str, layout: Layout
+    main: DataFrame, aux: DataFrame | None, by: Sequence[str], step_scope: str, layout: Layout, snapshot: bool = False
 ) -> DataFrame:
     if step_scope not in STEP_SCOPES:
         raise ValueError(f"step_scope must be one of {STEP_SCOPES}, got {step_scope!r}")
+    options = {"total_time": False, "snapshot": snapshot}
     if aux is None:
-        return add_step_features(with_typed_nulls(main, NO_AUX), by, layout, total_time=False)
+        return add_step_features(with_typed_nulls(main, NO_AUX), by, layout, **options)
     if "test_time" in main.columns:
         main = main.drop("step_count", "step_index")  # computed anew below
     else:
-        return join_aux(add_step_features(main, by, layout, total_time=False), aux, by, layout)
-    return join_aux_with_steps(main, aux, by, layout, step_scope, total_time=False)
+        return join_aux(add_step_features(main, by, layout, **options), aux, by, layout, snapshot)
+    return join_aux_with_steps(main, aux, by, layout, step_scope, **options)
 
 
 def _published(df: DataFrame, leading: Sequence[str]) -> DataFrame:

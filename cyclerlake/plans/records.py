@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from cyclerlake.functions.predicates import column_list, pick, quoted
 from cyclerlake.operators.unions import select_union
+from cyclerlake.plans.cover import Cover, covers, key_values, within
 from cyclerlake.session import landed
 from cyclerlake.sources.catalogue import IDENTITY
 from cyclerlake.sources.schemas import impose, record_schema
@@ -80,7 +81,7 @@ class FleetRoutes(NamedTuple):
     tests: DataFrame
     shared: dict[tuple[str, str, str], int]  # (device type, kind, table) -> number of tests
     owned: dict[tuple[str, str, str], list[Test]]  # (device type, kind, table) -> owners
-    bounds: dict[tuple[str, str, str], dict[str, tuple[int, int]]]  # (device type, kind, table) -> range of each key
+    keys: dict[tuple[str, ...], Cover]  # (device type, kind, table, key) -> ranges that cover the tests' keys
 
 
 # identity is four longs: a broadcast of this many tests stays below 10 MB
@@ -119,10 +120,8 @@ def plan_routes(tests: DataFrame) -> FleetRoutes:
         F.expr("count(*) AS tests"),
         F.expr("max(_ways) AS ways"),
         F.expr("count(main_owned) + count(aux_owned) AS own"),
-        *(F.expr(f"struct(min({k}), max({k})) AS {k}") for k in RECORD_KEYS),
     )
     listed = groups.collect()
-    bounds: dict[tuple[str, str, str], dict[str, tuple[int, int]]] = {}
     if any(row["ways"] > 1 for row in listed):
         example = tests.where("_ways > 1").select(*IDENTITY).first()
         raise ValueError(f"tests must be unique by {IDENTITY}; repeated: {example.asDict()}")
@@ -131,19 +130,16 @@ def plan_routes(tests: DataFrame) -> FleetRoutes:
             if row[f"{kind}_shared"] is not None:
                 key = (row["device"], kind, row[f"{kind}_shared"])
                 shared[key] = shared.get(key, 0) + row["tests"]
-                known = bounds.setdefault(key, {})
-                for k in RECORD_KEYS:
-                    ends = [x for x in (*row[k], *known.get(k, ())) if x is not None]
-                    if ends:
-                        known[k] = (min(ends), max(ends))
+    whole = [k for k in RECORD_KEYS if isinstance(tests.schema[k].dataType, T.IntegralType)]
+    keys = covers(key_values(tests, whole)) if shared and whole else {}
     if not any(row["own"] for row in listed):
-        return FleetRoutes(tests, shared, owned, bounds)
+        return FleetRoutes(tests, shared, owned, keys)
     owners = tests.where("main_owned IS NOT NULL OR aux_owned IS NOT NULL")
     for row in owners.toLocalIterator():
         for kind in ("main", "aux"):
             if row[f"{kind}_owned"] is not None:
                 owned.setdefault((row["device"], kind, row[f"{kind}_owned"]), []).append(row.asDict())
-    return FleetRoutes(tests, shared, owned, bounds)
+    return FleetRoutes(tests, shared, owned, keys)
 
 
 def tag_shared(records: DataFrame, tests: DataFrame, count: int, keys: Sequence[str] = RECORD_KEYS) -> DataFrame:
@@ -194,8 +190,11 @@ def fleet_records(
     for (dev, which, table), count in sorted(routes.shared.items()):
         if (dev, which) == (device, kind):
             # the join is exact; the ranges of the keys reach the scan and prune files and row groups
-            ranges = routes.bounds.get((dev, which, table), {})
-            records = pick(tables.frame(table), [*RECORD_KEYS, *wanted], {**where_shared, **ranges})
+            records = tables.frame(table)
+            for key in RECORD_KEYS:
+                if (dev, which, table, key) in routes.keys:
+                    records = records.where(within(key, routes.keys[dev, which, table, key]))
+            records = pick(records, [*RECORD_KEYS, *wanted], where_shared)
             here = (F.col("device") == device) & (F.col(f"{kind}_shared") == table)
             named_here = tests.where(here).select(*carried)
             parts.append(tag_shared(impose(records, schema), named_here, count))

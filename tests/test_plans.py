@@ -1,10 +1,12 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 import cyclerlake as cl
 from checks.queries import FINE, TEST_24, TEST_26, TEST_26_NO_AUX, tables
 from cyclerlake.functions.vocabulary import LABELS
-from cyclerlake.plans import records
+from cyclerlake.plans import cover, records
 from cyclerlake.plans.export import export_tests
 
 SF = "/root/testdata/sf0.001"
@@ -163,10 +165,60 @@ def test_a_chosen_test_prunes_the_scan(spark, tmp_path):
     plan = main._jdf.queryExecution().executedPlan().toString()
     spark.conf.unset("spark.sql.maxMetadataStringLength")
     pushed = next(line for line in plan.split("\n") if "FileScan" in line and "seq_id" in line)
-    assert "GreaterThanOrEqual(test_id,4)" in pushed and "LessThanOrEqual(test_id,4)" in pushed
+    assert "EqualTo(test_id,4)" in pushed
     assert main.count() == 100
 
 
+def scanned_rows(df):
+    """Rows that the scans of records give, after the query has run."""
+    got = df.collect()
+    plan = df._jdf.queryExecution().executedPlan().finalPhysicalPlan()
+    total, todo = 0, [plan]
+    while todo:
+        node = todo.pop()
+        if node.nodeName().startswith("Scan parquet") and "seq_id" in node.output().mkString():
+            total += node.metrics().get("numOutputRows").get().value()
+        inner = [node.plan()] if "QueryStage" in node.getClass().getName() else [node.children().apply(i) for i in range(node.children().size())]
+        todo += inner
+    return got, total
+
+
+def test_scattered_tests_read_few_row_groups(spark, tmp_path, monkeypatch):
+    made = spark.range(40_000).selectExpr(
+        "1L AS unit_id", "1L AS chl_id", "id div 100 AS test_id", "id AS seq_id", "id % 9 AS test_time", "CAST(id AS double) AS test_vol",
+    )
+    made.coalesce(1).sortWithinPartitions("seq_id").write.option("parquet.block.size", 4096).parquet(f"{tmp_path}/rec")
+    spark.sql("SELECT '0800' AS version").write.parquet(f"{tmp_path}/db_ver")
+    test = "SELECT 260001L AS dev_uid, 1L AS unit_id, 1L AS chl_id, t AS test_id, 'rec' AS main_first_table FROM VALUES (0L), (1L), (200L), (398L), (399L) AS v(t)"
+    spark.sql(test).write.parquet(f"{tmp_path}/test")
+    db = cl.connect(cl.FileTables(spark, {n: f"{tmp_path}/{n}" for n in ("rec", "db_ver", "test")}))
+    found = {}
+    for ranges in (1, 3, 16):
+        monkeypatch.setattr(records, "covers", lambda values, ranges=ranges: cover.covers(values, ranges))
+        main, _ = db.fleet_parts(db.tests(), main_columns={"26": ["seq_id", "test_time", "test_vol"]})
+        found[ranges] = scanned_rows(main)
+        assert sorted({r.test_id for r in found[ranges][0]}) == [0, 1, 200, 398, 399]
+    assert len({tuple(sorted(map(str, got))) for got, _ in found.values()}) == 1
+    assert found[1][1] == 40_000
+    assert found[3][1] < 4_000 and found[16][1] <= found[3][1]
+
+
+@pytest.mark.parametrize("ranges", [1, 2, 5, 16])
+@pytest.mark.parametrize("buckets", [1, 3, 1024])
+def test_covers_keep_the_widest_gaps(spark, ranges, buckets):
+    chance = random.Random(ranges)
+    rows, want = [], {}
+    for table in ("a", "b", "c", "d"):
+        values = sorted({"a": {5}, "b": {chance.randrange(100) for _ in range(30)}, "c": {-(2**63), 0, 2**63 - 1, 7},
+                         "d": {chance.randrange(10**9) for _ in range(80)} | set(range(50))}[table])
+        rows += [("24", "main", table, "test_id", v) for v in [*values, values[0], None]]
+        gaps = sorted((-(b - a), a, b) for a, b in zip(values, values[1:]) if b - a > 1)[: ranges - 1]
+        cuts = sorted((a, b) for _, a, b in gaps)
+        want["24", "main", table, "test_id"] = list(zip([values[0], *(b for _, b in cuts)], [*(a for a, _ in cuts), values[-1]]))
+    frame = spark.createDataFrame(rows, "device string, kind string, record_table string, key string, value long")
+    assert cover.covers(frame.repartition(3), ranges, buckets) == want
+
+
 def test_fleet_completes_columns_and_can_be_strict(spark, tmp_path):
     rows = spark.range(100).selectExpr(
         "1L AS unit_id", "1L AS chl_id", "1L AS test_id", "id AS seq_id", "id % 9 AS test_time", "id AS test_vol", "id AS test_cur",
