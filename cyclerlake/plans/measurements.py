@@ -8,6 +8,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from cyclerlake.functions.conversions import required_columns, transform_aux, transform_main
 from cyclerlake.functions.predicates import quoted
@@ -28,6 +29,7 @@ from cyclerlake.session import tune
 from cyclerlake.sources.catalogue import IDENTITY, supported_version, tests, unordered_tests
 from cyclerlake.sources.schemas import record_schema
 from cyclerlake.sources.tables import Tables
+from cyclerlake.streaming.ordered import finish, read_ordered, stream_ordered
 
 AUX_COLUMNS = ["auxchl_id", "seq_id", "test_tmp"]
 NO_AUX = {"auxchl_id": "bigint", "test_tmp": "double"}
@@ -120,6 +122,37 @@ class Cycler:
             aux = _slim(transform_aux(aux, self.version, dev_uid), [])
         return _published(_with_steps(main, aux, [], step_scope, layout, snapshot), [])
 
+    def stream_data(
+        self,
+        test: Test,
+        folder: str,
+        bound: int,
+        where: Where = None,
+        main_columns: Sequence[str] | None = None,
+        step_scope: str = "row",
+        layout: Layout = Layout(),
+    ) -> StreamingQuery:
+        """``get_data`` of a test that is still running, from streams of its tables into ``folder``.
+
+        Records and channels may arrive out of order by ``bound`` record numbers. ``read_data`` gives what is numbered so far.
+        """
+        tune(self.tables.spark)
+        dev_uid = test["dev_uid"]
+        main = self.stream_main_data(test, where, self._main_columns(dev_uid, main_columns, False))
+        main = _slim(transform_main(main, self.version, dev_uid), []).drop("step_count", "step_index")
+        aux = self.stream_aux_data(test, where, AUX_COLUMNS)
+        if aux is None:
+            main = with_typed_nulls(main, NO_AUX)
+        else:
+            aux = _slim(transform_aux(aux, self.version, dev_uid), [])
+        return stream_ordered(main, aux, [], folder, bound, layout, step_scope)
+
+    def read_data(self, folder: str, ended: bool = False, step_scope: str = "row", layout: Layout = Layout()) -> DataFrame:
+        """What ``stream_data`` has numbered; with ``ended`` also what it holds back for late records."""
+        if ended:
+            finish(self.tables.spark, [], folder, layout, step_scope)
+        return _published(read_ordered(self.tables.spark, folder), [])
+
     def get_fleet(
         self,
         chosen: DataFrame | None = None,
