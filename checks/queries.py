@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Callable
+from functools import reduce
+from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import cyclerlake as cl
@@ -22,7 +24,8 @@ from cyclerlake.plans.records import RECORD_KEYS, aux_records, main_records
 from cyclerlake.session import tune, work_folder
 from cyclerlake.sources.catalogue import IDENTITY
 from cyclerlake.sources.schemas import impose, record_schema
-from cyclerlake.streaming.chunked import map_chunks, query_chunks, table_chunks
+from cyclerlake.streaming.chunked import iter_chunks, map_chunks, map_exact_chunks, query_chunks, table_chunks
+from cyclerlake.streaming.ordered import finish, read_ordered, stream_ordered
 from cyclerlake.streaming.sinks import write_stream
 from cyclerlake.streaming.steps import read_steps, stream_steps
 
@@ -400,6 +403,59 @@ def catalogue_0760(spark, sf_dir):
     return cl.connect(cl.FrameTables(spark, {**t.frames, "db_ver": old})).tests()
 
 
+PLACED_SQL = f"SELECT *, row_number() OVER (ORDER BY {IDS}) - 1 AS place FROM ({DIAGONAL_SQL}) d"
+
+
+def split_catalogue(spark: SparkSession, sf_dir: str) -> cl.FrameTables:
+    """Two history tables, named against the order of their tests."""
+    t = tables(spark, sf_dir)
+    history = t.frame("h_test")
+    parts = {"h_test_b": history.where("unit_id = 3"), "h_test_a": history.where("unit_id <> 3")}
+    return cl.FrameTables(spark, {**{n: f for n, f in t.frames.items() if n != "h_test"}, **parts})
+
+
+@check("catalogue_ordered", PLACED_SQL)
+def catalogue_ordered(spark, sf_dir):
+    """The order of the catalogue as a column."""
+    return cl.connect(split_catalogue(spark, sf_dir)).placed_tests()
+
+
+@check("tests_listed", PLACED_SQL)
+def tests_listed(spark, sf_dir):
+    """The list of tests as the caller gets it."""
+    t = split_catalogue(spark, sf_dir)
+    schema = cl.connect(t).tests().schema.add("place", "bigint")
+    return spark.createDataFrame([(*test.values(), place) for place, test in enumerate(cl.list_tests(t))], schema)
+
+
+LISTED = sorted(["events", "orders", "customer", "region", "lineitem"])
+
+
+@check("tables_listed", " UNION ALL ".join(f"SELECT {i} AS place, '{name}' AS name, count(*) AS n_rows FROM {name}" for i, name in enumerate(LISTED)))
+def tables_listed(spark, sf_dir):
+    """Names in order, each with the rows behind it."""
+    source = files(spark, sf_dir, "region", "orders", "events", "lineitem", "customer")
+    counts = [source.frame(name).agg(F.lit(i).alias("place"), F.lit(name).alias("name"), F.count("*").alias("n_rows")) for i, name in enumerate(source.names())]
+    return reduce(DataFrame.unionByName, counts)
+
+
+# the Python type of each column's values
+EVENT_TYPES = {"event_id": "int", "ts": "datetime", "user_id": "int", "event_type": "str", "value": "float", "props": "str"}
+
+
+@check(
+    "table_schema_report",
+    " UNION ALL ".join(f"SELECT '{name}' AS name, '{kind}' AS kind, count({name}) AS present FROM events" for name, kind in EVENT_TYPES.items()),
+)
+def table_schema_report(spark, sf_dir):
+    """Columns and types of a table, each with the number of values that are present."""
+    source = files(spark, sf_dir, "events")
+    told = source.table_schema("events")
+    present = source.frame("events").agg(*(F.count(name).alias(name) for name in told))
+    rows = [F.struct(F.lit(name).alias("name"), F.lit(kind.__name__).alias("kind"), F.col(name).alias("present")) for name, kind in told.items()]
+    return present.select(F.inline(F.array(*rows)))
+
+
 # -- conversions ----------------------------------------------------------------------------------
 
 CONVERTED = [name for name, *_ in NAMES if name not in ("step_index", "step_count", "test_tmp")]
@@ -538,10 +594,9 @@ def aux_join(spark, sf_dir):
     return join_aux(*fanout_sides(spark, sf_dir), ["test_id"], FINE)
 
 
-# an id with ten main rows and up to ten channels
-COPIES_MAIN_SQL = "SELECT user_id % 3 AS test_id, CAST(floor(event_id / 40) AS BIGINT) AS seq_id, event_id AS test_vol FROM events WHERE event_id % 4 = 0"
-COPIES_AUX_SQL = """SELECT user_id % 3 AS test_id, CAST(floor(event_id / 40) AS BIGINT) AS seq_id, event_id % 40 AS auxchl_id
-FROM events WHERE event_id % 4 = 1"""
+# an id with up to twenty main rows and as many channels
+COPIES_MAIN_SQL = "SELECT user_id % 3 AS test_id, CAST(floor(event_id / 20) AS BIGINT) AS seq_id, event_id AS test_vol FROM events"
+COPIES_AUX_SQL = "SELECT user_id % 3 AS test_id, CAST(floor(event_id / 20) AS BIGINT) AS seq_id, event_id % 20 AS auxchl_id FROM events"
 
 
 @check("aux_join_copies", f"SELECT test_id, seq_id, test_vol, auxchl_id FROM ({COPIES_MAIN_SQL}) m LEFT JOIN ({COPIES_AUX_SQL}) a USING (test_id, seq_id)")
@@ -554,7 +609,7 @@ def aux_join_copies(spark, sf_dir):
 
 @check("step_features_fanout", steps_sql(FANOUT_SQL, "test_id", "seq_id, auxchl_id"))
 def step_features_fanout(spark, sf_dir):
-    return join_aux_with_steps(*fanout_sides(spark, sf_dir), ["test_id"], FINE)
+    return join_aux_with_steps(*fanout_sides(spark, sf_dir), ["test_id"])
 
 
 @check("step_features_fanout_hot", steps_sql(FANOUT_SQL, "test_id", "seq_id, auxchl_id"))
@@ -562,6 +617,11 @@ def step_features_fanout_hot(spark, sf_dir):
     return join_aux_with_steps(*fanout_sides(spark, sf_dir), ["test_id"], HOT)
 
 
+@check("step_features_fanout_chunked", steps_sql(FANOUT_SQL, "test_id", "seq_id, auxchl_id"))
+def step_features_fanout_chunked(spark, sf_dir):
+    return join_aux_with_steps(*fanout_sides(spark, sf_dir), ["test_id"], FINE)
+
+
 # forty different rows to an id, with and without channels, starts among them
 TIED_SQL = """SELECT user_id % 3 AS test_id, CAST(floor(event_id / 40) AS BIGINT) AS seq_id,
   CASE WHEN event_id % 5 > 0 THEN event_id % 3 END AS auxchl_id, event_id % 4 AS test_time, event_id AS test_vol FROM events"""
@@ -724,6 +784,42 @@ def get_data_fleet_where(spark, sf_dir):
     return cl.connect(tables(spark, sf_dir)).get_fleet(where={"seq_id": (500, None)}, layout=FINE)
 
 
+HALF = "(SELECT max(event_id) // 2 FROM events)"
+LIVE_SQL = steps_sql(
+    joined_sql(FLEET_MAIN_SQL.replace("FROM rec_all r", f"FROM (SELECT * FROM rec_all WHERE seq_id <= {HALF}) r"),
+               FLEET_AUX_SQL + f" AND seq_id <= {HALF}"),
+    IDS, "seq_id, auxchl_id", total=False)
+
+
+class Clock:
+    """A number that every job reads anew: how far a tester has come."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.folder = Path(work_folder(spark, "clock").removeprefix("file:"))
+        self.folder.mkdir(parents=True)
+
+        def now(batches, path=str(self.folder / "now")):
+            for batch in batches:
+                yield batch.assign(now=int(Path(path).read_text()))[["now"]]
+
+        self.frame = spark.range(1).mapInPandas(now, "now bigint")
+
+    def set(self, now: int) -> None:
+        (self.folder / "now").write_text(str(now))
+
+
+@check("get_data_fleet_live", fleet_sql(LIVE_SQL))
+def get_data_fleet_live(spark, sf_dir):
+    """The fleet while all tables grow: half of all records are there at the call, all when the result is used."""
+    t, clock = tables(spark, sf_dir), Clock(spark)
+    last = spark.table("events").agg(F.max("event_id")).first()[0]
+    growing = {n: t.frame(n).where(F.col("seq_id") <= clock.frame.scalar()) for n in ("rec_live", "rec_hist_0", "aux_live", "aux_hist_0")}
+    clock.set(last // 2)
+    fleet = cl.connect(cl.FrameTables(spark, {**t.frames, **growing})).get_fleet(layout=FINE, snapshot=True)
+    clock.set(last + 1)
+    return fleet
+
+
 # -- streams --------------------------------------------------------------------------------------
 
 
@@ -770,36 +866,87 @@ def stream_convert(spark, sf_dir):
     return streamed(spark, transform_main(raw, "0800", 240001).select(*CONVERTED, "test_id"))
 
 
+BATCHES, FILES = 4, 4
+
+
+def in_batches(spark: SparkSession, records: DataFrame, at: Column, folder: str) -> cl.FileTables:
+    """Files in the order of ``at``, a number from 0 to 1; as many tasks write a batch as it has files."""
+    for part in range(BATCHES):
+        low, high = part / BATCHES, (part + 1) / BATCHES
+        here = (at >= low) & (at < high) if high < 1 else at >= low
+        records.where(here).repartition(FILES).write.mode("append").parquet(folder)
+    return cl.FileTables(spark, {"in": folder}, files_per_batch=FILES)
+
+
 @check("stream_steps", steps_sql(TIMED_SQL, "test_id"))
 def stream_step_features(spark, sf_dir):
-    # four batches of files, in the order of their records
+    # batches of files, in the order of their records
     records = timed(spark, sf_dir)
     folder = work_folder(spark, "steps")
     last = records.agg(F.max("seq_id")).first()[0]
-    for part in range(4):
-        low, high = last * part // 4, last * (part + 1) // 4
-        records.where((F.col("seq_id") > low) & (F.col("seq_id") <= high)).coalesce(1).write.mode("append").parquet(
-            f"{folder}/in"
-        )
-    source = cl.FileTables(spark, {"in": f"{folder}/in"}, files_per_batch=1)
+    source = in_batches(spark, records, F.col("seq_id") / (last + 1), f"{folder}/in")
     stream_steps(source.stream("in"), ["test_id"], f"{folder}/out", FINE).awaitTermination()
     return read_steps(spark, f"{folder}/out")
 
 
 @check("stream_steps_fanout", steps_sql(FANOUT_SQL, "test_id", "seq_id, auxchl_id"))
 def stream_step_features_fanout(spark, sf_dir):
-    # batches end between the channels of a record
+    # batches end between the channels of a record: one channel at the end of a batch, the other in the next
     records = join_aux(*fanout_sides(spark, sf_dir), ["test_id"])
-    records = records.withColumn("_n", F.expr("row_number() OVER (PARTITION BY test_id ORDER BY seq_id, auxchl_id)"))
-    records = records.withColumn("_part", F.expr("_n * 4 div (count(*) OVER (PARTITION BY test_id) + 1)")).drop("_n")
     folder = work_folder(spark, "steps")
-    for part in range(4):
-        records.where(F.col("_part") == part).drop("_part").coalesce(1).write.mode("append").parquet(f"{folder}/in")
-    source = cl.FileTables(spark, {"in": f"{folder}/in"}, files_per_batch=1)
+    last = records.agg(F.max("seq_id")).first()[0]
+    second = F.coalesce((F.col("auxchl_id") > 1).cast("int"), F.lit(0))
+    source = in_batches(spark, records, (2 * F.col("seq_id") + second) / (2 * last + 2), f"{folder}/in")
     stream_steps(source.stream("in"), ["test_id"], f"{folder}/out", FINE).awaitTermination()
     return read_steps(spark, f"{folder}/out")
 
 
+def out_of_order(records: DataFrame, last: int, bound: int) -> Column:
+    """When a record arrives: up to ``bound`` records late."""
+    return (F.col("seq_id") + F.pmod(F.xxhash64(*records.columns), F.lit(bound))) / (last + bound + 1)
+
+
+@check("stream_steps_late", steps_sql(TIMED_SQL, "test_id"))
+def stream_steps_late(spark, sf_dir):
+    """Records out of order within a bound, also between batches."""
+    records = timed(spark, sf_dir)
+    folder = work_folder(spark, "late")
+    last = records.agg(F.max("seq_id")).first()[0]
+    bound = last // 6
+    source = in_batches(spark, records, out_of_order(records, last, bound), f"{folder}/in")
+    stream_ordered(source.stream("in"), None, ["test_id"], f"{folder}/out", bound, FINE).awaitTermination()
+    finish(spark, ["test_id"], f"{folder}/out", FINE)
+    return read_ordered(spark, f"{folder}/out")
+
+
+@check("stream_steps_channels", steps_sql(FANOUT_SQL, "test_id", "seq_id, auxchl_id"))
+def stream_steps_channels(spark, sf_dir):
+    """Two streams of many tests, both out of order, joined and numbered."""
+    folder = work_folder(spark, "channels")
+    sides = fanout_sides(spark, sf_dir)
+    last = sides[0].agg(F.max("seq_id")).first()[0]
+    bound = last // 6
+    streams = [in_batches(spark, side, out_of_order(side, last, bound), f"{folder}/{i}").stream("in") for i, side in enumerate(sides)]
+    stream_ordered(*streams, ["test_id"], f"{folder}/out", bound, FINE).awaitTermination()
+    finish(spark, ["test_id"], f"{folder}/out", FINE)
+    return read_ordered(spark, f"{folder}/out")
+
+
+@check("stream_get_data", data_sql(MAIN_24_SQL, aux_sql()))
+def stream_get_data(spark, sf_dir):
+    """A running test as streams of its four tables; what the batch read gives."""
+    t, folder = tables(spark, sf_dir), work_folder(spark, "running")
+    last = t.frame("rec_all").agg(F.max("seq_id")).first()[0]
+    bound = last // 6
+    names = ("rec_live", "rec_hist_0", "aux_live", "aux_hist_0")
+    for name in names:
+        in_batches(spark, t.frame(name), out_of_order(t.frame(name), last, bound), f"{folder}/{name}")
+    source = cl.FileTables(spark, {name: f"{folder}/{name}" for name in names}, files_per_batch=FILES)
+    cycler = cl.Cycler(source, "0800")
+    cycler.stream_data(TEST_24, f"{folder}/out", bound, layout=FINE).awaitTermination()
+    return cycler.read_data(f"{folder}/out", ended=True, layout=FINE)
+
+
 @check("chunked_work", "SELECT test_id, seq_id, test_vol / 1e4::DOUBLE AS volt FROM rec_all")
 def chunked_work(spark, sf_dir):
     def volts(frame):
@@ -818,9 +965,23 @@ def chunk_sizes(spark, sf_dir):
     def size(frame):
         return frame.head(1).assign(n_rows=len(frame))[["n_rows"]]
 
-    # one partition, so that the sizes are known
-    one = files(spark, sf_dir, "events").get_table("events", "event_id").coalesce(1)
-    return map_chunks(one, size, "n_rows bigint", chunksize=1700)
+    whole = files(spark, sf_dir, "events").get_table("events", "event_id")
+    return map_exact_chunks(whole, size, "n_rows bigint", chunksize=1700)
+
+
+@check(
+    "chunk_contents",
+    """SELECT CAST((event_place - 1) // 1700 AS BIGINT) AS chunk, min(event_id) AS first_id, max(event_id) AS last_id, CAST(sum(user_id) AS BIGINT) AS users
+FROM (SELECT *, row_number() OVER (ORDER BY event_id) AS event_place FROM events) e GROUP BY 1""",
+)
+def chunk_contents(spark, sf_dir):
+    """Chunks of consecutive rows in an order, handed to the caller one after the other."""
+    whole = files(spark, sf_dir, "events").get_table("events", ["event_id", "user_id"])
+    found = [
+        (number, int(frame["event_id"].iloc[0]), int(frame["event_id"].iloc[-1]), int(frame["user_id"].sum()))
+        for number, frame in enumerate(iter_chunks(whole, 1700, ["event_id"]))
+    ]
+    return spark.createDataFrame(found, "chunk bigint, first_id bigint, last_id bigint, users bigint")
 
 
 @check("query_chunked", "SELECT user_id, round(sum(value), 4) AS total, count(*) AS n_events FROM events GROUP BY user_id")
@@ -835,12 +996,12 @@ def query_chunked(spark, sf_dir):
     return parts.groupBy("user_id").agg(F.round(F.sum("total"), 4).alias("total"), F.sum("n_events").alias("n_events"))
 
 
-@check("table_chunked", "SELECT event_id, user_id + 1 AS next_user FROM events WHERE event_id BETWEEN 100 AND 9000")
+@check("table_chunked", "SELECT event_id, user_id + 1 AS next_user FROM events WHERE value >= 20")
 def table_chunked(spark, sf_dir):
     def following(frame):
         return frame.assign(next_user=frame["user_id"] + 1)[["event_id", "next_user"]]
 
-    source, where = files(spark, sf_dir, "events"), {"event_id": (100, 9000)}
+    source, where = files(spark, sf_dir, "events"), {"value": (20, None)}
     return table_chunks(source, "events", following, "event_id bigint, next_user bigint", ["event_id", "user_id"], where, 1700)
 
 
@@ -868,7 +1029,7 @@ def test_summary(spark, sf_dir):
 FROM ({steps_sql(TIMED_SQL, "test_id")}) s GROUP BY test_id, step_count""",
 )
 def step_summary(spark, sf_dir):
-    return summarise_steps(add_step_features(timed(spark, sf_dir), ["test_id"], FINE), ["test_id"])
+    return summarise_steps(add_step_features(timed(spark, sf_dir), ["test_id"]), ["test_id"])
 
 
 AT = "{{'s': seq_id, 'c': auxchl_id, 'v': {0}}}"

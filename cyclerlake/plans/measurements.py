@@ -26,7 +26,7 @@ from cyclerlake.plans.records import (
     plan_routes,
 )
 from cyclerlake.session import tune
-from cyclerlake.sources.catalogue import IDENTITY, supported_version, tests, unordered_tests
+from cyclerlake.sources.catalogue import IDENTITY, placed_tests, supported_version, tests, unordered_tests
 from cyclerlake.sources.schemas import record_schema
 from cyclerlake.sources.tables import Tables
 from cyclerlake.streaming.ordered import finish, read_ordered, stream_ordered
@@ -49,6 +49,9 @@ class Cycler:
     def tests(self) -> DataFrame:
         return tests(self.tables, self.version)
 
+    def placed_tests(self) -> DataFrame:
+        return placed_tests(self.tables, self.version)
+
     def list_tests(self) -> Iterator[dict[str, Any]]:
         """Tests as dicts, one partition at a time on the driver."""
         for row in self.tests().toLocalIterator():

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from cyclerlake.operators.places import with_places
 from cyclerlake.operators.unions import union_all_columns
 from cyclerlake.sources.tables import Tables
 
@@ -49,3 +50,8 @@ def unordered_tests(tables: Tables, version: str) -> DataFrame:
 def tests(tables: Tables, version: str) -> DataFrame:
     """One row per test, ordered by identity. The order costs a range shuffle of this table only."""
     return unordered_tests(tables, version).orderBy(*IDENTITY)
+
+
+def placed_tests(tables: Tables, version: str) -> DataFrame:
+    """The same with the order as a column, ``place`` from 0, which survives further operations."""
+    return with_places(unordered_tests(tables, version), IDENTITY)

@@ -6,9 +6,12 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from typing import Any
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cyclerlake.operators.places import with_places
 from cyclerlake.sources.tables import STREAM_CHUNK, Tables
 
 
@@ -43,6 +46,56 @@ def map_chunks(
     return df.mapInPandas(run, schema)
 
 
+AT, CHUNK = "_at", "_number"
+TASKS = 10_000
+
+
+def _in_chunks(df: DataFrame, chunksize: int, order: Sequence[str]) -> DataFrame:
+    if chunksize < 1:
+        raise ValueError("chunksize must be positive")
+    return with_places(df, order, AT).withColumn(CHUNK, F.expr(f"{AT} div {chunksize}"))
+
+
+def map_exact_chunks(
+    df: DataFrame,
+    work: Callable[[pd.DataFrame], pd.DataFrame],
+    schema: T.StructType | str,
+    chunksize: int = STREAM_CHUNK,
+    order: Sequence[str] = (),
+) -> DataFrame:
+    """Apply ``work`` to frames of exactly ``chunksize`` consecutive rows of the whole result; only the last is shorter.
+
+    Rows follow each other in ``order``, or as they lie. ``map_chunks`` needs no shuffle, but ends a chunk with every partition.
+    """
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        return work(frame.sort_values(AT, ignore_index=True).drop(columns=[AT, CHUNK]))
+
+    return _in_chunks(df, chunksize, order).groupBy(CHUNK).applyInPandas(run, schema)
+
+
+def iter_chunks(df: DataFrame, chunksize: int = STREAM_CHUNK, order: Sequence[str] = ()) -> Iterator[pd.DataFrame]:
+    """The same chunks one after the other, for the caller; the driver holds some at a time.
+
+    Tasks put chunks together and hand each over as a single value.
+    """
+    names = df.columns
+
+    def packed(table: pa.Table) -> pa.Table:
+        rows = table.sort_by(AT).select(names).combine_chunks()
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, rows.schema) as writer:
+            writer.write_table(rows)
+        return pa.table({CHUNK: table.column(CHUNK).slice(0, 1), "rows": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
+
+    numbered = _in_chunks(df, chunksize, order)
+    chunks = (numbered.agg(F.max(CHUNK)).first()[0] or 0) + 1
+    values = numbered.groupBy(CHUNK).applyInArrow(packed, f"{CHUNK} long, rows binary")
+    ordered = values.repartitionByRange(min(chunks, TASKS), CHUNK).sortWithinPartitions(CHUNK)
+    for row in ordered.toLocalIterator():
+        yield pa.ipc.open_stream(row["rows"]).read_pandas()
+
+
 def query_chunks(
     tables: Tables,
     text: str,

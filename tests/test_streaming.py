@@ -5,7 +5,8 @@ from pyspark.errors import StreamingQueryException
 import cyclerlake as cl
 from cyclerlake.operators.chunks import Layout
 from cyclerlake.operators.features import add_step_features
-from cyclerlake.streaming.chunked import map_chunks
+from cyclerlake.operators.places import with_places
+from cyclerlake.streaming.chunked import iter_chunks, map_chunks, map_exact_chunks
 from cyclerlake.streaming.sinks import write_stream
 from cyclerlake.streaming.steps import read_steps, step_batch, stream_steps
 
@@ -101,3 +102,39 @@ def test_late_and_null_ids_are_errors(spark, tmp_path, late):
     run(spark.createDataFrame([(1, 1, 0), (1, 2, 0)], CUT), 0)
     with pytest.raises(LateRecordsError):
         run(spark.createDataFrame([late], CUT), 1)
+
+
+@pytest.mark.parametrize("chunksize", [1, 7, 100, 1000])
+def test_exact_chunks_of_a_whole_result(spark, chunksize):
+    def sizes(frame):
+        return pd.DataFrame({"n": [len(frame)], "low": [int(frame["id"].min())], "high": [int(frame["id"].max())]})
+
+    shuffled = spark.range(0, 100, 1, 7).repartition(5)
+    got = map_exact_chunks(shuffled, sizes, "n long, low long, high long", chunksize, ["id"]).collect()
+    want = [(min(chunksize, 100 - low), low, min(low + chunksize, 100) - 1) for low in range(0, 100, chunksize)]
+    assert sorted(map(tuple, got), key=lambda r: r[1]) == want
+    anyhow = map_exact_chunks(shuffled, sizes, "n long, low long, high long", chunksize).collect()
+    assert sorted(r.n for r in anyhow) == sorted(n for n, *_ in want)
+
+
+def test_chunks_for_the_caller(spark):
+    made = spark.range(250).selectExpr("id", "concat('t', id) AS text", "CASE WHEN id % 3 > 0 THEN id * 0.5 END AS part", "CAST(id AS timestamp) AS at")
+    frames = list(iter_chunks(made.repartition(6), 60, ["id"]))
+    assert [len(f) for f in frames] == [60, 60, 60, 60, 10]
+    whole = pd.concat(frames)
+    assert whole["id"].tolist() == list(range(250)) and list(whole.columns) == made.columns
+    assert whole["text"].tolist() == [f"t{i}" for i in range(250)] and whole["part"].isna().sum() == 84
+    assert list(iter_chunks(made.limit(0), 10)) == []
+    with pytest.raises(ValueError):
+        next(iter_chunks(made, 0))
+
+
+def test_places_with_nulls_ties_and_hot_values(spark):
+    rows = [(None if i % 5 == 0 else i % 3, i) for i in range(300)]
+    placed = with_places(spark.createDataFrame(rows, "k long, v long").repartition(9), ["k"]).collect()
+    assert sorted(r.place for r in placed) == list(range(300))
+    keys = [r.k for r in sorted(placed, key=lambda r: r.place)]
+    assert keys == sorted(keys, key=lambda k: (k is not None, k or 0))
+    assert sorted((r.k is not None, r.k or 0, r.v) for r in placed) == sorted((k is not None, k or 0, v) for k, v in rows)
+    assert with_places(spark.range(0)).collect() == []
+    assert [r["odd `name`"] for r in with_places(spark.range(1), ["id"], "odd `name`").collect()] == [0]
