@@ -17,8 +17,9 @@ from cyclerlake.functions.vocabulary import convert
 from cyclerlake.operators.chunks import Layout
 from cyclerlake.operators.features import add_step_features
 from cyclerlake.operators.joins import join_aux, join_aux_with_steps
-from cyclerlake.operators.reports import summarise_steps, summarise_tests
+from cyclerlake.operators.reports import merge_sketches, quantiles, sketch_steps, summarise_export, summarise_steps, summarise_tests
 from cyclerlake.operators.unions import select_union, union_all_columns
+from cyclerlake.plans.clone import clone_fleet, read_clone
 from cyclerlake.plans.export import export_tests, read_export
 from cyclerlake.plans.records import RECORD_KEYS, aux_records, main_records
 from cyclerlake.session import tune, work_folder
@@ -1066,6 +1067,20 @@ def step_summary_signals(spark, sf_dir):
     return summarise_steps(raw.withColumnRenamed("cycle", "step_count"), ["test_id"])
 
 
+@check(
+    "step_distribution",
+    """SELECT test_id, cycle AS step_count, CAST(count(*) AS BIGINT) AS records, CAST(quantile_disc(test_vol, 0.25) AS DOUBLE) AS test_vol_q25,
+  CAST(quantile_disc(test_vol, 0.5) AS DOUBLE) AS test_vol_q50, CAST(quantile_disc(test_vol, 0.75) AS DOUBLE) AS test_vol_q75,
+  CAST(quantile_disc(test_cur, 0.25) AS DOUBLE) AS test_cur_q25, CAST(quantile_disc(test_cur, 0.5) AS DOUBLE) AS test_cur_q50,
+  CAST(quantile_disc(test_cur, 0.75) AS DOUBLE) AS test_cur_q75 FROM rec_all GROUP BY test_id, cycle""",
+)
+def step_distribution(spark, sf_dir):
+    """Quartiles of the signals per step, from sketches of parts of the steps; steps of at most 500 records are exact."""
+    raw = tables(spark, sf_dir).get_table("rec_all", ["test_id", "cycle", "chl_id", "step_id", "test_vol", "test_cur"])
+    parts = sketch_steps(raw.withColumnRenamed("cycle", "step_count"), ["test_id", "step_id"])
+    return quantiles(merge_sketches(parts, ["test_id", "step_count"]))
+
+
 def exported(spark: SparkSession, sf_dir: str, fmt: str) -> DataFrame:
     fleet = cl.connect(tables(spark, sf_dir)).get_fleet(layout=FINE)
     folder = work_folder(spark, "export")
@@ -1086,3 +1101,25 @@ def export_csv(spark, sf_dir):
 @check("export_ndjson", fleet_sql(FLEET_SQL))
 def export_ndjson(spark, sf_dir):
     return exported(spark, sf_dir, "ndjson")
+
+
+@check("export_clone", fleet_sql(FLEET_SQL))
+def export_clone(spark, sf_dir):
+    """A copy made in two runs, the second of which writes only what the first had not."""
+    cycler, folder = cl.connect(tables(spark, sf_dir)), work_folder(spark, "clone")
+    clone_fleet(cycler, folder, cycler.tests().where("unit_id <> 3"), layout=FINE)
+    clone_fleet(cycler, folder, layout=FINE)
+    return read_clone(spark, folder, cycler.get_fleet(layout=FINE).schema)
+
+
+@check(
+    "export_summary",
+    f"""SELECT {IDS}, CAST(count(*) AS BIGINT) AS records, min(seq_id) AS min_seq_id, max(seq_id) AS max_seq_id, min(cycle) AS min_cycle,
+  max(cycle) AS max_cycle, min(step_id) AS min_step_id, max(step_id) AS max_step_id, min(unix_time) AS min_unix_time,
+  max(unix_time) AS max_unix_time FROM ({FLEET_JOINED_SQL}) f GROUP BY {IDS}""",
+)
+def export_summary(spark, sf_dir):
+    """Spans of the tests of an export, from the footers of its files."""
+    folder = work_folder(spark, "export")
+    export_tests(cl.connect(tables(spark, sf_dir)).get_fleet(layout=FINE), folder, rows_per_file=2000)
+    return summarise_export(spark, folder, IDENTITY)
