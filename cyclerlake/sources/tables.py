@@ -23,6 +23,25 @@ STREAM_CHUNK = 100_000
 TABLE = "_table"
 
 
+def side_by_side(
+    spark: SparkSession, paths: Mapping[str, str], fmt: str, schema: T.StructType, options: Mapping[str, str] | None = None
+) -> DataFrame | None:
+    """One scan of tables that lie in one folder under their names, whatever their number; ``None`` if they do not."""
+    parents = set()
+    for name, path in paths.items():
+        parent, _, last = path.rstrip("/").rpartition("/")
+        if last not in (name, f"{name}.{fmt}") or not re.fullmatch(r"[\w-]+", name):
+            return None
+        parents.add(f"{parent}/")
+    # paths that read the same in the names of files
+    root = parents.pop()
+    if parents or not re.fullmatch(r"([\w+-]+:/)?(/[\w.-]+)+/", root):
+        return None
+    below = F.split_part(F.col("_metadata.file_path"), F.lit(root), F.lit(2))
+    reader = spark.read.format(fmt).options(**(options or {})).schema(schema)
+    return reader.load(list(paths.values())).select("*", F.regexp_extract(below, r"^[\w-]+", 0).alias(TABLE))
+
+
 class Tables:
     """Base: subclasses provide ``names`` and ``frame``."""
 
@@ -140,20 +159,7 @@ class FileTables(Tables):
         schemas = [self.schemas.get(name) for name in names]
         if schemas[0] is None or any(schema != schemas[0] for schema in schemas):
             return None
-        parents = set()
-        for name in names:
-            parent, _, last = self.paths[name].rstrip("/").rpartition("/")
-            if last not in (name, f"{name}.{self.fmt}") or not re.fullmatch(r"[\w-]+", name):
-                return None
-            parents.add(f"{parent}/")
-        # paths that read the same in the names of files
-        root = parents.pop()
-        if parents or not re.fullmatch(r"([\w+-]+:/)?(/[\w.-]+)+/", root):
-            return None
-        reader = self.spark.read.format(self.fmt).options(**self.options).schema(schemas[0])
-        below = F.split_part(F.col("_metadata.file_path"), F.lit(root), F.lit(2))
-        table = F.regexp_extract(below, r"^[\w-]+", 0)
-        return reader.load([self.paths[name] for name in names]).select("*", table.alias(TABLE))
+        return side_by_side(self.spark, {name: self.paths[name] for name in names}, self.fmt, schemas[0], self.options)
 
     def stream(self, name: str) -> DataFrame:
         schema = self.schemas[name] if name in self.schemas else self.frame(name).schema
@@ -179,6 +185,29 @@ class CatalogTables(Tables):
     def frame(self, name: str) -> DataFrame:
         return self.spark.table(self._qualified(name))
 
+    def together(self, names: Sequence[str]) -> DataFrame | None:
+        """Tables of one format and schema that are not partitioned, in the database's folder: one look at the catalog, one scan."""
+        listed = self.spark.sql(f"SHOW TABLE EXTENDED IN `{self.database}` LIKE '*'").where(F.col("tableName").isin(list(names)))
+        # what the catalog tells of a table; a temporary view has no place
+        told = {row["tableName"]: row["information"] for row in listed.where("NOT isTemporary").collect()}
+        facts = {}
+        for name in names:
+            text = told.get(name, "")
+            found = [re.search(rf"^{key}: (.*)$", text, re.M) for key in ("Provider", "Location")]
+            if not all(found) or "\nPartition Columns: " in text or "\nView Text: " in text:
+                return None
+            # a local place is told with fewer slashes than the names of files have
+            facts[name] = (found[0][1].lower(), re.sub(r"^file:/+", "/", found[1][1]), text.partition("\nSchema: ")[2])
+        if len({(provider, columns) for provider, _, columns in facts.values()}) != 1:
+            return None
+        provider = facts[names[0]][0]
+        if provider not in ("parquet", "orc", "json", "csv"):
+            return None
+        # text formats may carry options of their own
+        if provider in ("json", "csv") and any("\nStorage Properties: " in told[name] for name in names):
+            return None
+        return side_by_side(self.spark, {name: place for name, (_, place, _) in facts.items()}, provider, self.frame(names[0]).schema)
+
     def stream(self, name: str) -> DataFrame:
         return self.spark.readStream.table(self._qualified(name))
 

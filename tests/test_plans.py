@@ -274,3 +274,38 @@ def test_tables_that_cannot_be_read_together(spark, tmp_path):
     for names in (["a", "b"], ["a", "c"], ["a", "d"]):
         assert source.together(names) is None
     assert cl.FileTables(spark, paths).together(["a", "b"]) is None
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc"])
+def test_owned_catalog_tables_are_one_source(spark, fmt):
+    """The plan has as many leaves for twelve tables as for six, and gives what a branch per table gives."""
+    database = f"owned_{fmt}"
+    spark.sql(f"CREATE DATABASE {database}")
+    made = spark.sql("SELECT 1L AS unit_id, 1L AS chl_id, id % 15 AS test_id, id AS seq_id, id % 9 AS test_time FROM range(300)")
+    made.write.format(fmt).saveAsTable(f"{database}.rec")
+    for i in range(12):
+        made.where(f"seq_id % 12 = {i}").write.format(fmt).saveAsTable(f"{database}.old_{i}")
+    source = cl.CatalogTables(spark, database)
+    plain = cl.FrameTables(spark, {name: source.frame(name) for name in source.names()})
+    leaves = {}
+    for n in (6, 12):
+        tests = spark.sql(
+            f"""SELECT 260001L AS dev_uid, 1L AS unit_id, 1L AS chl_id, id AS test_id, 'rec' AS main_first_table,
+            concat('old_', id % {n}) AS main_second_table FROM range(15)"""
+        )
+        found = []
+        for tables in (source, plain):
+            main, _ = cl.Cycler(tables, "0800").fleet_parts(tests, {"seq_id": (20, None)}, {"26": ["seq_id", "test_time"]})
+            found.append(rows(main))
+            leaves.setdefault(tables, []).append(main._jdf.queryExecution().optimizedPlan().collectLeaves().size())
+        assert found[0] == found[1] and len(found[0]) > 300
+    assert leaves[source] == [4, 4] and leaves[plain][1] > leaves[plain][0]
+    # another format, partitions, a view and another schema are read apart
+    made.write.format("json").saveAsTable(f"{database}.other")
+    made.write.format(fmt).partitionBy("chl_id").saveAsTable(f"{database}.parted")
+    made.selectExpr("unit_id").write.format(fmt).saveAsTable(f"{database}.narrow")
+    spark.sql(f"CREATE VIEW {database}.shown AS SELECT * FROM {database}.old_1")
+    for name in ("other", "parted", "narrow", "shown", "absent"):
+        assert source.together(["old_1", name]) is None
+    assert source.together(["old_1", "old_2"]).groupBy("_table").count().count() == 2
+    spark.sql(f"DROP DATABASE {database} CASCADE")
