@@ -10,10 +10,11 @@
 3. Every page is read again. Its text is what its containers at its host's paths hold; a page with
    none of them uses its own best container.
 
-Navigation, headers, footers, asides, forms, adverts, notices, comments of readers, scripts and
-styles are left out wherever they are, by tag or role. A class or id whose whole name is one of such
-parts leaves an element out inside a winning container, never one that is or holds the container, a
-heading or a paragraph; a word of such a name only lowers its score. Character references are decoded,
+Navigation, headers, footers, asides, adverts, notices, scripts and styles are left out wherever they are, by tag or
+role; one in the middle of a paragraph does not end it. A class or id whose whole name is one of such
+parts, or of comments of readers, leaves an element out inside a winning container, and so does a form, but never one that is
+or holds the container or a heading; of paragraphs and their parts only names of adverts do. A word of such a name
+only lowers its score. A headline in a container of its own ahead of the article is voted for with it. Character references are decoded,
 white space inside a block becomes one space, blocks are joined by line ends in page order. A
 heading is a block, ``br`` is white space.
 
@@ -52,9 +53,12 @@ INLINE = frozenset(
 )
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
 DROPPED = frozenset(
-    "head script style title noscript template iframe svg math canvas object embed audio video map nav header footer aside form button select "
+    "head script style title noscript template iframe svg math canvas object embed audio video map nav header footer aside button select "
     "option input textarea fieldset dialog menu xmp noembed noframes".split()
 )
+# of these, the ones that may stand in the middle of a paragraph
+PHRASING = frozenset("script style noscript template iframe svg math canvas object embed audio video map button select option input textarea".split())
+SOFT = INLINE | PHRASING
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
 # words of class names and ids
 NAMES = frozenset(
@@ -62,8 +66,10 @@ NAMES = frozenset(
     "disqus footer header masthead menu modal nav navbar navigation newsletter notice notices pagination pager popup promo promoted promotion "
     "related respond share sharing sidebar sidebars signup skip social sponsor sponsored subscribe teaser toolbar topbar widget widgets".split()
 )
+# of these, the ones that speak against a paragraph or a part of one too
+ADS = frozenset("ad ads advert adverts advertisement advertising adbox promo promoted promotion sponsor sponsored".split())
 # words that leave such a name what it is
-PLAIN = frozenset("area bar block bottom box button buttons container count form inner item items left link links list outer right section top wrap wrapper".split())
+PLAIN = frozenset("area articles bar block bottom box button buttons container count form inner item items left link links list outer post posts reader readers right section slot stories thread threads top unit user users wrap wrapper".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # elements whose names say nothing
 KEPT = frozenset("html body article main p h1 h2 h3 h4 h5 h6".split())
@@ -112,13 +118,19 @@ def _unwanted(tag: str, attributes: dict[str, str], path: list[str]) -> bool:
         return False
     if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or attributes.get("role", "").lower() in ROLES:
         return True
-    if tag in ("article", "main"):
-        return False
+    if tag == "p" or tag in INLINE:
+        told = [_WORDS.findall(name) for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split()]
+        return any(not ADS.isdisjoint(words) and all(w in ADS or w in PLAIN for w in words) for words in told)
     return False
 
 
 def _named(tag: str, attributes: dict[str, str], path: list[str]) -> int:
-    """Whether class or id speak against an element: 2 by a whole name, 1 by a word in one, else 0."""
+    """Whether class or id speak against an element: 2 by a whole name, 1 by a word in one, else 0.
+
+    A form is such an element by its tag: one around the whole page holds the container and stays.
+    """
+    if tag == "form":
+        return 2
     if not attributes or tag in INLINE or tag in KEPT:
         return 0
     told = 0
@@ -166,8 +178,8 @@ def blocks(page: str) -> list[Block]:
         if text:
             words = " ".join(html.unescape("".join(text)).split())
             if words:
-                path = tuple(s for t, s in zip(tags, steps) if t not in INLINE)
-                told = [n for t, n in zip(tags, names) if t not in INLINE] if any(names) else []
+                path = tuple(s for t, s in zip(tags, steps) if t not in SOFT)
+                told = [n for t, n in zip(tags, names) if t not in SOFT] if any(names) else []
                 head = next((t for t in reversed(tags) if t in HEADINGS), "h0")
                 while path and path[-1].split(".")[0] in TEXT_TAGS:
                     path = path[:-1]
@@ -178,7 +190,7 @@ def blocks(page: str) -> list[Block]:
     def close(to: int) -> None:
         """Closes open tags from number ``to`` on."""
         nonlocal drop, links
-        if any(t not in INLINE for t in tags[to:]):
+        if any(t not in SOFT for t in tags[to:]):
             flush()
         links -= tags[to:].count("a")
         del tags[to:], steps[to:], names[to:]
@@ -206,7 +218,7 @@ def blocks(page: str) -> list[Block]:
             if tag in tags:
                 to = len(tags) - 1 - tags[::-1].index(tag)
                 # an inline end does not close blocks around it
-                if tag not in INLINE or all(t in INLINE for t in tags[to:]):
+                if tag not in INLINE or all(t in SOFT for t in tags[to:]):
                     close(to)
             elif tag == "br" and not drop:
                 text.append(" ")
@@ -215,7 +227,7 @@ def blocks(page: str) -> list[Block]:
             if not drop:
                 text.append(" ")
             continue
-        if tag not in INLINE and not drop:
+        if tag not in SOFT and not drop:
             flush()
         if tag in VOID:
             continue
@@ -231,8 +243,6 @@ def blocks(page: str) -> list[Block]:
                 if tags[i] in SCOPES:
                     break
         if tag in RAW:
-            if not drop:
-                flush()
             if end := _end_of(page, tag, at):
                 at = end
                 continue
@@ -240,7 +250,8 @@ def blocks(page: str) -> list[Block]:
                 break
         attributes = _attributes(mark[3])
         if not drop and _unwanted(tag, attributes, steps):
-            flush()
+            if tag not in SOFT:
+                flush()
             if end := _end_of(page, tag, at):
                 at = end
                 continue
@@ -301,32 +312,44 @@ def _lifted(found: list[Block], path: tuple[str, ...]) -> tuple[str, ...]:
     return path
 
 
-def best_path(found: list[Block]) -> tuple[str, int] | None:
-    """The container of the article around the highest score, the first of those that tie, and that score."""
+def _headline(found: list[Block], path: tuple[str, ...]) -> tuple[str, ...] | None:
+    """The container of its own in which the headline of an article without one stands, ahead of the text."""
+    headline = min((b.level for b in found if 0 < b.level <= 2), default=0)
+    first = next((i for i, b in enumerate(found) if _holds(path, b)), 0)
+    if not headline or any(b.level == headline for b in found if _holds(path, b)):
+        return None
+    top = sum(p.split(".")[0] in ("html", "body") for p in path)
+    return next((b.path for b in found[:first] if b.level == headline and not b.doubts and len(b.path) > top), None)
+
+
+def best_paths(found: list[Block]) -> tuple[list[str], int]:
+    """The container of the article around the highest score, the first of those that tie, that of its headline, and the score."""
     scored = scores(found)
     if not scored:
-        return None
-    path, score = max(scored.items(), key=lambda x: x[1])
-    return " ".join(_lifted(found, tuple(path.split(" ")) if path else ())), score
+        return [], 0
+    best, score = max(scored.items(), key=lambda x: x[1])
+    path = _lifted(found, tuple(best.split(" ")) if best else ())
+    head = _headline(found, path)
+    return [" ".join(p) for p in (path, head) if p is not None], score
 
 
 def text_at(found: list[Block], paths: list[str]) -> str:
     """Text of the containers at the paths and below them; without any, of the page's best container."""
     whole = [tuple(p.split(" ")) if p else () for p in paths]
     kept = [b.text for b in found if any(_holds(p, b) for p in whole)]
-    if not kept and (best := best_path(found)):
-        own = tuple(best[0].split(" ")) if best[0] else ()
-        kept = [b.text for b in found if _holds(own, b)]
+    if not kept:
+        own = [tuple(p.split(" ")) if p else () for p in best_paths(found)[0]]
+        kept = [b.text for b in found if any(_holds(p, b) for p in own)]
     return "\n".join(kept)
 
 
 def votes(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
-    """``host, path, votes``: what the pages' best containers score, added up."""
+    """``host, path, votes``: what the pages' best containers, and those of their headlines, score, added up."""
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            told = [best_path(blocks(x)) or ("", 0) for x in batch["page"]]
-            yield pd.DataFrame({"host": batch["host"], "path": [p for p, _ in told], "score": [n for _, n in told]})
+            told = [(host, path, score) for host, x in zip(batch["host"], batch["page"]) for paths, score in [best_paths(blocks(x))] for path in paths]
+            yield pd.DataFrame(told, columns=["host", "path", "score"])
 
     read = pages.select(host_of(url).alias("host"), F.coalesce(F.col(page), F.lit("")).alias("page"))
     each = read.mapInPandas(best, "host string, path string, score long").where("score > 0")

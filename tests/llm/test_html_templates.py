@@ -75,3 +75,55 @@ def test_articles_in_several_containers(spark, template):
 def test_running_text_in_several_containers():
     parts = "".join(f"<div class={c}><p>{LONG}{c}</p></div>" for c in "abc")
     assert text_of(f"<html><body><div id=w><div class=story>{parts}</div><div class=x><p>A box</p></div></div></body></html>").split("\n") == [f"{LONG}{c}" for c in "abc"]
+
+
+def test_a_form_around_the_page_holds_the_article():
+    inner = f'<div class="menu"><p>Menu</p></div><div class="content"><h1>Title</h1><p>{LONG}</p><form action="/join"><p>Join us</p><input name=a><label>Mail</label></form><p>End</p></div>'
+    page = f'<html><body><form method="post" id="aspnetForm"><input type="hidden" name="state" value="x">{inner}<button>Go</button></form></body></html>'
+    assert text_of(page) == f"Title\n{LONG.strip()}\nEnd"
+
+
+@pytest.mark.parametrize(
+    "part",
+    ["<script>x()</script>", "<style>p {}</style>", "<noscript>no</noscript>", "<svg><g><text>pic</text></g></svg>", "<button>Go</button>", "<template><p>t</p></template>", "<iframe src=x>f</iframe>", "<select><option>1</select>", "<span hidden>h</span>", '<span class="ad">Buy</span>', "<svg><path d='a>b'/></svg>"],
+)
+def test_dropped_parts_do_not_end_a_paragraph(part):
+    assert text_of(f"<html><body><article><p>one {part} two</p><p>{LONG}</p></article></body></html>") == f"one two\n{LONG.strip()}"
+    assert text_of(f"<html><body><article>{part}<p>{LONG}</p>{part}<p>end</p>{part}</article></body></html>") == f"{LONG.strip()}\nend"
+
+
+@pytest.mark.parametrize("name", ["page-head", "title", "row"])
+def test_a_headline_beside_the_container(name):
+    page = f'<html><body><div class="{name}"><h1>The title</h1></div><div class="nav"><h2>Menu</h2></div><div class="content"><p>{LONG}</p><p>End</p></div><div class="foot"><p>Foot</p></div></body></html>'
+    assert text_of(page) == f"The title\n{LONG.strip()}\nEnd"
+    # a headline inside the article is the article's
+    inside = page.replace(f"<p>{LONG}", f"<h1>Own</h1><p>{LONG}")
+    assert text_of(inside) == f"Own\n{LONG.strip()}\nEnd"
+    # a headline behind the text is none
+    after = f'<html><body><div class="content"><p>{LONG}</p></div><div class="{name}"><h1>More</h1></div></body></html>'
+    assert text_of(after) == LONG.strip()
+
+
+def test_headlines_beside_the_container_win_the_vote(spark):
+    page = '<html><body><div class="top"><h1>Title {0}</h1></div><div class="content"><p>{1}</p></div></body></html>'
+    rows = [(i, "http://a.org/x", page.format(i, LONG)) for i in range(4)]
+    # the title of this one comes without text that could be scored against it
+    rows.append((9, "http://a.org/y", '<html><body><div class="top"><h1>Short</h1></div><div class="content"><p>Few words</p></div></body></html>'))
+    got = {r.page_id: r.text for r in html_text.extract(pages_of(spark, rows)).collect()}
+    assert got == {i: f"Title {i}\n{LONG.strip()}" for i in range(4)} | {9: "Short\nFew words"}
+
+
+@pytest.mark.parametrize(
+    "part",
+    ['<div class="user-comments"><p>Reader</p></div>', '<div class="comment-thread"><p>Reader</p></div>', '<div id="disqus_thread"><p>Reader</p></div>', '<div class="ad-slot"><p>Buy</p></div>',
+     '<div class="related-articles"><p>More</p></div>', '<p class="advert">Buy</p>', '<p class="sponsored">Buy</p>', '<section id="comments"><p>Reader</p></section>'],
+)
+@pytest.mark.parametrize("container", ["article", "div"])
+def test_comments_and_adverts_in_articles(part, container):
+    assert text_of(f"<html><body><{container}><p>{LONG}</p>{part}<p>End</p></{container}></body></html>") == f"{LONG.strip()}\nEnd"
+
+
+@pytest.mark.parametrize("kept", ['<p id="ad-policy">Part</p>', '<p class="advertised">Part</p>', '<h2 id="advertising">Part</h2>', '<p>The <span class="share">Part</span></p>', '<p class="comment">Part</p>'])
+def test_paragraphs_with_other_names_stay(kept):
+    text = text_of(f"<html><body><article><p>{LONG}</p>{kept}<p>End</p></article></body></html>")
+    assert text.split("\n")[1] in ("Part", "The Part")
