@@ -14,7 +14,8 @@ shuffle. Nothing is lost: recall is 1.
 Defined results: vectors that are null, empty, all zero, or hold null or non-finite components take
 no part, nor do rows with null id. A query finds candidates of as many components as it has, and
 every row but those with its own id. Equal query rows count once; queries with equal id and
-different vectors are answered each. Equal candidates each have a place. Ties go to the smaller id.
+different vectors are answered each. Equal candidates each have a place. Ties go to the smaller id. Products of
+finite vectors may be infinite; one whose terms overflow to both sides counts as the largest.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cyclerlake.llm.common import landed
+from cyclerlake.operators.places import with_places
 
 BEST = 20
 QUERY_BLOCK = 1024
@@ -45,12 +46,24 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     return vectors.where(F.col(key).isNotNull() & finite & some).select(F.col(key).cast("long").alias("id"), values.alias("v"))
 
 
+def halved(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors by powers of two such that their largest component is between 0.5 and 1, and the powers.
+
+    Norms and errors are taken of these, so that no finite vector is too large or too small for them.
+    """
+    power = np.frexp(np.abs(v).max(axis=1))[1]
+    # in two steps: a power of two of its own may be out of range
+    half = -power // 2
+    return np.ldexp(np.ldexp(v, half[:, None]), (-power - half)[:, None]), power
+
+
 def pack(vectors: DataFrame, size: int) -> DataFrame:
     """Blocks of at most ``size`` vectors of equal length: ids, 8-bit codes and the vectors themselves."""
 
     def block(dim: int, ids: list[np.ndarray], rows: list[np.ndarray]) -> dict:
         v = np.concatenate(rows)
-        codes = np.rint(v / (np.abs(v).max(axis=1, keepdims=True) / 127)).astype(np.int8)
+        scaled, _ = halved(v)
+        codes = np.rint(scaled / (np.abs(scaled).max(axis=1, keepdims=True) / 127)).astype(np.int8)
         return {"dim": dim, "n": len(v), "ids": np.concatenate(ids).tobytes(), "codes": codes.tobytes(), "vectors": v.tobytes()}
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,11 +100,14 @@ class Coded:
         whole = np.frombuffer(codes, np.int8).reshape(-1, dim)
         # sums of whole numbers: exact in single precision up to 1040 components
         self.codes = whole.astype(np.float32 if dim <= 1040 else np.float64)
-        self.scale = np.abs(self.v).max(axis=1) / 127
-        coded = whole * self.scale[:, None]
-        self.norm = np.sqrt((self.v**2).sum(axis=1))
-        self.coded_norm = np.sqrt((coded**2).sum(axis=1))
-        self.error = np.sqrt(((self.v - coded) ** 2).sum(axis=1))
+        scaled, self.power = halved(self.v)
+        scale = np.abs(scaled).max(axis=1) / 127
+        coded = whole * scale[:, None]
+        parts = [scale, *(np.sqrt((x**2).sum(axis=1)) for x in (scaled, coded, scaled - coded))]
+        # of the vectors by powers of two
+        self.scaled = parts
+        with np.errstate(over="ignore", under="ignore"):
+            self.scale, self.norm, self.coded_norm, self.error = (np.ldexp(x, self.power) for x in parts)
 
 
 def inner_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -112,17 +128,30 @@ class BestLists:
 
     def add(self, c: Coded) -> None:
         q = self.queries
-        near = (q.codes @ c.codes.T).astype(np.float64) * q.scale[:, None] * c.scale
-        room = q.norm[:, None] * c.error + q.error[:, None] * c.coded_norm
+        (q_scale, q_norm, _, q_error), (c_scale, c_norm, c_coded, c_error) = q.scaled, c.scaled
+        near = (q.codes @ c.codes.T).astype(np.float64) * q_scale[:, None] * c_scale
+        room = q_norm[:, None] * c_error + q_error[:, None] * c_coded
         # double precision rounds too
-        room += 1e-12 * q.norm[:, None] * c.norm
-        own = q.ids[:, None] == c.ids
-        low = np.where(own, -np.inf, near - room)
-        floor = self.floor
-        if low.shape[1] >= self.best:
-            floor = np.maximum(floor, np.partition(low, -self.best, axis=1)[:, -self.best])
-        at, which = np.nonzero((near + room >= floor[:, None]) & ~own)
-        scores = inner_products(q.v[at], c.v[which])
+        room += 1e-12 * q_norm[:, None] * c_norm
+        with np.errstate(over="ignore", invalid="ignore", under="ignore"):
+            if max(np.abs(q.power).max(), np.abs(c.power).max()) < 400:
+                back = np.ldexp(1.0, q.power)[:, None] * np.ldexp(1.0, c.power)
+                near, room = near * back, room * back
+            else:
+                back = q.power[:, None] + c.power
+                near, room = np.ldexp(near, back), np.ldexp(room, back)
+            # products that are too small for double precision are off by one of its smallest numbers each
+            room += 1e-318 * q.v.shape[1]
+            own = q.ids[:, None] == c.ids
+            low, high = near - room, near + room
+            low = np.where(own | ~np.isfinite(low), -np.inf, low)
+            floor = self.floor
+            if low.shape[1] >= self.best:
+                floor = np.maximum(floor, np.partition(low, -self.best, axis=1)[:, -self.best])
+            # a bound that is not finite says nothing
+            at, which = np.nonzero(~(high < floor[:, None]) & ~own)
+            scores = inner_products(q.v[at], c.v[which])
+        scores = np.where(np.isnan(scores), np.inf, scores)
         cuts = np.searchsorted(at, np.arange(len(q.ids) + 1))
         for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
             if a < b:
@@ -169,13 +198,14 @@ def nearest(
     """``query_id, rank, vec_id, score``: the ``best`` largest inner products of every query row."""
     spark = vectors.sparkSession
     queries = usable(vectors.where(is_query), key, vector).dropDuplicates(["id", "v"])
-    blocks = landed(pack(usable(vectors, key, vector), candidate_block).withColumn("block", F.monotonically_increasing_id()), "nn-candidates")
-    asked = landed(pack(queries, query_block).withColumn("block", F.monotonically_increasing_id()), "nn-queries")
+    # numbered one by one, so that cells are equally large
+    blocks = with_places(pack(usable(vectors, key, vector), candidate_block), name="block")
+    asked = with_places(pack(queries, query_block), name="block")
     columns = max(1, -(-blocks.count() // cell_blocks), spark.sparkContext.defaultParallelism)
     lines = max(1, -(-asked.count() // cell_blocks))
-    left = asked.select("dim", "block", *(F.col(c).alias(f"q_{c}") for c in ("ids", "codes", "vectors")), (F.abs(F.hash("block")) % lines).alias("line"))
+    left = asked.select("dim", "block", *(F.col(c).alias(f"q_{c}") for c in ("ids", "codes", "vectors")), (F.col("block") % lines).cast("int").alias("line"))
     left = left.withColumn("column", F.explode(F.sequence(F.lit(0), F.lit(columns - 1))))
-    right = blocks.drop("n", "block").withColumn("column", F.abs(F.hash(F.col("ids"))) % columns)
+    right = blocks.withColumn("column", (F.col("block") % columns).cast("int")).drop("n", "block")
     right = right.withColumn("line", F.explode(F.sequence(F.lit(0), F.lit(lines - 1))))
     cells = left.join(right, ["line", "column", "dim"]).sortWithinPartitions("line", "column", "block")
     tiles = cells.select("dim", "block", "q_ids", "q_codes", "q_vectors", "ids", "codes", "vectors")

@@ -80,6 +80,44 @@ def test_bounds_hold(dim, seed):
     assert (np.abs(near - v @ v.T) <= room).all()
 
 
+def plain_products(rows, best):
+    """The largest inner products in double precision, ties to the smaller id."""
+    with np.errstate(all="ignore"):
+        v = {i: np.array(x, np.float64) for i, x in rows}
+        out = {}
+        for q in (i for i in v if i % 20 == 0):
+            scored = []
+            for c in v:
+                if c != q:
+                    total = 0.0
+                    for a, b in zip(v[q], v[c]):
+                        total += float(a * b)
+                    scored.append((-np.inf if np.isnan(total) else -total, c))
+            out[q] = [(rank, c, -s) for rank, (s, c) in enumerate(sorted(scored)[:best], 1)]
+    return out
+
+
+@pytest.mark.parametrize("powers", [(160, 0), (-170, 0), (-170, -170), (160, -160), (150, 150), (0, 0), (300, -320)])
+def test_neighbours_of_all_finite_vectors(spark, powers):
+    rng = np.random.default_rng(abs(powers[0]))
+    rows = []
+    for i in range(400):
+        v = rng.normal(size=6) * 10.0 ** (powers[0] if i % 20 == 0 else powers[1]) * (10.0 ** rng.integers(-3, 3))
+        rows.append((i, v.tolist()))
+    rows += [(1001, [5e-324] + [0.0] * 5), (1003, [0.0, 0.0, 1.0, 0.0, 0.0, 0.0]), (1020, [0.0, 0.0, 127.0, 1e-300, 0.0, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in neighbours.nearest(frame, F.col("vec_id") % 20 == 0, query_block=8, candidate_block=64, cell_blocks=2).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    assert {q: sorted(x) for q, x in got.items()} == plain_products(rows, 20)
+
+
+def test_overflowing_query_finds_all(spark):
+    rows = [(20, [1e160, 0.0, 0.0]), (1, [1.0, 0.0, 0.0]), (2, [0.3, 0.7, 0.1]), (3, [127.0, 0.0, 0.0])]
+    got = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 20).collect()
+    assert sorted((r.rank, r.vec_id) for r in got) == [(1, 3), (2, 1), (3, 2)]
+
+
 # -- licences -----------------------------------------------------------------------------------
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, row string, line string, dice string"
