@@ -97,23 +97,27 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20"""
 
 
 def licences_sql() -> str:
-    rows = ", ".join(f"('{name}', '{pair}', {n})" for name, pair, n in licences.template_bigrams(licences.TEMPLATES))
+    rows = ", ".join(f"('{name}', '{pair}', {n})" for name, pair, n in licences.template_bigrams(licences.EVERY))
+    t = licences.THRESHOLD
     return rf"""
-WITH known(license, bigram, template_size) AS (VALUES {rows}),
-lines AS (
-  SELECT rid, doc_id, generate_subscripts(lines, 1) AS line, unnest(lines) AS passage FROM (
-    SELECT row_number() OVER () AS rid, doc_id, regexp_split_to_array(coalesce(text, ''), '\r?\n|\r') AS lines FROM documents) d),
+WITH known(license, bigram, m) AS (VALUES {rows}),
 words AS (
-  SELECT rid, doc_id, CAST(line AS INTEGER) AS line, string_split(trim(regexp_replace(lower(passage), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ') AS w FROM lines),
-pairs AS (
-  SELECT rid, doc_id, line, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS bigrams FROM words WHERE len(w) > 1),
-shared AS (
-  SELECT rid, doc_id, line, license, 2 * count(*) / (first(size) + first(template_size)) AS dice FROM (
-    SELECT rid, doc_id, line, len(bigrams) AS size, unnest(bigrams) AS bigram FROM pairs) p JOIN known USING (bigram)
-  GROUP BY rid, doc_id, line, license),
-best AS (
-  SELECT *, row_number() OVER (PARTITION BY rid, line ORDER BY dice DESC, license) AS place FROM shared WHERE dice >= {licences.THRESHOLD})
-SELECT doc_id, line, license, dice FROM best WHERE place = 1"""
+  SELECT row_number() OVER () AS rid, doc_id, string_split(trim(regexp_replace(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ') AS w
+  FROM documents),
+pairs AS (SELECT rid, doc_id, unnest(range(1, len(w))) AS p, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS bigram FROM words),
+met AS (SELECT rid, doc_id, license, m, p, bigram FROM pairs JOIN known USING (bigram)),
+able AS (
+  SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY rid, license) AS n FROM met) x WHERE n >= {t} / (2 - {t}) * m - 1e-9),
+passages AS (
+  SELECT *, last - p + 1 AS length FROM (
+    SELECT a.rid, a.doc_id, a.license, a.m, a.p, count(DISTINCT b.bigram) AS shared, max(b.p) AS last
+    FROM able a JOIN able b ON a.rid = b.rid AND a.license = b.license AND b.p BETWEEN a.p AND a.p + a.m - 1 GROUP BY ALL) g),
+ranked AS (
+  SELECT *, 2 * shared / (length + m) AS dice, row_number() OVER (PARTITION BY rid, license ORDER BY 2 * shared / (length + m) DESC, p) AS place FROM passages),
+best AS (SELECT * FROM ranked WHERE place = 1 AND dice >= {t})
+SELECT doc_id, license, dice, CAST(p AS INTEGER) AS first_word, CAST(length + 1 AS INTEGER) AS n_words FROM best h WHERE NOT EXISTS (
+  SELECT 1 FROM best g WHERE g.rid = h.rid AND g.p < h.p + h.length AND h.p < g.p + g.length
+    AND (g.shared > h.shared OR g.shared = h.shared AND (g.dice > h.dice OR g.dice = h.dice AND g.license < h.license)))"""
 
 
 LICENCES = licences_sql()

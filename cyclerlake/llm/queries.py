@@ -86,7 +86,7 @@ def pack(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op4_licences", oracles.LICENCES)
 def scan(spark: SparkSession, folder: str) -> DataFrame:
-    return licences.scan(table(spark, folder, "documents"))
+    return licences.find(table(spark, folder, "documents"))
 
 
 @query("op5_html")

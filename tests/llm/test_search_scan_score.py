@@ -157,6 +157,74 @@ def test_licences_empty(spark):
     assert licences.scan(docs_of(spark, [(1, "All rights reserved.")]), templates={}).count() == 0
 
 
+def plain_find(rows, threshold, templates):
+    """All passages from a template's bigram to the last one within as many positions as the template has."""
+    known = {}
+    for name, pair, _ in licences.template_bigrams(templates):
+        known.setdefault(name, set()).add(pair)
+    out = []
+    for i, text in rows:
+        words = licences.words_of(text or "")
+        pairs = [f"{a} {b}" for a, b in zip(words, words[1:])]
+        best = []
+        for name, t in known.items():
+            found = []
+            for p, pair in enumerate(pairs):
+                if pair in t:
+                    part = pairs[p : p + len(t)]
+                    length = max(k for k, x in enumerate(part) if x in t) + 1
+                    found.append((-2 * len(t & set(part)) / (length + len(t)), p, length, len(t & set(part))))
+            if found and -min(found)[0] >= threshold:
+                dice, p, length, shared = min(found)
+                best.append((-shared, dice, name, p, length))
+        for h in best:
+            if not any(g[:3] < h[:3] and g[3] < h[3] + h[4] and h[3] < g[3] + g[4] for g in best):
+                out.append((i, h[2], -h[1], h[3] + 1, h[4] + 1))
+    return sorted(out, key=str)
+
+
+def found(spark, rows, **options):
+    return sorted(map(tuple, licences.find(docs_of(spark, rows).repartition(3), **options).collect()), key=str)
+
+
+def test_licences_anywhere_in_a_text(spark):
+    """First lines of a licence text, a whole one, a wrapped notice, notices with words around them."""
+    every = licences.EVERY
+    bsd = "Copyright (c) 2024, A. Person\nAll changes are listed below.\n\n" + every["BSD-3-Clause-text"].replace(" ", "\n", 7)
+    wrapped = "\n * ".join(every["Apache-2.0-notice"].split(" "))
+    rows = [
+        (1, "The MIT License\n\nCopyright (c) 2020 B. Person\n\n" + every["MIT-grant"] + ", and so on."),
+        (2, bsd), (3, f"/*\n * {wrapped}\n */"), (4, "Copyright 2024 Example Ltd. All rights reserved."),
+        (5, "The text of this page was released under the MIT License."), (6, "Note: this text is licensed under CC BY 4.0. More follows here."),
+        (7, "Prose. " * 900 + every["MIT-text"] + " Prose." * 900), (8, "the software is provided as is"),
+    ]
+    got = found(spark, rows)
+    assert [(i, name) for i, name, *_ in got] == [(1, "MIT-grant"), (2, "BSD-3-Clause-text"), (3, "Apache-2.0-notice"), (4, "Proprietary"), (5, "MIT"), (6, "CC-BY-4.0"), (7, "MIT-text")]
+    assert {i: dice for i, _, dice, *_ in got}[7] > 0.9
+    assert [first for i, *_, first, _ in got if i == 7] == [901]
+
+
+@pytest.mark.parametrize("threshold", [0.8, 0.5])
+def test_licences_by_brute_force(spark, threshold):
+    rng = random.Random(6)
+    rows = [(None, licences.EVERY["MIT"]), (1, None), (1, ""), (2, "word"), (3, "x " * 50_000), (4, licences.EVERY["MIT"]), (4, licences.EVERY["MIT"])]
+    templates = {k: licences.EVERY[k] for k in ("MIT", "GPL-2.0", "GPL-3.0", "Proprietary", "ISC", "ISC-text", "Apache-2.0", "Apache-2.0-notice", "MIT-grant")}
+    for i in range(150):
+        parts = []
+        for _ in range(rng.randrange(4)):
+            words = licences.words_of(rng.choice(list(templates.values())))
+            for _ in range(rng.randrange(3)):
+                at = rng.randrange(len(words))
+                words[at : at + rng.randrange(3)] = rng.choice([[], ["extra"], ["of", "the"], words[:3]])
+            parts += words + rng.choices(["the", "license", "under", "all", "rights", "reserved", "software", "version"], k=rng.randrange(9))
+        rows.append((10 + i, " ".join(parts)))
+    assert found(spark, rows, templates=templates, threshold=threshold) == plain_find(rows, threshold, templates)
+
+
+def test_licences_anywhere_of_nothing(spark):
+    assert found(spark, []) == [] and found(spark, [(1, "All rights reserved.")], templates={}) == []
+
+
 # -- toxicity -----------------------------------------------------------------------------------
 
 TEXTS = "doc_id long, text string, lang string, source string, n_chars long, score string, label string, id string"
