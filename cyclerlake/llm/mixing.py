@@ -13,7 +13,8 @@ sources, so a source with a third of all words is spread over as many tasks as i
 
 Defined results: null text and texts without words have size 0 and take no part. A null source is
 a source, the last one. An empty table gives no rows. Rows with equal id and text are told apart
-by nothing, so any of them may be the one that is taken.
+by nothing, so any of them may be the one that is taken. Rows of an id that more than half a shard's rows carry are
+spread over shards one by one.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ SHARD_WORDS = 250_000
 SHARD_ROWS = 50_000
 DISTRICT = 1024
 SEED = 7
+SUPPORT = 1 / 1024
 
 
 def seeded(seed: int, *parts: Column) -> Column:
@@ -100,6 +102,24 @@ def plan_shards(placed: DataFrame) -> DataFrame:
     return landed(shared.select("source", "shard", "words", "quota"), "mix-quotas")
 
 
+def hot_ids(rows: DataFrame, most: int, support: float = SUPPORT) -> list[str]:
+    """Ids on more than ``most`` rows, as far as they have a share of ``support`` of all; at most ``1 / support`` of them."""
+    found = rows.select(F.coalesce("id", F.lit("")).alias("id")).freqItems(["id"], support)
+    candidates = found.select(F.explode(found.columns[0]).alias("id")).distinct()
+    counts = rows.select(F.coalesce("id", F.lit("")).alias("id")).join(F.broadcast(candidates), "id").groupBy("id").count()
+    return [r["id"] for r in counts.where(F.col("count") > most).collect()]
+
+
+def with_spin(rows: DataFrame, seed: int, shard_rows: int) -> DataFrame:
+    """Adds the place in the seeded order. Rows of one id follow each other, unless there are too many for a shard."""
+    spin = seeded(seed, F.col("id"))
+    if hot := hot_ids(rows, shard_rows // 2):
+        # landed, for the number of a row must not change
+        rows = landed(rows.withColumn("row", F.monotonically_increasing_id()), "mix-rows")
+        spin = F.when(F.coalesce("id", F.lit("")).isin(hot), seeded(seed, F.col("id"), F.col("row"))).otherwise(spin)
+    return rows.withColumn("spin", spin)
+
+
 def mix(
     docs: DataFrame,
     size: Column | None = None,
@@ -119,7 +139,8 @@ def mix(
         F.col(key).cast("string").alias("id"),
         F.col(source).alias("source"),
         size.cast("long").alias("size"),
-    ).withColumn("spin", seeded(seed, F.col("id")))
+    )
+    rows = with_spin(rows, seed, shard_rows)
     sources = plan_sources(rows.select("source", "size"), block_words, shard_words, shard_rows, weights, limit)
     sources = sources.withColumnRenamed("source", "s")
     placed = rows.join(sources, F.col("source").eqNullSafe(F.col("s"))).withColumn("shard", F.col("spin") % F.col("shards"))

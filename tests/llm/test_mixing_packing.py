@@ -217,3 +217,28 @@ def test_equal_pieces_fill_no_bucket(spark):
     for parts in filled.values():
         ends = np.cumsum([n for _, n in sorted(parts)])
         assert [a for a, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] <= 1024
+
+
+@pytest.mark.parametrize("hot", ["8", None])
+def test_one_id_on_half_of_all_rows_fills_no_shard(spark, hot):
+    some = f"'{hot}'" if hot else "CAST(NULL AS string)"
+    rows = spark.range(24_000).selectExpr(f"CASE WHEN id % 2 = 0 THEN {some} ELSE CAST(id AS string) END AS id", "id % 9 AS size")
+    spun = mixing.with_spin(rows.repartition(5), 7, 1000)
+    counts = [r["count"] for r in spun.groupBy((F.col("spin") % 24).alias("shard")).count().collect()]
+    assert sum(counts) == 24_000 and max(counts) < 1300
+    plain = mixing.with_spin(rows.where("id % 2 = 1"), 7, 1000)
+    assert plain.where(F.col("spin") != mixing.seeded(7, F.col("id"))).count() == 0
+
+
+def test_mix_with_a_hot_id(spark):
+    rows = spark.range(6000).selectExpr("CASE WHEN id % 2 = 0 THEN 7 ELSE id END AS doc_id", "concat_ws(' ', array_repeat('w', CAST(id % 5 AS int))) AS text", "CASE WHEN id % 3 = 0 THEN 'a' ELSE 'b' END AS source")
+    got = mixing.mix(rows, shard_rows=500, shard_words=2000).collect()
+    sizes, took, target = Counter(), Counter(), {}
+    for r in got:
+        sizes[r.doc.source] += r.size
+        took[r.doc.source] += r.taken
+        target[r.doc.source] = r.target
+        assert 0 <= r.taken <= 3 * r.size
+    assert len(got) == 6000
+    for source, want in plain_targets(sizes).items():
+        assert abs(target[source] - want) < 1e-6 and abs(took[source] - want) <= 16
