@@ -35,11 +35,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cyclerlake.llm.common import landed
+from cyclerlake.operators.places import with_places
 from cyclerlake.session import work_folder
 
 CHUNK = 1 << 20
 FILE_BYTES = 64 << 20
 LEVEL = 1
+# fixed values: schemes of Hadoop and of Arrow
+ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3"}
 CRAWLED = "2024-01-01T00:00:00Z"
 CHUNK_FIELDS = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, chunk int, last boolean, data binary"
 
@@ -131,11 +134,17 @@ def parse_head(lines: list[bytes]) -> dict:
     }
 
 
+def as_arrow(folder: str) -> str:
+    """The folder under the name that Arrow has for its file system, where Hadoop has another."""
+    scheme, mark, rest = folder.partition("://")
+    return f"{ARROW_SCHEMES.get(scheme.lower(), scheme)}{mark}{rest}"
+
+
 class Writer:
     """Files of about ``file_bytes`` with one gzip member per record."""
 
     def __init__(self, folder: str, file_bytes: int):
-        self.files, self.base = fs.FileSystem.from_uri(folder)
+        self.files, self.base = fs.FileSystem.from_uri(as_arrow(folder))
         self.files.create_dir(self.base, recursive=True)
         context = TaskContext.get()
         self.name = f"{context.partitionId():06d}-{context.taskAttemptId()}-{uuid.uuid4().hex[:8]}"
@@ -259,7 +268,7 @@ def read_archives(manifest: DataFrame, scheme: str, chunk: int = CHUNK, with_dat
     )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, _ = fs.FileSystem.from_uri(scheme)
+        files, _ = fs.FileSystem.from_uri(as_arrow(scheme))
         for batch in batches:
             for path in batch.column("path").to_pylist():
                 with files.open_input_stream(path, compression=None) as source:
@@ -273,7 +282,7 @@ def read_archives(manifest: DataFrame, scheme: str, chunk: int = CHUNK, with_dat
                     yield pa.RecordBatch.from_pylist(rows, schema)
 
     # the manifest is small, the archives are not: adaptive execution must not merge these partitions
-    spread = manifest.select("path").repartition(max(1, manifest.count()), "path")
+    spread = with_places(manifest.select("path")).repartitionById(max(1, manifest.count()), F.col("place").cast("int"))
     return spread.mapInArrow(read, CHUNK_FIELDS)
 
 

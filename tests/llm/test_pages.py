@@ -217,3 +217,14 @@ def test_html_empty_table_and_long_page(spark):
     assert html_text.extract(pages_of(spark, [])).count() == 0
     long = "<body><article>" + "<p>word</p>" * 50_000 + "</article>"
     assert html_text.extract(pages_of(spark, [(1, "http://a/", long)])).first().n_chars == 50_000 * 5 - 1
+
+
+def test_schemes_of_archive_folders(tmp_path):
+    from pyarrow import fs
+
+    assert warc.as_arrow("s3a://bucket/a/b") == "s3://bucket/a/b" and warc.as_arrow("S3N://b/x") == "s3://b/x"
+    for same in ("file:///tmp/x", "/tmp/x", "file:/tmp/x", "hdfs://host/x", "gs://bucket/x"):
+        assert warc.as_arrow(same) == same
+    with pytest.raises(ValueError):
+        fs.FileSystem.from_uri("s3a://bucket/a")
+    assert fs.FileSystem.from_uri(warc.as_arrow(f"file://{tmp_path}"))[1] == str(tmp_path)
