@@ -425,7 +425,7 @@ def catalogue_ordered(spark, sf_dir):
 def tests_listed(spark, sf_dir):
     """The list of tests as the caller gets it."""
     t = split_catalogue(spark, sf_dir)
-    schema = cl.connect(t).tests().schema.add("place", "bigint")
+    schema = cl.connect(t).tests().schema.add("place", "long")
     return spark.createDataFrame([(*test.values(), place) for place, test in enumerate(cl.list_tests(t))], schema)
 
 
