@@ -48,6 +48,7 @@ MAX_WORDS = 5
 TOP = 2000
 RANGE_WORDS = 500_000
 MAX_RANGES = 1 << 20
+POINTS = 8
 MAX_TASKS = 10_000
 BATCH_WORDS = 1_000_000
 PIECE = 1 << 22
@@ -250,11 +251,13 @@ def _phrases_of(blocks: list[bytes], edges: list[Words], depth: int, least: int)
 
 
 def draw_ranges(texts: DataFrame, depth: int) -> Splitters:
-    """Leading words at random positions, in order; at most about ``MAX_RANGES``."""
+    """Leading words at random positions, in order: of about ``MAX_RANGES`` points at most, each so many-th."""
     size = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     least = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranges = min(MAX_RANGES, max(least, size // 6 // RANGE_WORDS))
-    rate = ranges / max(1, size)
+    # some points to a range make ranges more even
+    points = max(1, min(POINTS, MAX_RANGES // ranges))
+    rate = ranges * points / max(1, size)
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -273,7 +276,8 @@ def draw_ranges(texts: DataFrame, depth: int) -> Splitters:
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.binary())], ["lang", "words"])
 
     drawn = texts.mapInArrow(draw, "lang string, words binary").collect()
-    return sorted({(row["lang"], tuple(bytes(row["words"]).split(b"\t"))) for row in drawn})
+    told = sorted((row["lang"], tuple(bytes(row["words"]).split(b"\t"))) for row in drawn)
+    return sorted(set(told[points - 1 :: points]))
 
 
 def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", min_count: int = MIN_COUNT, max_words: int = MAX_WORDS) -> DataFrame:
