@@ -12,7 +12,7 @@ for. All phrases that begin with the same words lie side by side among sorted su
 3. In its range a task sorts pointers to suffixes by multikey three-way quicksort down to the
    longest phrase. The weight of a partition of equal words is the count of a phrase; partitions
    below the threshold, equal or not, are abandoned at once. Only the few phrases that the end
-   of a range cuts in two, beginnings of the two words lists it was drawn at, are counted apart
+   of a range cuts in two, beginnings of the suffixes it was drawn at, are counted apart
    and added up over ranges.
 4. Scores need counts of the first and the rest of a phrase. Both are frequent too, so they are
    found by joins of the table of frequent phrases with itself.

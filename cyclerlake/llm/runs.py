@@ -51,7 +51,7 @@ class Factors:
     """Ranks of all factors of a sequence whose length is a power of two.
 
     ``rank[k][i]`` is the number of suffixes that are smaller than the one at ``i`` within their first
-    ``2 ** k`` numbers. ``repeated[k]`` marks factors that occur more than once.
+    ``2 ** k`` numbers; ``spans[k]`` says how often a factor occurs there if more than once, else 0.
     """
 
     def __init__(self, numbers: np.ndarray) -> None:
