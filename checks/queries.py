@@ -27,7 +27,7 @@ from cyclerlake.sources.catalogue import IDENTITY
 from cyclerlake.sources.schemas import impose, record_schema
 from cyclerlake.streaming.chunked import iter_chunks, map_chunks, map_exact_chunks, query_chunks, table_chunks
 from cyclerlake.streaming.ordered import finish, read_ordered, stream_ordered
-from cyclerlake.streaming.sinks import write_stream
+from cyclerlake.streaming.sinks import GO_ON, read_up, write_stream
 from cyclerlake.streaming.steps import read_steps, stream_steps
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -846,6 +846,42 @@ def stream_table(spark, sf_dir):
     return streamed(spark, source.stream_table("events", ["event_id", "user_id", "value"], {"value": (20, None)}))
 
 
+def by_rows(spark: SparkSession, paths: dict[str, str], rows: int, folder: str) -> cl.FileTables:
+    """The same files, at most so many rows of each table at a time."""
+    return cl.FileTables(spark, paths, rows_per_batch=rows, stream_log=f"{folder}/log")
+
+
+@check("stream_table_rows", "SELECT event_id, user_id, value FROM events WHERE value >= 20")
+def stream_table_rows(spark, sf_dir):
+    folder, paths = work_folder(spark, "rows"), {"events": f"{sf_dir}/events.parquet"}
+    rows = files(spark, sf_dir, "events").frame("events").count() // 4 + 1
+    stream = by_rows(spark, paths, rows, folder).stream_table("events", ["event_id", "user_id", "value"], {"value": (20, None)})
+    read_up(write_stream(stream, f"{folder}/out", f"{folder}/checkpoint", trigger=GO_ON))
+    return spark.read.schema(stream.schema).parquet(f"{folder}/out")
+
+
+@check(
+    "stream_batch_rows",
+    """SELECT CAST(i AS BIGINT) AS batch, CAST(least(size, n - size * i) AS BIGINT) AS n_rows
+FROM (SELECT n, size, unnest(range(0, CAST(ceil(n / CAST(size AS DOUBLE)) AS BIGINT))) AS i FROM (SELECT count(*) AS n, count(*) // 6 + 1 AS size FROM events) c) d""",
+)
+def stream_batch_rows(spark, sf_dir):
+    """Rows per micro-batch of a table in one file; a second query goes on where the first one ended."""
+    folder, paths = work_folder(spark, "rows"), {"events": f"{sf_dir}/events.parquet"}
+    rows = files(spark, sf_dir, "events").frame("events").count() // 6 + 1
+
+    def land(batch, number):
+        batch.write.mode("overwrite").parquet(f"{folder}/out/batch={number}")
+
+    stream = by_rows(spark, paths, rows, folder).stream_table("events", "event_id")
+    writer = stream.writeStream.foreachBatch(land).option("checkpointLocation", f"{folder}/checkpoint")
+    # a query of this kind of source takes one batch where it takes what is there
+    writer.trigger(availableNow=True).start().awaitTermination()
+    read_up(writer.trigger(**GO_ON).start())
+    landed_rows = spark.read.schema("event_id bigint, batch bigint").parquet(f"{folder}/out")
+    return landed_rows.groupBy("batch").agg(F.count("*").alias("n_rows"))
+
+
 @check("stream_main_data", MAIN_24_SQL)
 def stream_main_data(spark, sf_dir):
     cycler = cl.Cycler(staged(spark, sf_dir, "rec_live", "rec_hist_0"), "0800")
@@ -948,6 +984,20 @@ def stream_get_data(spark, sf_dir):
     return cycler.read_data(f"{folder}/out", ended=True, layout=FINE)
 
 
+@check("stream_get_data_rows", data_sql(MAIN_24_SQL, aux_sql()))
+def stream_get_data_rows(spark, sf_dir):
+    """The same in micro-batches of rows, which end anywhere within files; a file's rows are up to a quarter of the test late."""
+    t, folder = tables(spark, sf_dir), work_folder(spark, "running")
+    last = t.frame("rec_all").agg(F.max("seq_id")).first()[0]
+    names = ("rec_live", "rec_hist_0", "aux_live", "aux_hist_0")
+    for name in names:
+        in_batches(spark, t.frame(name), out_of_order(t.frame(name), last, last // 6), f"{folder}/{name}")
+    rows = t.frame("rec_live").count() // 3 + 1
+    cycler = cl.Cycler(by_rows(spark, {name: f"{folder}/{name}" for name in names}, rows, folder), "0800")
+    read_up(cycler.stream_data(TEST_24, f"{folder}/out", last // 2, layout=FINE, trigger=GO_ON))
+    return cycler.read_data(f"{folder}/out", ended=True, layout=FINE)
+
+
 @check("chunked_work", "SELECT test_id, seq_id, test_vol / 1e4::DOUBLE AS volt FROM rec_all")
 def chunked_work(spark, sf_dir):
     def volts(frame):

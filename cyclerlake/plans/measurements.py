@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 from typing import Any
 
@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cyclerlake.functions.conversions import required_columns, transform_aux, transform_main
-from cyclerlake.functions.predicates import quoted
+from cyclerlake.functions.predicates import column_list, quoted
 from cyclerlake.functions.vocabulary import LABELS, TERMS, convert
 from cyclerlake.operators.chunks import Layout
 from cyclerlake.operators.features import add_step_features
 from cyclerlake.operators.joins import join_aux, join_aux_with_steps
 from cyclerlake.operators.unions import with_typed_nulls
 from cyclerlake.plans.records import (
+    RECORD_KEYS,
     Test,
     Where,
     aux_records,
@@ -30,6 +31,7 @@ from cyclerlake.sources.catalogue import IDENTITY, placed_tests, supported_versi
 from cyclerlake.sources.schemas import record_schema
 from cyclerlake.sources.tables import Tables
 from cyclerlake.streaming.ordered import finish, read_ordered, stream_ordered
+from cyclerlake.streaming.sinks import READ_UP
 
 AUX_COLUMNS = ["auxchl_id", "seq_id", "test_tmp"]
 NO_AUX = {"auxchl_id": "bigint", "test_tmp": "double"}
@@ -71,12 +73,17 @@ class Cycler:
         self, test: Test, where: Where = None, columns: str | Sequence[str] | None = None
     ) -> DataFrame:
         """The same as an unbounded frame. Raw: ``transform_main`` may be applied to it."""
-        return main_records(self.tables.stream, self.version, test, where, columns)
+        return main_records(self._stream(where, columns), self.version, test, where, columns)
 
     def stream_aux_data(
         self, test: Test, where: Where = None, columns: str | Sequence[str] | None = None
     ) -> DataFrame | None:
-        return aux_records(self.tables.stream, self.version, test, where, columns)
+        return aux_records(self._stream(where, columns), self.version, test, where, columns)
+
+    def _stream(self, where: Where, columns: str | Sequence[str] | None) -> Callable[[str], DataFrame]:
+        names = column_list(columns)
+        used = None if names is None else list(dict.fromkeys([*names, *RECORD_KEYS, *(where or {})]))
+        return lambda table: self.tables.stream_table(table, used)
 
     # -- measurements -------------------------------------------------------------------------
 
@@ -134,6 +141,7 @@ class Cycler:
         main_columns: Sequence[str] | None = None,
         step_scope: str = "row",
         layout: Layout = Layout(),
+        trigger: Mapping[str, Any] = READ_UP,
     ) -> StreamingQuery:
         """``get_data`` of a test that is still running, from streams of its tables into ``folder``.
 
@@ -148,7 +156,7 @@ class Cycler:
             main = with_typed_nulls(main, NO_AUX)
         else:
             aux = _slim(transform_aux(aux, self.version, dev_uid), [])
-        return stream_ordered(main, aux, [], folder, bound, layout, step_scope)
+        return stream_ordered(main, aux, [], folder, bound, layout, step_scope, trigger)
 
     def read_data(self, folder: str, ended: bool = False, step_scope: str = "row", layout: Layout = Layout()) -> DataFrame:
         """What ``stream_data`` has numbered; with ``ended`` also what it holds back for late records."""

@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cyclerlake.functions.predicates import pick
+from cyclerlake.functions.predicates import column_list, pick
+from cyclerlake.sources.row_stream import stream_rows
 from cyclerlake.sources.schemas import impose, python_schema
 
 STREAM_CHUNK = 100_000
@@ -127,7 +128,8 @@ class FileTables(Tables):
     """One path per table. ``schemas`` avoids inference, which csv and json need at scale.
 
     Tables of one given schema that lie side by side, each in a folder or file of its name, can be
-    read as one source.
+    read as one source. Streams take ``files_per_batch`` files at a time or, of Parquet folders, at most
+    ``rows_per_batch`` rows; the latter need ``stream_log``, a folder that is kept with the query's checkpoint.
     """
 
     def __init__(
@@ -138,8 +140,13 @@ class FileTables(Tables):
         options: Mapping[str, str] | None = None,
         schemas: Mapping[str, T.StructType] | None = None,
         files_per_batch: int = 64,
+        rows_per_batch: int | None = None,
+        stream_log: str | None = None,
     ) -> None:
         super().__init__(spark)
+        if rows_per_batch is not None and (fmt != "parquet" or stream_log is None):
+            raise ValueError("rows_per_batch needs Parquet files and a stream_log")
+        self.rows_per_batch, self.stream_log = rows_per_batch, stream_log
         self.paths = dict(paths)
         self.fmt = fmt
         self.options = dict(options or {})
@@ -162,7 +169,23 @@ class FileTables(Tables):
         return side_by_side(self.spark, {name: self.paths[name] for name in names}, self.fmt, schemas[0], self.options)
 
     def stream(self, name: str) -> DataFrame:
+        return self._stream(name, None)
+
+    def stream_table(
+        self,
+        name: str,
+        columns: str | Sequence[str] | None = None,
+        where: Mapping[str, Any] | None = None,
+    ) -> DataFrame:
+        # the source that counts rows is not told which columns are used
+        used = None if columns is None else {*column_list(columns), *(where or {})}
+        return pick(self._stream(name, used), columns, where)
+
+    def _stream(self, name: str, used: set[str] | None) -> DataFrame:
         schema = self.schemas[name] if name in self.schemas else self.frame(name).schema
+        if self.rows_per_batch is not None:
+            kept = T.StructType([field for field in schema if used is None or field.name in used])
+            return stream_rows(self.spark, self.paths[name], kept, self.rows_per_batch, f"{self.stream_log}/{name}")
         reader = self.spark.readStream.format(self.fmt).options(**self.options).schema(schema)
         return reader.option("maxFilesPerTrigger", self.files_per_batch).load(self.paths[name])
 

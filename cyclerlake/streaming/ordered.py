@@ -19,7 +19,8 @@ have ended.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,7 @@ from cyclerlake.operators.chunks import SIDE, Layout
 from cyclerlake.operators.features import CARRY, add_step_features, summarise
 from cyclerlake.operators.joins import join_aux
 from cyclerlake.session import landed
+from cyclerlake.streaming.sinks import READ_UP
 from cyclerlake.streaming.steps import LateRecordsError
 
 AUX = "_aux_"
@@ -160,12 +162,13 @@ def stream_ordered(
     bound: int,
     layout: Layout = Layout(),
     scope: str = "row",
+    trigger: Mapping[str, Any] = READ_UP,
 ) -> StreamingQuery:
     """Join and number streams of converted records into ``folder``; goes on where it stopped."""
     # what ``finish`` released is still held and comes again
     _remove(main.sparkSession, f"{folder}/data/batch={FINISHED}")
     writer = _one_stream(main, aux, by).writeStream.foreachBatch(ordered_batch(by, folder, bound, layout, scope))
-    return writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+    return writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(**trigger).start()
 
 
 def finish(spark: SparkSession, by: Sequence[str], folder: str, layout: Layout = Layout(), scope: str = "row") -> None:

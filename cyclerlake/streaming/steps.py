@@ -15,7 +15,8 @@ equal in both to the last, would change numbers already written, so it is an err
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 from cyclerlake.operators.chunks import Layout
 from cyclerlake.operators.features import CARRY, add_step_features, summarise
 from cyclerlake.session import landed
+from cyclerlake.streaming.sinks import READ_UP
 
 SEEN = T.StructType([T.StructField("seq_id", T.LongType()), T.StructField("channel", T.LongType())])
 
@@ -95,11 +97,11 @@ def step_batch(by: Sequence[str], folder: str, layout: Layout = Layout()) -> Cal
 
 
 def stream_steps(
-    records: DataFrame, by: Sequence[str], folder: str, layout: Layout = Layout()
+    records: DataFrame, by: Sequence[str], folder: str, layout: Layout = Layout(), trigger: Mapping[str, Any] = READ_UP
 ) -> StreamingQuery:
     """Number the steps of a stream of converted records into ``folder``."""
     writer = records.writeStream.foreachBatch(step_batch(by, folder, layout))
-    return writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+    return writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(**trigger).start()
 
 
 def read_steps(spark: SparkSession, folder: str) -> DataFrame:
