@@ -851,11 +851,17 @@ def by_rows(spark: SparkSession, paths: dict[str, str], rows: int, folder: str)
     return cl.FileTables(spark, paths, rows_per_batch=rows, stream_log=f"{folder}/log")
 
 
+def event_files(spark: SparkSession, sf_dir: str) -> tuple[int, dict[str, str]]:
+    """The events landed as files, in a folder that not only Spark reads, and their number."""
+    folder, events = work_folder(spark, "staged"), files(spark, sf_dir, "events").frame("events")
+    events.write.parquet(f"{folder}/events")
+    return events.count(), {"events": f"{folder}/events"}
+
+
 @check("stream_table_rows", "SELECT event_id, user_id, value FROM events WHERE value >= 20")
 def stream_table_rows(spark, sf_dir):
-    folder, paths = work_folder(spark, "rows"), {"events": f"{sf_dir}/events.parquet"}
-    rows = files(spark, sf_dir, "events").frame("events").count() // 4 + 1
-    stream = by_rows(spark, paths, rows, folder).stream_table("events", ["event_id", "user_id", "value"], {"value": (20, None)})
+    folder, rows, landed_events = work_folder(spark, "rows"), *event_files(spark, sf_dir)
+    stream = by_rows(spark, landed_events, rows // 4 + 1, folder).stream_table("events", ["event_id", "user_id", "value"], {"value": (20, None)})
     read_up(write_stream(stream, f"{folder}/out", f"{folder}/checkpoint", trigger=GO_ON))
     return spark.read.schema(stream.schema).parquet(f"{folder}/out")
 
@@ -866,14 +872,13 @@ def stream_table_rows(spark, sf_dir):
 FROM (SELECT n, size, unnest(range(0, CAST(ceil(n / CAST(size AS DOUBLE)) AS BIGINT))) AS i FROM (SELECT count(*) AS n, count(*) // 6 + 1 AS size FROM events) c) d""",
 )
 def stream_batch_rows(spark, sf_dir):
-    """Rows per micro-batch of a table in one file; a second query goes on where the first one ended."""
-    folder, paths = work_folder(spark, "rows"), {"events": f"{sf_dir}/events.parquet"}
-    rows = files(spark, sf_dir, "events").frame("events").count() // 6 + 1
+    """Rows per micro-batch, whatever the files; a second query goes on where the first one ended."""
+    folder, rows, landed_events = work_folder(spark, "rows"), *event_files(spark, sf_dir)
 
     def land(batch, number):
         batch.write.mode("overwrite").parquet(f"{folder}/out/batch={number}")
 
-    stream = by_rows(spark, paths, rows, folder).stream_table("events", "event_id")
+    stream = by_rows(spark, landed_events, rows // 6 + 1, folder).stream_table("events", "event_id")
     writer = stream.writeStream.foreachBatch(land).option("checkpointLocation", f"{folder}/checkpoint")
     # a query of this kind of source takes one batch where it takes what is there
     writer.trigger(availableNow=True).start().awaitTermination()

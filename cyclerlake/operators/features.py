@@ -39,6 +39,8 @@ BLOCK = "_block"
 CARRY = ["_zeros", "_start", "_first", "_t0"]
 RUNNING = ["_zeros", "_start", "_t0"]
 IS_START = "coalesce(test_time = 0, false)"
+# groups with their first value: some longs each, below 10 MB
+BROADCAST_GROUPS = 100_000
 
 
 def _weight(df: DataFrame) -> str:
@@ -225,14 +227,31 @@ def number_steps(
     return Parts(_finish(_numbered(cold, cold_starts, cold_keys, order), columns, total_time), hot_done)
 
 
-def _first_of_group(df: DataFrame, by: Sequence[str], column: str, name: str) -> DataFrame:
-    """Add the smallest ``column`` per group; the grouped side has one row per group."""
+def _first_of_group(df: DataFrame, by: Sequence[str], column: str, name: str, layout: Layout) -> DataFrame:
+    """Add the smallest ``column`` per group; the grouped side has one row per group.
+
+    The groups are landed and counted. A short list is broadcast, so records stay where they lie. Of a longer
+    one the hot groups are, at most total rows / ``layout.hot_rows``; records of the others are shuffled.
+    """
     if not by:
-        return _first_of_group(df.withColumn("_all", F.lit(1)), ["_all"], column, name).drop("_all")
+        return _first_of_group(df.withColumn("_all", F.lit(1)), ["_all"], column, name, layout).drop("_all")
     keys = {c: f"_key_{c}" for c in by}
-    lowest = df.groupBy(*by).agg(F.min(column).alias(name)).withColumnsRenamed(keys)
+    found = df.groupBy(*by).agg(F.min(column).alias(name), F.expr("count(*) AS _rows"))
+    groups = landed(found.withColumnsRenamed(keys), "group-firsts")
+    lowest = groups.drop("_rows")
     match = [F.col(c).eqNullSafe(F.col(k)) for c, k in keys.items()]
-    return df.join(lowest, match, "left").drop(*keys.values())
+
+    def told(rows: DataFrame, firsts: DataFrame, how: str = "left") -> DataFrame:
+        return rows.join(firsts, match, how).drop(*keys.values())
+
+    if groups.count() <= BROADCAST_GROUPS:
+        return told(df, F.broadcast(lowest))
+    hot = groups.where(F.col("_rows") > layout.hot_rows).drop("_rows")
+    if not 0 < hot.count() <= BROADCAST_GROUPS:
+        return told(df, lowest)
+    hot = F.broadcast(hot)
+    rest = df.join(hot.drop(name), match, "left_anti")
+    return told(df, hot, "inner").unionByName(told(rest, lowest))
 
 
 def add_step_features(
@@ -264,9 +283,9 @@ def add_step_features(
 
     # without test_time there is no running count; the other two need a minimum per group only
     if "seq_id" in present and "step_count" in present:
-        df = _first_of_group(df, [*by, "step_count"], "seq_id", "_first")
+        df = _first_of_group(df, [*by, "step_count"], "seq_id", "_first", layout)
         df = df.withColumn("step_index", F.col("seq_id") - F.col("_first") + 1).drop("_first")
     if total_time and "unix_time" in present:
-        df = _first_of_group(df, by, "unix_time", "_t0")
+        df = _first_of_group(df, by, "unix_time", "_t0", layout)
         df = df.withColumn("test_totaltime", F.col("unix_time") - F.col("_t0")).drop("_t0")
     return df

@@ -374,3 +374,37 @@ def test_ordinary_joins_are_not_hot(spark, monkeypatch):
     aux = spark.range(400_000).selectExpr("1 AS test", "id div 2 AS seq_id", "id % 2 AS auxchl_id")
     join_aux(main, aux, ["test"])
     assert seen[0].hot is None
+
+
+@pytest.mark.parametrize(("most", "hot_rows"), [(100, 10), (3, 10), (3, 2), (3, 10_000), (1, 2)])
+def test_firsts_of_groups_by_each_route(spark, monkeypatch, most, hot_rows):
+    import cyclerlake.operators.features as features
+
+    monkeypatch.setattr(features, "BROADCAST_GROUPS", most)
+    # one test holds most records; nulls among keys and values, repeated rows
+    rows = [(1, s, s // 4, 100 + s) for s in range(40)] + [(None, s, None, None if s % 2 else 7 - s) for s in range(8)]
+    rows += [(2, 5, 0, 9), (2, 5, 0, 9), (3, None, 1, None)]
+    df = spark.createDataFrame(rows, "test int, seq_id long, step_count int, unix_time long")
+    got = add_step_features(df, ["test"], Layout(hot_rows=hot_rows)).collect()
+
+    def lowest(column, *keys):
+        held = {}
+        for row in rows:
+            if row[column] is not None:
+                key = tuple(row[k] for k in keys)
+                held[key] = min(held.get(key, row[column]), row[column])
+        return held
+
+    first, start = lowest(1, 0, 2), lowest(3, 0)
+    want = [
+        (t, s, c, u, None if s is None else s - first[t, c] + 1, None if u is None else u - start[t,])
+        for t, s, c, u in rows
+    ]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    assert got[0].__fields__ == ["test", "seq_id", "step_count", "unix_time", "step_index", "test_totaltime"]
+
+
+def test_few_groups_move_no_records(spark):
+    df = spark.range(100).selectExpr("id % 3 AS test", "id AS seq_id", "id DIV 9 AS step_count")
+    plan = add_step_features(df, ["test"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
