@@ -15,7 +15,8 @@ from chunk to chunk.
   length and digest on the way.
 
 Defined results: a null payload is empty. Ids may repeat or be null (null is the smallest); rows that
-share the largest id of equal payloads are responses all. An empty table makes no archive and gives
+share the largest id of equal payloads are responses all. Ids are whole numbers, also as text; under ANSI rules any
+other is an error, as it would name no record. An empty table makes no archive and gives
 no rows. Other columns are not read.
 """
 

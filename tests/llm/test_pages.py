@@ -133,6 +133,18 @@ def test_warc_empty(spark):
     assert warc.round_trip(pages_of(spark, [])).count() == 0
 
 
+def test_warc_ids_as_text(spark):
+    pages = spark.createDataFrame([("7", "u", "x"), (None, "v", "x"), ("12", "w", "x")], "page_id string, url string, html string")
+    assert sorted(r.refers_to or -1 for r in warc.round_trip(pages).collect()) == [-1, 12, 12]
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "true")
+    try:
+        with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+            warc.round_trip(pages.union(spark.createDataFrame([("p-9", "z", "x")], pages.schema))).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
 # -- HTML ---------------------------------------------------------------------------------------
 
 ARTICLE = """<!DOCTYPE html><html><head><title>T</title><script>var x="</head><p>no</p>";</script><style>p{}</style></head>
