@@ -30,6 +30,10 @@ CHUNK = "_chunk"
 COPIES = "_copies"
 BLOCK = 100_000
 SIDE = "_side"
+# beyond so many tasks each has so many rows at least, whatever a layout asks for: in a shuffle every task of one side
+# meets every task of the other, so tiny tasks would cost the square of their number
+FEW_TASKS = 200
+LEAST_TASK_ROWS = 50_000
 SIGNS = [f"_sign{i}" for i in range(8)]
 
 
@@ -88,6 +92,11 @@ class Measured(NamedTuple):
         return df.repartition(*place) if self.partitions is None else df.repartition(self.partitions, *place)
 
 
+def _tasks(rows: int, layout: Layout) -> int:
+    """Tasks for so many rows."""
+    return min(-(-rows // layout.task_rows), max(FEW_TASKS, -(-rows // LEAST_TASK_ROWS)))
+
+
 def measure(counts: DataFrame, by: Sequence[str], layout: Layout) -> Measured:
     """Look at landed row counts per chunk."""
     too_many = f"sum(CASE WHEN _rows > {layout.hot_rows} THEN _rows END)"
@@ -98,9 +107,9 @@ def measure(counts: DataFrame, by: Sequence[str], layout: Layout) -> Measured:
         joined = "_joined" if "_joined" in counts.columns else "0L"
         cuts = F.expr(f"CAST(ceil(sqrt(max({joined}) / {layout.task_rows})) AS bigint)")
         hot = counts.where(f"_rows > {layout.hot_rows}").groupBy(*by, CHUNK).agg(F.greatest(cuts, F.lit(1)).alias("_cuts"))
-    needed = -(-rows // layout.task_rows)
+    needed = _tasks(rows, layout)
     configured = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot_parts = max(configured, -(-hot_rows // layout.task_rows))
+    hot_parts = max(configured, _tasks(hot_rows, layout))
     return Measured(hot, needed if needed > configured else None, chunks, hot_parts)
 
 

@@ -3,7 +3,7 @@ import random
 import pytest
 
 from cyclerlake.operators import joins
-from cyclerlake.operators.chunks import Layout, Measured, collapse_copies, expand_copies
+from cyclerlake.operators.chunks import Layout, Measured, collapse_copies, expand_copies, measure
 from cyclerlake.operators.features import add_step_features
 from cyclerlake.operators.joins import join_aux, join_aux_with_steps
 from cyclerlake.operators.reports import summarise_steps, summarise_tests
@@ -408,3 +408,10 @@ def test_few_groups_move_no_records(spark):
     df = spark.range(100).selectExpr("id % 3 AS test", "id AS seq_id", "id DIV 9 AS step_count")
     plan = add_step_features(df, ["test"])._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_small_tasks_are_not_more_than_rows_pay_for(spark):
+    counts = spark.sql("SELECT 1 AS test, id AS _chunk, 4000L AS _rows, 4000L AS _joined FROM range(1000)")
+    found = measure(counts, ["test"], Layout(chunk_records=10, hot_rows=60, task_rows=50))
+    assert found.partitions == found.hot_parts == 200
+    assert measure(counts, ["test"], Layout(task_rows=100_000)).partitions == 40
