@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cyclerlake.operators.places import with_places
+from cyclerlake.session import landed
 from cyclerlake.sources.tables import STREAM_CHUNK, Tables
 
 
@@ -47,7 +48,6 @@ def map_chunks(
 
 
 AT, CHUNK = "_at", "_number"
-TASKS = 10_000
 
 
 def _in_chunks(df: DataFrame, chunksize: int, order: Sequence[str]) -> DataFrame:
@@ -77,7 +77,8 @@ def map_exact_chunks(
 def iter_chunks(df: DataFrame, chunksize: int = STREAM_CHUNK, order: Sequence[str] = ()) -> Iterator[pd.DataFrame]:
     """The same chunks one after the other, for the caller; the driver holds some at a time.
 
-    Tasks put chunks together and hand each over as a single value.
+    Tasks put chunks together and hand each over as a single value. What a job hands over is a chunk, or as many small
+    ones as have the rows of a chunk of default size: a job per chunk would cost more than its rows.
     """
     names = df.columns
 
@@ -90,8 +91,10 @@ def iter_chunks(df: DataFrame, chunksize: int = STREAM_CHUNK, order: Sequence[st
 
     numbered = _in_chunks(df, chunksize, order)
     chunks = (numbered.agg(F.max(CHUNK)).first()[0] or 0) + 1
-    values = numbered.groupBy(CHUNK).applyInArrow(packed, f"{CHUNK} long, rows binary")
-    ordered = values.repartitionByRange(min(chunks, TASKS), CHUNK).sortWithinPartitions(CHUNK)
+    jobs = -(-chunks // max(1, STREAM_CHUNK // chunksize))
+    # landed: the ranges are drawn from a sample, which would put the chunks together a second time
+    values = landed(numbered.groupBy(CHUNK).applyInArrow(packed, f"{CHUNK} long, rows binary"), "chunks")
+    ordered = values.repartitionByRange(jobs, CHUNK).sortWithinPartitions(CHUNK)
     for row in ordered.toLocalIterator():
         yield pa.ipc.open_stream(row["rows"]).read_pandas()
 

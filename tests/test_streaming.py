@@ -138,3 +138,11 @@ def test_places_with_nulls_ties_and_hot_values(spark):
     assert sorted((r.k is not None, r.k or 0, r.v) for r in placed) == sorted((k is not None, k or 0, v) for k, v in rows)
     assert with_places(spark.range(0)).collect() == []
     assert [r["odd `name`"] for r in with_places(spark.range(1), ["id"], "odd `name`").collect()] == [0]
+
+
+def test_small_chunks_come_many_to_a_job(spark, monkeypatch):
+    made, asked = spark.range(2000), []
+    keep = type(made).repartitionByRange
+    monkeypatch.setattr(type(made), "repartitionByRange", lambda df, *given: asked.append(given[0]) or keep(df, *given))
+    assert [f["id"].tolist() for f in iter_chunks(made.repartition(3), 10, ["id"])] == [list(range(i, i + 10)) for i in range(0, 2000, 10)]
+    assert [n for n in asked if isinstance(n, int)] == [1]
