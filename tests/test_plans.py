@@ -151,6 +151,27 @@ def test_export_splits_long_tests(cycler, tmp_path):
         export_tests(cycler.get_fleet(), str(tmp_path / "other"), "feather")
 
 
+def test_export_of_records_far_apart_is_a_file_per_test(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = spark.sql("SELECT id % 20 AS test, 1000 * id AS number FROM range(400) UNION ALL SELECT 20, 1000 * id FROM range(90) UNION ALL SELECT null, null FROM range(3)")
+        export_tests(rows, str(tmp_path / "out"), by=["test"], order="number", rows_per_file=30)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    per_file = spark.read.parquet(str(tmp_path / "out")).selectExpr("test", "number", "_metadata.file_path AS file")
+    assert [tuple(r) for r in per_file.orderBy("test", "number").select("test", "number").collect()] == [tuple(r) for r in rows.orderBy("test", "number").collect()]
+    files = {r.test: (r.files, r.most) for r in per_file.groupBy("test", "file").count().groupBy("test").agg({"file": "count", "count": "max"}).toDF("test", "files", "most").collect()}
+    assert all(files[t] == (1, 20) for t in range(20)) and files[None] == (1, 3)
+    # three files' rows are three stretches, which tasks may hold together
+    assert 3 <= files[20][0] <= 4 and files[20][1] <= 30
+
+
+def test_narrow_gaps_are_not_compared():
+    assert cover.without_narrow_gaps([(0, 0), (2, 4), (6, 1000), (1300, 1400)]) == [(0, 1000), (1300, 1400)]
+    assert cover.without_narrow_gaps([(0, 0), (2, 4)]) == [(0, 0), (2, 4)]
+    assert cover.without_narrow_gaps([(5, 5)]) == [(5, 5)]
+
+
 def test_a_chosen_test_prunes_the_scan(spark, tmp_path):
     rows = spark.range(3000).selectExpr(
         "id % 3 AS unit_id", "id % 3 AS chl_id", "id % 30 AS test_id", "id AS seq_id", "id % 9 AS test_time", "CAST(id AS double) AS test_vol"
