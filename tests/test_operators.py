@@ -415,3 +415,16 @@ def test_small_tasks_are_not_more_than_rows_pay_for(spark):
     found = measure(counts, ["test"], Layout(chunk_records=10, hot_rows=60, task_rows=50))
     assert found.partitions == found.hot_parts == 200
     assert measure(counts, ["test"], Layout(task_rows=100_000)).partitions == 40
+
+
+def test_many_chunks_are_numbered_from_one_join_of_their_starts(spark, monkeypatch):
+    purposes, keep = [], joins.landed
+    monkeypatch.setattr(joins, "landed", lambda df, purpose: purposes.append(purpose) or keep(df, purpose))
+    main = series(21)
+    aux = [(r[0], r[1], c) for r in main for c in (1, 2)]
+    left = spark.createDataFrame([(t, s, x, u) for t, s, _, x, u in main], "test int, seq_id long, test_time long, unix_time long")
+    right = spark.createDataFrame(aux, "test int, seq_id long, auxchl_id long")
+    for blocks in (2, 4096):
+        got = join_aux_with_steps(left, right, ["test"], Layout(chunk_records=4, block_chunks=blocks))
+        assert result(got) == numbered([(t, s, c, x, u) for t, s, _, x, u in main for c in (1, 2)])
+    assert purposes.count("chunk-zeros") == 1
