@@ -912,11 +912,19 @@ BATCHES, FILES = 4, 4
 
 
 def in_batches(spark: SparkSession, records: DataFrame, at: Column, folder: str) -> cl.FileTables:
-    """Files in the order of ``at``, a number from 0 to 1; as many tasks write a batch as it has files."""
+    """Files in the order of ``at``, a number from 0 to 1; as many tasks write a batch as it has files.
+
+    The records are computed once and landed by batch, of which each is then written.
+    """
+    parts = f"{folder}-parts"
+    # null where there is no number: such a record is in no batch
+    number = F.when(at * BATCHES >= BATCHES - 1, F.lit(BATCHES - 1)).otherwise(F.floor(at * BATCHES))
+    whole = records.withColumn("_part", number.cast("int"))
+    whole.where(F.col("_part") >= 0).write.partitionBy("_part").parquet(parts)
+    landed = spark.read.schema(whole.schema).parquet(parts)
     for part in range(BATCHES):
-        low, high = part / BATCHES, (part + 1) / BATCHES
-        here = (at >= low) & (at < high) if high < 1 else at >= low
-        records.where(here).repartition(FILES).write.mode("append").parquet(folder)
+        here = landed.where(F.col("_part") == part).drop("_part")
+        here.repartition(FILES).write.mode("append").parquet(folder)
     return cl.FileTables(spark, {"in": folder}, files_per_batch=FILES)
 
 

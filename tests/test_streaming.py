@@ -1,6 +1,7 @@
 import pandas as pd
 import pytest
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
 
 import cyclerlake as cl
 from cyclerlake.operators.chunks import Layout
@@ -146,3 +147,22 @@ def test_small_chunks_come_many_to_a_job(spark, monkeypatch):
     monkeypatch.setattr(type(made), "repartitionByRange", lambda df, *given: asked.append(given[0]) or keep(df, *given))
     assert [f["id"].tolist() for f in iter_chunks(made.repartition(3), 10, ["id"])] == [list(range(i, i + 10)) for i in range(0, 2000, 10)]
     assert [n for n in asked if isinstance(n, int)] == [1]
+
+
+def test_records_staged_in_batches_are_computed_once(spark, tmp_path):
+    from checks.queries import BATCHES, in_batches
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    made = spark.range(100, numPartitions=3).selectExpr("id", "CASE WHEN id <> 7 THEN id / 100 END AS at").mapInPandas(counted, "id long, at double")
+    in_batches(spark, made, F.col("at"), str(tmp_path / "in"))
+    assert seen.value == 100
+    written = spark.read.parquet(str(tmp_path / "in")).selectExpr("id", "at", "_metadata.file_modification_time AS time")
+    assert sorted(r.id for r in written.collect()) == [i for i in range(100) if i != 7]
+    spans = written.groupBy(F.floor(F.col("at") * BATCHES).alias("part")).agg(F.min("time").alias("low"), F.max("time").alias("high")).orderBy("part").collect()
+    assert len(spans) == BATCHES and all(a.high <= b.low for a, b in zip(spans, spans[1:]))
