@@ -1,8 +1,9 @@
 """A copy of the fleet that is brought up to date: only tests that changed are written again.
 
-The copy has a folder per run with the tests it wrote, and a manifest: per test the run that holds it, its
-number of rows and a digest of the records it was made from. Digests are sums and exclusive ors of row hashes, so
-they combine before the shuffle and one scan of the records tells which tests changed; these alone are joined and numbered.
+The copy has a folder per run with the tests it wrote, many to a file, and a manifest: per test the run that holds it, its
+number of rows, a digest of the records it was made from and the number of tests that run wrote. Digests are sums and exclusive
+ors of row hashes, so they combine before the shuffle and one scan of the records tells which tests changed; these alone are
+joined and numbered. Runs of which every test still counts are read as they are, others by their tests.
 
 Changed tests are written in batches of about ``batch_rows`` records. A batch is in the copy once its
 manifest is, which Spark commits in one step, so readers see whole tests only, old or new, and a run that was broken off goes on
@@ -13,6 +14,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +28,13 @@ from cyclerlake.sources.catalogue import IDENTITY, unordered_tests
 
 BATCH_ROWS = 2_000_000_000
 MANIFEST = T.StructType(
-    [*(T.StructField(k, T.LongType()) for k in IDENTITY), T.StructField("run", T.StringType()), T.StructField("records", T.LongType()), T.StructField("digest", T.StringType())]
+    [
+        *(T.StructField(k, T.LongType()) for k in IDENTITY),
+        T.StructField("run", T.StringType()),
+        T.StructField("records", T.LongType()),
+        T.StructField("digest", T.StringType()),
+        T.StructField("tests", T.LongType()),
+    ]
 )
 
 
@@ -47,7 +55,7 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
-    """What the copy holds: identity, run, records, digest."""
+    """What the copy holds: identity, run, records, digest, and the number of tests of the run (null: it has a folder per test)."""
     versions = _versions(spark, path)
     if not versions:
         return spark.createDataFrame([], MANIFEST)
@@ -95,27 +103,38 @@ def clone_fleet(cycler: Cycler, path: str, chosen: DataFrame | None = None, fmt:
     changed = landed(changed.withColumn("batch", F.pmod(F.xxhash64(*IDENTITY), F.lit(batches))), "clone-changed")
     for batch in range(batches):
         part = changed.where(F.col("batch") == batch).drop("batch")
-        if part.limit(1).count():
-            _write_batch(cycler, path, tests, part, fmt, rows_per_file, options)
+        part_size = part.count()
+        if part_size:
+            _write_batch(cycler, path, tests, part.withColumn("tests", F.lit(part_size)), fmt, rows_per_file, options)
     return size
 
 
 def _write_batch(cycler: Cycler, path: str, tests: DataFrame, part: DataFrame, fmt: str, rows_per_file: int, options: dict) -> None:
     spark, run = cycler.tables.spark, uuid.uuid4().hex
     fleet = cycler.get_fleet(tests.join(part.select(*IDENTITY), IDENTITY, "left_semi"), **options)
-    export_tests(fleet, f"{path}/data/run={run}", fmt, IDENTITY, RECORD_LABEL, rows_per_file)
+    export_tests(fleet, f"{path}/data/run={run}", fmt, IDENTITY, RECORD_LABEL, rows_per_file, False)
     versions = _versions(spark, path)
     kept = manifest(spark, path).join(part, IDENTITY, "left_anti")
-    written = part.select(*IDENTITY, F.lit(run).alias("run"), "records", "digest")
+    written = part.select(*IDENTITY, F.lit(run).alias("run"), "records", "digest", F.col("tests").cast("bigint"))
     # overwritten: a version without its mark of success is left over from a run that was broken off
     kept.unionByName(written).write.mode("overwrite").parquet(f"{path}/manifest/version={max(versions, default=0) + 1}")
 
 
 def read_clone(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
-    """Measurements in the copy; ``schema`` is that of ``get_fleet``. Files of other runs of a test are pruned."""
+    """Measurements in the copy; ``schema`` is that of ``get_fleet``. Runs that no test is read from are not looked at."""
     whole = T.StructType([*schema, T.StructField("run", T.StringType())])
-    rows = read_export(spark, f"{path}/data", whole, fmt)
-    return rows.join(manifest(spark, path).select(*IDENTITY, "run"), [*IDENTITY, "run"], "left_semi").select(*(f"`{c}`" for c in schema.fieldNames()))
+    known = manifest(spark, path)
+    kinds: dict[str, list[str]] = {}
+    for row in known.groupBy("run").agg(F.max("tests").alias("tests"), F.count("*").alias("held")).collect():
+        kind = "folders" if row["tests"] is None else "whole" if row["tests"] == row["held"] else "parts"
+        kinds.setdefault(kind, []).append(f"run={row['run']}")
+    found = []
+    for kind, runs in sorted(kinds.items()) or [("parts", [])]:
+        rows = read_export(spark, f"{path}/data", whole, fmt, sorted(runs))
+        if kind != "whole":
+            rows = rows.join(known.select(*IDENTITY, "run"), [*IDENTITY, "run"], "left_semi")
+        found.append(rows.select(*(f"`{c}`" for c in schema.fieldNames())))
+    return reduce(DataFrame.unionByName, found)
 
 
 def vacuum_clone(spark: SparkSession, path: str) -> list[str]:

@@ -82,6 +82,45 @@ def test_a_broken_clone_goes_on(spark, tmp_path, monkeypatch):
     assert got == want
 
 
+def test_files_of_a_clone_grow_with_rows_not_with_tests(spark, tmp_path):
+    path = str(tmp_path)
+    cycler, options = fleet_of(spark, tests=60, n=5)
+    assert clone.clone_fleet(cycler, path, **options) == 60
+    assert len(list(tmp_path.rglob("data/**/*.parquet"))) < 10
+    got, want = held(spark, path, cycler, options)
+    assert got == want and len(got) == 300
+    # of the first run all tests count but one: it is read by its tests, the second as it is
+    cycler, options = fleet_of(spark, changed=(7,), tests=60, n=5)
+    assert clone.clone_fleet(cycler, path, rows_per_file=2, **options) == 1
+    assert len(list(tmp_path.rglob("data/**/*.parquet"))) < 16
+    got, want = held(spark, path, cycler, options)
+    assert got == want and len(got) == 300
+
+
+@pytest.mark.parametrize("fmt", ["csv", "ndjson"])
+def test_a_clone_in_text(spark, tmp_path, fmt):
+    path = str(tmp_path)
+    cycler, options = fleet_of(spark)
+    assert clone.clone_fleet(cycler, path, fmt=fmt, **options) == 8
+    fleet = cycler.get_fleet(**options)
+    assert rows(clone.read_clone(spark, path, fleet.schema, fmt)) == rows(fleet)
+
+
+def test_a_clone_with_a_folder_per_test_is_read_on(spark, tmp_path):
+    path = str(tmp_path)
+    cycler, options = fleet_of(spark)
+    assert clone.clone_fleet(cycler, path, **options) == 8
+    # as copies were laid out once: a folder per test, a manifest without the number of tests
+    export_tests(cycler.get_fleet(**options), f"{path}/data/run=before")
+    clone.manifest(spark, path).drop("tests").withColumn("run", F.lit("before")).write.parquet(f"{path}/manifest/version=2")
+    got, want = held(spark, path, cycler, options)
+    assert got == want and len(got) == 320
+    cycler, options = fleet_of(spark, changed=(2, 5))
+    assert clone.clone_fleet(cycler, path, **options) == 2
+    got, want = held(spark, path, cycler, options)
+    assert got == want and len(got) == 320
+
+
 def test_digests_tell_copies_and_sides_apart(spark):
     def told(main, aux):
         frames = spark.createDataFrame(main, "test long, a long, b string"), spark.createDataFrame(aux, "test long, a long, b string")
