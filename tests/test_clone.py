@@ -9,6 +9,7 @@ import cyclerlake as cl
 from cyclerlake.operators.reports import merge_sketches, quantiles, rank_error, sketch_steps, summarise_export, summarise_tests
 from cyclerlake.plans import clone
 from cyclerlake.plans.export import export_tests
+from cyclerlake.sources import folders
 from cyclerlake.sources.catalogue import IDENTITY
 
 
@@ -161,3 +162,14 @@ def test_summary_of_an_export_reads_no_rows(spark, tmp_path):
     names = {"Record Count / 1": "seq_id", "Cycle Count / 1": "cycle", "Step ID / 1": "step_id", "Unix Time / s": "unix_time"}
     want = summarise_tests(fleet.select(*IDENTITY, *(F.col(f"`{k}`").alias(v) for k, v in names.items())), IDENTITY)
     assert rows(got.select(*want.columns)) == rows(want)
+
+
+def test_many_folders_are_summarised_in_batches(spark, tmp_path, monkeypatch):
+    cycler, options = fleet_of(spark)
+    export_tests(cycler.get_fleet(**options), str(tmp_path / "out"), rows_per_file=15)
+    by = [IDENTITY, ["unit_id"]]
+    want = [rows(summarise_export(spark, str(tmp_path / "out"), some)) for some in by]
+    monkeypatch.setattr(folders, "FOLDERS", 3)
+    got = [summarise_export(spark, str(tmp_path / "out"), some) for some in by]
+    assert list(map(rows, got)) == want and [len(some) for some in want] == [8, 1]
+    assert not any(str(tmp_path / "out") in name for some in got for name in some.inputFiles())
