@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 import cyclerlake as cl
 from checks.queries import FINE, TEST_24, TEST_26, TEST_26_NO_AUX, tables
 from cyclerlake.functions.vocabulary import LABELS
-from cyclerlake.plans import cover, records
+from cyclerlake.plans import cover, export, records
 from cyclerlake.plans.export import export_tests
+from cyclerlake.sources import folders
 
 SF = "/root/testdata/sf0.001"
 
@@ -166,6 +167,35 @@ def test_export_of_records_far_apart_is_a_file_per_test(spark, tmp_path):
     assert 3 <= files[20][0] <= 4 and files[20][1] <= 30
 
 
+MANY = """SELECT id % 2 AS side, CASE id % 4 WHEN 0 THEN 'x/y=1' WHEN 1 THEN 'a}, b' WHEN 2 THEN '50% *' END AS name, id % 20 AS test, id AS number, id / 7 AS value,
+  CAST('2024-01-01' AS timestamp_ntz) + make_dt_interval(0, 0, 0, id) AS time FROM range(200) UNION ALL SELECT 0, 'z', null, 1, null, null FROM range(3)"""
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv", "ndjson"])
+def test_many_folders_are_read_in_batches(spark, tmp_path, monkeypatch, fmt):
+    rows, out = spark.sql(MANY), str(tmp_path / "out")
+    export_tests(rows, out, fmt, by=["side", "name", "test"], order="number", rows_per_file=4)
+    asked = []
+    real = export.landed_by_folders
+
+    def told(spark, roots, read, purpose):
+        return real(spark, roots, lambda session, some: asked.append(some) or read(session, some), purpose)
+
+    monkeypatch.setattr(export, "landed_by_folders", told)
+    lazy = export.read_export(spark, out, rows.schema, fmt)
+    monkeypatch.setattr(folders, "FOLDERS", 6)
+    got = export.read_export(spark, out, rows.schema, fmt)
+    assert sorted(map(str, got.select(rows.columns).collect())) == sorted(map(str, rows.collect()))
+    assert got.dtypes == lazy.dtypes and any(out in name for name in lazy.inputFiles()) and not any(out in name for name in got.inputFiles())
+    # each folder once, no batch larger than it may be
+    assert [len(some) for some in asked] == [6, 6, 6, 3] and len({name for some in asked for name in some}) == 21
+    # of two exports side by side, those that are asked for
+    export_tests(rows, f"{out}2/run=a", fmt, by=["side", "name", "test"], order="number")
+    export_tests(rows, f"{out}2/run=b", fmt, by=["side", "name", "test"], order="number")
+    one = export.read_export(spark, f"{out}2", rows.schema.add("run", "string"), fmt, ["run=b"])
+    assert one.count() == 203 and one.select("run").distinct().collect() == [("b",)]
+
+
 def test_narrow_gaps_are_not_compared():
     assert cover.without_narrow_gaps([(0, 0), (2, 4), (6, 1000), (1300, 1400)]) == [(0, 1000), (1300, 1400)]
     assert cover.without_narrow_gaps([(0, 0), (2, 4)]) == [(0, 0), (2, 4)]
